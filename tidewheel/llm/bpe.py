@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 #: Characters of text that a worker splits at a time; bounds the memory for pre-tokens.
 SLICE_CHARS = 1 << 20
 #: Distinct pre-tokens that a worker remembers before it starts anew.
-MEMO = 1 << 19
+MEMO = 1 << 18
 
 
 class PerfectHash:
@@ -118,27 +118,34 @@ class Vocabulary:
         rank, n = self._ranks.get, len(piece)
         if n == 1:
             return (rank(piece),)
-        end = list(range(1, n + 1))  # the part that starts at i ends at end[i], where the next one starts
-        before = list(range(-1, n))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(piece[i : i + 2])) is not None]
+        shift = n.bit_length()
+        after, before = list(range(1, n + 1)), list(range(-1, n))  # the links; the part at i ends at after[i]
+        pair = [rank(piece[i : i + 2], -1) for i in range(n)]  # rank of the part at i joined with the next one
+        pair[n - 1] = -1
+        heap = [r << shift | i for i, r in enumerate(pair) if r >= 0]
         heapify(heap)
-        alive = bytearray(b"\x01" * n)
+        mask = (1 << shift) - 1
         while heap:
-            _, i, stop = heappop(heap)
-            if not alive[i] or (j := end[i]) >= n or end[j] != stop or stop == j:
+            x = heappop(heap)
+            i = x & mask
+            if pair[i] != x >> shift:
                 continue  # one of the two parts has been merged meanwhile
-            alive[j] = 0
-            end[i] = stop
+            j = after[i]
+            stop = after[i] = after[j]
+            pair[i] = pair[j] = -1
             if stop < n:
                 before[stop] = i
-                if (r := rank(piece[i : end[stop]])) is not None:
-                    heappush(heap, (r, i, end[stop]))
-            if (p := before[i]) >= 0 and (r := rank(piece[p:stop])) is not None:
-                heappush(heap, (r, p, stop))
+                if (r := rank(piece[i : after[stop]], -1)) >= 0:
+                    pair[i] = r
+                    heappush(heap, r << shift | i)
+            if (p := before[i]) >= 0:
+                pair[p] = r = rank(piece[p:stop], -1)
+                if r >= 0:
+                    heappush(heap, r << shift | p)
         out, i = [], 0
         while i < n:
-            out.append(rank(piece[i : end[i]]))
-            i = end[i]
+            out.append(rank(piece[i : after[i]]))
+            i = after[i]
         return tuple(out)
 
     def resolve(self, pieces: list[str]) -> None:
@@ -179,9 +186,8 @@ class Vocabulary:
         if self._bytes is None:
             self._bytes = dict(zip(self.ids.tolist(), self.keys))
         of = self._bytes.get
-        lists = ids.tolist()
         unknown = "�".encode()
-        return [b"".join([of(x, unknown) for x in lists[a:b]]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        return [b"".join([of(x, unknown) for x in ids[a:b].tolist()]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
 
 
 def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str = "ids") -> DataFrame:
