@@ -95,11 +95,11 @@ class Vocabulary:
         self.keys = list(ranks)
         self.ids = np.fromiter(ranks.values(), np.int64, len(ranks))
         self.hash = PerfectHash(self.keys)
-        self._ranks = self._find = self._bytes = None
+        self._ranks = self._pairs = self._find = self._bytes = None
         self._memo: dict[str, tuple[int, ...]] = {}
 
     def __getstate__(self):
-        return self.__dict__ | {"_ranks": None, "_find": None, "_bytes": None, "_memo": {}}
+        return self.__dict__ | {"_ranks": None, "_pairs": None, "_find": None, "_bytes": None, "_memo": {}}
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, pattern: str) -> "Vocabulary":
@@ -115,14 +115,16 @@ class Vocabulary:
         """The second tier: linked bytes, and a heap of the merges that neighbours allow."""
         if self._ranks is None:
             self._ranks = dict(zip(self.keys, self.ids.tolist()))
+            self._pairs = [self._ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
         rank, n = self._ranks.get, len(piece)
         if n == 1:
             return (rank(piece),)
         shift = n.bit_length()
         after, before = list(range(1, n + 1)), list(range(-1, n))  # the links; the part at i ends at after[i]
-        pair = [rank(piece[i : i + 2], -1) for i in range(n)]  # rank of the part at i joined with the next one
-        pair[n - 1] = -1
+        pairs = self._pairs
+        pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]  # rank of the part at i joined with the next one
         heap = [r << shift | i for i, r in enumerate(pair) if r >= 0]
+        pair.append(-1)
         heapify(heap)
         mask = (1 << shift) - 1
         while heap:
@@ -223,8 +225,19 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "
 
 
 def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Encodes and decodes documents. Returns doc_id, ids and decoded; other columns go, so none can clash."""
-    return decode(encode(docs.select("doc_id", "text"), vocabulary), vocabulary).select("doc_id", "ids", "decoded")
+    """Encodes documents and decodes the ids, in one pass. Returns doc_id, ids and decoded as encode()
+    and decode() define them; other columns go, so none can clash."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    kind = [pa.field("ids", pa.list_(pa.int32())), pa.field("decoded", pa.binary())]
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def both(texts: pa.Array) -> pa.Array:
+        ids, counts = shared.value.encode([t or "" for t in texts.to_pylist()])
+        offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+        return pa.StructArray.from_arrays([lists, pa.array(shared.value.decode(ids, offsets), pa.binary())], fields=kind)
+
+    return docs.select("doc_id", both("text").alias("_both")).select("doc_id", "_both.ids", "_both.decoded")
 
 
 def digests(rows: DataFrame) -> DataFrame:
