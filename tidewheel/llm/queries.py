@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewheel.llm import bpe
-from tidewheel.llm.shared import read
+from tidewheel.llm import bpe, decontam, langid, quality, warc
+from tidewheel.llm.shared import read, shared_dir
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,5 +16,29 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(read(spark, sf_dir, "documents"), vocabulary))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_byte_bpe": op1_byte_bpe}
-ORACLE_SQL: dict[str, str] = {}
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digests(decontam.decontaminate(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark")))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(read(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark)
+    warc.write(warc.records(read(spark, sf_dir, "pages")), path)
+    return warc.captures(warc.read(spark, path))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_quality": op4_quality,
+    "op7_language": op7_language,
+    "op9_warc": op9_warc,
+}
+ORACLE_SQL: dict[str, str] = {"op3_decontaminate": decontam.ORACLE, "op9_warc": warc.ORACLE}
