@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewheel.llm import bpe, decontam, langid, quality, warc
+from tidewheel.llm import ann, bpe, chat, decontam, langid, quality, urls, warc
 from tidewheel.llm.shared import read, shared_dir
 
 
@@ -16,6 +17,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(read(spark, sf_dir, "documents"), vocabulary))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    two = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(two)
+    return chat.digests(chat.format_trees(chat.chained(rows)))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digests(decontam.decontaminate(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark")))
 
@@ -24,6 +31,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+#: Fixed values of the contract.
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(read(spark, sf_dir, "documents"))
 
@@ -34,11 +49,19 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.captures(warc.read(spark, path))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = ann.usable(read(spark, sf_dir, "embeddings"))
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_chat": op2_chat,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
+    "op5_urls": op5_urls,
     "op7_language": op7_language,
     "op9_warc": op9_warc,
+    "op10_nearest": op10_nearest,
 }
-ORACLE_SQL: dict[str, str] = {"op3_decontaminate": decontam.ORACLE, "op9_warc": warc.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE, "op3_decontaminate": decontam.ORACLE, "op9_warc": warc.ORACLE}
