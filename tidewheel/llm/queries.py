@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ann, bpe, chat, decontam, langid, quality, urls, warc
+from tidewheel.llm import ann, bpe, chat, decontam, html_main, langid, quality, urls, warc
 from tidewheel.llm.shared import read, shared_dir
 
 
@@ -43,6 +43,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(read(spark, sf_dir, "documents"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_main.extract(pages, html_main.train()).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
     warc.write(warc.records(read(spark, sf_dir, "pages")), path)
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_urls": op5_urls,
     "op7_language": op7_language,
+    "op8_main_text": op8_main_text,
     "op9_warc": op9_warc,
     "op10_nearest": op10_nearest,
 }
