@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ann, bpe, chat, decontam, html_main, langid, quality, urls, warc
+from tidewheel.llm import ann, bpe, chat, decontam, html_main, jaccard, langid, quality, urls, warc
 from tidewheel.llm.shared import read, shared_dir
 
 
@@ -39,6 +39,10 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(read(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(read(spark, sf_dir, "documents"))
 
@@ -65,9 +69,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
     "op5_urls": op5_urls,
+    "op6_jaccard": op6_jaccard,
     "op7_language": op7_language,
     "op8_main_text": op8_main_text,
     "op9_warc": op9_warc,
     "op10_nearest": op10_nearest,
 }
-ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE, "op3_decontaminate": decontam.ORACLE, "op9_warc": warc.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE, "op3_decontaminate": decontam.ORACLE, "op6_jaccard": jaccard.ORACLE, "op9_warc": warc.ORACLE}
