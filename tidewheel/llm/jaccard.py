@@ -6,8 +6,8 @@ it from becoming quadratic.
 Equal sets are one row of the matrix (a class, represented by its smallest id), so exact copies
 cost nothing. The first product uses only each row's prefix: in one global order of shingles, rows
 of n shingles that are 80 % alike share one among the first n - ceil(0.8 n) + 1. The order puts the
-most frequent shingles (found by a bounded count over all documents) last; as any common order is
-valid, the counts may be approximate. Overlaps accumulated over prefixes discard pairs that cannot
+frequent shingles last; as any common order is
+valid, it is enough to count what prefixes by hash hold. Overlaps accumulated over prefixes discard pairs that cannot
 reach the size-derived bound; a shingle with more than SPARSE rows gives a star of candidate edges
 in place of all pairs. The candidate edges' components are the blocks of the second product, over
 whole sets, which counts every overlap exactly, block against block where a component is too
@@ -42,34 +42,79 @@ SALT = 64
 #: Bits of the filter that picks the documents whose sets are needed: at most 8 MB.
 FILTER_BITS = 1 << 26
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 19:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_hashes = _Hashes()
-
-
-def shingles(text: str | None) -> np.ndarray:
-    """The set of five-word shingles of a whole text, as sorted 64-bit hashes. Words are runs without ASCII white
-    space, A-Z lower-cased; fewer than five words are one shingle; no word, none."""
-    words = text.encode().lower().split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) < WORDS:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    n = len(h) - WORDS + 1
-    x = np.full(n, WORDS, np.uint64)
-    for k in range(WORDS):
-        x = (x ^ h[k : k + n]) * _MIX
-        x ^= x >> np.uint64(29)
-    return np.unique(x)
+#: Bytes of text that words are hashed of at a time.
+SLICE = 1 << 20
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: A random number for each byte at each place of a word; a word's hash is their sum.
+_RANDOM = np.random.default_rng(20_240_601).integers(0, 1 << 64, (64, 256), np.uint64)
+
+
+def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (runs without ASCII white space) of raw, and where they start."""
+    b = np.frombuffer(raw, np.uint8)
+    inside = ~_SPACE[b]
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
+    starts, lengths = edge[::2], edge[1::2] - edge[::2]
+    if not len(starts):
+        return np.empty(0, np.uint64), starts
+    at = np.flatnonzero(inside)
+    place = at - np.repeat(starts, lengths)
+    value = _RANDOM[place & 63, b[at]]
+    if lengths.max() > 64:
+        value = value * (2 * (place >> 6) + 1).astype(np.uint64)
+    h = np.add.reduceat(value, np.cumsum(lengths) - lengths)
+    h = (h ^ (h >> np.uint64(31))) * _MIX
+    return h ^ (h >> np.uint64(29)), starts
+
+
+def _slices(raw: bytes) -> Iterator[bytes]:
+    """raw in pieces of about SLICE bytes, cut at spaces or line breaks."""
+    at = 0
+    while len(raw) - at > 2 * SLICE:
+        cut = max(raw.find(b" ", at + SLICE), raw.find(b"\n", at + SLICE, at + 2 * SLICE))
+        if cut < 0:
+            break
+        yield raw[at:cut]
+        at = cut
+    yield raw[at:]
+
+
+def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """For each whole text its set of five-word shingles, as sorted 64-bit hashes. Words are runs without ASCII
+    white space, A-Z lower-cased; fewer than five words are one shingle; no word, none."""
+    start = 0
+    while start < len(texts):
+        part, size = [], 0
+        while start < len(texts) and (not part or size + len(texts[start] or "") <= SLICE):
+            part.append((texts[start] or "").encode().lower())
+            size += len(part[-1])
+            start += 1
+        if size <= 2 * SLICE:
+            h, at = _word_hashes(b"\n".join(part))
+            ends = np.searchsorted(at, np.cumsum([len(p) + 1 for p in part])).tolist()
+        else:  # one long text
+            found = [_word_hashes(x)[0] for x in _slices(part[0])]
+            h, ends = np.concatenate(found), [sum(map(len, found))]
+        n = max(len(h) - WORDS + 1, 0)
+        x = np.full(n, WORDS, np.uint64)
+        for k in range(WORDS):
+            x = (x ^ h[k : k + n]) * _MIX
+            x ^= x >> np.uint64(29)
+        a = 0
+        for b in ends:
+            if b - a >= WORDS:
+                s = np.sort(x[a : b - WORDS + 1])
+                yield s[np.concatenate(([True], s[1:] != s[:-1]))]
+            elif b > a:
+                few = np.array([b - a], np.uint64)
+                for k in range(a, b):
+                    few = (few ^ h[k]) * _MIX
+                    few ^= few >> np.uint64(29)
+                yield few
+            else:
+                yield np.empty(0, np.uint64)
+            a = b
 
 
 def prefix_length(n: int) -> int:
@@ -78,44 +123,34 @@ def prefix_length(n: int) -> int:
 
 
 def _frequent(docs: DataFrame, least: int) -> np.ndarray:
-    """The most frequent shingles of all documents (FREQUENT at most), sorted.
+    """Shingles that more than `least` documents have in the prefix they would have by hashes alone, sorted.
 
-    Every task counts its shingles and forgets single ones each time it holds too many; what it
-    has seen at least twice is added up over tasks.
+    Counted over all documents: by each task for what it reads, then over tasks. If they are more
+    than FREQUENT, those with the largest counts.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, times, waiting, size = np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
+        waiting, size = [], 0
 
-        def add() -> None:
-            nonlocal keys, times, waiting, size
+        def counts() -> pa.RecordBatch:
             u, c = np.unique(np.concatenate(waiting), return_counts=True)
-            u, c = u[c > 1], c[c > 1]
-            u, at = np.unique(np.concatenate((keys, u)), return_inverse=True)
-            c = np.bincount(at, np.concatenate((times, c)), len(u)).astype(np.int64)
-            if len(u) > FREQUENT:
-                keep = np.argpartition(-c, FREQUENT)[:FREQUENT]
-                keep.sort()
-                u, c = u[keep], c[keep]
-            keys, times, waiting, size = u, c, [], 0
+            return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(c.astype(np.int32))], ["shingle", "n"])
 
         for b in batches:
-            for t in b.column(0):
-                s = shingles(t.as_py())
-                waiting.append(s)
-                size += len(s)
-                if size > 4_000_000:
-                    add()
+            for s in shingle_sets(b.column(0).to_pylist()):
+                if len(s):
+                    waiting.append(s[: prefix_length(len(s))].copy())
+                    size += len(waiting[-1])
+                if size > 1_000_000:
+                    yield counts()
+                    waiting, size = [], 0
         if waiting:
-            add()
-        for at in range(0, len(keys), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 100_000].view(np.int64)), pa.array(times[at : at + 100_000])], ["shingle", "n"])
+            yield counts()
 
-    found = docs.select("text").mapInArrow(counted, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") > least)
+    found = written(docs.select("text").mapInArrow(counted, "shingle bigint, n int").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") > least))
     n = found.count()
     if n > FREQUENT:  # the count that about FREQUENT of them reach
-        least = int(found.approxQuantile("n", [1 - FREQUENT / n], 0.001)[0])
-        found = found.filter(F.col("n") > least)
+        found = found.filter(F.col("n") > int(found.approxQuantile("n", [1 - FREQUENT / n], 0.001)[0]))
     return np.sort(found.select("shingle").toArrow().column(0).to_numpy().view(np.uint64))
 
 
@@ -129,8 +164,7 @@ def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             for at in range(0, len(b), 1000):
                 part = b.slice(at, 1000)
                 sizes, keys, prefixes, lates = [], [], [], []
-                for t in part.column(1):
-                    s = shingles(t.as_py())
+                for s in shingle_sets(part.column(1).to_pylist()):
                     sizes.append(len(s))
                     keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                     p = prefix_length(len(s)) if len(s) else 0
@@ -174,8 +208,9 @@ def _candidates(rows: DataFrame) -> DataFrame:
     return pairs.select(F.col("rep").alias("a"), F.col("other").alias("b")).unionByName(stars).unionByName(joined.distinct()).filter("a <> b")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, set for the documents whose id is a rep of wanted; texts are not shuffled, a filter picks nearly those."""
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rep, text of the documents whose id is a rep of wanted, and of a few others: a bitmap of hashes picks them, so
+    that not all texts are shuffled. The join with wanted is up to the caller."""
     bits = min(FILTER_BITS, 1 << max(15, (16 * wanted.count()).bit_length()))
     place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("bigint")), F.lit(bits)) + 1
     # bitmap functions number positions from 1, in buckets of 32768
@@ -185,16 +220,12 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         table[r.k - 1] = np.frombuffer(r.bits, np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(table.ravel())
 
-    def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            p = b.column(2).to_numpy() - 1
-            maybe = np.flatnonzero(shared.value[p >> 3] >> (p & 7).astype(np.uint8) & 1)
-            for at in range(0, len(maybe), 500):
-                part = b.take(pa.array(maybe[at : at + 500]))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([shingles(t.as_py()).view(np.int64) for t in part.column(1)], pa.list_(pa.int64()))], ["rep", "set"])
+    @F.arrow_udf("boolean")
+    def maybe(places: pa.Array) -> pa.Array:
+        p = places.to_numpy() - 1
+        return pa.array((shared.value[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool))
 
-    source = docs.select(F.col("doc_id").cast("bigint"), "text", place("doc_id").alias("p")).filter("doc_id is not null")
-    return source.mapInArrow(taken, "rep bigint, set array<bigint>")
+    return docs.filter("doc_id is not null").filter(maybe(place("doc_id"))).select(F.col("doc_id").cast("bigint").alias("rep"), "text")
 
 
 def overlaps(ids: np.ndarray, sides: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
@@ -258,13 +289,13 @@ def _links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
     def product(t: pa.Table) -> pa.Table:
-        sets = t.column("set").combine_chunks()
-        sizes = sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        found = overlaps(t.column("rep").to_numpy(), t.column("side").to_numpy(), sets.flatten().to_numpy(zero_copy_only=False), sizes)
+        sets = list(shingle_sets(t.column("text").to_pylist()))
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        found = overlaps(t.column("rep").to_numpy(), t.column("side").to_numpy(), np.concatenate(sets), sizes)
         return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
-    sets = _sets(docs, members.select(F.col("node").alias("rep"))).dropDuplicates(["rep", "set"])
-    return placed.join(sets, "rep").groupBy("block", "parts", "i", "j").applyInArrow(product, "a bigint, b bigint")
+    texts = _texts(docs, members.select(F.col("node").alias("rep")))
+    return placed.join(texts, "rep").groupBy("block", "parts", "i", "j").applyInArrow(product, "a bigint, b bigint")
 
 
 def groups(docs: DataFrame) -> DataFrame:
