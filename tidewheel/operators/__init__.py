@@ -1 +1 @@
-
+"""Data-shaping transforms and domain computations."""

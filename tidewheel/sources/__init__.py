@@ -1 +1,6 @@
+"""Sources and sinks."""
 
+from tidewheel.sources.files import csv_table, json_table, latest_file, parquet_table, warehouse_table, write_csv, write_parquet
+from tidewheel.sources.generated import choices, date_range, literal, number_range, refresh_time
+
+__all__ = ["choices", "csv_table", "date_range", "json_table", "latest_file", "literal", "number_range", "parquet_table", "refresh_time", "warehouse_table", "write_csv", "write_parquet"]
