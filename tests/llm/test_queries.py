@@ -1,0 +1,29 @@
+"""Registered queries on the smallest test tables, against DuckDB where there is SQL."""
+
+import os
+
+import duckdb
+import pytest
+
+from tidewheel.llm import queries as Q
+
+DATA = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the test tables")
+
+
+@pytest.mark.parametrize("name", sorted(Q.ORACLE_SQL))
+def test_against_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    cur = con.execute(Q.ORACLE_SQL[name])
+    names = [c[0] for c in cur.description]
+    want = sorted(map(str, (dict(sorted(zip(names, r))) for r in cur.fetchall())))
+    got = sorted(str(dict(sorted(r.asDict().items()))) for r in Q.QUERIES[name](spark, DATA).collect())
+    assert got == want
+
+
+@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - set(Q.ORACLE_SQL)))
+def test_runs(spark, name):
+    out = Q.QUERIES[name](spark, DATA)
+    assert out.columns and out.count() > 0

@@ -184,6 +184,12 @@ class Vocabulary:
             start = stop
         return (np.concatenate(flat) if flat else np.empty(0, np.int32)), counts
 
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a column's texts in one row and where each text's begin; few texts are Python objects at a time."""
+        parts = [self.encode([t or "" for t in texts[at : at + 256].to_pylist()]) for at in range(0, len(texts), 256)]
+        ids = np.concatenate([p for p, _ in parts]) if parts else np.empty(0, np.int32)
+        return ids, np.concatenate(([0], np.cumsum([n for _, c in parts for n in c]))).astype(np.int32)
+
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
         if self._bytes is None:
             self._bytes = dict(zip(self.ids.tolist(), self.keys))
@@ -192,6 +198,10 @@ class Vocabulary:
         return [b"".join([of(x, unknown) for x in ids[a:b].tolist()]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
 
 
+def _lists(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+
+
 def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str = "ids") -> DataFrame:
     """Adds the token ids of column text, as array<int>.
 
@@ -202,9 +212,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str =
 
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
-        ids, counts = shared.value.encode([t or "" for t in texts.to_pylist()])
-        offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+        return _lists(*shared.value.encode_column(texts))
 
     return df.withColumn(out, ids_of(F.col(text)))
 
@@ -232,10 +240,8 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
     def both(texts: pa.Array) -> pa.Array:
-        ids, counts = shared.value.encode([t or "" for t in texts.to_pylist()])
-        offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
-        return pa.StructArray.from_arrays([lists, pa.array(shared.value.decode(ids, offsets), pa.binary())], fields=kind)
+        ids, offsets = shared.value.encode_column(texts)
+        return pa.StructArray.from_arrays([_lists(ids, offsets), pa.array(shared.value.decode(ids, offsets), pa.binary())], fields=kind)
 
     return docs.select("doc_id", both("text").alias("_both")).select("doc_id", "_both.ids", "_both.decoded")
 

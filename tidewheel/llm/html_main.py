@@ -364,6 +364,8 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = 5) -> list[str]:
     for _ in range(n):
         before = [f() for f, p in ((notice, 0.3), (head, 0.4), (menu, 0.8), (advert, 0.5), (side, 0.2), (form, 0.15)) if chance(p)]
         after = [f() for f, p in ((remarks, 0.4), (side, 0.4), (advert, 0.3), (form, 0.2), (notice, 0.2), (foot, 0.85)) if chance(p)]
+        alone = chance(0.12)  # nothing but the article
+        before, after = [] if alone or chance(0.1) else before, [] if alone or chance(0.1) else after
         middle = article() if chance(0.97) else ""
         if chance(0.15):
             middle = wrap("div", middle, pick(["page", "wrapper", "container"]))

@@ -43,7 +43,7 @@ SALT = 64
 FILTER_BITS = 1 << 26
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text that words are hashed of at a time.
-SLICE = 1 << 20
+SLICE = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: A random number for each byte at each place of a word; a word's hash is their sum.
@@ -119,7 +119,7 @@ def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
 
 def prefix_length(n: int) -> int:
     """How many first shingles of n must hold one that is shared with any 80 % alike set."""
-    return n - (4 * n + 4) // 5 + 1
+    return n - (4 * n + 4) // 5 + 1 if n else 0
 
 
 def _frequent(docs: DataFrame, least: int) -> np.ndarray:
@@ -137,11 +137,11 @@ def _frequent(docs: DataFrame, least: int) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(c.astype(np.int32))], ["shingle", "n"])
 
         for b in batches:
-            for s in shingle_sets(b.column(0).to_pylist()):
-                if len(s):
+            for at in range(0, len(b), 256):
+                for s in shingle_sets(b.column(0)[at : at + 256].to_pylist()):
                     waiting.append(s[: prefix_length(len(s))].copy())
                     size += len(waiting[-1])
-                if size > 1_000_000:
+                if size > 500_000:
                     yield counts()
                     waiting, size = [], 0
         if waiting:
@@ -161,13 +161,13 @@ def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = shared.value
         for b in batches:
-            for at in range(0, len(b), 1000):
-                part = b.slice(at, 1000)
+            for at in range(0, len(b), 256):
+                part = b.slice(at, 256)
                 sizes, keys, prefixes, lates = [], [], [], []
                 for s in shingle_sets(part.column(1).to_pylist()):
                     sizes.append(len(s))
                     keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                    p = prefix_length(len(s)) if len(s) else 0
+                    p = prefix_length(len(s))
                     if len(late):
                         where = np.searchsorted(late, s)
                         where[where == len(late)] = 0
