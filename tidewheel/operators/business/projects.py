@@ -22,7 +22,8 @@ def earned_revenue(rows: DataFrame, job: str, month: str, actual: str, forecast:
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = lambda c: F.sum(blank0(c)).over(upto)
     base = F.round(total(forecast), 2)
-    share = F.least(divide(total(actual), base), F.lit(1.0))
+    share = divide(total(actual), base)
+    share = F.when(share.isNotNull(), F.least(share, F.lit(1.0)))  # least() alone would skip a blank
     value = share * (F.col(contract) + total(change)).cast("double")
     out = rows.withColumn("earned", F.round(value.cast("decimal(28,8)"), 4))
     return out.withColumn("earned_month", F.when(F.col("earned").isNotNull(), F.col("earned") - blank0(F.lag("earned").over(w))))
@@ -32,7 +33,7 @@ def earned_uncapped(rows: DataFrame, job: str, actual: str, forecast: str, contr
     """Per job: share (rounded to four places, not capped), earned and complete (the share capped at 1)."""
     out = rows.groupBy(job).agg(F.sum(actual).alias("actual"), F.sum(forecast).alias("forecast"), F.max(contract).alias("contract"))
     share = F.round(divide("actual", "forecast").cast("decimal(28,10)"), 4)
-    return out.withColumns({"share": share, "earned": F.col("contract") * share, "complete": F.least(share, F.lit(1))})
+    return out.withColumns({"share": share, "earned": F.col("contract") * share, "complete": F.when(share.isNotNull(), F.least(share, F.lit(1)))})
 
 
 def billing_position(rows: DataFrame, job: str, month: str, billed: str, earned: str) -> DataFrame:

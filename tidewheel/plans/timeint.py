@@ -34,7 +34,8 @@ class Clock:
 
     def fiscal_start(self, d: dt.date | None = None) -> dt.date:
         d = d or self.as_of
-        return dt.date(d.year - (d.month <= self.fy_end), self.fy_end % 12 + 1, 1)
+        first = self.fy_end % 12 + 1
+        return dt.date(d.year - (d.month < first), first, 1)
 
     def between(self, start: dt.date, end: dt.date) -> str:
         return f"{self.date} >= date'{start}' AND {self.date} <= date'{end}'"

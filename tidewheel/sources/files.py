@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -22,11 +23,22 @@ def warehouse_table(spark: SparkSession, url: str, table: str, key: str | None =
 
 
 def csv_table(spark: SparkSession, path: str, schema: StructType | str, encoding: str = "UTF-8", header: bool = True, sep: str = ",", errors: str | None = None) -> DataFrame:
-    """A CSV file or folder. errors: a column of the schema that takes lines that don't fit."""
-    reader = spark.read.schema(schema).option("header", header).option("encoding", encoding).option("sep", sep).option("multiLine", True)
+    """A CSV file or folder. errors: a column of the schema that takes lines that don't fit. Code page 1252 is read
+    as ISO-8859-1, and the 27 characters in which they differ are put right."""
+    windows = encoding.lower().replace("windows-", "cp") == "cp1252"
+    reader = spark.read.schema(schema).option("header", header).option("encoding", "ISO-8859-1" if windows else encoding).option("sep", sep).option("multiLine", True)
     if errors:
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", errors)
-    return reader.csv(path)
+    out = reader.csv(path)
+    if windows:
+        out = out.withColumns({c: F.translate(c, *_windows()) for c, k in out.dtypes if k == "string"})
+    return out
+
+
+def _windows() -> tuple[str, str]:
+    """The characters 128 to 159 that code page 1252 has, as ISO-8859-1 reads them and as they are."""
+    codes = [b for b in range(128, 160) if bytes((b,)).decode("cp1252", "ignore")]
+    return "".join(map(chr, codes)), bytes(codes).decode("cp1252")
 
 
 def json_table(spark: SparkSession, path: str, schema: StructType | str, lines: bool = True) -> DataFrame:
