@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions import fiscal_year, fmt
 from tidewheel.functions.text import trend
+from tidewheel.operators import charts
+from tidewheel.operators.business import ledger as L
 from tidewheel.operators.business import margin as M
 from tidewheel.operators.business import projects as P
 from tidewheel.operators.business import retention as R
@@ -246,6 +248,35 @@ def register(reg: Registry) -> None:
         o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("customer")).agg(F.count("*").alias("n"), F.sum(F.expr(money("o_totalprice"))).alias("t"), F.max(F.to_date("o_orderdate")).alias("m"), (F.sum((F.col("o_orderstatus") == "F").cast("int")) / F.count("*")).alias("f"))
         return M.display_rows(o, "customer", {"Orders": F.col("n").cast("string"), "Total": fmt("t", "$#,0"), "Last Order": fmt("m", "dd-MMM-yyyy"), "Finished": F.when(F.col("f") > 0, fmt("f", "0.0%"))})
 
+    @reg.add("""WITH a AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'SERV_GP' ELSE 'MECH_GP' END AS source, CAST(300 + p_partkey % 600 AS VARCHAR) AS a, CAST(10 + p_size AS VARCHAR) AS b, CAST(100 + p_partkey % 877 AS VARCHAR) AS c FROM part), k AS (SELECT *, CAST(floor(CAST(a AS INTEGER) / 100.0) * 100 AS INTEGER) AS h FROM a),
+      t AS (SELECT *, CASE h WHEN 300 THEN CASE WHEN a IN ('330', '331', '332') THEN 'REVENUE' ELSE 'COST OF SALES' END WHEN 500 THEN 'OPERATIONS EXPENSE' WHEN 600 THEN 'SALES EXPENSE' WHEN 700 THEN 'G&A EXPENSE' WHEN 800 THEN 'OTHER INCOME & EXPENSE' ELSE 'BROKEN' END AS kind FROM k)
+      SELECT p_partkey, kind, CASE WHEN kind = 'COST OF SALES' THEN CASE right(c, 1) WHEN '2' THEN 'EQUIPMENT & MATERIAL' WHEN '3' THEN 'LABOR' WHEN '9' THEN 'BURDEN' WHEN '7' THEN 'SUBCONTRACT' WHEN '0' THEN 'DISCOUNTS' WHEN '6' THEN 'VEHICLE EXPENSE' WHEN '8' THEN 'TAX EXPENSE' END END AS category,
+        CASE WHEN source = 'SERV_GP' THEN CASE WHEN left(a, 1) = '3' AND left(c, 1) = '4' THEN 'CERTIFIED' WHEN left(a, 1) = '3' AND left(c, 1) = '7' THEN 'INSPECTION' WHEN left(a, 1) = '3' AND left(c, 1) = '8' THEN 'PROJECT REPAIR'
+            WHEN left(a, 1) = '3' AND left(c, 1) = '6' THEN CASE WHEN right(a, 1) = '5' OR right(b, 1) = '5' THEN 'INTERCOMPANY SPOT' WHEN right(b, 1) = '7' THEN 'O&M SPOT' ELSE 'SPOT' END
+            WHEN left(c, 1) = '3' THEN CASE WHEN right(b, 1) = '7' THEN 'O&M' WHEN left(a, 1) = '3' THEN 'ASSURED' ELSE 'A' END WHEN left(c, 1) = '5' THEN CASE WHEN right(b, 1) = '7' THEN 'O&M PROJECTS' ELSE 'PROJECTS' END END
+          WHEN left(a, 1) = '3' THEN CASE right(b, 1) WHEN '0' THEN 'CONTROLS' WHEN '1' THEN 'DESIGN BUILD' WHEN '2' THEN 'INDUSTRIAL' WHEN '3' THEN 'PERFORMANCE CONTRACT' WHEN '4' THEN 'PLAN SPEC' WHEN '5' THEN 'SPECIAL PROJECT' END END AS market FROM t""")
+    def b16_account_classes(spark: SparkSession, d: str) -> DataFrame:
+        """Type, cost category and market from the segments of an account number."""
+        p, c = table(spark, d, "part"), F.col
+        a = p.select("p_partkey", F.when(c("p_partkey") % 3 == 0, "SERV_GP").otherwise("MECH_GP").alias("source"), (300 + c("p_partkey") % 600).cast("string").alias("a"), (10 + c("p_size")).cast("string").alias("b"), (100 + c("p_partkey") % 877).cast("string").alias("c"))
+        return a.select("p_partkey", L.account_type(c("a")).alias("kind"), L.cost_category(L.account_type(c("a")), c("c")).alias("category"), L.market(c("source"), c("a"), c("b"), c("c")).alias("market"))
+
+    @reg.add(f"""WITH {SALES}, y AS (SELECT segment, {fy()} AS year, CAST(sum(revenue) AS DOUBLE) AS v, CAST(sum(cost) AS DOUBLE) AS w FROM s GROUP BY ALL), m AS (SELECT *, max(greatest(v, w)) OVER (PARTITION BY segment) AS top, sum(v) OVER (PARTITION BY segment ORDER BY year) AS bar_end FROM y), x AS (SELECT *, ceil(top / pow(10, floor(log10(top)))) * pow(10, floor(log10(top))) AS axis FROM m)
+      SELECT segment, CAST(year AS INTEGER) AS year, axis, round(v - w, 2) AS change, round((v - w) / w, 6) AS change_pct, v - w >= 0 AS favourable, round(v / axis * 120, 6) AS bar, round(w / axis * 120, 6) AS base_bar, round(bar_end, 2) AS bar_end, round(bar_end - v, 2) AS bar_start FROM x""")
+    def chart_variance_waterfall(spark: SparkSession, d: str) -> DataFrame:
+        """Bars, variances and waterfall positions on a round scale per group."""
+        y = sales(spark, d).groupBy("segment", fiscal_year("d").alias("year")).agg(F.sum("revenue").cast("double").alias("v"), F.sum("cost").cast("double").alias("w"))
+        out = charts.waterfall_positions(charts.scaled_variance(y, ["segment"], "v", "w", 120), ["segment"], "year", "v").drop("v", "w")
+        return rounded(out.withColumns({c: F.round(c, 2) for c in ("change", "bar_end", "bar_start")}), "change_pct", "bar", "base_bar")
+
+    @reg.add(f"WITH {SALES}, t AS (SELECT segment, CAST(sum(revenue) AS DOUBLE) AS v FROM s GROUP BY 1), p AS (SELECT segment, v / sum(v) OVER () AS share FROM t) SELECT segment, round(share, 6) AS share, round(sin(2 * pi() * share), 6) AS x, round(-cos(2 * pi() * share), 6) AS y, share > 0.5 AS long FROM p")
+    def chart_pie(spark: SparkSession, d: str) -> DataFrame:
+        """Arcs of a pie by share of the total."""
+        t = sales(spark, d).groupBy("segment").agg(F.sum("revenue").cast("double").alias("v"))
+        whole = t.agg(F.sum("v").alias("whole"))
+        share = t.crossJoin(whole).select("segment", (F.col("v") / F.col("whole")).alias("share"))  # one row
+        return rounded(share.withColumns(charts.pie(F.col("share"))), "share", "x", "y")
+
     @reg.add(f"WITH {SALES}, t AS (SELECT segment, CAST(sum(revenue) AS DOUBLE) AS v FROM s GROUP BY 1) SELECT segment, round(v, 4) AS v, ceil(v / pow(10, floor(log10(v)))) * pow(10, floor(log10(v))) AS axis FROM t")
     def chart_axis(spark: SparkSession, d: str) -> DataFrame:
         """Round axis maxima for charts."""

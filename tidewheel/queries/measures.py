@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidewheel.functions import divide
 from tidewheel.plans.context import Context
 from tidewheel.plans.measure import Derived, Iterate, Leaf, With, query, ranked, share
-from tidewheel.plans.timeint import Clock
+from tidewheel.plans.model import Model, Relationship
+from tidewheel.plans.timeint import Clock, anchor, last_date
 from tidewheel.queries.base import ANCHOR, AS_OF, SALES, Registry, double, fy, ratio, rounded, star
 from tidewheel.sources import choices, literal
 
@@ -117,6 +118,34 @@ def register(reg: Registry) -> None:
         a, r = {"l_returnflag": "l_returnflag = 'A'"}, {"l_returnflag": "l_returnflag = 'R'"}
         return rounded(query(star(spark, d), ["c_mktsegment"], {"routed": With(REVENUE, set=a) + (With(REVENUE, set=r) - With(COST, set=r))}))
 
+    @reg.add(f"WITH {SALES} SELECT segment AS c_mktsegment, {double('sum(revenue)', 'revenue')}, count(*) AS n FROM s WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 45 AND p_type = 'PROMO') GROUP BY 1")
+    def both_ways_filter(spark: SparkSession, d: str) -> DataFrame:
+        """A filter on a table on the many side of a dimension comes back over a both-ways edge, as a set of keys."""
+        base = star(spark, d)
+        part = base.tables["part"]
+        bridge = part.select(F.col("p_partkey").alias("b_part"), F.col("p_size").alias("b_size"), F.col("p_type").alias("b_type"))
+        model = Model({**base.tables, "bridge": bridge}, [*base.relationships, Relationship("bridge", "b_part", "part", "p_partkey", both=True)], calendar="calendar")
+        m = {k: With(v, keep={"b_size": "b_size > 45 AND b_type = 'PROMO'"}) for k, v in {"revenue": REVENUE, "n": LINES}.items()}
+        return rounded(query(model, ["c_mktsegment"], m))
+
+    @reg.add(f"""WITH {SALES}, a AS (SELECT last_day(max(d)) AS anchor FROM s WHERE revenue <> 0 AND d < DATE '2001-08-01') SELECT segment AS c_mktsegment, {double('sum(revenue)', 'revenue')} FROM s, a WHERE d > anchor - INTERVAL 1 MONTH AND d <= anchor AND date_trunc('month', d) = date_trunc('month', anchor) GROUP BY 1""")
+    def anchored_month(spark: SparkSession, d: str) -> DataFrame:
+        """The month of the last non-zero amount before the current one; the anchor ignores all filters and is a constant."""
+        model = star(spark, d)
+        last = last_date(model.tables["line"], "l_shipdate", "revenue <> 0 AND l_shipdate < TIMESTAMP '2001-08-01'")
+        end = anchor(last)
+        return rounded(query(model, ["c_mktsegment"], {"revenue": With(REVENUE, set={"date": f"month_end = date'{end}'"})}))
+
+    @reg.add(f"""WITH {SALES}, m AS (SELECT segment, (year(d) - 1995) * 12 + month(d) AS i, sum(revenue) AS r FROM s GROUP BY ALL), n AS (SELECT (2001 - 1995) * 12 + 8 AS n)
+      SELECT segment AS c_mktsegment, {double('sum(r) FILTER (WHERE i = n)', 'this_month')}, {double('sum(r) FILTER (WHERE i = n - 1)', 'last_month')}, {double('sum(r) FILTER (WHERE i < n)', 'before')}, {double('sum(r) FILTER (WHERE i BETWEEN n - 12 AND n - 1)', 'twelve')}, {ratio('sum(r) FILTER (WHERE i BETWEEN n - 6 AND n - 1)', '6', 'six_average')} FROM m, n GROUP BY 1""")
+    def month_index_windows(spark: SparkSession, d: str) -> DataFrame:
+        """This month, the last, all before, twelve and the average of six, by a running month index."""
+        n = (AS_OF.year - 1995) * 12 + AS_OF.month
+        window = lambda sql: With(REVENUE, set={"month_index": sql})
+        six = Derived({"v": window(f"month_index BETWEEN {n - 6} AND {n - 1}")}, lambda v: v.cast("double") / 6)
+        m = {"this_month": window(f"month_index = {n}"), "last_month": window(f"month_index = {n - 1}"), "before": window(f"month_index < {n}"), "twelve": window(f"month_index BETWEEN {n - 12} AND {n - 1}"), "six_average": six}
+        return rounded(query(star(spark, d), ["c_mktsegment"], m), "six_average")
+
     @reg.add(f"""WITH {SALES}, m AS (SELECT {fy()} AS fiscal_year, (month(d) + 2) % 12 + 1 AS fiscal_month, sum(revenue) AS revenue FROM s WHERE d < DATE '2001-08-01' GROUP BY ALL)
       SELECT CAST(fiscal_year AS INTEGER) AS fiscal_year, fiscal_month, {double('revenue', 'revenue')}, {double('sum(revenue) OVER (PARTITION BY fiscal_year ORDER BY fiscal_month)', 'cumulative')} FROM m""")
     def cumulative_in_year(spark: SparkSession, d: str) -> DataFrame:

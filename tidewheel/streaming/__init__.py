@@ -1 +1 @@
-
+"""Incremental processing."""
