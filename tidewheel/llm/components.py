@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 
 from tidewheel.llm.shared import forget, written
 
+#: Parts that a node's edges are dealt out to when they meet its smallest neighbour.
+SALT = 8
+
+
+def _beside(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges (u, v) with m of least (u, m). A node with very many edges doesn't meet in one task."""
+    dealt = edges.withColumn("_salt", F.pmod(F.xxhash64("v"), F.lit(SALT)).cast("int"))
+    return dealt.join(least.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))), ["u", "_salt"])
+
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of edges (a, b: bigint); root is the smallest node that it is linked with.
@@ -20,9 +29,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
+        large = _beside(both.filter("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
         below = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(below, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").unionByName(below.select("u", F.col("m").alias("v"))).distinct()
+        small = _beside(large, below).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").unionByName(below.select("u", F.col("m").alias("v"))).distinct()
         new = written(small)
         now = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         forget(e)

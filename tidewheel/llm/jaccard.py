@@ -184,8 +184,9 @@ def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return written(docs.select("doc_id", "text").mapInArrow(sketched, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n int, set_hash binary, prefix array<bigint>, n_late int"))
 
 
-def _candidates(rows: DataFrame) -> DataFrame:
-    """Edges (a, b) such that rows 80 % alike are in one component; rows: rep, n, prefix, n_late, a class each."""
+def _candidates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges (a, b) such that rows 80 % alike are in one component, and the written table that they are made of;
+    rows: rep, n, prefix, n_late, a class each."""
     at = F.posexplode("prefix").alias("pos", "shingle")
     dealt = rows.select("rep", "n", (F.size("prefix") - F.col("n_late")).alias("early"), at)
     late = F.col("pos") >= F.col("early")
@@ -205,7 +206,8 @@ def _candidates(rows: DataFrame) -> DataFrame:
     stars = dense.groupBy(F.col("first").alias("a"), F.col("rep").alias("b")).agg(F.lit(1)).select("a", "b")
     firsts = dense.filter("salt > 0").groupBy("shingle", "first").agg(F.lit(1)).groupBy("shingle").agg(F.min("first").alias("least"))
     joined = dense.filter("salt > 0").groupBy("shingle", F.col("first").alias("b")).agg(F.lit(1)).join(firsts, "shingle").select(F.col("least").alias("a"), "b")
-    return pairs.select(F.col("rep").alias("a"), F.col("other").alias("b")).unionByName(stars).unionByName(joined.distinct()).filter("a <> b")
+    edges = pairs.select(F.col("rep").alias("a"), F.col("other").alias("b")).unionByName(stars).unionByName(joined.distinct())
+    return edges.filter("a <> b"), shared
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -269,7 +271,7 @@ def overlaps(ids: np.ndarray, sides: np.ndarray, flat: np.ndarray, sizes: np.nda
 
 
 def _links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Edges (a, b) of a spanning forest of all links; groups: node, root of the candidate components."""
+    """Edges (a, b) of a spanning forest of all links, as a written table; groups: node, root of the candidate components."""
     members = written(groups.join(rows.select(F.col("rep").alias("node"), "n"), "node"))
     total = members.groupBy("root").agg(F.sum("n").alias("total"))
     large = total.filter(F.col("total") > BLOCK).select("root", F.ceil(F.col("total") / BLOCK).cast("int").alias("parts"))
@@ -295,7 +297,9 @@ def _links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
         return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
     texts = _texts(docs, members.select(F.col("node").alias("rep")))
-    return placed.join(texts, "rep").groupBy("block", "parts", "i", "j").applyInArrow(product, "a bigint, b bigint")
+    out = written(placed.join(texts, "rep").groupBy("block", "parts", "i", "j").applyInArrow(product, "a bigint, b bigint"))
+    forget(members)
+    return out
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -311,9 +315,12 @@ def groups(docs: DataFrame) -> DataFrame:
     filled = sketches.filter("n > 0")
     classes = filled.groupBy("set_hash").agg(F.min("doc_id").cast("bigint").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("n_late").alias("n_late"))
     rows = written(classes.filter("rep is not null"))
-    candidates = components(_candidates(rows))
-    links = written(_links(docs, rows, candidates))
+    edges, shared = _candidates(rows)
+    candidates = components(edges)
+    forget(shared)
+    links = _links(docs, rows, candidates)
     roots = components(links)
+    forget(links)
     named = rows.select("set_hash", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("set_hash", F.coalesce("root", "rep").alias("component_id"))
     out = sketches.select("doc_id", "n", "set_hash").join(named, "set_hash", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", F.col("doc_id").cast("bigint")).alias("component_id"))
