@@ -165,10 +165,10 @@ def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -
 
 
 def fit(rows: DataFrame, sample: int = SAMPLE) -> Index | None:
-    """An index fitted on about `sample` rows; None if there is no row."""
+    """An index fitted on about `sample` rows (equal ones count once); None if there is no row."""
     n = rows.count()
-    drawn = rows if n <= sample else rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int((1 << 30) * sample / n))
-    table = drawn.select("vec_id", "vector").toArrow().sort_by("vec_id")
+    drawn = rows if n <= sample else rows.filter(F.pmod(F.xxhash64("vec_id", "vector"), F.lit(1 << 30)) < int((1 << 30) * sample / n))
+    table = drawn.select("vec_id", "vector").distinct().toArrow().sort_by("vec_id")
     if not len(table):
         return None
     return Index.fit(matrix(table.column("vector").combine_chunks()), max(1, min(n // LIST_SIZE, MAX_LISTS)))

@@ -113,7 +113,7 @@ class KernelRidge:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> KernelRidge:
     """Learns from text and non-null lang of rows whose crc32(doc_id) mod 4 is not 2.
 
-    Rows without a text or a letter teach nothing; repeated rows count as often as they are there.
+    Rows without a text or a letter teach nothing; equal rows count once.
     Without any row to learn from, every prediction is `und`.
     """
     spark = docs.sparkSession
@@ -121,12 +121,12 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
     counts = usable.groupBy("lang").count()
     draw = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) * F.col("count") / (1 << 30)
     drawn = usable.select("doc_id", "lang").join(counts, "lang").withColumn("draw", draw).filter(F.col("draw") < per_language).drop("count")
-    drawn = [tuple(r) for r in drawn.select("doc_id", "lang", "draw").collect()]  # about per_language rows of each language
+    drawn = [tuple(r) for r in drawn.select("doc_id", "lang", "draw").distinct().collect()]  # about per_language rows of each language
     if not drawn:
         return KernelRidge([], Landmarks([]), np.zeros((0, 0)), np.zeros(0))
-    ids = F.broadcast(spark.createDataFrame(drawn, "doc_id bigint, lang string, draw double").dropDuplicates())
+    ids = F.broadcast(spark.createDataFrame(drawn, "doc_id bigint, lang string, draw double"))
     sample = usable.join(ids, ["doc_id", "lang"])
-    marks = [r for r in sample.filter(F.col("draw") < landmarks).select("doc_id", "lang", "text").collect() if _LETTERS.search(r.text)]
+    marks = [r for r in sample.filter(F.col("draw") < landmarks).select("doc_id", "lang", "text").distinct().collect() if _LETTERS.search(r.text)]
     marks.sort(key=lambda r: (r.lang, r.doc_id, r.text))
     if not marks:
         return KernelRidge([], Landmarks([]), np.zeros((0, 0)), np.zeros(0))
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
         parts = [shared.value.kernel([t.as_py() for t in texts[at : at + BATCH]]) for at in range(0, len(texts), BATCH)]
         return pa.array([row for p in parts for row in p], pa.list_(pa.float32()))
 
-    got = [r for r in sample.filter(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", rows_of("text").alias("k")).collect()]
+    got = sample.filter(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", rows_of("text").alias("k")).distinct().collect()
     got.sort(key=lambda r: (r.lang, r.doc_id, r.k))
     rows = np.array([r.k for r in got], np.float64).reshape(len(got), len(marks))
     return KernelRidge.fit(built, built.kernel([r.text for r in marks]).astype(np.float64), rows, [r.lang for r in got])
