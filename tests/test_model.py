@@ -107,3 +107,10 @@ def test_duplicate_columns_are_refused(spark):
     a = spark.range(1)
     with pytest.raises(ValueError):
         Model({"a": a, "b": a}, [])
+
+
+def test_ranks_in_ranges(spark):
+    rows = [(k, float(k * 37 % 501 // 2)) for k in range(1500)]
+    want = {v: i + 1 for i, v in enumerate(sorted({v for _, v in rows}, reverse=True))}
+    got = ranked(spark.createDataFrame(rows, "k int, v double"), "v", parts=7).collect()
+    assert len(got) == 1500 and all(r["rank"] == want[r.v] for r in got)

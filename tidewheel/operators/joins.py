@@ -28,9 +28,9 @@ def lookup(rows: DataFrame, other: DataFrame, on: dict[str, str], take: dict[str
     a key stays (by default the smallest of all taken columns).
     """
     keys = list(on.values())
-    slim = other.select(*{*keys, *take.values(), *(order or [])})
-    slim = first_per_key(slim, keys, [*(order or []), *take.values()])
-    slim = slim.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), *(F.col(c).alias(n) for n, c in take.items()))
+    row = F.struct(*(F.col(c).alias(f"_o{i}") for i, c in enumerate(order or [])), *(F.col(c).alias(n) for n, c in take.items()))
+    slim = other.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))).agg(F.min(row).alias("_row"))
+    slim = slim.select(*(f"_k{i}" for i in range(len(keys))), *(F.col(f"_row.{n}").alias(n) for n in take))
     cond = reduce(lambda a, b: a & b, (F.col(c) == F.col(f"_k{i}") for i, c in enumerate(on)))
     return rows.join(slim, cond, "left").drop(*(f"_k{i}" for i in range(len(keys))))
 

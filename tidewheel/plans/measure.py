@@ -252,24 +252,27 @@ def share(measure: Measure, *axes: str) -> Measure:
     return measure / With(measure, remove=axes)
 
 
-def ranked(rows: DataFrame, by: str, within: tuple[str, ...] = (), name: str = "rank", top: int | None = None) -> DataFrame:
+def ranked(rows: DataFrame, by: str, within: tuple[str, ...] = (), name: str = "rank", top: int | None = None, parts: int = 64) -> DataFrame:
     """Adds the dense rank of by (descending) among rows where it isn't blank; top keeps ranks up to it.
 
-    Without `within` the rank is made in two steps, so that no task sorts all rows: the distinct values
-    are ranked, then joined back.
+    Without `within` no task sorts all rows: the distinct values are cut into `parts` ranges at approximate
+    quantiles, ranked within each and moved on by how many values the ranges above hold. For a top only the
+    largest values are ranked.
     """
     rows = rows.filter(F.col(by).isNotNull())
     if within:
         out = rows.withColumn(name, F.dense_rank().over(Window.partitionBy(*within).orderBy(F.desc(by))))
-    elif top is not None:
-        values = rows.select(by).distinct().orderBy(F.desc(by)).limit(top)
-        place = values.withColumn(name, F.row_number().over(Window.orderBy(F.desc(by))))
+        return out if top is None else out.filter(F.col(name) <= top)
+    values = rows.select(by).distinct()
+    if top is not None:
+        best = values.orderBy(F.desc(by)).limit(top)
+        place = best.withColumn(name, F.row_number().over(Window.orderBy(F.desc(by))))  # `top` rows
         return rows.join(F.broadcast(place), by).select(*rows.columns, name)
-    else:
-        values = rows.select(by).distinct()
-        parts = values.repartitionByRange(F.desc(by)).withColumn("_part", F.spark_partition_id())
-        sizes = parts.groupBy("_part").count().withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
-        place = parts.withColumn("_own", F.row_number().over(Window.partitionBy("_part").orderBy(F.desc(by)))).join(F.broadcast(sizes), "_part")
-        place = place.select(by, (F.col("_own") + F.col("_before")).cast("int").alias(name))
-        return rows.join(place, by).select(*rows.columns, name)
-    return out if top is None else out.filter(F.col(name) <= top)
+    key = F.col(by).cast("double")
+    cuts = sorted(set(values.select(key.alias("v")).approxQuantile("v", [k / parts for k in range(1, parts)], 0.002)))
+    above = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c > key)) if cuts else F.lit(0)
+    cut = values.withColumn("_range", above)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))  # a row per range
+    place = cut.withColumn("_own", F.row_number().over(Window.partitionBy("_range").orderBy(F.desc(by)))).join(F.broadcast(sizes), "_range")
+    return rows.join(place.select(by, (F.col("_own") + F.col("_before")).cast("int").alias(name)), by).select(*rows.columns, name)
