@@ -175,6 +175,10 @@ class _Compiler:
         common = frozenset.intersection(*(plain for _, _, plain in slots))
         for p in sorted(common):
             base = base.filter(p)
+        own = {plain - common for _, _, plain in slots}
+        if all(own):  # rows that no aggregate sees, as those outside of all windows, needn't come this far
+            both = lambda ps: reduce(lambda a, b: a & b, map(F.expr, sorted(ps)))
+            base = base.filter(reduce(lambda a, b: a | b, map(both, own)))
         aggs = []
         for (agg, expr, plain), name in slots.items():
             value = F.expr(expr)

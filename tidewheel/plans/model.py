@@ -14,7 +14,8 @@ class Relationship:
     """Many-to-one edge: filters flow from the one side to the many side, with both also back.
 
     An inactive edge is used only where a measure names its many-side column. date_part compares
-    the day of a timestamp.
+    the day of a timestamp. total says that the one side has every key of the many side (a generated
+    calendar does): where only that key is asked for, it is taken from the fact and nothing is joined.
     """
 
     many: str
@@ -24,6 +25,7 @@ class Relationship:
     active: bool = True
     both: bool = False
     date_part: bool = False
+    total: bool = False
 
 
 class Model:
@@ -71,12 +73,16 @@ class Model:
         ends = {r.one_column for r in edges} | {r.many_column for r in edges}
         keep = lambda t: [c for c in self.tables[t].columns if c in columns or c in ends]
         out = self.tables[fact].select(*keep(fact))
+        leads = {r.many for r in edges}
         for r in sorted(edges, key=lambda r: len(self.path(fact, r.one, use) or [])):
             key = F.col(r.many_column)
             if r.date_part:
                 key = F.to_date(key)
             if shift and r.one == self.calendar:
                 key = F.add_months(key, shift)
+            if r.total and r.one not in leads and not columns & set(self.tables[r.one].columns) - {r.one_column}:
+                out = out.withColumn(r.one_column, key)
+                continue
             dim = self.tables[r.one].select(*keep(r.one))
             out = out.join(dim, key == dim[r.one_column], "left")
         return out

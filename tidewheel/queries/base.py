@@ -97,17 +97,15 @@ def rounded(df: DataFrame, *ratios: str) -> DataFrame:
 
 
 def star(spark: SparkSession, sf_dir: str) -> Model:
-    """Lines (with revenue and cost) to orders, customers, nations, regions, parts, suppliers and the calendar; the
+    """Lines (with revenue) to orders, customers, nations, regions, parts, suppliers and the calendar; the
     calendar also by order date, inactive; brands filter back over parts."""
     part = table(spark, sf_dir, "part")
     line = table(spark, sf_dir, "lineitem").withColumn("revenue", F.expr(REVENUE))
-    price = part.select(F.col("p_partkey").alias("_p"), "p_retailprice")
-    line = line.join(price, line.l_partkey == price["_p"], "left").withColumn("cost", F.expr(COST)).drop("_p", "p_retailprice")
     calendar = fiscal_calendar(spark, FIRST, LAST, AS_OF)
     tables = {"line": line, "orders": table(spark, sf_dir, "orders"), "customer": table(spark, sf_dir, "customer"), "nation": table(spark, sf_dir, "nation"), "region": table(spark, sf_dir, "region"), "part": part, "supplier": table(spark, sf_dir, "supplier"), "calendar": calendar}
     edges = [
         Relationship("line", "l_orderkey", "orders", "o_orderkey"), Relationship("orders", "o_custkey", "customer", "c_custkey"), Relationship("customer", "c_nationkey", "nation", "n_nationkey"), Relationship("nation", "n_regionkey", "region", "r_regionkey"),
-        Relationship("line", "l_partkey", "part", "p_partkey"), Relationship("line", "l_suppkey", "supplier", "s_suppkey"), Relationship("line", "l_shipdate", "calendar", "date", date_part=True),
-        Relationship("orders", "o_orderdate", "calendar", "date", active=False, date_part=True),
+        Relationship("line", "l_partkey", "part", "p_partkey"), Relationship("line", "l_suppkey", "supplier", "s_suppkey"), Relationship("line", "l_shipdate", "calendar", "date", date_part=True, total=True),
+        Relationship("orders", "o_orderdate", "calendar", "date", active=False, date_part=True, total=True),
     ]
     return Model(tables, edges, calendar="calendar", sort_by={"month_label": "month_start"})

@@ -12,10 +12,12 @@ from tidewheel.plans.context import Context
 from tidewheel.plans.measure import Derived, Iterate, Leaf, With, query, ranked, share
 from tidewheel.plans.model import Model, Relationship
 from tidewheel.plans.timeint import Clock, anchor, last_date
-from tidewheel.queries.base import ANCHOR, AS_OF, SALES, Registry, double, fy, ratio, rounded, star
+from tidewheel.queries.base import ANCHOR, AS_OF
+from tidewheel.queries.base import COST as COST_OF_LINE
+from tidewheel.queries.base import SALES, Registry, double, fy, ratio, rounded, star
 from tidewheel.sources import choices, literal
 
-REVENUE, COST, LINES = Leaf("line", "sum", "revenue"), Leaf("line", "sum", "cost"), Leaf("line", "count")
+REVENUE, COST, LINES = Leaf("line", "sum", "revenue"), Leaf("line", "sum", COST_OF_LINE), Leaf("line", "count")
 COMPLETED = {"completed_month": "completed_month"}
 CLOCK = Clock("date", AS_OF)
 REGION = f"WITH {SALES}, g AS (SELECT s.*, n_name, r_name FROM s JOIN nation ON nation = n_nationkey JOIN region ON n_regionkey = r_regionkey)"
