@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.shared import written
+from tidewheel.llm.shared import broadcast, written
 
 #: Vectors in the sample that the index is fitted on (about: the hash decides), and the lists it may have.
 SAMPLE, MAX_LISTS = 20_000, 4096
@@ -176,7 +176,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> Index | None:
 
 def postings(rows: DataFrame, index: Index) -> DataFrame:
     """The index itself, as a written table: list, vec_id, vector; every row in one list at least."""
-    shared = rows.sparkSession.sparkContext.broadcast(index)
+    shared = broadcast(rows.sparkSession, index)
 
     def entered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -190,7 +190,7 @@ def postings(rows: DataFrame, index: Index) -> DataFrame:
 
 
 def _visits(queries: DataFrame, index: Index, at_least: int) -> DataFrame:
-    shared = queries.sparkSession.sparkContext.broadcast(index)
+    shared = broadcast(queries.sparkSession, index)
 
     def visited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

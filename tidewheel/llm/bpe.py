@@ -13,6 +13,7 @@ nothing is shuffled and a lost task is simply run again.
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -23,6 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewheel.llm.shared import broadcast
+
 #: Characters of text that a worker splits at a time; bounds the memory for pre-tokens.
 SLICE_CHARS = 1 << 20
 #: Distinct pre-tokens that a worker remembers before it starts anew.
@@ -208,7 +211,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str =
     Null and empty texts have no ids. Rows are independent: repeated rows, other columns and
     an empty table pass as they are. A column named out is replaced.
     """
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = broadcast(df.sparkSession, vocabulary)
 
     @F.arrow_udf("array<int>")
     def ids_of(texts: pa.Array) -> pa.Array:
@@ -220,7 +223,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str =
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds the bytes that column ids stands for. Null: no bytes. Ids that the vocabulary
     lacks become the replacement character. A column named out is replaced."""
-    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = broadcast(df.sparkSession, vocabulary)
 
     @F.arrow_udf("binary")
     def bytes_of(rows: pa.Array) -> pa.Array:
@@ -235,15 +238,18 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "
 def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Encodes documents and decodes the ids, in one pass. Returns doc_id, ids and decoded as encode()
     and decode() define them; other columns go, so none can clash."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    kind = [pa.field("ids", pa.list_(pa.int32())), pa.field("decoded", pa.binary())]
-
-    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
-    def both(texts: pa.Array) -> pa.Array:
-        ids, offsets = shared.value.encode_column(texts)
-        return pa.StructArray.from_arrays([_lists(ids, offsets), pa.array(shared.value.decode(ids, offsets), pa.binary())], fields=kind)
-
-    return docs.select("doc_id", both("text").alias("_both")).select("doc_id", "_both.ids", "_both.decoded")
+    shared = broadcast(docs.sparkSession, vocabulary)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, len(b), 256):  # so that few results wait in memory
+                part = b.slice(at, 256)
+                ids, offsets = shared.value.encode_column(part.column(1))
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids, offsets), pa.array(shared.value.decode(ids, offsets), pa.binary())], ["doc_id", "ids", "decoded"])
+            pa.default_memory_pool().release_unused()
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(both, f"doc_id {kind}, ids array<int>, decoded binary")
 
 
 def digests(rows: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.llm.shared import broadcast
+
 #: Characters of item texts in one automaton; bounds what the driver holds and broadcasts at a time.
 BLOCK_CHARS = 4_000_000
 
@@ -181,7 +183,7 @@ def _blocks(items: DataFrame, window: int, block_chars: int):
 
 
 def _matches(docs: DataFrame, automaton: ItemAutomaton):
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
+    shared = broadcast(docs.sparkSession, automaton)
 
     @F.arrow_udf(_FOUND)
     def found(texts: pa.Array) -> pa.Array:

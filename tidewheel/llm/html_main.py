@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.llm.shared import broadcast
+
 #: Composed pages that a field is trained on.
 TRAINING_PAGES = 500
 
@@ -387,7 +389,7 @@ def main_text(page: str | None, field: Field) -> str:
 def extract(pages: DataFrame, field: Field, source: str = "html", out: str = "text") -> DataFrame:
     """Adds the main text of the whole page in column source. Null and empty pages, and pages without a main
     block, have an empty text. Rows stand alone; a column named out is replaced, all others pass."""
-    shared = pages.sparkSession.sparkContext.broadcast(field)
+    shared = broadcast(pages.sparkSession, field)
 
     @F.arrow_udf("string")
     def text_of(rows: pa.Array) -> pa.Array:

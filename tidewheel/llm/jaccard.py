@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.components import components
-from tidewheel.llm.shared import forget, written
+from tidewheel.llm.shared import broadcast, forget, ship, written
 
 WORDS = 5
 #: Rows that a shingle may have for its pairs to be listed one by one.
@@ -146,7 +146,9 @@ def _frequent(docs: DataFrame, least: int) -> np.ndarray:
                     waiting, size = [], 0
         if waiting:
             yield counts()
+        pa.default_memory_pool().release_unused()
 
+    ship(docs.sparkSession)
     found = written(docs.select("text").mapInArrow(counted, "shingle bigint, n int").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") > least))
     n = found.count()
     if n > FREQUENT:  # the count that about FREQUENT of them reach
@@ -156,7 +158,7 @@ def _frequent(docs: DataFrame, least: int) -> np.ndarray:
 
 def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """doc_id, n, set_hash (of the whole set), prefix (shingles) and n_late, how many of these are frequent."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    shared = broadcast(docs.sparkSession, frequent)
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = shared.value
@@ -180,6 +182,7 @@ def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         lates.append(0)
                     prefixes.append(s.view(np.int64))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(lates, pa.int32())], ["doc_id", "n", "set_hash", "prefix", "n_late"])
+            pa.default_memory_pool().release_unused()
 
     return written(docs.select("doc_id", "text").mapInArrow(sketched, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n int, set_hash binary, prefix array<bigint>, n_late int"))
 
@@ -220,7 +223,7 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     table = np.zeros((bits >> 15, 4096), np.uint8)
     for r in rows:
         table[r.k - 1] = np.frombuffer(r.bits, np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(table.ravel())
+    shared = broadcast(docs.sparkSession, table.ravel())
 
     @F.arrow_udf("boolean")
     def maybe(places: pa.Array) -> pa.Array:

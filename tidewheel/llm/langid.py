@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.quality import remainder
+from tidewheel.llm.shared import broadcast
 
 #: Rows of each language that a fit learns from, and of these the landmarks (about: the hash decides).
 PER_LANGUAGE, LANDMARKS = 400, 24
@@ -131,7 +132,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
     if not marks:
         return KernelRidge([], Landmarks([]), np.zeros((0, 0)), np.zeros(0))
     built = Landmarks([r.text for r in marks])
-    shared = spark.sparkContext.broadcast(built)
+    shared = broadcast(spark, built)
 
     @F.arrow_udf("array<float>")
     def rows_of(texts: pa.Array) -> pa.Array:
@@ -150,7 +151,7 @@ def identify(docs: DataFrame, model: KernelRidge, text: str = "text") -> DataFra
     Ties go to the language first in the alphabet. Rows stand alone; columns named lang_pred or
     score are replaced, all others pass.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = broadcast(docs.sparkSession, model)
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")

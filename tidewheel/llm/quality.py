@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.llm.shared import broadcast, ship
+
 #: Labelled rows that a fit uses at most (about: the hash decides).
 SAMPLE = 20_000
 #: Opponents drawn for each row of a training sample.
@@ -116,6 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> BradleyTerr
     Ids that are null or have no document and labels that are neither take no part. Equal rows,
     of either table, count once, so one id with very many of them can't fill the sample.
     """
+    ship(docs.sparkSession)
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (remainder("doc_id", 3) != 1)).distinct()
     there = usable.count()
     if there > sample:
@@ -134,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> BradleyTerr
 def classify(docs: DataFrame, model: BradleyTerry, text: str = "text") -> DataFrame:
     """Adds score (0 to 1) and predicted (1 if score >= 0.5, else 0). Null and empty texts are scored
     as empty. Rows stand alone; columns named score or predicted are replaced, all others pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = broadcast(docs.sparkSession, model)
 
     @F.arrow_udf("double")
     def score_of(texts: pa.Array) -> pa.Array:

@@ -5,7 +5,11 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
+from typing import Any
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +29,29 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tidewheel/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Makes this package known to the Python workers of all executors, once per application: they may neither
+    share the driver's folders nor have it installed."""
+    sc, package = spark.sparkContext, Path(__file__).parents[1]
+    if getattr(sc, "_tidewheel_shipped", False) or not package.is_dir():
+        return
+    target = f"{shared_dir(spark)}/tidewheel.zip"
+    with tempfile.TemporaryDirectory() as folder:
+        with zipfile.ZipFile(path := f"{folder}/tidewheel.zip", "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f"{package.name}/{f.relative_to(package)}")
+        to = spark._jvm.org.apache.hadoop.fs.Path(target)
+        to.getFileSystem(spark._jsc.hadoopConfiguration()).copyFromLocalFile(spark._jvm.org.apache.hadoop.fs.Path(f"file://{path}"), to)
+    sc.addPyFile(target)  # executors fetch it from the shared folder
+    sc._tidewheel_shipped = True
+
+
+def broadcast(spark: SparkSession, value: Any) -> Broadcast:
+    """A value that this package's functions use on executors."""
+    ship(spark)
+    return spark.sparkContext.broadcast(value)
+
+
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     path = shared_dir(df.sparkSession)

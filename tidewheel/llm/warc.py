@@ -21,6 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewheel.llm.shared import ship
+
 ARCHIVE_BYTES = 32_000_000
 #: Bytes of payload that a reader hands over at a time.
 BATCH_BYTES = 8_000_000
@@ -149,6 +151,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                         rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, _RECORD)
 
+    ship(spark)
     archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return archives.select("content").mapInArrow(parsed, _RECORD_DDL)
 
