@@ -84,7 +84,7 @@ def test_earned_revenue(spark, actual, forecast, change, contract, earned, month
     rows = [("j", dt.date(2025, k + 1, 28), Decimal(a), Decimal(f), Decimal(c), None if contract is None else Decimal(contract)) for k, (a, f, c) in enumerate(zip(actual, forecast, change))]
     df = spark.createDataFrame(rows, "job string, month date, a decimal(18,2), f decimal(18,2), c decimal(18,2), contract decimal(18,2)")
     got = projects.earned_revenue(df, "job", "month", "a", "f", "c", "contract").orderBy("month").collect()
-    number = lambda v: None if v is None else float(v)
+    number = lambda v: None if v is None else round(v, 6)
     assert [number(r.earned) for r in got] == earned and [number(r.earned_month) for r in got] == monthly
 
 

@@ -25,7 +25,7 @@ def earned_revenue(rows: DataFrame, job: str, month: str, actual: str, forecast:
     share = divide(total(actual), base)
     share = F.when(share.isNotNull(), F.least(share, F.lit(1.0)))  # least() alone would skip a blank
     value = share * (F.col(contract) + total(change)).cast("double")
-    out = rows.withColumn("earned", F.round(value.cast("decimal(28,8)"), 4))
+    out = rows.withColumn("earned", value)
     return out.withColumn("earned_month", F.when(F.col("earned").isNotNull(), F.col("earned") - blank0(F.lag("earned").over(w))))
 
 
@@ -47,15 +47,14 @@ def recognised(rows: DataFrame, start: str, end: str, value: str, as_of: dt.date
     """Adds months (of the term), elapsed (of these, up to as_of) and recognised, the value's even share of them."""
     months = month_diff(start, end) + 1
     elapsed = F.least(F.greatest(month_diff(start, F.lit(as_of)) + 1, F.lit(0)), months)
-    return rows.withColumns({"months": months, "elapsed": elapsed, "recognised": F.round((F.col(value) / months * elapsed).cast("decimal(28,8)"), 4)})
+    return rows.withColumns({"months": months, "elapsed": elapsed, "recognised": F.col(value) / months * elapsed})
 
 
 def straight_line(rows: DataFrame, keys: list[str], date: str, amount: str) -> DataFrame:
     """The total of each key spread evenly over the months from its first to its last date."""
     total = rows.groupBy(*keys).agg(F.sum(amount).alias("total"), F.min(F.to_date(date)).alias("first"), F.max(F.to_date(date)).alias("last"))
     spread = explode_months(total, "first", "last")
-    share = F.col("total") / (month_diff("first", "last") + 1)
-    return spread.select(*keys, "month_end", F.round(share.cast("decimal(28,8)"), 4).alias("amount"))
+    return spread.select(*keys, "month_end", (F.col("total").cast("double") / (month_diff("first", "last") + 1)).alias("amount"))
 
 
 def backlog(rows: DataFrame, contract: str, revenue: str, cost: str, estimate: str, end: str, as_of: dt.date, short: float = 1.25, near: int = 2) -> DataFrame:

@@ -40,7 +40,7 @@ def jobs(spark: SparkSession, d: str) -> DataFrame:
 JOBS = f"""{SALES}, jobs AS (SELECT l_partkey, last_day(d) AS month_end, sum(cost) FILTER (WHERE l_linestatus = 'F') AS actual, sum(cost) AS forecast,
     sum(round(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)), 2)) FILTER (WHERE stream = 'R') AS change, sum(revenue) AS billed, CASE WHEN l_partkey % 3 <> 0 THEN l_partkey * 100 + 50000 END AS contract
   FROM s WHERE l_partkey % 5 = 0 GROUP BY ALL)"""
-EARNED = """e AS (SELECT *, round(CASE WHEN round(f, 2) <> 0 THEN least(CAST(a AS DOUBLE) / CAST(round(f, 2) AS DOUBLE), 1.0) * CAST(contract + x AS DOUBLE) END, 4) AS earned
+EARNED = """e AS (SELECT *, CASE WHEN round(f, 2) <> 0 THEN least(CAST(a AS DOUBLE) / CAST(round(f, 2) AS DOUBLE), 1.0) * CAST(contract + x AS DOUBLE) END AS earned
   FROM (SELECT *, sum(coalesce(actual, 0)) OVER w AS a, sum(coalesce(forecast, 0)) OVER w AS f, sum(coalesce(change, 0)) OVER w AS x FROM jobs WINDOW w AS (PARTITION BY l_partkey ORDER BY month_end)))"""
 
 
@@ -125,11 +125,11 @@ def register(reg: Registry) -> None:
         s = sales(spark, d).groupBy("segment", fiscal_year("d").alias("year")).agg(F.sum("revenue").alias("revenue"))
         return rounded(M.against_baseline(s, ["segment"], "year", "revenue", 1998), "variance_pct")
 
-    @reg.add(f"WITH {JOBS}, {EARNED} SELECT l_partkey, month_end, CAST(earned AS DOUBLE) AS earned, round(CAST(CASE WHEN earned IS NOT NULL THEN earned - coalesce(lag(earned) OVER (PARTITION BY l_partkey ORDER BY month_end), 0) END AS DOUBLE), 4) AS earned_month FROM e", dates=('month_end',))
+    @reg.add(f"WITH {JOBS}, {EARNED} SELECT l_partkey, month_end, round(earned, 4) AS earned, round(CAST(CASE WHEN earned IS NOT NULL THEN earned - coalesce(lag(earned) OVER (PARTITION BY l_partkey ORDER BY month_end), 0) END AS DOUBLE), 4) AS earned_month FROM e", dates=('month_end',))
     def b10_earned_revenue(spark: SparkSession, d: str) -> DataFrame:
         """Percent-complete revenue, cumulative and by month."""
         out = P.earned_revenue(jobs(spark, d), "l_partkey", "month_end", "actual", "forecast", "change", "contract")
-        return out.select("l_partkey", "month_end", F.col("earned").cast("double").alias("earned"), F.round(F.col("earned_month").cast("double"), 4).alias("earned_month"))
+        return out.select("l_partkey", "month_end", F.round("earned", 4).alias("earned"), F.round("earned_month", 4).alias("earned_month"))
 
     @reg.add(f"""WITH {JOBS}, j AS (SELECT l_partkey, sum(actual) AS actual, sum(forecast) AS forecast, max(contract) AS contract FROM jobs GROUP BY 1), k AS (SELECT *, round(CAST(CAST(actual AS DOUBLE) / nullif(CAST(forecast AS DOUBLE), 0) AS DECIMAL(28,10)), 4) AS share FROM j)
       SELECT l_partkey, {double('actual', 'actual')}, {double('forecast', 'forecast')}, {double('contract', 'contract')}, {double('share', 'share')}, round(CAST(contract AS DOUBLE) * CAST(share AS DOUBLE), 4) AS earned, CASE WHEN share IS NOT NULL THEN CAST(least(share, 1) AS DOUBLE) END AS complete FROM k""")
