@@ -28,7 +28,7 @@ def test_held_out_accuracy(spark):
 
 
 def test_odd_rows(spark):
-    more = [(1000, None, "en", None), (1001, "", None, None), (1002, "123 !?", "fr", None), (1003, "DER UND NICHT " * 50_000, None, None), (1003, "der und nicht", None, None), (None, "the and over thing", None, None), (1004, "日本", None, None)]
+    more = [(1000, None, "en", None), (1001, "", None, None), (1002, "123 !? ½² Ⅷ", "fr", None), (1003, "DER UND NICHT " * 50_000, None, None), (1003, "der und nicht", None, None), (None, "the and over thing", None, None), (1004, "日本", None, None)]
     df = spark.createDataFrame(rows() + more, SCHEMA)
     out = L.identified(df).collect()
     assert len(out) == 307

@@ -33,6 +33,11 @@ UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether the text has a letter (superscripts, fractions and the like are none)."""
+    return any(any(map(str.isalpha, m[0])) for m in _LETTERS.finditer(text or ""))
+
+
 def grams(text: str | None) -> list[np.ndarray]:
     """Distinct character n-grams for n = 1, 2, 3, as numbers; empty arrays if the text has no letter."""
     runs = _LETTERS.findall((text or "").lower())
@@ -105,7 +110,7 @@ class KernelRidge:
             values[np.arange(len(part)), best] = -np.inf
             lead = top - (values.max(axis=1) if len(self.languages) > 1 else -1.0)
             for t, k, x in zip(part, best.tolist(), np.clip(0.5 + lead / 4, 0, 1).tolist()):
-                letters = _LETTERS.search(t) if t else None
+                letters = has_letter(t)
                 langs.append(self.languages[k] if letters else UNDETERMINED)
                 scores.append(float(x) if letters else 0.0)
         return langs, scores
@@ -127,7 +132,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
         return KernelRidge([], Landmarks([]), np.zeros((0, 0)), np.zeros(0))
     ids = F.broadcast(spark.createDataFrame(drawn, "doc_id bigint, lang string, draw double"))
     sample = usable.join(ids, ["doc_id", "lang"])
-    marks = [r for r in sample.filter(F.col("draw") < landmarks).select("doc_id", "lang", "text").distinct().collect() if _LETTERS.search(r.text)]
+    marks = [r for r in sample.filter(F.col("draw") < landmarks).select("doc_id", "lang", "text").distinct().collect() if has_letter(r.text)]
     marks.sort(key=lambda r: (r.lang, r.doc_id, r.text))
     if not marks:
         return KernelRidge([], Landmarks([]), np.zeros((0, 0)), np.zeros(0))
