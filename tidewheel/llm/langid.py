@@ -27,6 +27,8 @@ from tidewheel.llm.shared import broadcast
 #: Rows of each language that a fit learns from, and of these the landmarks (about: the hash decides).
 PER_LANGUAGE, LANDMARKS = 400, 24
 RIDGE = 1e-2
+#: Languages up to which their counts are broadcast; more are joined by shuffle.
+LANGUAGES = 10_000
 #: Texts in one matrix product.
 BATCH = 128
 UNDETERMINED = "und"
@@ -125,6 +127,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
     spark = docs.sparkSession
     usable = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("doc_id", 4) != 2))
     counts = usable.groupBy("lang").count()
+    if counts.count() <= LANGUAGES:  # then no row of a common language has to move
+        counts = F.broadcast(counts)
     draw = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) * F.col("count") / (1 << 30)
     drawn = usable.select("doc_id", "lang").join(counts, "lang").withColumn("draw", draw).filter(F.col("draw") < per_language).drop("count")
     drawn = [tuple(r) for r in drawn.select("doc_id", "lang", "draw").distinct().collect()]  # about per_language rows of each language
