@@ -13,6 +13,7 @@ nothing is shuffled and a lost task is simply run again.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -32,6 +33,10 @@ SLICE_CHARS = 1 << 20
 MEMO = 1 << 18
 
 
+#: Links of pieces of up to so many bytes.
+_AFTER, _BEFORE = list(range(1, 257)), list(range(-1, 256))
+
+
 class PerfectHash:
     """Minimal perfect hash (hash, displace): n keys to the slots 0..n-1 without collision.
 
@@ -99,7 +104,7 @@ class Vocabulary:
         self.ids = np.fromiter(ranks.values(), np.int64, len(ranks))
         self.hash = PerfectHash(self.keys)
         self._ranks = self._pairs = self._find = self._bytes = None
-        self._memo: dict[str, tuple[int, ...]] = {}
+        self._memo: dict[str, bytes] = {}  # pre-token to its ids, as 32-bit integers
 
     def __getstate__(self):
         return self.__dict__ | {"_ranks": None, "_pairs": None, "_find": None, "_bytes": None, "_memo": {}}
@@ -114,44 +119,49 @@ class Vocabulary:
                 lines = f.read().splitlines()
         return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(None, lines))}, pattern)
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
+    def merge(self, piece: bytes) -> list[int]:
         """The second tier: linked bytes, and a heap of the merges that neighbours allow."""
         if self._ranks is None:
             self._ranks = dict(zip(self.keys, self.ids.tolist()))
             self._pairs = [self._ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
         rank, n = self._ranks.get, len(piece)
         if n == 1:
-            return (rank(piece),)
+            return [rank(piece)]
         shift = n.bit_length()
-        after, before = list(range(1, n + 1)), list(range(-1, n))  # the links; the part at i ends at after[i]
+        after, before = (_AFTER[:n], _BEFORE[: n + 1]) if n < len(_AFTER) else (list(range(1, n + 1)), list(range(-1, n)))  # the links; the part at i ends at after[i]
         pairs = self._pairs
         pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]  # rank of the part at i joined with the next one
         heap = [r << shift | i for i, r in enumerate(pair) if r >= 0]
+        left = len(heap)  # merges that are still possible; the heap also holds some that no longer are
         pair.append(-1)
         heapify(heap)
         mask = (1 << shift) - 1
-        while heap:
+        while left:
             x = heappop(heap)
             i = x & mask
             if pair[i] != x >> shift:
                 continue  # one of the two parts has been merged meanwhile
             j = after[i]
             stop = after[i] = after[j]
+            left -= 1 if pair[j] < 0 else 2
             pair[i] = pair[j] = -1
             if stop < n:
                 before[stop] = i
                 if (r := rank(piece[i : after[stop]], -1)) >= 0:
                     pair[i] = r
                     heappush(heap, r << shift | i)
+                    left += 1
             if (p := before[i]) >= 0:
-                pair[p] = r = rank(piece[p:stop], -1)
+                r = rank(piece[p:stop], -1)
+                left += (r >= 0) - (pair[p] >= 0)
+                pair[p] = r
                 if r >= 0:
                     heappush(heap, r << shift | p)
         out, i = [], 0
         while i < n:
             out.append(rank(piece[i : after[i]]))
             i = after[i]
-        return tuple(out)
+        return out
 
     def resolve(self, pieces: list[str]) -> None:
         """Enters the ids of new distinct pre-tokens in the memo: the first tier for all of them at once."""
@@ -162,7 +172,7 @@ class Vocabulary:
         hit = (at >= 0) & (self.hash.hashes[at] == hashes)
         keys, memo = self.keys, self._memo
         for p, b, k, h in zip(pieces, raw, at.tolist(), hit.tolist()):
-            memo[p] = (int(self.ids[k]),) if h and keys[k] == b else self.merge(b)
+            memo[p] = array("i", [int(self.ids[k])] if h and keys[k] == b else self.merge(b)).tobytes()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
         """The ids of all texts in one row, and how many each text has."""
@@ -181,7 +191,7 @@ class Vocabulary:
                 self.resolve(new)
             of = self._memo.__getitem__
             for pieces in found:
-                ids = np.fromiter(chain.from_iterable(map(of, pieces)), np.int32)
+                ids = np.frombuffer(b"".join(map(of, pieces)), np.int32)
                 flat.append(ids)
                 counts.append(len(ids))
             start = stop
@@ -194,11 +204,15 @@ class Vocabulary:
         return ids, np.concatenate(([0], np.cumsum([n for _, c in parts for n in c]))).astype(np.int32)
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """The bytes of the ids from each offset to the next; an id that is no entry becomes the replacement character."""
         if self._bytes is None:
-            self._bytes = dict(zip(self.ids.tolist(), self.keys))
-        of = self._bytes.get
-        unknown = "�".encode()
-        return [b"".join([of(x, unknown) for x in ids[a:b].tolist()]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            self._bytes = ["�".encode()] * (int(self.ids.max(initial=-1)) + 2)
+            for k, t in zip(self.ids.tolist(), self.keys):
+                self._bytes[k] = t
+        none = len(self._bytes) - 1
+        at = np.where((ids >= 0) & (ids < none), ids, none)
+        of = self._bytes.__getitem__
+        return [b"".join(map(of, at[a:b].tolist())) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
 
 
 def _lists(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
