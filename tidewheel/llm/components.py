@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.llm.shared import forget, written
 
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of edges (a, b: bigint); root is the smallest node that it is linked with.
 
