@@ -46,6 +46,16 @@ def test_long_texts_and_slices():
     assert p[0] != q[0]
 
 
+def test_long_text_of_wide_characters_after_a_short_one():
+    long = " ".join(f"漢語文字{k:x}列漢語文" for k in range(38_000))
+    assert len(long) < J.SLICE and len(long.encode()) > 2 * J.SLICE
+    texts = ["one two three four five six", long, None, "a b", long]
+    got = list(J.shingle_sets(texts))
+    assert [len(s) for s in got] == [len(brute_set(t)) for t in texts]
+    (alone,) = J.shingle_sets([long])
+    assert (got[1] == alone).all() and (got[4] == alone).all()
+
+
 def corpus(seed, n_groups=6, dense=40):
     rnd = random.Random(seed)
     vocabulary = [f"w{k}" for k in range(500)]

@@ -83,17 +83,17 @@ def _slices(raw: bytes) -> Iterator[bytes]:
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
     """For each whole text its set of five-word shingles, as sorted 64-bit hashes. Words are runs without ASCII
     white space, A-Z lower-cased; fewer than five words are one shingle; no word, none."""
-    start = 0
-    while start < len(texts):
-        part, size = [], 0
-        while start < len(texts) and (not part or size + len(texts[start] or "") <= SLICE):
-            part.append((texts[start] or "").encode().lower())
-            size += len(part[-1])
-            start += 1
+    raws = ((t or "").encode().lower() for t in texts)
+    following = next(raws, None)
+    while following is not None:
+        part, size = [following], len(following)
+        while (following := next(raws, None)) is not None and size + len(following) <= SLICE:
+            part.append(following)
+            size += len(following)
         if size <= 2 * SLICE:
             h, at = _word_hashes(b"\n".join(part))
             ends = np.searchsorted(at, np.cumsum([len(p) + 1 for p in part])).tolist()
-        else:  # one long text
+        else:  # one long text: a part of several has SLICE bytes at most
             found = [_word_hashes(x)[0] for x in _slices(part[0])]
             h, ends = np.concatenate(found), [sum(map(len, found))]
         n = max(len(h) - WORDS + 1, 0)
