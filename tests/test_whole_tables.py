@@ -1,0 +1,36 @@
+"""Queries over whole tables: against their SQL without the filters that kept a part of the keys."""
+
+import os
+
+import duckdb
+import pytest
+
+from tidewheel.operators import reshape
+from tidewheel.queries import REGISTRY
+
+DATA = "/root/testdata/sf0.001"
+TABLES = ("customer", "supplier", "part", "orders", "lineitem")
+CUTS = {
+    "drop_zero_rows": " WHERE l_orderkey < 40",
+}
+
+
+def plain(row):
+    return str({k: float(f"{float(v):.8g}") if isinstance(v, float) or type(v).__name__ == "Decimal" else v for k, v in sorted(row.items())})
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the test tables")
+@pytest.mark.parametrize("name", sorted(CUTS))
+def test_whole_table(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    cur = con.execute(REGISTRY.sql[name].replace(CUTS[name], ""))
+    names = [c[0] for c in cur.description]
+    want = sorted(plain(dict(zip(names, r))) for r in cur.fetchall())
+    assert sorted(plain(r.asDict()) for r in REGISTRY.queries[name](spark, DATA).collect()) == want
+
+
+def test_zero_rows_go(spark):
+    rows = spark.createDataFrame([(1, 0.0, None), (2, None, None), (3, 0.0, 2.0), (4, 1.0, None), (5, 0.0, 0.0)], "k int, q double, x double")
+    assert sorted(r.k for r in reshape.without_zero_rows(rows, "q", "x").collect()) == [3, 4]
