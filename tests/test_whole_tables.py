@@ -15,6 +15,7 @@ DATA = "/root/testdata/sf0.001"
 TABLES = ("customer", "supplier", "part", "orders", "lineitem")
 CUTS = {
     **dict.fromkeys(("b2_retention", "b2_retention_single_grain", "b4_retention_category", "b5_waterfall"), " WHERE l_returnflag <> 'N' AND l_partkey % 9 = 0"),
+    **dict.fromkeys(("b10_earned_revenue", "b11_earned_uncapped", "b12_over_under_billing", "b15_backlog"), " WHERE l_partkey % 5 = 0"),
     "drop_zero_rows": " WHERE l_orderkey < 40",
 }
 

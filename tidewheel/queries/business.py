@@ -26,7 +26,7 @@ SPARSE_SALES = f"{SALES[:-1]} WHERE l_returnflag <> 'N' AND l_partkey % 9 = 0)"
 
 def jobs(spark: SparkSession, d: str) -> DataFrame:
     """Part by month: actual (cost), forecast, change orders, contract, billed."""
-    s = sales(spark, d, "l_tax", "l_extendedprice", "l_linestatus").filter("l_partkey % 5 = 0")
+    s = sales(spark, d, "l_tax", "l_extendedprice", "l_linestatus")
     change = F.round(F.expr("CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2))"), 2)
     out = s.groupBy("l_partkey", F.last_day("d").alias("month_end")).agg(F.sum(F.when(F.col("l_linestatus") == "F", F.col("cost"))).alias("actual"), F.sum("cost").alias("forecast"), F.sum(F.when(F.col("stream") == "R", change)).alias("change"), F.sum("revenue").alias("billed"))
     return out.withColumn("contract", F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey") * 100 + 50000).cast("decimal(18,2)"))
