@@ -17,6 +17,7 @@ CUTS = {
     **dict.fromkeys(("b2_retention", "b2_retention_single_grain", "b4_retention_category", "b5_waterfall"), " WHERE l_returnflag <> 'N' AND l_partkey % 9 = 0"),
     **dict.fromkeys(("b10_earned_revenue", "b11_earned_uncapped", "b12_over_under_billing", "b15_backlog"), " WHERE l_partkey % 5 = 0"),
     "b6_lifecycle": " AND o_orderkey % 7 = 0",
+    "b22_mix": " WHERE l_partkey % 9 = 0",
     "drop_zero_rows": " WHERE l_orderkey < 40",
 }
 
