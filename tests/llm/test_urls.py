@@ -58,3 +58,17 @@ def test_variable_segments(spark):
     df = spark.createDataFrame([("/a/12/b",), ("",), ("//x//",), ("/" + "y" * 30,), ("/1/2/3/4/5/6/7/8/9/10",)], "p string")
     got = [r.t for r in df.select(U.template(F.col("p")).alias("t")).collect()]
     assert got == [["a", "*", "b"], [], ["x"], ["*"], ["*"] * 8 + ["**"]]
+
+
+def test_many_small_sections(spark):
+    counts = spark.createDataFrame([("h", [f"s{k}"], 40, 40 if k == 0 else 0, 40) for k in range(30)], "host string, first array<string>, n bigint, blocked bigint, labelled bigint")
+    got = {r.first[0]: (r.template, r.n) for r in U.tree(counts).collect()}
+    assert got == {"s0": (["s0"], 40), **{f"s{k}": (["*"], 1160) for k in range(1, 30)}}
+
+
+def test_deep_sections(spark):
+    deep = "/a" * 11
+    rules = [("block", "h.net", deep + "/x/"), ("allow", "h.net", "/")]
+    rows = [(k, f"http://h.{('net', 'net', 'org')[k % 3]}{deep}/{'xy'[k % 2]}/{k}") for k in range(240)]
+    for r in U.judge(spark.createDataFrame(rows, "page_id bigint, url string"), rules).collect():
+        assert r.verdict == ("block" if r.path.startswith(deep + "/x/") else "allow"), r

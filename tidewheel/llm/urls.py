@@ -1,9 +1,9 @@
 """URL filters: host and path rules, and a path-template tree where no rule fits. DataFrame operations only.
 
 Segments that look variable (digits, great length) become wildcards by themselves, which leaves few
-templates per host. Level by level, a branch of the host's tree stays a branch of its own only if it
-holds a share of its parent's pages and its labels differ from its siblings' (two-proportion z test);
-all other branches merge into the parent's wildcard. A merged template is rejected if its labelled
+templates per host. Level by level, down to the deepest, a branch of the host's tree stays a branch of
+its own only if its labels differ from its siblings' (two-proportion z test with continuity correction,
+so that few labels need no other bound); all other branches merge into the parent's wildcard. A merged template is rejected if its labelled
 purity, smoothed towards the same template over all hosts and that towards the overall rate, reaches
 the limit. Pages that a rule decides are the labels.
 
@@ -44,36 +44,43 @@ def matched(host: Column, path: Column, rules: Rules) -> Column:
     return F.get(F.filter(table, fits), F.lit(0))
 
 
-def template(path: Column) -> Column:
-    """The path's segments with variable ones as `*`; what is deeper than DEPTH as one `**`."""
+def template(path: Column, depth: int | None = DEPTH) -> Column:
+    """The path's segments with variable ones as `*`; what is deeper than depth, if given, as one `**`."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
     parts = F.transform(parts, lambda s: F.when(s.rlike(r"\d") | (F.length(s) > LONG), "*").otherwise(s))
-    return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("**")))).otherwise(parts)
+    return parts if depth is None else F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))).otherwise(parts)
 
 
-def tree(counts: DataFrame, share: float = 0.05, z: float = 2.0) -> DataFrame:
+def tree(counts: DataFrame, z: float = 2.0) -> DataFrame:
     """host, first (the template as given), template (generalised) with its pages n and labels blocked, labelled.
 
     counts: host, first (array), n, blocked, labelled; one row per host and first.
+    The levels end where no branch of any parent can pass the test.
     """
-    rows = written(counts.withColumn("template", F.col("first")))
-    depth = rows.agg(F.max(F.size("first"))).first()[0] or 0
-    for level in range(1, depth + 1):
-        deep = F.size("template") >= level
+    rows = written(counts.withColumn("template", F.col("first")).withColumn("open", F.lit(True)))
+    level = 0
+    while True:
+        level += 1
+        deep = F.col("open") & (F.size("template") >= level)
+        if rows.filter(deep).isEmpty():
+            break
         prefix = F.slice("template", 1, level - 1)
         at = rows.filter(deep).withColumn("prefix", prefix).withColumn("own", F.element_at("template", level))
         sums = [F.sum(c).alias(c) for c in ("n", "blocked", "labelled")]
-        child = at.groupBy("host", "prefix", "own").agg(*sums)
-        parent = child.groupBy("host", "prefix").agg(*(F.sum(c).alias(f"all_{c}") for c in ("n", "blocked", "labelled")))
+        child = at.groupBy("host", "prefix", "own").agg(*sums, F.count("*").alias("rows"))
+        parent = child.groupBy("host", "prefix").agg(*(F.sum(c).alias(f"all_{c}") for c in ("blocked", "labelled", "rows")))
         rest = F.col("all_labelled") - F.col("labelled")
         pooled = F.try_divide("all_blocked", "all_labelled")
         apart = F.abs(F.try_divide("blocked", "labelled") - F.try_divide(F.col("all_blocked") - F.col("blocked"), rest))
-        noise = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), "labelled") + F.try_divide(F.lit(1.0), rest)))
-        stays = (F.col("n") >= share * F.col("all_n")) & F.coalesce(apart > z * noise, F.lit(False))
-        kept = child.join(parent, ["host", "prefix"]).filter(stays).select("host", "prefix", "own", F.lit(True).alias("stays"))
-        merged = at.join(kept, ["host", "prefix", "own"], "left")
-        new = F.when(F.coalesce("stays", F.lit(False)), F.col("template")).otherwise(F.concat("prefix", F.array(F.lit("*")), F.slice("template", level + 1, F.greatest(F.size("template") - level, F.lit(0)))))
-        out = merged.select("host", "first", "n", "blocked", "labelled", new.alias("template"))
+        inverse = F.try_divide(F.lit(1.0), "labelled") + F.try_divide(F.lit(1.0), rest)
+        stays = F.coalesce(apart - inverse / 2 > z * F.sqrt(pooled * (1 - pooled) * inverse), F.lit(False))
+        # a parent of one row, of labels all alike or of z * z labels at most has no branch, nor has what is below it
+        goes_on = (F.col("all_rows") > 1) & (F.col("all_blocked") > 0) & (F.col("all_blocked") < F.col("all_labelled")) & (F.col("all_labelled") > z * z)
+        tested = child.join(parent, ["host", "prefix"]).select("host", "prefix", "own", (stays & goes_on).alias("stays"), goes_on.alias("goes_on"))
+        merged = at.join(tested, ["host", "prefix", "own"])
+        below = F.size("template") - level
+        new = F.when(F.col("stays"), F.col("template")).when(F.col("goes_on"), F.concat("prefix", F.array(F.lit("*")), F.slice("template", level + 1, below))).otherwise(F.concat("prefix", F.array_repeat(F.lit("*"), below + 1)))
+        out = merged.select("host", "first", "n", "blocked", "labelled", new.alias("template"), F.col("goes_on").alias("open"))
         rows = written(out.unionByName(rows.filter(~deep).select(*out.columns)))
     whole = rows.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "blocked", "labelled")))
     return rows.select("host", "first", "template").join(whole, ["host", "template"])
@@ -88,7 +95,7 @@ def judge(pages: DataFrame, rules: Rules, key: str = "page_id", url: str = "url"
     """
     host, path = host_and_path(F.col(url))
     rows = pages.select(F.col(key), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("_hit", matched(F.col("host"), F.col("path"), rules)).withColumn("first", template(F.col("path")))
+    rows = rows.withColumn("_hit", matched(F.col("host"), F.col("path"), rules)).withColumn("first", template(F.col("path"), None))
     blocked, labelled = F.sum((F.col("_hit.verdict") == "block").cast("long")), F.count("_hit.verdict")
     counts = written(rows.groupBy("host", "first").agg(F.count("*").alias("n"), F.coalesce(blocked, F.lit(0)).alias("blocked"), labelled.alias("labelled")))
     pooled = counts.groupBy("first").agg(*(F.sum(c).alias(c) for c in ("n", "blocked", "labelled"))).select(F.lit(ALL_HOSTS).alias("host"), "first", "n", "blocked", "labelled")
