@@ -56,3 +56,9 @@ def test_frame(spark, field):
     assert by[1] == by[2] == "" and by[5].count("\n") == 29_999
     assert H.extract(df.limit(0), field).count() == 0
     assert H.Field.train([]).decode([]) == []
+
+
+def test_digits_are_counted_over_the_whole_block():
+    figures, words = ("12345 " * 40), ("plain words " * 200)
+    has = lambda text: H._INDEX["digits"] in H.features([H.Block(text, 0, ())])[0]
+    assert not has(figures + words) and has("plain words " * 20 + figures * 20) and has(figures)

@@ -169,7 +169,7 @@ def features(found: list[Block]) -> list[list[int]]:
         words = text.count(" ") + 1
         flags = {
             "bias": True, "empty-links": share == 0, "links": 0 < share <= 0.5, "mostly-links": share > 0.5, "short": words < 4, "medium": 4 <= words < 15, "long": 15 <= words < 50, "very-long": words >= 50,
-            "stop": text[-1] in ".!?…。", "comma": "," in text, "mark": text[0] in "#*|>»›→", "copyright": "©" in text or "(c)" in text.lower(), "digits": sum(map(str.isdigit, text[:200])) > 0.3 * min(n, 200), "upper": text.isupper(), "first": i == 0, "last": i == last,
+            "stop": text[-1] in ".!?…。", "comma": "," in text, "mark": text[0] in "#*|>»›→", "copyright": "©" in text or "(c)" in text.lower(), "digits": sum(map(str.isdigit, text)) > 0.3 * n, "upper": text.isupper(), "first": i == 0, "last": i == last,
         }
         row |= {_INDEX[k] for k, v in flags.items() if v}
         inside = tags.index("article") if "article" in tags else -1
