@@ -20,9 +20,6 @@ MOVES = "CASE WHEN p > 0 THEN p ELSE 0 END AS base, CASE WHEN p > 0 AND c = 0 TH
 EACH = "each AS (SELECT *, coalesce(cy, 0) AS c, coalesce(py, 0) AS p FROM w)"
 SUMS = "sum(base) AS base, sum(churn) AS churn, sum(contraction) AS contraction, sum(upsell) AS upsell"
 
-# The SQL still takes a ninth of the parts and two streams; the queries take all sales.
-SPARSE_SALES = f"{SALES[:-1]} WHERE l_returnflag <> 'N' AND l_partkey % 9 = 0)"
-
 
 def jobs(spark: SparkSession, d: str) -> DataFrame:
     """Part by month: actual (cost), forecast, change orders, contract, billed."""
@@ -34,7 +31,7 @@ def jobs(spark: SparkSession, d: str) -> DataFrame:
 
 JOBS = f"""{SALES}, jobs AS (SELECT l_partkey, last_day(d) AS month_end, sum(cost) FILTER (WHERE l_linestatus = 'F') AS actual, sum(cost) AS forecast,
     sum(round(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)), 2)) FILTER (WHERE stream = 'R') AS change, sum(revenue) AS billed, CASE WHEN l_partkey % 3 <> 0 THEN l_partkey * 100 + 50000 END AS contract
-  FROM s WHERE l_partkey % 5 = 0 GROUP BY ALL)"""
+  FROM s GROUP BY ALL)"""
 EARNED = """e AS (SELECT *, CASE WHEN round(f, 2) <> 0 THEN least(CAST(a AS DOUBLE) / CAST(round(f, 2) AS DOUBLE), 1.0) * CAST(contract + x AS DOUBLE) END AS earned
   FROM (SELECT *, sum(coalesce(actual, 0)) OVER w AS a, sum(coalesce(forecast, 0)) OVER w AS f, sum(coalesce(change, 0)) OVER w AS x FROM jobs WINDOW w AS (PARTITION BY l_partkey ORDER BY month_end)))"""
 
@@ -47,30 +44,30 @@ def register(reg: Registry) -> None:
         """Revenue by stream, cost and margin of completed months."""
         return rounded(M.by_stream(sales(spark, d).filter("d < DATE '2001-08-01'"), ["segment"], "stream", streams), "gp_pct")
 
-    @reg.add(f"""WITH {SPARSE_SALES}, w AS ({WINDOW.format(keys='customer, segment')}), {EACH}, m AS (SELECT segment, c, p, {MOVES} FROM each), t AS (SELECT segment, {SUMS}, count(*) FILTER (WHERE p > 0) AS logos, count(*) FILTER (WHERE p > 0 AND c = 0) AS logos_lost FROM m GROUP BY 1)
+    @reg.add(f"""WITH {SALES}, w AS ({WINDOW.format(keys='customer, segment')}), {EACH}, m AS (SELECT segment, c, p, {MOVES} FROM each), t AS (SELECT segment, {SUMS}, count(*) FILTER (WHERE p > 0) AS logos, count(*) FILTER (WHERE p > 0 AND c = 0) AS logos_lost FROM m GROUP BY 1)
       SELECT segment, {', '.join(double(c, c) for c in ('base', 'churn', 'contraction', 'upsell'))}, logos, logos_lost, {ratio('base - churn - contraction + upsell', 'base', 'nrr')}, {ratio('base - churn - contraction', 'base', 'grr')}, {ratio('logos - logos_lost', 'logos', 'logo_retention')} FROM t""")
     def b2_retention(spark: SparkSession, d: str) -> DataFrame:
         """Rolling-twelve-month retention, both windows in one pass."""
         return rounded(R.retention(sales(spark, d), "customer", ["segment"], "revenue", ANCHOR), "nrr", "grr", "logo_retention")
 
-    @reg.add(f"WITH {SPARSE_SALES}, w AS ({WINDOW.format(keys='segment')}), {EACH} SELECT segment, {double('cy', 'cy')}, {double('py', 'py')}, {', '.join(x.replace(' AS ', ' AS DOUBLE) AS ').replace('CASE', 'CAST(CASE', 1) for x in MOVES.split(', '))} FROM each")
+    @reg.add(f"WITH {SALES}, w AS ({WINDOW.format(keys='segment')}), {EACH} SELECT segment, {double('cy', 'cy')}, {double('py', 'py')}, {', '.join(x.replace(' AS ', ' AS DOUBLE) AS ').replace('CASE', 'CAST(CASE', 1) for x in MOVES.split(', '))} FROM each")
     def b2_retention_single_grain(spark: SparkSession, d: str) -> DataFrame:
         """The same movements of totals, where gains and losses offset each other."""
         return rounded(R.retention_single_grain(sales(spark, d), ["segment"], "revenue", ANCHOR))
 
-    @reg.add(f"""WITH {SPARSE_SALES}, w AS ({WINDOW.format(keys='customer')}), {EACH} SELECT customer, {double('cy', 'cy')}, {double('py', 'py')},
+    @reg.add(f"""WITH {SALES}, w AS ({WINDOW.format(keys='customer')}), {EACH} SELECT customer, {double('cy', 'cy')}, {double('py', 'py')},
       CASE WHEN p > 0 AND c = 0 THEN 'Churned' WHEN p = 0 AND c > 0 THEN 'New Business' WHEN p > 0 AND c < p THEN 'Contraction' WHEN p > 0 AND c > p THEN 'Upsell' WHEN p > 0 THEN 'Steady' END AS category FROM each""")
     def b4_retention_category(spark: SparkSession, d: str) -> DataFrame:
         """Each customer's category."""
         return rounded(R.current_and_prior(sales(spark, d), ["customer"], "revenue", ANCHOR).withColumn("category", R.category()))
 
-    @reg.add(f"""WITH {SPARSE_SALES}, w AS ({WINDOW.format(keys='customer')}), {EACH}, t AS (SELECT {SUMS} FROM (SELECT {MOVES} FROM each))
+    @reg.add(f"""WITH {SALES}, w AS ({WINDOW.format(keys='customer')}), {EACH}, t AS (SELECT {SUMS} FROM (SELECT {MOVES} FROM each))
       SELECT CAST(step AS INTEGER) AS step, label, {double('amount', 'amount')} FROM t, LATERAL (VALUES (1, 'Base', base), (2, 'Churn', -churn), (3, 'Contraction', -contraction), (4, 'Upsell', upsell), (5, 'Retained', base - churn - contraction + upsell)) v(step, label, amount)""")
     def b5_waterfall(spark: SparkSession, d: str) -> DataFrame:
         """The movements as ordered, signed steps."""
         return rounded(R.waterfall(R.retention(sales(spark, d), "customer", [], "revenue", ANCHOR)))
 
-    @reg.add("""WITH l AS (SELECT c_custkey AS customer, max(CAST(o_orderdate AS DATE)) FILTER (WHERE o_totalprice <> 0 AND o_orderkey % 7 = 0) AS last_date FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1), m AS (SELECT *, (2001 - year(last_date)) * 12 + 8 - month(last_date) AS months FROM l)
+    @reg.add("""WITH l AS (SELECT c_custkey AS customer, max(CAST(o_orderdate AS DATE)) FILTER (WHERE o_totalprice <> 0) AS last_date FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1), m AS (SELECT *, (2001 - year(last_date)) * 12 + 8 - month(last_date) AS months FROM l)
       SELECT customer, last_date, CAST(months AS INTEGER) AS months, CASE WHEN last_date IS NULL THEN 'No Activity' WHEN months < 6 THEN 'Active' WHEN months < 12 THEN 'Dormant (6–11 mo)' ELSE 'Inactive (12+ mo)' END AS status FROM m""", dates=('last_date',))
     def b6_lifecycle(spark: SparkSession, d: str) -> DataFrame:
         """Status by the months since the last billing; customers without any are there."""
@@ -219,7 +216,7 @@ def register(reg: Registry) -> None:
         h = table(spark, d, "lineitem").withColumn("q", F.col("l_quantity").cast("decimal(12,2)")).groupBy("l_suppkey").agg(F.sum("q").alias("estimate"), F.sum(F.when(F.col("l_linestatus") == "F", F.col("q"))).alias("actual"), F.count_distinct(F.when(F.col("l_shipdate") < "2001-08-01", month)).alias("elapsed"), F.count_distinct(month).alias("total"))
         return rounded(P.run_rate(h, "estimate", "actual", "elapsed", "total"), "rate", "projected")
 
-    @reg.add(f"""WITH {SPARSE_SALES.replace("l_returnflag <> 'N' AND ", "")}, w AS ({WINDOW.format(keys='customer')}), t AS (SELECT customer, sum(revenue) FILTER (WHERE stream = 'A') AS a, sum(revenue) FILTER (WHERE stream = 'N') AS n, sum(revenue) FILTER (WHERE stream = 'R') AS r FROM s WHERE d > DATE '2000-07-31' AND d <= DATE '2001-07-31' GROUP BY 1), j AS (SELECT w.*, coalesce(a, 0) AS a, coalesce(n, 0) AS n, coalesce(r, 0) AS r FROM w LEFT JOIN t ON w.customer = t.customer)
+    @reg.add(f"""WITH {SALES}, w AS ({WINDOW.format(keys='customer')}), t AS (SELECT customer, sum(revenue) FILTER (WHERE stream = 'A') AS a, sum(revenue) FILTER (WHERE stream = 'N') AS n, sum(revenue) FILTER (WHERE stream = 'R') AS r FROM s WHERE d > DATE '2000-07-31' AND d <= DATE '2001-07-31' GROUP BY 1), j AS (SELECT w.*, coalesce(a, 0) AS a, coalesce(n, 0) AS n, coalesce(r, 0) AS r FROM w LEFT JOIN t ON w.customer = t.customer)
       SELECT customer, CASE WHEN a + n + r <> 0 THEN CASE WHEN a >= n AND a >= r THEN 'a' WHEN n >= r THEN 'n' ELSE 'r' END END AS top_stream, {ratio('greatest(a, n, r)', 'a + n + r', 'concentration')}, round(CAST(cy AS DOUBLE) / nullif(CAST(py AS DOUBLE), 0) - 1, 6) AS momentum FROM j""")
     def b22_mix(spark: SparkSession, d: str) -> DataFrame:
         """Concentration on the largest stream, and momentum."""

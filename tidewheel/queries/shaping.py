@@ -235,11 +235,11 @@ def register(reg: Registry) -> None:
         """Distinct values of a union."""
         return table(spark, d, "supplier").select(F.col("s_nationkey").alias("nation")).union(table(spark, d, "customer").select("c_nationkey")).distinct()
 
-    @reg.add("SELECT c_nationkey AS nation, c_mktsegment AS segment FROM customer EXCEPT SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < 5000")
+    @reg.add("SELECT c_nationkey AS nation, c_mktsegment AS segment FROM customer EXCEPT SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < -900")
     def except_distinct(spark: SparkSession, d: str) -> DataFrame:
         """Combinations that the other side lacks."""
         c = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"), "c_acctbal")
-        return R.except_rows(c, c.filter("c_acctbal < 5000"), ["nation", "segment"])
+        return R.except_rows(c, c.filter("c_acctbal < -900"), ["nation", "segment"])
 
     @reg.add("SELECT c_nationkey AS nation FROM customer WHERE c_acctbal > 9000 INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000")
     def intersect_distinct(spark: SparkSession, d: str) -> DataFrame:
@@ -261,8 +261,9 @@ def register(reg: Registry) -> None:
         """Row totals of every level in one pass."""
         return rounded(R.subtotals(sales(spark, d), ["segment", "nation"], {"revenue": F.sum("revenue"), "n": F.count("*")}))
 
-    @reg.add(f"SELECT l_suppkey, CAST(q AS DOUBLE) AS q, CAST(x AS DOUBLE) AS x FROM (SELECT l_suppkey, sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_tax AS DECIMAL(4,2)) END) AS q, sum(CASE WHEN l_linenumber = 9 THEN {REVENUE} END) AS x FROM lineitem WHERE l_orderkey < 40 GROUP BY 1) WHERE coalesce(q, 0) <> 0 OR coalesce(x, 0) <> 0")
+    @reg.add(f"SELECT l_partkey, CAST(q AS DOUBLE) AS q, CAST(x AS DOUBLE) AS x FROM (SELECT l_partkey, sum(CASE WHEN l_returnflag = 'A' AND l_linenumber = 6 THEN CAST(l_tax AS DECIMAL(4,2)) END) AS q, sum(CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN {REVENUE} END) AS x FROM lineitem GROUP BY 1) WHERE coalesce(q, 0) <> 0 OR coalesce(x, 0) <> 0")
     def drop_zero_rows(spark: SparkSession, d: str) -> DataFrame:
-        """Rows in which all measures are zero or null go."""
-        line = table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.sum(F.when(F.col("l_returnflag") == "A", F.col("l_tax").cast("decimal(4,2)"))).alias("q"), F.sum(F.when(F.col("l_linenumber") == 9, F.expr(REVENUE))).alias("x"))
-        return rounded(R.without_zero_rows(line, "q", "x"))
+        """Rows in which all measures are zero or null go: parts with neither tax on a sixth line of stream A nor revenue on a seventh of stream R."""
+        one = lambda stream, number, value: F.sum(F.when((F.col("l_returnflag") == stream) & (F.col("l_linenumber") == number), value))
+        part = table(spark, d, "lineitem").groupBy("l_partkey").agg(one("A", 6, F.col("l_tax").cast("decimal(4,2)")).alias("q"), one("R", 7, F.expr(REVENUE)).alias("x"))
+        return rounded(R.without_zero_rows(part, "q", "x"))
