@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -60,5 +62,68 @@ def test_frame(spark, field):
 
 def test_digits_are_counted_over_the_whole_block():
     figures, words = ("12345 " * 40), ("plain words " * 200)
-    has = lambda text: H._INDEX["digits"] in H.features([H.Block(text, 0, ())])[0]
+    has = lambda text: H._INDEX["digits"] in H.features([H.Block(text, 0, None)])[0]
     assert not has(figures + words) and has("plain words " * 20 + figures * 20) and has(figures)
+
+
+#: Written by hand, unlike the composed pages that the field is trained on: page, its main blocks.
+HAND = {
+"news": ("""<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>Harbour reopens | The Daily</title><script>window.x={"a":"<p>no</p>"};</script></head>
+<body class="home page"><header class="site-header"><a href="/" class="logo">The Daily</a><nav class="main-nav"><ul><li><a href="/w">World</a></li><li><a href="/s">Sport</a></li></ul></nav></header>
+<div class="breadcrumb"><a href="/">Home</a> &rsaquo; <a href="/w">World</a></div>
+<main id="content"><article class="story"><h1>Harbour reopens after storm</h1><p>The harbour of the old town opened again on Monday, two weeks after the storm closed it.</p><figure><img src="h.jpg"><figcaption>Boats in the harbour on Monday morning.</figcaption></figure>
+<p>&ldquo;We are glad,&rdquo; said the harbour master, who had slept in the office since the storm began.</p><div class="ad-slot"><p>Advertisement: the best shoes of the year are here.</p></div><p>Fishing boats left first; ferries will follow next week, the company said in a statement.</p></article></main>
+<aside class="sidebar"><h3>Most read</h3><ul><li><a href="1">Ten walks in the hills</a></li><li><a href="2">What to cook tonight</a></li></ul></aside>
+<section id="comments" class="comments"><h2>2 comments</h2><div class="comment"><p>About time, I missed the ferry.</p></div><div class="comment"><p>Great news for the town, well done everyone.</p></div></section>
+<footer><p>&copy; 2020 The Daily. All rights reserved.</p></footer></body></html>""",
+["Harbour reopens after storm","The harbour of the old town opened again on Monday, two weeks after the storm closed it.","Boats in the harbour on Monday morning.","“We are glad,” said the harbour master, who had slept in the office since the storm began.","Fishing boats left first; ferries will follow next week, the company said in a statement."]),
+"blog": ("""<html><head><title>On bread</title></head><body><div id="wrapper"><div id="masthead"><h1><a href="/">Crumbs</a></h1><p>Notes on baking</p></div><ul id="menu"><li><a href="/about">About</a><li><a href="/archive">Archive</a></ul>
+<div class="post"><h2 class="entry-title">On bread, again</h2><div class="entry-content"><p>I baked a loaf with rye today, and it turned out far better than the last one did.<p>Three things helped:<ul><li>more water than the book says<li>a longer rest in the cold<li>a hotter oven</ul><blockquote>Bread is patience made edible.</blockquote><p>Next time I will try spelt.</div></div>
+<div id="respond" class="reply-form"><form action="/c"><label>Name</label><input name="n"><textarea>Leave a reply</textarea><button>Post</button></form></div>
+<div class="widget newsletter"><p>Get new posts by mail every Friday. No spam, ever.</p></div><div id="footer"><p>Powered by flour and water.</p></div></div></body></html>""",
+["On bread, again","I baked a loaf with rye today, and it turned out far better than the last one did.","Three things helped:","more water than the book says","a longer rest in the cold","a hotter oven","Bread is patience made edible.","Next time I will try spelt."]),
+"docs": ("""<html><head><title>join</title></head><body><div class="topbar"><a href="/">Docs</a><form class="search"><input><button>Search</button></form></div><div class="container"><nav class="toc"><ul><li><a href="#a">Syntax</a></li><li><a href="#b">Examples</a></li></ul></nav>
+<main><h1>join</h1><p>Joins the parts of a list into one text, with a separator between each two of them.</p><h2>Syntax</h2><pre>join(list, separator)</pre><h2>Examples</h2><table><tr><th>Call</th><th>Result</th></tr><tr><td>join([a, b], "-")</td><td>a-b</td></tr></table><p>An empty list gives an empty text.</p></main></div><footer class="legal">Terms | Privacy</footer></body></html>""",
+["join","Joins the parts of a list into one text, with a separator between each two of them.","Syntax","join(list, separator)","Examples","Call","Result",'join([a, b], "-")',"a-b","An empty list gives an empty text."]),
+"german": ("""<html><head><title>Wetter</title></head><body><div class="cookie-banner"><p>Diese Seite verwendet Cookies. Bitte stimmen Sie zu.</p><button>Zustimmen</button></div><div role="navigation"><a href=1>Start</a> <a href=2>Karte</a> <a href=3>Archiv</a></div>
+<section class="article"><h1>Regen im Süden</h1><p>Im Süden regnet es heute bis in den Abend, im Norden bleibt es trocken und sonnig.</p><p>Morgen wird es überall wärmer; nur an der Küste weht ein frischer Wind.</p></section><div class="related"><h4>Mehr zum Thema</h4><a href=4>Hochwasser am Rhein</a></div><footer>© Wetterdienst</footer></body></html>""",
+["Regen im Süden","Im Süden regnet es heute bis in den Abend, im Norden bleibt es trocken und sonnig.","Morgen wird es überall wärmer; nur an der Küste weht ein frischer Wind."]),
+"bare": ("""<h1>Ferry times</h1><p>The first ferry leaves at six, the last one at ten in the evening.</p><p>On Sundays there is none before nine.</p>""",
+["Ferry times","The first ferry leaves at six, the last one at ten in the evening.","On Sundays there is none before nine."]),
+"nohead": ("""<html><head><title>T</title><meta name=x><article><h1>Bees</h1><p>Bees dance to tell each other where the flowers are.</p></article><footer>&copy; B</footer>""",["Bees","Bees dance to tell each other where the flowers are."]),
+}
+
+
+@pytest.mark.parametrize("name", HAND)
+def test_pages_of_another_origin(field, name):
+    page, want = HAND[name]
+    assert H.main_text(page, field).split("\n") == want
+
+
+#: Markup that takes quadratic time if every tag looks anew for its end, its element or its ancestors.
+HOSTILE = {
+    "nested": "<div>x" * 100_000, "no end": "<a " * 500_000, "quotes": '<a ">"' * 200_000 + "'", "blocked end tags": "<b><div>" + "<span>" * 50_000 + "</b>" * 100_000, "headings": "<span>" * 100_000 + "<h2>x</h2>" * 50_000,
+    "end tags": "<div>" * 100_000 + "</p>" * 100_000, "declarations": "<!" * 300_000, "items": "<li>x" * 100_000, "paragraphs": "<p><b>x" * 100_000, "scripts": "<script>" * 100_000, "attributes": "<div class=" + "' class=" * 100_000 + ">x",
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_time_grows_with_the_length_only(field, name):
+    start = time.process_time()
+    H.main_text(HOSTILE[name], field)
+    assert time.process_time() - start < 30
+
+
+def test_odd_markup():
+    text = lambda page: [b.text for b in H.blocks(page)]
+    assert text("&#" + "9" * 5000 + ";&#" + "0" * 5000 + "65;&#x0041;&amp;amp;") == ["\ufffdAA&amp;"]
+    assert text("<!-->a<!--->b<!-- x -->c<!-- d") == ["abc"]
+    assert text("<p title='a>b'>c<p title=\"d>e") == ["c", 'e']
+    assert text("<script>a</script >b<textarea>c<p>d</textarea>e<script>f") == ["b", "c<p>d", "e"]
+    assert text("1 < 2 <3 </4 <") == ["1 < 2 <3 </4 <"]
+    assert text("<head>no<div>yes") == ["yes"] and text("<b>a<div>b</b>c</div>d") == ["a", "bc", "d"]
+    assert text("<ul><li>a<ul><li>b<li>c</ul><li>d</ul>") == ["a", "b", "c", "d"]
+
+
+def test_training_is_done_once():
+    assert H.train() is H.train()

@@ -13,8 +13,11 @@ row, without a shuffle.
 
 from __future__ import annotations
 
+import functools
 import html
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,11 +29,16 @@ from tidewheel.llm.shared import broadcast
 
 #: Composed pages that a field is trained on.
 TRAINING_PAGES = 500
-
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>""", re.S)
-_HINT = re.compile(r"""(?:\b(?:class|id|role|aria-label)\s*=\s*)(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+#: Blocks whose features are held at a time.
+BATCH = 4096
+
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+_STOP = re.compile(r"""[>"']""")
+_HINT = re.compile(r"""\b(?:class|id|role|aria-label)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++))""", re.I)
+#: Character references of too many digits, and zeros that lead others.
+_VAST = re.compile(r"&#(?:0*+[0-9]{8,}+|[xX]0*+[0-9a-fA-F]{7,}+);?")
+_ZEROS = re.compile(r"&#([xX]?)0++(?=[0-9a-fA-F])")
 _PART = re.compile(r"[a-z]+")
-_SILENT = frozenset("script style noscript template title iframe object svg math head".split())
 _RAW = frozenset("script style noscript template title iframe textarea svg math object".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td textarea tfoot th thead tr ul".split())
@@ -53,117 +61,219 @@ _INDEX = {n: k for k, n in enumerate(_NAMES)}
 WIDTH = len(_NAMES)
 
 
-@dataclass
+class Element:
+    """An open element, linked with the one around it. What blocks inherit from all elements around them is made
+    once per element, and shared with the element above where nothing is added."""
+
+    __slots__ = ("tag", "hints", "above", "block", "main", "common", "articles")
+
+    def __init__(self, tag: str, hints: frozenset[str], label: bool | None, above: "Element | None"):
+        self.tag, self.hints, self.above = tag, hints, above
+        if tag in ("body", "html"):  # a hint of these speaks of the page, not of the block
+            self.hints = hints = frozenset()
+        self.block = tag if tag in _BLOCK else above.block if above else "body"
+        self.main = label if label is not None else above.main if above else False
+        self.articles = (above.articles if above else 0) + (tag == "article")
+        own = {_INDEX[f"in-{tag}"]} if f"in-{tag}" in _INDEX else set()
+        own |= {_INDEX[f"hint-{h}"] for h in hints}
+        if self.articles > 1:
+            own.add(_INDEX["article-depth"])
+        if self.articles and tag == "header":
+            own.add(_INDEX["in-article-header"])
+        inherited = above.common if above else frozenset()
+        self.common = inherited if own <= inherited else inherited | own
+
+
+@dataclass(slots=True)
 class Block:
-    """A leaf block: its text with white space as single spaces, the characters of it within links, and the open
-    elements around it, as (tag, hints, labelled main)."""
+    """A leaf block: its text with white space as single spaces, the characters of it within links, and the
+    innermost open element around it (None: none)."""
 
     text: str
     linked: int
-    around: tuple[tuple[str, frozenset[str], bool | None], ...]
+    inside: Element | None
 
     @property
     def main(self) -> bool:
         """The label that the nearest labelled element around it carries."""
-        return next((y for _, _, y in reversed(self.around) if y is not None), False)
+        return self.inside is not None and self.inside.main
+
+
+def unescaped(raw: str) -> str:
+    """Text with its character references decoded, those of numbers beyond any character as U+FFFD."""
+    if "&" not in raw:
+        return raw
+    return html.unescape(_VAST.sub("\ufffd", _ZEROS.sub(r"&#\1", raw)) if "&#" in raw else raw)
+
+
+class Tags:
+    """The tags of a page in order. Every character is passed a bounded number of times: where a tag has no end, or
+    a quote none, is remembered."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.quote = {q: page.rfind(q) for q in "\"'"}
+        self.unclosed: set[int] = set()  # quotes after which no tag ends
+
+    def end(self, at: int) -> int:
+        """Where the tag ends (its `>`) whose name ends at `at`: a `>` in quotes doesn't count, unless else none
+        would be left. -1 if there is none."""
+        if at > self.last:
+            return -1
+        tried, start = [], at
+        while (m := _STOP.search(self.page, at)) and m.start() not in self.unclosed:
+            k = m.start()
+            if m[0] == ">":
+                return k
+            tried.append(k)
+            if k >= self.quote[m[0]]:
+                break
+            at = self.page.index(m[0], k + 1) + 1
+        self.unclosed.update(tried)
+        return self.page.find(">", start)
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str, str]]:
+        """(start, stop, whether it ends an element, tag, attributes); comments and declarations have an empty tag.
+        send() moves on to a place."""
+        page, at = self.page, 0
+        while (start := page.find("<", at)) >= 0:
+            at = start + 1
+            if m := _NAME.match(page, start):
+                if (stop := self.end(m.end())) < 0:
+                    continue
+                found = start, stop + 1, bool(m[1]), m[2].lower(), page[m.end() : stop]
+            elif page.startswith("<!--", start):
+                stop = page.find("-->", start + 2)
+                found = start, stop + 3 if stop >= 0 else len(page), False, "", ""
+            elif page.startswith(("<!", "<?"), start) and start < self.last:
+                found = start, page.index(">", start) + 1, False, "", ""
+            else:
+                continue
+            moved = yield found
+            at = found[1] if moved is None else moved
+            if moved is not None:
+                yield found  # the answer to send()
+
+
+class _Open:
+    """The stack of open elements, with the places of each tag in it."""
+
+    def __init__(self) -> None:
+        self.stack: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
+
+    def push(self, tag: str, hints: frozenset[str], label: bool | None) -> None:
+        k = len(self.stack)
+        self.stack.append(Element(tag, hints, label, self.stack[-1] if k else None))
+        self.places.setdefault(tag, []).append(k)
+        if tag in _BLOCK:
+            self.blocks.append(k)
+        if tag in _SCOPE:
+            self.scopes.append(k)
+
+    def close(self, k: int) -> None:
+        """Everything from place k on."""
+        while len(self.stack) > k:
+            self.places[self.stack.pop().tag].pop()
+        for places in (self.blocks, self.scopes):
+            while places and places[-1] >= k:
+                places.pop()
+
+    def end(self, tag: str) -> None:
+        """An end tag: up to the innermost such element, which inline ones look for in their block only."""
+        places = self.places.get(tag)
+        if places and (tag in _BLOCK or not self.blocks or places[-1] > self.blocks[-1]):
+            self.close(places[-1])
+
+    def implied(self, tag: str) -> None:
+        """A block begins: ends an open p (with what was left open in it) and elements that the tag implies to be over."""
+        least = self.scopes[-1] if self.scopes else -1
+        for t in ("p", *_SELF_CLOSING.get(tag, ())):
+            places = self.places.get(t)
+            if places and places[-1] > least:
+                self.close(places[bisect_right(places, least)])
+
+    def is_open(self, tag: str) -> bool:
+        return bool(self.places.get(tag))
 
 
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page, in order, empty ones left out."""
+    """The leaf blocks of a page, in order, empty ones left out. Time and memory grow with the page's length only."""
     out: list[Block] = []
-    open_: list[tuple[str, frozenset[str], bool | None]] = []
+    open_ = _Open()
     parts: list[str] = []
-    linked, links, at, silent = 0, 0, 0, 0
+    linked, at = 0, 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, linked, tuple(open_)))
+                out.append(Block(text, linked, open_.stack[-1] if open_.stack else None))
             parts.clear()
         linked = 0
 
     def say(raw: str) -> None:
         nonlocal linked
-        if raw and not silent:
-            text = html.unescape(raw)
+        if raw and not open_.is_open("head"):
+            text = unescaped(raw)
             parts.append(text)
-            if links:
+            if open_.is_open("a"):
                 linked += len(text.strip())
 
-    def close(k: int) -> None:
-        nonlocal links, silent
-        for tag, _, _ in open_[k:]:
-            links -= tag == "a"
-            silent -= tag in _SILENT
-        del open_[k:]
-
-    while m := _TOKEN.search(page, at):
-        say(page[at : m.start()])
-        at = m.end()
-        ending, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+    tags = iter(Tags(page))
+    for start, stop, ending, tag, attributes in tags:
+        say(page[at:start])
+        at = stop
         if not tag:
             continue
-        tag = tag.lower()
         if ending:
             if tag in _BLOCK:
                 flush()
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == tag:
-                    close(k)
-                    break
-                if tag not in _BLOCK and open_[k][0] in _BLOCK:
-                    break
+            open_.end(tag)
             continue
         if tag == "br":
             parts.append(" ")
             continue
+        if open_.is_open("head") and (tag in _BLOCK or tag == "body"):  # a head that was never closed
+            open_.close(open_.places["head"][0])
         if tag in _BLOCK:
             flush()
-            # an open p (with what was left open in it) and open elements that the tag implies to be over
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == "p" or open_[k][0] in _SELF_CLOSING.get(tag, ()):
-                    close(k)
-                elif open_[k][0] in _SCOPE:
-                    break
+            open_.implied(tag)
         if tag in _VOID or attributes.endswith("/") and tag in ("svg", "path", "iframe"):
             continue
         hints = frozenset(h for x in _HINT.findall(attributes) for w in _PART.findall("".join(x).lower()) if (h := _HINT_OF.get(w))) if attributes else frozenset()
         label = None if "data-main" not in attributes else 'data-main="1"' in attributes
         if tag in _RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            end = re.compile(rf"</{tag}\s*+>", re.I).search(page, at)
             if tag == "textarea":
-                open_.append((tag, hints, label))
+                open_.push(tag, hints, label)
                 say(page[at : end.start() if end else len(page)])
                 flush()
-                open_.pop()
+                open_.close(len(open_.stack) - 1)
             at = end.end() if end else len(page)
+            tags.send(at)
             continue
-        open_.append((tag, hints, label))
-        links += tag == "a"
-        silent += tag in _SILENT
-        if tag == "body" and silent:  # a head that was never closed
-            close(next(k for k, x in enumerate(open_) if x[0] == "head"))
-            open_.append((tag, hints, label))
+        open_.push(tag, hints, label)
     say(page[at:])
     flush()
     return out
 
 
-def features(found: list[Block]) -> list[list[int]]:
-    """For each block the numbers of the features that it has."""
+def features(found: list[Block], first: int = 0, stop: int | None = None) -> list[list[int]]:
+    """For each block (of those from first to stop) the numbers of the features that it has."""
     rows = []
     last = len(found) - 1
-    for i, b in enumerate(found):
-        tags = [t for t, _, _ in b.around]
-        row = {_INDEX[f"in-{t}"] for t in tags if f"in-{t}" in _INDEX}
-        block = next(((t, h) for t, h, _ in reversed(b.around) if t in _BLOCK), ("body", frozenset()))
-        if (own := f"own-{block[0]}") in _INDEX:
+    for i, b in enumerate(found[first:stop], first):
+        inner = b.inside
+        row = set(inner.common) if inner else set()
+        if (own := f"own-{inner.block if inner else 'body'}") in _INDEX:
             row.add(_INDEX[own])
-        # a hint of body or html speaks of the page, not of the block
-        row |= {_INDEX[f"hint-{h}"] for t, hs, _ in b.around if t not in ("body", "html") for h in hs}
-        row |= {_INDEX[f"near-{h}"] for t, hs, _ in b.around[-2:] if t not in ("body", "html") for h in hs}
+        for e in (inner, inner.above) if inner else ():
+            row.update(_INDEX[f"near-{h}"] for h in (e.hints if e else ()))
         text, n = b.text, len(b.text)
         share = b.linked / n
         words = text.count(" ") + 1
@@ -171,12 +281,7 @@ def features(found: list[Block]) -> list[list[int]]:
             "bias": True, "empty-links": share == 0, "links": 0 < share <= 0.5, "mostly-links": share > 0.5, "short": words < 4, "medium": 4 <= words < 15, "long": 15 <= words < 50, "very-long": words >= 50,
             "stop": text[-1] in ".!?…。", "comma": "," in text, "mark": text[0] in "#*|>»›→", "copyright": "©" in text or "(c)" in text.lower(), "digits": sum(map(str.isdigit, text)) > 0.3 * n, "upper": text.isupper(), "first": i == 0, "last": i == last,
         }
-        row |= {_INDEX[k] for k, v in flags.items() if v}
-        inside = tags.index("article") if "article" in tags else -1
-        if inside >= 0 and "article" in tags[inside + 1 :]:
-            row.add(_INDEX["article-depth"])
-        if inside >= 0 and "header" in tags[inside:]:
-            row.add(_INDEX["in-article-header"])
+        row.update(_INDEX[k] for k, v in flags.items() if v)
         rows.append(sorted(row))
     return rows
 
@@ -234,11 +339,21 @@ class Field:
                 parts[k] += rate * (speed[k] / (1 - 0.9**step)) / (np.sqrt(power[k] / (1 - 0.99**step)) + 1e-8)
         return cls(*parts)
 
+    def emissions(self, rows: list[list[int]]) -> list[list[float]]:
+        """For each row of features what it says for either label."""
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        flat = np.fromiter((f for r in rows for f in r), np.int64, int(sizes.sum()))
+        sums = np.vstack([np.zeros((1, 2)), np.cumsum(self.emission[flat], axis=0)])
+        ends = np.cumsum(sizes)
+        return (sums[ends] - sums[ends - sizes]).tolist()
+
     def decode(self, rows: list[list[int]]) -> list[int]:
-        """The likeliest labels (Viterbi)."""
-        if not rows:
+        return self.decoded(self.emissions(rows))
+
+    def decoded(self, e: list[list[float]]) -> list[int]:
+        """The likeliest labels (Viterbi) for a page's emissions."""
+        if not e:
             return []
-        e = np.array([self.emission[r].sum(axis=0) for r in rows]).tolist()
         (t00, t01), (t10, t11) = self.transition.tolist()
         v0, v1 = e[0][0] + float(self.start[0]), e[0][1] + float(self.start[1])
         back = []
@@ -351,7 +466,7 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = 5) -> list[str]:
             if chance(p):
                 body.insert(int(draw.integers(len(body) + 1)), inset())
         inner = title + "".join(body)
-        layout = pick([0, 0, 0, 0, 1, 2, 3, 4])
+        layout = pick([0, 0, 0, 0, 1, 2, 3, 4, 5, 5])
         if layout == 0:
             return wrap("article", inner, pick(["", "", "post", "story"]), 1)
         if layout == 1:
@@ -360,7 +475,10 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = 5) -> list[str]:
             return wrap("main", wrap("article", inner), "", 1)
         if layout == 3:
             return wrap("div", inner, pick(["content", "article-body", "post-content", "entry", "story-text"]), 1)
-        return wrap("section", wrap("div", inner, pick(["content", ""])), pick(["article", "post"]), 1)
+        if layout == 4:
+            return wrap("section", wrap("div", inner, pick(["content", ""])), pick(["article", "post"]), 1)
+        inner = wrap("div", inner, pick(["entry-content", "story-body", "text"])) if chance(0.4) else inner
+        return wrap("main", wrap("article", inner, pick(["story", "post", "entry", ""])), pick(["content", "main", "page-content"]), 1)
 
     out = []
     for _ in range(n):
@@ -376,14 +494,24 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = 5) -> list[str]:
 
 
 def train(pages: list[str] | None = None) -> Field:
-    """A field from labelled pages (elements with data-main="1" or "0")."""
-    found = [blocks(p) for p in (labelled_pages() if pages is None else pages)]
+    """A field from labelled pages (elements with data-main="1" or "0"); that of composed pages is trained once per process."""
+    return _composed() if pages is None else _trained(pages)
+
+
+def _trained(pages: list[str]) -> Field:
+    found = [blocks(p) for p in pages]
     return Field.train([(features(f), [int(b.main) for b in f]) for f in found])
 
 
+@functools.cache
+def _composed() -> Field:
+    return _trained(labelled_pages())
+
+
 def main_text(page: str | None, field: Field) -> str:
     found = blocks(page or "")
-    return "\n".join(b.text for b, y in zip(found, field.decode(features(found))) if y)
+    emissions = [e for at in range(0, len(found), BATCH) for e in field.emissions(features(found, at, at + BATCH))]
+    return "\n".join(b.text for b, y in zip(found, field.decoded(emissions)) if y)
 
 
 def extract(pages: DataFrame, field: Field, source: str = "html", out: str = "text") -> DataFrame:
