@@ -59,6 +59,38 @@ def test_long_chain_and_empty(spark):
     assert chat.format_trees(df.limit(0)).count() == 0
 
 
+def test_a_cycle_costs_no_rows(spark, monkeypatch):
+    rows = []
+
+    def counted(df, write=chat.written):
+        out = write(df)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(chat, "written", counted)
+    chain = [(f"t{k // 10}", k % 10, k % 10 - 1 if k % 10 else None, "user", "x", 1.0, 0) for k in range(2000)]
+    bad = [("bad", 1, 2, "user", "x", 1.0, 0), ("bad", 2, 1, "user", "x", 1.0, 0), ("bad", 3, 2, "user", "x", 9.0, 0)]
+    assert chat.format_trees(spark.createDataFrame(chain + bad, NODES)).count() == 200
+    assert len(rows) <= 12 and max(rows) <= 2003  # 4 doublings for 10 nodes in a row, whatever the table's size
+    rows.clear()
+    assert chat.format_trees(spark.createDataFrame(bad, NODES)).count() == 0
+    assert len(rows) <= 4
+
+
+def test_only_chosen_paths_are_enumerated(spark):
+    star = [("t", 0, None, "user", "root", 0.0, 0)] + [("t", k, 0, "assistant", str(k), float(k % 7), 0) for k in range(1, 500)]
+    (r,) = chat.format_trees(spark.createDataFrame(star, NODES)).collect()
+    assert (r.leaf, r.score, len(r.segments)) == (6, 6.0, 2)
+    jumps, rooted = chat.ways_up(spark.createDataFrame(star, NODES))
+    assert rooted.count() == 500 and len(jumps) == 1
+
+
+def test_repeated_and_incomplete_nodes(spark):
+    rows = [("t", 1, None, "user", "b", 1.0, 0), ("t", 1, None, "user", "a", 1.0, 0), ("t", 1, None, "user", "a", 1.0, 0), ("t", 2, 1, None, None, None, 0), (None, 1, None, "user", "x", 1.0, 0), ("t", None, 1, "user", "x", 1.0, 0)]
+    (r,) = chat.format_trees(spark.createDataFrame(rows, NODES)).withColumn("turns", chat.parse(F.col("formatted"))).collect()
+    assert [tuple(t) for t in r.turns] == [("user", "a"), ("", "")] and r.score == 1.0
+
+
 def test_rows_by_turn(spark):
     rows = [(1, 2, "user", "c"), (1, 0, "user", "a"), (1, 0, "assistant", "a"), (1, None, None, None), (None, 1, "user", "z"), (1, 0, "user", "a")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")

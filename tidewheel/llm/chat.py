@@ -1,9 +1,10 @@
 """Chat formatting of reply trees, with DataFrame operations only.
 
 A reply tree is a table of nodes with parents. Self-joins that double their reach each time (parent,
-grandparent, 4th, 8th ancestor ...) enumerate the nodes of every root-to-leaf path in about
-log2(depth) rounds; each round's tables are written to the shared folder. Paths are ranked within
-their conversation by score, and each chosen one becomes one formatted conversation.
+grandparent, 4th, 8th ancestor ...) find each node's way to its root and add up the scores on it, in
+about log2(depth) rounds of at most a row per node. The leaves are ranked within their conversation
+by that sum, the nodes of the chosen paths are enumerated by the same tables, and each chosen path
+becomes one formatted conversation. Each round's table is written to the shared folder.
 
 The template marks a turn as START role newline text END. In roles and texts `\\`, `<` and `[` are
 escaped, so neither a mark nor a control string of the <...> and [...] kinds can stand in them, and
@@ -13,10 +14,12 @@ unescaping gives the text back exactly. The loss mask has one entry for each tur
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.llm.shared import written
+from tidewheel.llm.shared import forget, written
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 LEARNED = "assistant"
@@ -36,49 +39,62 @@ def unescape(c: Column, line: bool = False) -> Column:
     return c
 
 
-def paths(nodes: DataFrame) -> DataFrame:
-    """tree, leaf, node, up for all nodes of all root-to-leaf paths; up: steps from the leaf.
+def ways_up(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """(jumps, rooted). rooted: tree, node, score for the nodes that have a way to a root, score being the sum on it,
+    both ends included. jumps[k]: tree, node, above for nodes with a 2**k-th ancestor.
 
-    nodes has tree, node (unique in its tree) and parent. A parent that is null, the node itself or
-    not in the tree makes a root. Nodes that lead into a cycle have no root and are on no path.
+    nodes has tree, node (unique in its tree), parent and score. A parent that is null, the node itself
+    or not in the tree makes a root. Nodes that lead into a cycle have no way to a root.
     """
-    own = nodes.select("tree", "node", F.when(~F.col("parent").eqNullSafe(F.col("node")), F.col("parent")).alias("parent"))
-    there = own.select("tree", F.col("node").alias("parent"))
-    jumps = written(own.join(there, ["tree", "parent"]).select("tree", "node", F.col("parent").alias("above")))
-    linked = jumps
-    every = [written(own.select("tree", "node").join(linked.select("tree", F.col("above").alias("node")), ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")))]
-    reach, most = 1, linked.count()
-    while reach <= most and not jumps.isEmpty():
-        so_far = every[0]
-        for e in every[1:]:
-            so_far = so_far.unionByName(e)
-        every.append(written(so_far.join(jumps, ["tree", "node"]).select("tree", "leaf", F.col("above").alias("node"), (F.col("up") + reach).alias("up"))))
-        upper = jumps.select("tree", F.col("node").alias("above"), F.col("above").alias("top"))
-        jumps = written(jumps.join(upper, ["tree", "above"]).select("tree", "node", F.col("top").alias("above")))
-        reach *= 2
-    out = every[0]
-    for e in every[1:]:
-        out = out.unionByName(e)
-    if not jumps.isEmpty():  # cycles: only paths that end at a root count
-        roots = own.select("tree", "node").join(linked.select("tree", "node"), ["tree", "node"], "left_anti")
-        rooted = out.join(roots, ["tree", "node"]).select("tree", "leaf").distinct()
-        out = out.join(rooted, ["tree", "leaf"])
-    return out
+    own = nodes.select("tree", "node", "score", F.when(~F.col("parent").eqNullSafe(F.col("node")), F.col("parent")).alias("parent"))
+    there = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
+    first = written(own.join(there, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("above"), "score"))
+    done, open_ = first.filter("above is null"), first.filter("above is not null")
+    jumps = []
+    while True:
+        ends = done.select("tree", F.col("node").alias("above"), F.lit(None).cast(open_.schema["above"].dataType).alias("top"), F.col("score").alias("more"))
+        on = open_.select("tree", F.col("node").alias("above"), F.col("above").alias("top"), F.col("score").alias("more"))
+        new = written(open_.join(on.unionByName(ends), ["tree", "above"]).select("tree", "node", F.col("top").alias("above"), (F.col("score") + F.col("more")).alias("score")))
+        left, arrived = new.agg(F.count("above"), F.count_if(F.col("above").isNull())).first()
+        if arrived:
+            jumps.append(open_.drop("score"))
+        # a node twice as far from its root as one that arrived now arrives next: if none did, the others lead into cycles
+        if not arrived:
+            forget(new)
+            return jumps, done
+        done, open_ = done.unionByName(new.filter("above is null")), new.filter("above is not null")
+        if not left:
+            return jumps, done
+
+
+def path_nodes(leaves: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """tree, leaf, node, up for all nodes from each leaf (tree, leaf) to its root; up: steps from the leaf."""
+    every = [leaves.select("tree", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("up"))]
+    for k, jump in enumerate(jumps):
+        so_far = reduce(DataFrame.unionByName, every)
+        every.append(written(so_far.join(jump, ["tree", "node"]).select("tree", "leaf", F.col("above").alias("node"), (F.col("up") + (1 << k)).alias("up"))))
+    return reduce(DataFrame.unionByName, every)
 
 
 def format_trees(nodes: DataFrame, branches: int = 1) -> DataFrame:
     """The `branches` best root-to-leaf paths of every tree, each formatted as one conversation.
 
     nodes: tree, node, parent, role, text, score. A path's score is the sum of its nodes' (null: 0);
-    ties go to the smaller leaf. Null roles and texts are empty. Returns tree, leaf, rank, score,
-    segments (one per turn, root first), loss_spans (for each segment the start and length of an
-    assistant's text, else null) and formatted, the segments joined. Other columns of nodes are left out.
+    ties go to the smaller leaf. Null roles and texts are empty. Of rows with one tree and node the
+    smallest (by parent, role, text, score) counts; rows without a tree or a node are left out, and
+    so are nodes that lead into a cycle. Returns tree, leaf, rank, score, segments (one per turn, root
+    first), loss_spans (for each segment the start and length of an assistant's text, else null) and
+    formatted, the segments joined. Other columns of nodes are left out.
     """
-    nodes = nodes.select("tree", "node", "parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
-    on_path = paths(nodes)
-    scores = on_path.join(nodes.select("tree", "node", "score"), ["tree", "node"]).groupBy("tree", "leaf").agg(F.sum("score").alias("score"))
+    rest = F.struct("parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"))
+    nodes = written(nodes.filter("tree is not null and node is not null").groupBy("tree", "node").agg(F.min(rest).alias("_rest")).select("tree", "node", "_rest.*"))
+    jumps, rooted = ways_up(nodes)
+    leaves = rooted.withColumnRenamed("node", "leaf")
+    if jumps:
+        leaves = leaves.join(jumps[0].select("tree", F.col("above").alias("leaf")), ["tree", "leaf"], "left_anti")
     best = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("score"), "leaf"))
-    chosen = scores.withColumn("rank", best).filter(F.col("rank") <= branches)
+    chosen = written(leaves.withColumn("rank", best).filter(F.col("rank") <= branches))
+    on_path = path_nodes(chosen, jumps)
     segment = F.concat(F.lit(START), escape(F.col("role"), line=True), F.lit("\n"), escape(F.col("text")), F.lit(END))
     body = F.when(F.col("role") == LEARNED, F.char_length(escape(F.col("text"))))
     turns = nodes.select("tree", "node", segment.alias("segment"), body.alias("learned"), (F.char_length(escape(F.col("role"), line=True)) + len(START) + 2).alias("start"))
