@@ -1,5 +1,8 @@
+import gc
 import random
 import re
+import time
+import weakref
 
 from tidewheel.llm import decontam as D
 
@@ -69,3 +72,35 @@ def test_long_text():
     automaton = D.ItemAutomaton([(1, [b"x"] * 13)], 13)
     spans, found = automaton.match([b"x"] * 50_000 + [b"y"] + [b"x"] * 12)
     assert spans == [(0, 50_000)] and found == {1}
+
+
+def test_shared_preambles_take_linear_time():
+    def seconds(n):
+        items = [(k, [b"p%d" % j for j in range(40)] + [b"q%d" % (k * 7 + j) for j in range(20)]) for k in range(n)]
+        start = time.process_time()
+        automaton = D.ItemAutomaton(items, 13)
+        took = time.process_time() - start
+        spans, found = automaton.match([b"p%d" % j for j in range(40)] * 3)
+        assert len(found) == n and spans == [(0, 120)]
+        return took
+
+    assert seconds(16_000) < 12 * max(seconds(4_000), 0.2)
+
+
+def test_one_automaton_is_held_at_a_time(spark, monkeypatch):
+    docs, items = case(1)
+    alive, most = weakref.WeakSet(), []
+
+    class Watched(D.ItemAutomaton):
+        def __init__(self, items, window):
+            super().__init__(items, window)
+            if items:
+                alive.add(self)
+                gc.collect()
+                most.append(len(alive))
+
+    monkeypatch.setattr(D, "ItemAutomaton", Watched)
+    made = D._blocks(spark.createDataFrame(items * 3, "item_id bigint, text string"), 5, 40)
+    for automaton in made:
+        del automaton
+    assert len(most) > 3 and max(most) <= 2

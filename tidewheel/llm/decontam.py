@@ -6,21 +6,26 @@ some item. Where that match is as long as a window, the window's words are hit,
 tells which items hold it. A document whose hit words reach the coverage limit is contaminated,
 and the operator cuts the hit spans out of its text.
 
-The documents never move: one pass, no shuffle. The benchmark is read in blocks of at most
-BLOCK_CHARS characters, each with an automaton of its own; beyond one block the hits of a
-text are united by the text's digest.
+The documents never move: one pass, no shuffle. The benchmark is read in blocks of about
+BLOCK_CHARS characters, each with an automaton of its own; beyond one block there is a pass for each,
+one after the other (so one automaton is held and broadcast at a time), whose hits are written, and
+the hits of a text are united by the text's digest.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.shared import broadcast
+from tidewheel.llm.shared import broadcast, delete, shared_dir, written
 
 #: Characters of item texts in one automaton; bounds what the driver holds and broadcasts at a time.
 BLOCK_CHARS = 4_000_000
@@ -65,8 +70,8 @@ class ItemAutomaton:
             v = 0
             for i, w in enumerate(ws):
                 v = self.next[v][w]
-                if i + 1 >= window and key not in (found := self.items.setdefault(self.window_state[v], [])):
-                    found.append(key)
+                if i + 1 >= window and ((found := self.items.setdefault(self.window_state[v], [])) == [] or found[-1] != key):
+                    found.append(key)  # in the order of items, an item may be there again
             if len(ws) < window:
                 self.short.setdefault(v, []).append((len(ws), key))
         #: The nearest state on the way of suffix links, itself included, with such items.
@@ -114,15 +119,18 @@ class ItemAutomaton:
         found: set[int] = set()
         if len(ws) < self.shortest:
             return spans, found
+        windows: set[int] = set()  # states, so that a window's items are taken once however often it occurs
         known = self.word_ids.get
         ids = np.fromiter((known(w, -1) for w in ws), np.int64, len(ws))
         edges = np.flatnonzero(np.diff(np.concatenate(([False], ids >= 0, [False])).astype(np.int8)))
         for start, stop in zip(edges[::2].tolist(), edges[1::2].tolist()):
             if stop - start >= self.shortest:
-                self._stream(ids[start:stop].tolist(), start, spans, found)
+                self._stream(ids[start:stop].tolist(), start, spans, found, windows)
+        for v in windows:
+            found.update(self.items.get(v, ()))
         return merged(spans), found
 
-    def _stream(self, run: list[int], at: int, spans: list[tuple[int, int]], found: set[int]) -> None:
+    def _stream(self, run: list[int], at: int, spans: list[tuple[int, int]], found: set[int], windows: set[int]) -> None:
         nxt, link, length, window = self.next, self.link, self.length, self.window
         v = matched = 0
         for i, w in enumerate(run, at):
@@ -136,7 +144,7 @@ class ItemAutomaton:
             matched += 1
             if matched >= window:
                 spans.append((i + 1 - window, i + 1))
-                found.update(self.items.get(self.window_state[v], ()))
+                windows.add(self.window_state[v])
             u = self.short_state[v]
             while u > 0:
                 for n, key in self.short[u]:
@@ -172,18 +180,28 @@ _FOUND = "struct<n_words:bigint,starts:array<int>,ends:array<int>,item_ids:array
 _TYPE = pa.struct([("n_words", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("item_ids", pa.list_(pa.int64()))])
 
 
-def _blocks(items: DataFrame, window: int, block_chars: int):
-    """Automata over the items, block by block."""
+def _blocks(items: DataFrame, window: int, block_chars: int) -> Iterator[ItemAutomaton]:
+    """Automata over the items, one block after the other: the driver holds the words of one at a time."""
     items = items.select("item_id", "text").filter("item_id is not null and text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-chars // block_chars) or 1
+    if n == 1:
+        yield _automaton(items, window)
+        return
+    path = shared_dir(items.sparkSession)
+    items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int")).write.partitionBy("block").parquet(path)
+    placed = items.sparkSession.read.schema(f"{items.schema.simpleString()[7:-1].replace(':', ' ')}, block int").parquet(path)
     for k in range(n):
-        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield ItemAutomaton([(r.item_id, words(r.text)) for r in part.sort("item_id", "text").collect()], window)
+        yield _automaton(placed.filter(F.col("block") == k), window)
+    delete(items.sparkSession, path)
 
 
-def _matches(docs: DataFrame, automaton: ItemAutomaton):
-    shared = broadcast(docs.sparkSession, automaton)
+def _automaton(items: DataFrame, window: int) -> ItemAutomaton:
+    return ItemAutomaton([(r.item_id, words(r.text)) for r in items.sort("item_id", "text").collect()], window)
+
+
+def _matches(shared: Broadcast) -> Column:
+    """What the broadcast automaton finds in column text."""
 
     @F.arrow_udf(_FOUND)
     def found(texts: pa.Array) -> pa.Array:
@@ -221,19 +239,24 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, coverage:
     """
     added = ["n_words", "n_hit", "spans", "item_ids", "contaminated", "clean_text"]
     docs = docs.drop(*(c for c in added if c != "text"))
-    automata = list(_blocks(items, window, block_chars))
-    if len(automata) == 1:
-        out = docs.withColumn("_found", _matches(docs, automata[0]))
+    automata = _blocks(items, window, block_chars)
+    first, second = next(automata), next(automata, None)
+    if second is None:
+        out = docs.withColumn("_found", _matches(broadcast(docs.sparkSession, first)))
     else:
-        key = F.sha2("text", 256)
-        texts = docs.select("text")
-        parts = [texts.select(key.alias("_key"), _matches(docs, a).alias("_found")).filter("size(_found.item_ids) > 0") for a in automata]
-        every = parts[0]
-        for p in parts[1:]:
-            every = every.unionByName(p)
-        every = every.dropDuplicates(["_key", "_found"]).groupBy("_key").agg(*(f("_found." + c).alias(c) for f, c in ((F.max, "n_words"), (F.collect_list, "starts"), (F.collect_list, "ends"), (F.collect_list, "item_ids"))))
+        spark, key = docs.sparkSession, F.sha2("text", 256)
+        texts = docs.select("text").filter("text <> ''")
+        none = _matches(broadcast(spark, ItemAutomaton([], window)))
+        parts = []
+        for automaton in chain([first, second], automata):
+            first = second = None
+            shared = broadcast(spark, automaton)
+            # by block, what it hits of any text, once for each text
+            hits = texts.select(key.alias("_key"), _matches(shared).alias("_found")).filter("size(_found.item_ids) > 0")
+            parts.append(written(hits.groupBy("_key").agg(F.first("_found").alias("_found"))))
+            shared.destroy()
+        every = reduce(DataFrame.unionByName, parts).groupBy("_key").agg(*(f("_found." + c).alias(c) for f, c in ((F.max, "n_words"), (F.collect_list, "starts"), (F.collect_list, "ends"), (F.collect_list, "item_ids"))))
         every = every.select("_key", F.arrow_udf(_united, _FOUND)("n_words", "starts", "ends", "item_ids").alias("_hits"))
-        none = _matches(docs, ItemAutomaton([], window))
         out = docs.withColumn("_key", key).join(every, "_key", "left").withColumn("_found", F.coalesce("_hits", none)).drop("_key", "_hits")
     f = F.col("_found")
     hit = F.aggregate(F.zip_with(f.ends, f.starts, lambda b, a: b - a), F.lit(0).cast("bigint"), lambda s, x: s + x)
