@@ -1,9 +1,11 @@
 import random
 import re
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tidewheel.llm import components as C
 from tidewheel.llm import jaccard as J
 from tidewheel.llm.components import components
 
@@ -90,9 +92,12 @@ def test_groups_against_brute_force(spark, monkeypatch):
         want = brute(docs)
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.groups(df).collect()}
         assert got == want
-        monkeypatch.setattr(J, "BLOCK", 400)  # large components go block against block
-        assert {r.doc_id: (r.n_shingles, r.component_id) for r in J.groups(df).collect()} == want
-        monkeypatch.setattr(J, "BLOCK", 1_000_000)
+        for block, rows, frequent in ((400, 16384, 1 << 19), (1_000_000, 7, 40)):  # large components go block against block
+            monkeypatch.setattr(J, "BLOCK", block)
+            monkeypatch.setattr(J, "ROWS", rows)
+            monkeypatch.setattr(J, "FREQUENT", frequent)
+            assert {r.doc_id: (r.n_shingles, r.component_id) for r in J.groups(df).collect()} == want
+        monkeypatch.undo()
 
 
 def test_odd_rows(spark):
@@ -110,3 +115,68 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 6: 6, 7: 6, 8: 6, 9: 6, **{k: 100 for k in range(100, 181)}}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def brute_forest(sets, sides):
+    root = list(range(len(sets)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if 100 * len(x & y) >= 80 * len(x | y) and (sides is None or sides[i] != sides[j]):
+                a, b = top(i), top(j)
+                root[max(a, b)] = min(a, b)
+    return [top(i) for i in range(len(sets))]
+
+
+def test_product_against_brute_force():
+    for seed in range(60):
+        draw = np.random.default_rng(seed)
+        k = int(draw.integers(2, 60))
+        base = [draw.choice(200, draw.integers(1, 40), replace=False) for _ in range(4)]
+        sets = []
+        for _ in range(k):
+            b, m = base[draw.integers(4)].copy(), draw.integers(0, 3)
+            b[draw.integers(0, len(b), m)] = draw.integers(200, 260, m)
+            sets.append(np.unique(np.concatenate([b, draw.integers(300, 400, draw.integers(0, 3))])))
+        sides = draw.integers(0, 2, k) if seed % 2 else None
+        edges = J.overlaps(np.arange(k), np.zeros(k, int) if sides is None else sides, np.concatenate(sets).astype(np.uint64), np.array([len(s) for s in sets]))
+        root = list(range(k))
+
+        def top(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in edges:
+            a, b = top(a), top(b)
+            assert a != b  # a forest
+            root[max(a, b)] = min(a, b)
+        assert [top(i) for i in range(k)] == brute_forest([set(x.tolist()) for x in sets], sides), seed
+
+
+def test_many_short_rows_that_share_most_shingles(spark, monkeypatch):
+    monkeypatch.setattr(J, "ROWS", 1500)
+    words = " ".join(f"w{j}" for j in range(13))
+    linked = [(k, f"{words} x{k}") for k in range(6000)]  # 9 of 11 shingles in common
+    apart = [(6000 + k, f"{words[:-4]} y{k} z{k}") for k in range(6000)]  # 8 of 12
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.groups(spark.createDataFrame(linked + apart, "doc_id bigint, text string")).collect()}
+    assert got == {**{k: (10, 0) for k, _ in linked}, **{k: (10, k) for k, _ in apart}}
+
+
+def test_frequent_shingles_are_at_most_so_many(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, " ".join(f"v{j}" for j in range(k % 50 + 5))) for k in range(2000)], "doc_id bigint, text string")
+    every = len(J._frequent(docs, 5))
+    monkeypatch.setattr(J, "FREQUENT", every // 2)
+    assert 0 < len(J._frequent(docs, 5)) <= every // 2
+
+
+def test_hubs(spark, monkeypatch):
+    monkeypatch.setattr(C, "HUB", 5)
+    edges = [(0, k) for k in range(1, 60)] + [(k, 100 + k) for k in range(1, 60)] + [(500, 400 + k) for k in range(50)] + [(700, 701)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {**{k: 0 for k in [*range(60), *range(101, 160)]}, **{k: 400 for k in [500, *range(400, 450)]}, 700: 700, 701: 700}

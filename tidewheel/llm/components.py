@@ -7,24 +7,37 @@ from pyspark.sql import functions as F
 
 from tidewheel.llm.shared import forget, written
 
+#: Neighbours that make a node a hub, and the hubs that there may be (that number of rows is broadcast).
+HUB, HUBS = 1000, 100_000
+
+
+def _meet(edges: DataFrame, least: DataFrame, hub: int) -> DataFrame:
+    """edges with m of their u; least: u, m, degree."""
+    hubs = least.filter(F.col("degree") > hub).select("u", F.col("m").alias("of_hub"))
+    marked = edges.join(F.broadcast(hubs), "u", "left")
+    others = marked.filter("of_hub is null").select("u", "v").join(least.filter(F.col("degree") <= hub).select("u", "m"), "u")
+    return marked.filter("of_hub is not null").select("u", "v", F.col("of_hub").alias("m")).unionByName(others)
+
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root for every node of edges (a, b: bigint); root is the smallest node that it is linked with.
 
     Alternates two steps until nothing changes: every node points its larger neighbours at its
     smallest one, then its smaller ones. Each round writes its edges to the shared folder, at most
-    as many as there were. Nulls and loops are left out; without an edge there is no row.
+    as many as there were. Edges of hubs, nodes with very many neighbours, meet the hub's smallest one
+    without being shuffled by it. Nulls and loops are left out; without an edge there is no row.
     """
     e = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v and a is not null and b is not null").distinct())
-    mark = None
+    mark, n = None, e.count()
     while True:
+        hub = max(HUB, 2 * n // HUBS)  # so there are HUBS of them at most
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
-        below = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(below, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").unionByName(below.select("u", F.col("m").alias("v"))).distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree")).withColumn("m", F.least("u", "m"))
+        large = _meet(both.filter("v > u"), least, hub).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
+        below = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+        small = _meet(large, below, hub).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").unionByName(below.select("u", F.col("m").alias("v"))).distinct()
         new = written(small)
-        now = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        now = n, _ = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         forget(e)
         e = new
         if now == mark:

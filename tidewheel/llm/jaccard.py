@@ -5,13 +5,17 @@ it from becoming quadratic.
 
 Equal sets are one row of the matrix (a class, represented by its smallest id), so exact copies
 cost nothing. The first product uses only each row's prefix: in one global order of shingles, rows
-of n shingles that are 80 % alike share one among the first n - ceil(0.8 n) + 1. The order puts the
-frequent shingles last; as any common order is
+of n shingles that are 80 % alike share one among the first n - ceil(0.8 n) + 1, and at the first that they
+share the smaller row has passed n / 9 at most. The order puts the frequent shingles last; as any common order is
 valid, it is enough to count what prefixes by hash hold. Overlaps accumulated over prefixes discard pairs that cannot
 reach the size-derived bound; a shingle with more than SPARSE rows gives a star of candidate edges
-in place of all pairs. The candidate edges' components are the blocks of the second product, over
-whole sets, which counts every overlap exactly, block against block where a component is too
-large for a task, and passes on a spanning forest of the links.
+in place of all pairs, and a frequent one that no row may begin a match with gives none.
+
+The candidate edges' components are the blocks of the second product, over whole sets, which passes
+on a spanning forest of the links. A component of more than BLOCK shingles or ROWS rows is cut into
+bands of sizes, of which only neighbours meet, and these into parts, so a task compares at most ROWS
+with ROWS rows. Within a task pairs come from prefixes again, those of rows already united are
+skipped, and the overlaps of the others are counted exactly.
 
 Shingles are 64-bit hashes. Links are transitive in the result: every linked document is in its
 group, though copies and pairs within a group are not listed.
@@ -35,8 +39,10 @@ WORDS = 5
 SPARSE = 16
 #: Frequent shingles that are put last, at most; the broadcast list has 8 bytes for each.
 FREQUENT = 1 << 19
-#: Shingles in a block of the second product.
-BLOCK = 1_000_000
+#: Shingles, and rows, in a block of the second product.
+BLOCK, ROWS = 1_000_000, 1 << 14
+#: Sizes in a band differ by this factor: more than 1.25, so that alike rows are in one band or in neighbours.
+BAND = 1.26
 #: Parts that a frequent shingle's rows are dealt out to.
 SALT = 64
 #: Bits of the filter that picks the documents whose sets are needed: at most 8 MB.
@@ -126,7 +132,7 @@ def _frequent(docs: DataFrame, least: int) -> np.ndarray:
     """Shingles that more than `least` documents have in the prefix they would have by hashes alone, sorted.
 
     Counted over all documents: by each task for what it reads, then over tasks. If they are more
-    than FREQUENT, those with the largest counts.
+    than FREQUENT, those from that eighth of a power of two on which leaves FREQUENT at most.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,10 +156,19 @@ def _frequent(docs: DataFrame, least: int) -> np.ndarray:
 
     ship(docs.sparkSession)
     found = written(docs.select("text").mapInArrow(counted, "shingle bigint, n int").groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") > least))
-    n = found.count()
-    if n > FREQUENT:  # the count that about FREQUENT of them reach
-        found = found.filter(F.col("n") > int(found.approxQuantile("n", [1 - FREQUENT / n], 0.001)[0]))
-    return np.sort(found.select("shingle").toArrow().column(0).to_numpy().view(np.uint64))
+    step = F.floor(8 * F.log2("n")).cast("int")
+    histogram = sorted(((r.step, r["count"]) for r in found.groupBy(step.alias("step")).count().collect()), reverse=True)  # 8 * 63 rows at most
+    kept, total = None, 0
+    for at, n in histogram:
+        total += n
+        if total > FREQUENT:
+            break
+        kept = at
+    out = np.empty(0, np.uint64)
+    if kept is not None:
+        out = np.sort(found.filter(step >= kept).select("shingle").toArrow().column(0).to_numpy().view(np.uint64))
+    forget(found)
+    return out
 
 
 def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -191,20 +206,27 @@ def _candidates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Edges (a, b) such that rows 80 % alike are in one component, and the written table that they are made of;
     rows: rep, n, prefix, n_late, a class each."""
     at = F.posexplode("prefix").alias("pos", "shingle")
-    dealt = rows.select("rep", "n", (F.size("prefix") - F.col("n_late")).alias("early"), at)
-    late = F.col("pos") >= F.col("early")
-    dealt = dealt.select("shingle", F.when(late, F.pmod(F.xxhash64("rep"), F.lit(SALT)) + 1).otherwise(0).cast("int").alias("salt"), "rep", "n")
+    dealt = rows.select("rep", "n", "n_late", (F.size("prefix") - F.col("n_late")).alias("early"), at)
+    late, begins = F.col("pos") >= F.col("early"), 9 * F.col("pos") <= F.col("n")
+    # one number holds n, n_late and whether a match with a row of this size or more may begin here
+    packed = F.col("n") + F.shiftleft(F.col("n_late").cast("long"), 31) + F.shiftleft(begins.cast("long"), 62)
+    dealt = dealt.select("shingle", F.when(late, F.pmod(F.xxhash64("rep"), F.lit(SALT)) + 1).otherwise(0).cast("int").alias("salt"), "rep", packed.alias("packed"))
     # one shuffle by shingle serves the counts, the join with them and the pairs
     dealt = dealt.repartition("shingle", "salt")
-    counts = dealt.groupBy("shingle", "salt").agg(F.count("*").alias("m"), F.min("rep").alias("first"))
-    shared = written(dealt.join(counts.filter("m > 1 or salt > 0"), ["shingle", "salt"]))
-    sparse = shared.filter(f"salt = 0 and m <= {SPARSE}").select("shingle", "rep", "n")
-    other = sparse.select("shingle", F.col("rep").alias("other"), F.col("n").alias("n2"))
+    counts = dealt.groupBy("shingle", "salt").agg(F.count("*").alias("m"), F.min("rep").alias("first"), F.max("packed").alias("most"))
+    begun = counts.filter((F.col("salt") > 0) & (F.col("most") >= 1 << 62)).select("shingle").distinct()  # FREQUENT rows at most
+    several = counts.filter("m > 1 and salt = 0").drop("most").unionByName(counts.filter("salt > 0").drop("most").join(F.broadcast(begun), "shingle", "left_semi"))
+    shared = written(dealt.join(several, ["shingle", "salt"]))
+    n = lambda c: F.col(c).bitwiseAND((1 << 31) - 1)
+    n_late = lambda c: F.shiftright(c, 31).bitwiseAND((1 << 31) - 1)
+    sizes = [n("packed").alias("n"), n_late("packed").alias("late")]
+    sparse = shared.filter(f"salt = 0 and m <= {SPARSE}").select("shingle", "rep", *sizes)
+    other = sparse.select("shingle", F.col("rep").alias("other"), F.col("n").alias("n2"), F.col("late").alias("late2"))
     alike = (F.col("rep") < F.col("other")) & (5 * F.least("n", "n2") >= 4 * F.greatest("n", "n2"))
-    pairs = sparse.join(other, "shingle").filter(alike).groupBy("rep", "n", "other", "n2").agg(F.count("*").alias("overlap"))
-    # what is shared but not in both prefixes lies behind the prefix of one of the two
+    pairs = sparse.join(other, "shingle").filter(alike).groupBy("rep", "n", "late", "other", "n2", "late2").agg(F.count("*").alias("overlap"))
+    # what is shared but not in both prefixes lies behind the prefix of one of the two; frequent ones may be shared too
     behind = lambda n: F.floor((4 * F.col(n) + 4) / 5) - 1
-    pairs = pairs.filter(9 * (F.col("overlap") + F.greatest(behind("n"), behind("n2"))) >= 4 * (F.col("n") + F.col("n2")))
+    pairs = pairs.filter(9 * (F.col("overlap") + F.least("late", "late2") + F.greatest(behind("n"), behind("n2"))) >= 4 * (F.col("n") + F.col("n2")))
     dense = shared.filter(f"salt > 0 or m > {SPARSE}")
     stars = dense.groupBy(F.col("first").alias("a"), F.col("rep").alias("b")).agg(F.lit(1)).select("a", "b")
     firsts = dense.filter("salt > 0").groupBy("shingle", "first").agg(F.lit(1)).groupBy("shingle").agg(F.min("first").alias("least"))
@@ -233,75 +255,129 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.filter("doc_id is not null").filter(maybe(place("doc_id"))).select(F.col("doc_id").cast("bigint").alias("rep"), "text")
 
 
+class _Union:
+    """Disjoint groups of 0..k-1; group[i] is i's group, kept up to date (the smaller one is renamed)."""
+
+    def __init__(self, k: int):
+        self.group = np.arange(k)
+        self.members = [[i] for i in range(k)]
+
+    def join(self, i: int, j: int) -> bool:
+        a, b = int(self.group[i]), int(self.group[j])
+        if a == b:
+            return False
+        if len(self.members[a]) < len(self.members[b]):
+            a, b = b, a
+        self.group[self.members[b]] = a
+        self.members[a] += self.members[b]
+        self.members[b] = []
+        return True
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, so many of each."""
+    return np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
 def overlaps(ids: np.ndarray, sides: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
-    """The block's product: a spanning forest of the pairs (of different sides, unless all are 0) that are 80 % alike."""
+    """The block's product: a spanning forest of the pairs (of different sides, unless all are 0) that are 80 % alike.
+
+    Rows, by size, look for smaller ones in the postings of prefixes, in the order of the block's own frequencies.
+    """
     k = len(ids)
-    owner = np.repeat(np.arange(k), sizes)
-    _, column = np.unique(flat, return_inverse=True)
-    order = np.argsort(column, kind="stable")
-    width = np.bincount(column)
-    starts = np.cumsum(width) - width
-    posting = owner[order]
-    ends = np.cumsum(sizes)
-    above = list(range(k))
-
-    def top(x: int) -> int:
-        while above[x] != x:
-            above[x] = above[above[x]]
-            x = above[x]
-        return x
-
-    out = []
+    by_size = np.argsort(sizes, kind="stable")
+    ids, sides, n = ids[by_size], sides[by_size], sizes[by_size]
+    flat = flat[_ranges((np.cumsum(sizes) - sizes)[by_size], n)]
+    owner, offsets = np.repeat(np.arange(k), n), np.cumsum(n) - n
+    _, column, width = np.unique(flat, return_inverse=True, return_counts=True)
+    order = np.lexsort((column, width[column], owner))
+    column, place = column[order], np.arange(len(flat)) - np.repeat(offsets, n)
+    shared = width[column] > 1
+    entry = np.flatnonzero(shared & (9 * place <= n[owner]))  # where a match with a row of this size or more may begin
+    key = column[entry] * k + owner[entry]
+    sort = np.argsort(key, kind="stable")
+    key, row_of, place_of = key[sort], owner[entry[sort]], place[entry[sort]]
+    probe = np.flatnonzero(shared & (place <= n[owner] - (4 * n[owner] + 4) // 5))
+    least = np.searchsorted(5 * n, 4 * n)  # the first row that isn't too small for each
+    start = np.searchsorted(key, column[probe] * k + least[owner[probe]])
+    length = np.searchsorted(key, column[probe] * k + owner[probe]) - start
+    probe, start, length = probe[length > 0], start[length > 0], length[length > 0]
+    bounds = np.searchsorted(owner[probe], np.arange(k + 1))
+    united, out = _Union(k), []
+    here, seen = np.zeros(len(width), bool), np.full(k, -1)
     both = bool(sides.any())
-    for a in range(k):
-        cols = column[ends[a] - sizes[a] : ends[a]]
-        cols = cols[width[cols] > 1]
-        lengths = width[cols]
-        if not len(cols):
-            continue
-        at = np.arange(lengths.sum()) + np.repeat(starts[cols] - (np.cumsum(lengths) - lengths), lengths)
-        shared = np.bincount(posting[at], minlength=k)
-        linked = 9 * shared >= 4 * (sizes[a] + sizes)
-        linked[: a + 1] = False
-        if both:
-            linked &= sides != sides[a]
-        for b in np.flatnonzero(linked).tolist():
-            x, y = top(a), top(b)
-            if x != y:
-                above[max(x, y)] = min(x, y)
-                out.append((int(ids[a]), int(ids[b])))
+    for a in np.flatnonzero(np.diff(bounds)).tolist():
+        lo, hi = bounds[a], bounds[a + 1]
+        at = _ranges(start[lo:hi], length[lo:hi])
+        passed = np.repeat(place[probe[lo:hi]], length[lo:hi])
+        own = column[offsets[a] : offsets[a] + n[a]]
+        here[own] = True
+        some = 64
+        while len(at):
+            part, passed_a, at, passed = at[:some], passed[:some], at[some:], passed[some:]
+            b = row_of[part]
+            fits = (united.group[b] != united.group[a]) & (seen[b] != a) & (9 * np.minimum(n[a] - passed_a, n[b] - place_of[part]) >= 4 * (n[a] + n[b]))
+            if both:
+                fits &= sides[b] != sides[a]
+            b = np.unique(b[fits])
+            linked = b[:0]
+            if len(b):
+                seen[b] = a
+                m = n[b]
+                overlap = np.add.reduceat(here[column[_ranges(offsets[b], m)]].astype(np.int64), np.cumsum(m) - m)
+                linked = b[9 * overlap >= 4 * (n[a] + m)]
+            for c in linked.tolist():
+                if united.join(a, c):
+                    out.append((int(ids[a]), int(ids[c])))
+            if len(linked) and len(at):
+                open_ = united.group[row_of[at]] != united.group[a]
+                at, passed = at[open_], passed[open_]
+            some = min(2 * some, 4096)
+        here[own] = False
     return out
 
 
+def _placed(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """rep, block, band, next, i, j, side: the tasks of the second product that each row takes part in."""
+    members = groups.join(rows.select(F.col("rep").alias("node"), "n"), "node").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / np.log(BAND)).cast("int"))
+    bands = written(members.groupBy("root", "band").agg(F.sum("n").alias("total"), F.count("*").alias("rows")))
+    whole = bands.agg(F.sum("total")).first()[0] or 0
+    small = F.pmod(F.xxhash64("root"), F.lit(max(1, 2 * whole // BLOCK)))
+    parts = F.ceil(F.greatest(F.col("total") / BLOCK, F.col("rows") / ROWS)).cast("int")
+    large = bands.groupBy("root").agg(F.sum("total").alias("total"), F.sum("rows").alias("rows"), F.map_from_entries(F.collect_list(F.struct("band", parts))).alias("parts"))
+    large = large.filter((F.col("total") > BLOCK) | (F.col("rows") > ROWS)).select("root", "parts")  # some 60 bands at most each
+    out = members.join(large, "root", "left")
+    of = lambda step: F.coalesce(F.try_element_at("parts", F.col("band") + step), F.lit(0))
+    own = F.pmod(F.xxhash64("node"), F.greatest(of(0), F.lit(1))).cast("int")
+    out = out.withColumns({"own": own, "parts_0": of(0), "parts_1": of(1), "parts_2": of(-1)})
+    me, band = F.col("own"), F.col("band")
+
+    def tasks(count: str, task) -> F.Column:
+        numbers = F.filter(F.sequence(F.lit(0), F.col(count)), lambda o: o < F.col(count))
+        return F.transform(numbers, lambda o: F.struct(*(c.cast("int").alias(name) for c, name in zip(task(o), ("band", "next", "i", "j", "side")))))
+
+    same = tasks("parts_0", lambda o: (band, band, F.least(me, o), F.greatest(me, o), (me > o)))
+    up = tasks("parts_1", lambda o: (band, band + 1, me, o, F.lit(0)))
+    down = tasks("parts_2", lambda o: (band - 1, band, o, me, F.lit(1)))
+    alone = F.array(F.struct(*(F.lit(0).alias(name) for name in ("band", "next", "i", "j", "side"))))
+    is_large = F.col("parts").isNotNull()
+    out = out.select(F.col("node").alias("rep"), F.when(is_large, F.col("root")).otherwise(small).alias("block"), is_large.alias("large"), F.explode(F.when(is_large, F.concat(same, up, down)).otherwise(alone)).alias("task"))
+    return out.select("rep", "block", "large", "task.*")
+
+
 def _links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
     """Edges (a, b) of a spanning forest of all links, as a written table; groups: node, root of the candidate components."""
-    members = written(groups.join(rows.select(F.col("rep").alias("node"), "n"), "node"))
-    total = members.groupBy("root").agg(F.sum("n").alias("total"))
-    large = total.filter(F.col("total") > BLOCK).select("root", F.ceil(F.col("total") / BLOCK).cast("int").alias("parts"))
-    whole = members.agg(F.sum("n")).first()[0] or 0
-    small = F.pmod(F.xxhash64("root"), F.lit(max(1, 2 * whole // BLOCK)))
-    placed = members.join(large, "root", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    # a member of a large component meets every block of it, its own included
-    placed = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    placed = placed.select(
-        F.col("node").alias("rep"),
-        F.when(F.col("parts") > 1, F.col("root")).otherwise(small).alias("block"),
-        F.col("parts").alias("parts"),
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"),
-    )
+    placed = written(_placed(rows, groups))
 
     def product(t: pa.Table) -> pa.Table:
         sets = list(shingle_sets(t.column("text").to_pylist()))
-        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))  # none is empty
         found = overlaps(t.column("rep").to_numpy(), t.column("side").to_numpy(), np.concatenate(sets), sizes)
         return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
-    texts = _texts(docs, members.select(F.col("node").alias("rep")))
-    out = written(placed.join(texts, "rep").groupBy("block", "parts", "i", "j").applyInArrow(product, "a bigint, b bigint"))
-    forget(members)
+    texts = _texts(docs, placed.select("rep").distinct())
+    out = written(placed.join(texts, "rep").groupBy("block", "large", "band", "next", "i", "j").applyInArrow(product, "a bigint, b bigint"))
+    forget(placed)
     return out
 
 
@@ -325,8 +401,10 @@ def groups(docs: DataFrame) -> DataFrame:
     roots = components(links)
     forget(links)
     named = rows.select("set_hash", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("set_hash", F.coalesce("root", "rep").alias("component_id"))
-    out = sketches.select("doc_id", "n", "set_hash").join(named, "set_hash", "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", F.col("doc_id").cast("bigint")).alias("component_id"))
+    kept = sketches.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "set_hash")
+    own = F.col("doc_id").cast("bigint")
+    out = kept.filter("n_shingles > 0").join(named, "set_hash", "left").select("doc_id", "n_shingles", F.coalesce("component_id", own).alias("component_id"))
+    return out.unionByName(kept.filter("n_shingles = 0").select("doc_id", "n_shingles", own.alias("component_id")))
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
