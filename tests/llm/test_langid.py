@@ -59,3 +59,28 @@ def test_kernel_is_the_mean_cosine_of_presence():
         for j, b in enumerate(texts):
             want = sum(len(x & y) / (len(x) * len(y)) ** 0.5 for x, y in zip(sets(a), sets(b))) / 3
             assert abs(k[i, j] - want) < 1e-5
+
+
+def test_many_languages_are_bounded(spark):
+    rnd = random.Random(4)
+    data = [(k, " ".join(f"{chr(97 + g % 26)}{chr(97 + g // 26)}{rnd.choice('aeiou')}" for _ in range(8)), f"l{g}", "") for k in range(2400) for g in [k % 300]]
+    model = L.fit(spark.createDataFrame(data, SCHEMA), sample=600, marks=100)
+    assert 200 <= len(model.languages) <= 300 and 50 <= model.landmarks.n <= 160
+    text_ids = spark.createDataFrame([(str(k), t, g, s) for k, t, g, s in rows()], "doc_id string, text string, lang string, score string")
+    assert {r.lang_pred for r in L.identified(text_ids).collect()} == set(WORDS)
+
+
+def test_sparse_and_dense_parts_agree(monkeypatch):
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(rnd.randint(1, 60))) for _ in range(30)] + ["", None, "1"]
+    got = []
+    for dense in (0, 8, 1000):  # all sparse, both, all dense
+        monkeypatch.setattr(L, "DENSE", dense)
+        marks = L.Landmarks([t for t in texts[:20]])
+        got.append(marks.kernel(texts))
+    assert abs(got[0] - got[1]).max() < 1e-6 and abs(got[2] - got[1]).max() < 1e-6
+
+
+def test_one_id_with_many_texts_counts_once(spark):
+    many = [(7, f"the and over {'x' * (k % 9)} {k}", "en", "") for k in range(500)]
+    assert len(L.fit(spark.createDataFrame(rows() + many, SCHEMA)).languages) == 3

@@ -6,14 +6,16 @@ are a bounded sample of learned texts; a text's kernel row against all landmarks
 product of two presence matrices. One-versus-rest kernel ridge regression in the landmarks' space
 gives a value per language, and the largest wins.
 
-The fit uses about PER_LANGUAGE rows of each language (uniform by the id's hash), LANDMARKS of them
-as landmarks; its cost and what is broadcast don't grow with the corpus. Prediction reads whole
-texts in one pass, in batches, without a shuffle.
+The fit uses about PER_LANGUAGE rows of each language (uniform by the id's hash) and SAMPLE in all,
+and as landmarks LANDMARKS of each and MARKS in all; its cost and what is broadcast grow neither with
+the corpus nor with the number of lang values. The landmarks' matrix is kept sparse but for the
+n-grams that many of them hold. Prediction reads whole texts in one pass, in batches, without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,8 +26,13 @@ from pyspark.sql import functions as F
 from tidewheel.llm.quality import remainder
 from tidewheel.llm.shared import broadcast
 
-#: Rows of each language that a fit learns from, and of these the landmarks (about: the hash decides).
+#: Rows of each language that a fit learns from, and of these the landmarks (about: the hash decides); where there
+#: are so many languages that these would be more than SAMPLE rows or MARKS landmarks in all, a like share of each.
 PER_LANGUAGE, LANDMARKS = 400, 24
+SAMPLE, MARKS = 20_000, 512
+#: An n-gram that one in so many landmarks hold is a column of the dense part of their matrix, which is therefore
+#: at most so many times as large as the sparse one would be.
+DENSE = 8
 RIDGE = 1e-2
 #: Languages up to which their counts are broadcast; more are joined by shuffle.
 LANGUAGES = 10_000
@@ -56,22 +63,44 @@ class Landmarks:
 
     def __init__(self, texts: list[str]):
         sets = [grams(t) for t in texts]
+        self.n = m = len(sets)
         self.known = [np.unique(np.concatenate([s[n] for s in sets])) if sets else np.empty(0, np.uint64) for n in range(3)]
         self.starts = np.concatenate(([0], np.cumsum([len(k) for k in self.known])))
-        self.matrix = self.presence(sets).T.copy()
-
-    def presence(self, sets: list[list[np.ndarray]]) -> np.ndarray:
-        """A row per text over the known n-grams: 1 / sqrt(3 * its distinct n-grams) where present."""
-        out = np.zeros((len(sets), self.starts[-1]), np.float32)
-        for row, s in zip(out, sets):
+        gram, row, value = self._presence(sets)
+        times = np.bincount(gram, minlength=self.starts[-1])
+        common = DENSE * times >= m
+        self.column = np.where(common, np.cumsum(common) - 1, -1)
+        self.dense = np.zeros((int(common.sum()), m), np.float32)
+        self.dense[self.column[gram[common[gram]]], row[common[gram]]] = value[common[gram]]
+        order = np.flatnonzero(~common[gram])
+        order = order[np.argsort(gram[order], kind="stable")]
+        self.marks, self.values = row[order].astype(np.int32), value[order]
+        self.ends = np.cumsum(np.where(common, 0, times))
+
+    def _presence(self, sets: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The entries of a matrix of a row per text over the known n-grams: 1 / sqrt(3 * its distinct n-grams) where
+        present; as n-gram, row, value."""
+        found, sizes, values = [np.empty(0, np.int64)], [], []
+        for s in sets:
             for n in range(3):
-                if len(s[n]) and len(self.known[n]):
-                    at = np.minimum(np.searchsorted(self.known[n], s[n]), len(self.known[n]) - 1)
-                    row[self.starts[n] + at[self.known[n][at] == s[n]]] = 1 / np.sqrt(3 * len(s[n]))
-        return out
+                at = np.minimum(np.searchsorted(self.known[n], s[n]), max(len(self.known[n]) - 1, 0))
+                found.append(self.starts[n] + (at[self.known[n][at] == s[n]] if len(self.known[n]) else at[:0]))
+                sizes.append(len(found[-1]))
+                values.append(1 / np.sqrt(3 * max(len(s[n]), 1)))
+        return np.concatenate(found).astype(np.int64), np.repeat(np.repeat(np.arange(len(sets)), 3), sizes), np.repeat(np.array(values, np.float32), sizes)
 
     def kernel(self, texts: list[str | None]) -> np.ndarray:
-        return self.presence([grams(t) for t in texts]) @ self.matrix
+        """The product of the texts' presence matrix with that of the landmarks."""
+        gram, row, value = self._presence([grams(t) for t in texts])
+        column = self.column[gram]
+        rows = np.zeros((len(texts), len(self.dense)), np.float32)
+        rows[row[column >= 0], column[column >= 0]] = value[column >= 0]
+        out = rows @ self.dense
+        gram, row, value = gram[column < 0], row[column < 0], value[column < 0]
+        times = self.ends[gram] - np.where(gram > 0, self.ends[gram - 1], 0)
+        at = np.arange(times.sum()) + np.repeat(self.ends[gram] - np.cumsum(times), times)
+        rest = np.bincount(np.repeat(row, times) * self.n + self.marks[at], np.repeat(value, times) * self.values[at], minlength=len(texts) * self.n)
+        return out + rest.reshape(len(texts), self.n).astype(np.float32)
 
 
 @dataclass
@@ -89,7 +118,8 @@ class KernelRidge:
         languages = sorted(set(langs))
         y = np.where(np.array(langs, object)[:, None] == np.array(languages, object)[None, :], 1.0, -1.0)
         # one weight for each language, however many rows it has
-        share = np.sqrt(len(langs) / (len(languages) * np.array([langs.count(x) for x in langs])))
+        times = Counter(langs)
+        share = np.sqrt(len(langs) / (len(languages) * np.array([times[x] for x in langs])))
         values, vectors = np.linalg.eigh((own + own.T) / 2)
         keep = values > 1e-6 * values.max()
         root = vectors[:, keep] / np.sqrt(values[keep])
@@ -118,29 +148,37 @@ class KernelRidge:
         return langs, scores
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> KernelRidge:
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, sample: int = SAMPLE, marks: int = MARKS) -> KernelRidge:
     """Learns from text and non-null lang of rows whose crc32(doc_id) mod 4 is not 2.
 
-    Rows without a text or a letter teach nothing; equal rows count once.
-    Without any row to learn from, every prediction is `und`.
+    Rows without a text or a letter teach nothing; of rows with one id and lang the smallest text
+    counts. per_language, landmarks: see PER_LANGUAGE; sample, marks: their bounds over all languages.
+    A language of which no row is drawn is not learned. Without any row to learn from, every prediction is `und`.
     """
     spark = docs.sparkSession
+    nothing = KernelRidge([], Landmarks([]), np.zeros((0, 0)), np.zeros(0))
     usable = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("doc_id", 4) != 2))
     counts = usable.groupBy("lang").count()
-    if counts.count() <= LANGUAGES:  # then no row of a common language has to move
+    languages = counts.count()
+    if not languages:
+        return nothing
+    if languages <= LANGUAGES:  # then no row of a common language has to move
         counts = F.broadcast(counts)
+    per_language, landmarks = min(per_language, sample / languages), min(landmarks, marks / languages)
     draw = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) * F.col("count") / (1 << 30)
     drawn = usable.select("doc_id", "lang").join(counts, "lang").withColumn("draw", draw).filter(F.col("draw") < per_language).drop("count")
     drawn = [tuple(r) for r in drawn.select("doc_id", "lang", "draw").distinct().collect()]  # about per_language rows of each language
     if not drawn:
-        return KernelRidge([], Landmarks([]), np.zeros((0, 0)), np.zeros(0))
-    ids = F.broadcast(spark.createDataFrame(drawn, "doc_id bigint, lang string, draw double"))
-    sample = usable.join(ids, ["doc_id", "lang"])
-    marks = [r for r in sample.filter(F.col("draw") < landmarks).select("doc_id", "lang", "text").distinct().collect() if has_letter(r.text)]
-    marks.sort(key=lambda r: (r.lang, r.doc_id, r.text))
-    if not marks:
-        return KernelRidge([], Landmarks([]), np.zeros((0, 0)), np.zeros(0))
-    built = Landmarks([r.text for r in marks])
+        return nothing
+    ids = F.broadcast(spark.createDataFrame(drawn, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, draw double"))
+    rows = usable.filter(F.col("text").rlike(r"\p{L}")).join(ids, ["doc_id", "lang"]).groupBy("doc_id", "lang", "draw").agg(F.min("text").alias("text"))
+    drawn_marks = [r for r in rows.filter(F.col("draw") < landmarks).collect() if has_letter(r.text)]
+    if not drawn_marks:  # so few rows that none falls below the landmarks' share
+        drawn_marks = [r for r in rows.orderBy("draw", "lang", "doc_id").limit(int(max(landmarks, 1))).collect() if has_letter(r.text)]
+    drawn_marks.sort(key=lambda r: (r.lang, r.doc_id, r.text))
+    if not drawn_marks:
+        return nothing
+    built = Landmarks([r.text for r in drawn_marks])
     shared = broadcast(spark, built)
 
     @F.arrow_udf("array<float>")
@@ -148,10 +186,10 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
         parts = [shared.value.kernel([t.as_py() for t in texts[at : at + BATCH]]) for at in range(0, len(texts), BATCH)]
         return pa.array([row for p in parts for row in p], pa.list_(pa.float32()))
 
-    got = sample.filter(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", rows_of("text").alias("k")).distinct().collect()
+    got = rows.select("doc_id", "lang", rows_of("text").alias("k")).collect()
     got.sort(key=lambda r: (r.lang, r.doc_id, r.k))
-    rows = np.array([r.k for r in got], np.float64).reshape(len(got), len(marks))
-    return KernelRidge.fit(built, built.kernel([r.text for r in marks]).astype(np.float64), rows, [r.lang for r in got])
+    learned = np.array([r.k for r in got], np.float64).reshape(len(got), len(drawn_marks))
+    return KernelRidge.fit(built, built.kernel([r.text for r in drawn_marks]).astype(np.float64), learned, [r.lang for r in got])
 
 
 def identify(docs: DataFrame, model: KernelRidge, text: str = "text") -> DataFrame:

@@ -115,8 +115,8 @@ def remainder(doc_id: str, parts: int) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> BradleyTerry:
     """Learns from documents whose labels.quality is 0 or 1 and whose crc32(doc_id) mod 3 is not 1.
 
-    Ids that are null or have no document and labels that are neither take no part. Equal rows,
-    of either table, count once, so one id with very many of them can't fill the sample.
+    Ids that are null or have no document and labels that are neither take no part. Equal labels
+    count once, and of documents with one id that with the smallest text.
     """
     ship(docs.sparkSession)
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (remainder("doc_id", 3) != 1)).distinct()
@@ -129,7 +129,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> BradleyTerr
     def features_of(texts: pa.Array) -> pa.Array:
         return pa.array([features(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
-    got = rows.select("quality", features_of("text").alias("x"), "doc_id").distinct().collect()
+    one = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    got = one.select("quality", features_of("text").alias("x"), "doc_id").collect()
     got.sort(key=lambda r: (r.doc_id, r.quality, r.x))
     return BradleyTerry.fit(np.array([r.x for r in got]).reshape(len(got), FEATURES), np.array([r.quality == 1 for r in got], bool))
 
