@@ -47,6 +47,18 @@ def test_least_and_empty(spark):
     assert W.captures(W.read(spark, empty)).count() == 0
 
 
+def test_foreign_archives(spark):
+    """Fields that only this writer's metadata have aren't needed to find what a revisit refers to."""
+    record = lambda kind, key, more, block: f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{key}>\r\n{more}Content-Length: {len(block)}\r\n\r\n{block}\r\n\r\n"
+    http = "HTTP/1.1 200 OK\r\n\r\n"
+    data = record("response", "r1", "", http + "body") + record("metadata", "m1", "WARC-Concurrent-To: <r1>\r\n", "key: 5\r\n")
+    data += record("revisit", "r2", "WARC-Refers-To: <r1>\r\nWARC-Payload-Digest: sha1:X\r\n", http) + record("metadata", "m2", "WARC-Concurrent-To: <r2>\r\n", "key: 4\r\npayload-length: 4\r\n")
+    data += record("revisit", "r3", "WARC-Refers-To: <gone>\r\n", http)
+    rows = spark.createDataFrame([r | {"fields": dict(r["fields"])} for r in W.parse(data.encode())], W._RECORD_DDL)
+    got = {(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in W.captures(rows).collect()}
+    assert got == {(5, 4, "response", None), (4, 4, "revisit", 5), (None, None, "revisit", None)}
+
+
 def test_parse_by_length():
     one = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\nContent-Length: 10\r\n\r\nH\r\n\r\n12\r\n\r\r\n\r\n"
     for data in (one + one, gzip.compress(one + one), gzip.compress(one) + gzip.compress(one)):

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.components import components
-from tidewheel.llm.shared import broadcast, forget, ship, written
+from tidewheel.llm.shared import broadcast, forget, ship, sieve, written
 
 WORDS = 5
 #: Rows that a shingle may have for its pairs to be listed one by one.
@@ -45,8 +45,6 @@ BLOCK, ROWS = 1_000_000, 1 << 14
 BAND = 1.26
 #: Parts that a frequent shingle's rows are dealt out to.
 SALT = 64
-#: Bits of the filter that picks the documents whose sets are needed: at most 8 MB.
-FILTER_BITS = 1 << 26
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text that words are hashed of at a time.
 SLICE = 1 << 19
@@ -238,21 +236,8 @@ def _candidates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """rep, text of the documents whose id is a rep of wanted, and of a few others: a bitmap of hashes picks them, so
     that not all texts are shuffled. The join with wanted is up to the caller."""
-    bits = min(FILTER_BITS, 1 << max(15, (16 * wanted.count()).bit_length()))
-    place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("bigint")), F.lit(bits)) + 1
-    # bitmap functions number positions from 1, in buckets of 32768
-    rows = wanted.select(place("rep").alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
-    table = np.zeros((bits >> 15, 4096), np.uint8)
-    for r in rows:
-        table[r.k - 1] = np.frombuffer(r.bits, np.uint8)
-    shared = broadcast(docs.sparkSession, table.ravel())
-
-    @F.arrow_udf("boolean")
-    def maybe(places: pa.Array) -> pa.Array:
-        p = places.to_numpy() - 1
-        return pa.array((shared.value[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool))
-
-    return docs.filter("doc_id is not null").filter(maybe(place("doc_id"))).select(F.col("doc_id").cast("bigint").alias("rep"), "text")
+    own = F.col("doc_id").cast("bigint")
+    return docs.filter("doc_id is not null").filter(sieve(wanted, "rep")(own)).select(own.alias("rep"), "text")
 
 
 class _Union:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import string
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +24,13 @@ _UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name below the folder that the cluster names in spark.checkpoint.dir.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is made and
-    entered in the session's settings, so that all later calls agree.
+    Only where that setting is absent and the master is local (tests on one machine) a temporary folder is
+    made and entered in the session's settings, so that all later calls agree. On a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='tidewheel-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tidewheel/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
@@ -72,6 +79,54 @@ def forget(df: DataFrame) -> None:
     delete(df.sparkSession, df._tidewheel_path)
 
 
+#: Rows that make a key common, and the common keys that there may be (that many rows are broadcast).
+COMMON, KEYS = 1000, 1000
+
+
+def looked_up(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame | None = None) -> DataFrame:
+    """left.join(right, keys, "left") for a right side with one row per key, without hot keys.
+
+    Rows of left whose key is common (more than COMMON of them and a KEYSth of all) meet their row by a
+    broadcast, and rows with a null in the key, which match nothing, aren't shuffled either.
+    counts: keys and n, the rows of left for each key, where they are known already.
+    """
+    if counts is None:
+        counts = left.groupBy(*keys).agg(F.count("*").alias("n"))
+    whole = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.filter(F.col("n") > max(COMMON, whole // KEYS)).select(*keys)
+    values = [c for c in right.columns if c not in keys]
+    table = hot.join(right, keys, "left").withColumn("_common", F.lit(True))
+    marked = left.join(F.broadcast(table), keys, "left")
+    null = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    here = marked.filter(F.col("_common") | null).select(*left.columns, *values)
+    away = marked.filter(F.col("_common").isNull() & ~null).select(*left.columns).join(right, keys, "left").select(*left.columns, *values)
+    return here.unionByName(away)
+
+
+#: Bits of a sieve: at most 8 MB.
+SIEVE_BITS = 1 << 26
+
+
+def sieve(wanted: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A function of a column (of key's type): false only where its value is no key of wanted. A bitmap of hashes,
+    so that few of the rows that a join with wanted would drop are shuffled for it."""
+    bits = min(SIEVE_BITS, 1 << max(15, (16 * wanted.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    # bitmap functions number positions from 1, in buckets of 32768
+    rows = wanted.select(place(F.col(key)).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
+    table = np.zeros((bits >> 15, 4096), np.uint8)
+    for r in rows:
+        table[r.k - 1] = np.frombuffer(r.bits, np.uint8)
+    shared = broadcast(wanted.sparkSession, table.ravel())
+
+    @F.arrow_udf("boolean")
+    def maybe(places: pa.Array) -> pa.Array:
+        p = places.to_numpy() - 1
+        return pa.array((shared.value[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool))
+
+    return lambda c: maybe(place(c))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z only; lower() would also change other scripts."""
     return F.translate(c, _UPPER, _LOWER)

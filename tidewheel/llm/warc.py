@@ -5,7 +5,8 @@ WARC-Concurrent-To. Of captures with equal payloads only one holds the payload,
 revisit records that refer to it. Archives are written by Spark's own text writer (its separator
 is the CRLF CRLF after each record), so they reach any store that Spark can write and a lost
 executor's files are written again; a new archive begins every ARCHIVE_BYTES, so that readers,
-which take an archive at a time, need bounded memory. Assembly joins by record ids, which no two
+which take an archive at a time, need bounded memory. Equal payloads are found by shuffling keys and
+digests, and only payloads of which there are several move. Assembly joins by record ids, which no two
 captures share, so no key is hot.
 """
 
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.shared import ship
+from tidewheel.llm.shared import looked_up, ship, sieve, written
 
 ARCHIVE_BYTES = 32_000_000
 #: Bytes of payload that a reader hands over at a time.
@@ -62,8 +63,12 @@ def records(pages: DataFrame, key: str = "page_id", url: str = "url", payload: s
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(payload).cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1(F.col("payload").cast("binary")))
-    same = rows.filter(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("key").alias("target"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    rows = rows.join(same, "digest", "left")
+    same = rows.filter(F.octet_length("payload") >= least).groupBy("digest").agg(F.max("key").alias("target"), F.count("*").alias("n")).filter("n > 1")
+    same = written(same)  # keys and digests only
+    # payloads of which there is one stay where they are, and so do very common ones
+    repeated = sieve(same, "digest")(F.col("digest"))
+    once = rows.filter(~repeated).withColumn("target", F.lit(None).cast(rows.schema["key"].dataType))
+    rows = once.unionByName(looked_up(rows.filter(repeated), same.select("digest", "target"), ["digest"], same.select("digest", "n")))
     revisit = F.col("target").isNotNull() & ~F.col("key").eqNullSafe(F.col("target"))
     # only a record that others refer to needs an id that they can derive
     derived = _named(F.lit("target"), F.col("target").cast("string"), F.col("digest"))
@@ -85,7 +90,7 @@ def records(pages: DataFrame, key: str = "page_id", url: str = "url", payload: s
         [("WARC-Record-ID", F.col("id")), ("WARC-Date", stamp), ("WARC-Target-URI", F.col("uri")), ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32(F.col("digest")))), ("WARC-Refers-To", F.col("refers")), ("WARC-Profile", F.when(F.col("revisit"), PROFILE)), ("Content-Type", "application/http; msgtype=response")],
         F.when(F.col("revisit"), head).otherwise(F.concat(head, F.col("payload"))),
     )
-    fields = F.concat(F.lit("payload-length: "), F.col("size").cast("string"), F.coalesce(F.concat(F.lit("\r\nkey: "), F.col("key").cast("string")), F.lit("")), F.coalesce(F.concat(F.lit("\r\nrefers-to-key: "), F.when(F.col("revisit"), F.col("target")).cast("string")), F.lit("")))
+    fields = F.concat(F.lit("payload-length: "), F.col("size").cast("string"), F.coalesce(F.concat(F.lit("\r\nkey: "), F.col("key").cast("string")), F.lit("")))
     metadata = _record("metadata", [("WARC-Record-ID", new_id()), *more, ("Content-Type", "application/warc-fields")], fields)
     return rows.select(F.explode(F.array(request, main, metadata)).alias("value"))
 
@@ -177,18 +182,24 @@ def captures(rows: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of what read() returned.
 
     A response's size and digest are those of the payload read back; a revisit's digest is its
-    header's and its size the one in its metadata record.
+    header's, its size the one in its metadata record, and refers_to the page of the response that
+    its WARC-Refers-To names (null if that record isn't there). The archives are parsed once.
     """
-    slim = rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("own", base32(F.sha1("payload"))).drop("payload")
-    r = assemble(slim, ["type", "digest", "bytes", "own"])
+    slim = written(rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("own", base32(F.sha1("payload"))).drop("payload"))
+    r = assemble(slim, ["type", "digest", "bytes", "own", "refers_to"])
     f = F.col("metadata.fields")
-    return r.select(
+    r = r.select(
+        "record_id",
         f["key"].cast("long").alias("page_id"),
         F.coalesce(F.col("capture.bytes"), f["payload-length"].cast("long")).alias("payload_bytes"),
         F.coalesce(F.col("capture.own"), F.substring_index("capture.digest", ":", -1)).alias("payload_digest"),
         F.col("capture.type").alias("record_type"),
-        f["refers-to-key"].cast("long").alias("refers_to"),
+        F.col("capture.refers_to").alias("to"),
     )
+    # the captures that others refer to, by the ids of their records
+    r = written(r)
+    named = r.filter("record_type = 'response'").groupBy(F.col("record_id").alias("to")).agg(F.max("page_id").alias("refers_to"))
+    return looked_up(r.drop("record_id"), named, ["to"]).drop("to")
 
 
 #: The same result in DuckDB's SQL.
