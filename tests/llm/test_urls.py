@@ -1,7 +1,9 @@
 import random
+import re
 
 from pyspark.sql import functions as F
 
+from tidewheel.llm import shared as S
 from tidewheel.llm import urls as U
 from tidewheel.llm.queries import URL_RULES
 
@@ -72,3 +74,98 @@ def test_deep_sections(spark):
     rows = [(k, f"http://h.{('net', 'net', 'org')[k % 3]}{deep}/{'xy'[k % 2]}/{k}") for k in range(240)]
     for r in U.judge(spark.createDataFrame(rows, "page_id bigint, url string"), rules).collect():
         assert r.verdict == ("block" if r.path.startswith(deep + "/x/") else "allow"), r
+
+
+def brute_tree(counts, z=2.0):
+    """The tree by recursion over one host: template as given -> generalised; counts: first -> (n, blocked, labelled)."""
+    out = {}
+
+    def descend(rows, level, done):
+        """rows: template so far -> the ones as given that stand for it; level: the segment to decide."""
+        deep = {}
+        for first, t in rows.items():
+            if len(t) < level:
+                out[first] = t
+            else:
+                deep.setdefault(t[: level - 1], {})[first] = t
+        for prefix, group in deep.items():
+            blocked = sum(counts[f][1] for f in group)
+            labelled = sum(counts[f][2] for f in group)
+            if not (len(group) > 1 and 0 < blocked < labelled and labelled > z * z):
+                out.update({f: prefix + ("*",) * (len(t) - level + 1) for f, t in group.items()})
+                continue
+            own = {}
+            for f, t in group.items():
+                b, n = own.get(t[level - 1], (0, 0))
+                own[t[level - 1]] = b + counts[f][1], n + counts[f][2]
+            nxt = {}
+            for f, t in group.items():
+                b, n = own[t[level - 1]]
+                rest = labelled - n
+                stays = False
+                if n and rest:
+                    pooled, inverse = blocked / labelled, 1 / n + 1 / rest
+                    stays = abs(b / n - (blocked - b) / rest) - inverse / 2 > z * (pooled * (1 - pooled) * inverse) ** 0.5
+                nxt[f] = t if stays else prefix + ("*",) + t[level:]
+            descend(nxt, level + 1, done)
+
+    descend({f: f for f in counts}, 1, out)
+    return out
+
+
+def test_tree_against_brute_force(spark, monkeypatch):
+    rnd = random.Random(8)
+    rows, want = [], {}
+    for host in ("a", "b", "c", "d"):
+        counts = {}
+        for _ in range(rnd.randint(5, 60)):
+            first = tuple(rnd.choice(["x", "y", "z", "w", "*"]) for _ in range(rnd.randint(0, 4)))
+            n = rnd.randint(1, 60)
+            labelled = rnd.choice([0, n, n // 2])
+            lean = 0.9 if first[:1] == ("x",) else 0.5 if first[1:2] == ("y",) else 0.1
+            counts[first] = n, sum(rnd.random() < lean for _ in range(labelled)), labelled
+        found = brute_tree(counts)
+        whole = {}
+        for f, t in found.items():
+            whole[t] = [a + b for a, b in zip(whole.get(t, (0, 0, 0)), counts[f])]
+        want |= {(host, f): (t, *whole[t]) for f, t in found.items()}
+        rows += [(host, list(f), *c) for f, c in counts.items()]
+    df = spark.createDataFrame(rows, "host string, first array<string>, n bigint, blocked bigint, labelled bigint")
+    for common in (1000, 2):
+        monkeypatch.setattr(S, "COMMON", common)  # then most keys are common ones
+        got = {(r.host, tuple(r["first"])): (tuple(r.template), r.n, r.blocked, r.labelled) for r in U.tree(df).collect()}
+        assert got == want
+    assert any("*" in t and any(s != "*" for s in t) for t, *_ in want.values()) and len({t for t, *_ in want.values()}) > 8
+
+
+def test_verdicts_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(S, "COMMON", 20)
+    rnd = random.Random(5)
+    rows = []
+    for k in range(1500):
+        host = rnd.choice(["a.net", "a.net", "a.net", "b.com", "c.org", "d.org", "www.example.com"])
+        rows.append((k, f"http://{host}/" + "/".join(rnd.choice(["fr", "es", "en", "news", "page", "7"]) for _ in range(rnd.randint(0, 3)))))
+    counts, total = {}, [0, 0]
+    for _, u in rows:
+        host, path = parts(u)
+        first = tuple("*" if re.search(r"\d", s) or len(s) > U.LONG else s for s in path.split("/") if s)
+        verdict = rule(host, path)[1]
+        for h in (host, U.ALL_HOSTS):
+            c = counts.setdefault(h, {}).setdefault(first, [0, 0, 0])
+            c[0] += 1
+            c[1] += verdict == "block"
+            c[2] += verdict is not None
+        total[0] += verdict == "block"
+        total[1] += verdict is not None
+    sums, templates = {}, {h: brute_tree(c) for h, c in counts.items()}
+    for h, found in templates.items():
+        for f, t in found.items():
+            sums[h, t] = [a + b for a, b in zip(sums.get((h, t), (0, 0, 0)), counts[h][f])]
+    smooth = lambda h, f, towards: (sums[h, templates[h][f]][1] + 4 * towards) / (sums[h, templates[h][f]][2] + 4)
+    out = {r.page_id: r for r in U.judge(spark.createDataFrame(rows, "page_id bigint, url string"), URL_RULES).collect()}
+    for k, u in rows:
+        host, path = parts(u)
+        first = tuple("*" if re.search(r"\d", s) or len(s) > U.LONG else s for s in path.split("/") if s)
+        purity = smooth(host, first, smooth(U.ALL_HOSTS, first, total[0] / total[1]))
+        assert abs(out[k].purity - purity) < 1e-9 and out[k].template == "/" + "/".join(templates[host][first])
+        assert out[k].verdict == (rule(host, path)[1] or ("block" if purity >= 0.5 else "allow"))

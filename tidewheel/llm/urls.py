@@ -7,8 +7,9 @@ so that few labels need no other bound); all other branches merge into the paren
 purity, smoothed towards the same template over all hosts and that towards the overall rate, reaches
 the limit. Pages that a rule decides are the labels.
 
-Pages are counted per (host, template) with partial aggregation before anything else is shuffled, so
-a hot host is a few rows; the tree is built on those counts.
+Pages are counted per (host, template) with partial aggregation before anything else is shuffled, and
+the tree is built on those counts. Joins go by looked_up(): a template, host or branch that very many
+rows share meets its row by a broadcast of bounded size.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.shared import ascii_lower, written
+from tidewheel.llm.shared import ascii_lower, forget, looked_up, written
 
 #: (verdict, host, path): a rule fits its host and all subdomains if the url's path starts with its path.
 Rules = list[tuple[str, str, str]]
@@ -76,14 +77,18 @@ def tree(counts: DataFrame, z: float = 2.0) -> DataFrame:
         stays = F.coalesce(apart - inverse / 2 > z * F.sqrt(pooled * (1 - pooled) * inverse), F.lit(False))
         # a parent of one row, of labels all alike or of z * z labels at most has no branch, nor has what is below it
         goes_on = (F.col("all_rows") > 1) & (F.col("all_blocked") > 0) & (F.col("all_blocked") < F.col("all_labelled")) & (F.col("all_labelled") > z * z)
-        tested = child.join(parent, ["host", "prefix"]).select("host", "prefix", "own", (stays & goes_on).alias("stays"), goes_on.alias("goes_on"))
-        merged = at.join(tested, ["host", "prefix", "own"])
+        tested = written(looked_up(child, parent, ["host", "prefix"]).select("host", "prefix", "own", F.col("rows").alias("n"), (stays & goes_on).alias("stays"), goes_on.alias("goes_on")))
+        merged = looked_up(at, tested.drop("n"), ["host", "prefix", "own"], tested.select("host", "prefix", "own", "n"))
         below = F.size("template") - level
         new = F.when(F.col("stays"), F.col("template")).when(F.col("goes_on"), F.concat("prefix", F.array(F.lit("*")), F.slice("template", level + 1, below))).otherwise(F.concat("prefix", F.array_repeat(F.lit("*"), below + 1)))
         out = merged.select("host", "first", "n", "blocked", "labelled", new.alias("template"), F.col("goes_on").alias("open"))
-        rows = written(out.unionByName(rows.filter(~deep).select(*out.columns)))
+        before, rows = rows, written(out.unionByName(rows.filter(~deep).select(*out.columns)))
+        forget(before)
+        forget(tested)
     whole = rows.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "blocked", "labelled")))
-    return rows.select("host", "first", "template").join(whole, ["host", "template"])
+    out = written(looked_up(rows.select("host", "first", "template"), whole, ["host", "template"]))
+    forget(rows)
+    return out
 
 
 def judge(pages: DataFrame, rules: Rules, key: str = "page_id", url: str = "url", limit: float = 0.5, weight: float = 4.0) -> DataFrame:
@@ -99,12 +104,12 @@ def judge(pages: DataFrame, rules: Rules, key: str = "page_id", url: str = "url"
     blocked, labelled = F.sum((F.col("_hit.verdict") == "block").cast("long")), F.count("_hit.verdict")
     counts = written(rows.groupBy("host", "first").agg(F.count("*").alias("n"), F.coalesce(blocked, F.lit(0)).alias("blocked"), labelled.alias("labelled")))
     pooled = counts.groupBy("first").agg(*(F.sum(c).alias(c) for c in ("n", "blocked", "labelled"))).select(F.lit(ALL_HOSTS).alias("host"), "first", "n", "blocked", "labelled")
-    found = written(tree(counts.unionByName(pooled)))
+    found = tree(counts.unionByName(pooled))
     total = counts.agg(F.sum("blocked"), F.sum("labelled")).first()
     rate = (total[0] or 0) / (total[1] or 1)
     smooth = lambda towards: (F.col("blocked") + weight * towards) / (F.col("labelled") + weight)
     anywhere = found.filter(F.col("host") == ALL_HOSTS).select("first", smooth(F.lit(float(rate))).alias("anywhere"))
-    here = found.filter(F.col("host") != ALL_HOSTS).join(anywhere, "first").select("host", "first", F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), smooth(F.col("anywhere")).alias("purity"))
-    rows = rows.join(here, ["host", "first"], "left")
+    here = looked_up(found.filter(F.col("host") != ALL_HOSTS), anywhere, ["first"]).select("host", "first", F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), smooth(F.col("anywhere")).alias("purity"))
+    rows = looked_up(rows, here, ["host", "first"], counts.select("host", "first", "n"))
     own = F.when(F.col("purity") >= limit, "block").otherwise("allow")
     return rows.select(key, "host", "path", F.col("_hit.rule").alias("rule"), F.coalesce("_hit.verdict", own).alias("verdict"), "template", "purity")
