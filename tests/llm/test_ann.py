@@ -62,3 +62,25 @@ def test_lists_are_balanced():
     x = A.units(np.concatenate([draw.normal(size=(900, 8)), draw.normal(size=(100, 8)) * 0.01 + 1]))
     sizes = [len(g) for g in A._leaves(x, np.arange(1000), 16, draw)]
     assert sum(sizes) == 1000 and max(sizes) - min(sizes) <= 4
+
+
+def test_lists_of_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(A, "LIST_SIZE", 32)
+    monkeypatch.setattr(A, "MAX_LISTS", 12)  # 125 lists would be needed
+    monkeypatch.setattr(A, "CELL_ROWS", 150)
+    draw = np.random.default_rng(6)
+    rows = [(i, v.tolist()) for i, v in enumerate(draw.normal(size=(4000, 12)))]
+    want = brute(rows, range(0, 4000, 20))
+    got = found(spark, rows)
+    assert got.keys() == want.keys() and all(len(v) == 5 for v in got.values())
+    assert sum(len({i for _, i, _ in got[q]} & set(want[q])) for q in want) >= 0.9 * 5 * len(want)
+
+
+def test_all_that_can_be_found(spark, monkeypatch):
+    monkeypatch.setattr(A, "LIST_SIZE", 1)  # lists of one vector: what a query visits at first is too little
+    draw = np.random.default_rng(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(draw.normal(size=(40, 4)))]
+    got = found(spark, rows, every=10, at_least=1)
+    assert all(len(v) == 5 for v in got.values()) and len(got) == 4
+    few = found(spark, rows[:4], every=1, at_least=1)
+    assert all(len(v) == 3 for v in few.values())

@@ -68,7 +68,7 @@ def tree(counts: DataFrame, z: float = 2.0) -> DataFrame:
         prefix = F.slice("template", 1, level - 1)
         at = rows.filter(deep).withColumn("prefix", prefix).withColumn("own", F.element_at("template", level))
         sums = [F.sum(c).alias(c) for c in ("n", "blocked", "labelled")]
-        child = at.groupBy("host", "prefix", "own").agg(*sums, F.count("*").alias("rows"))
+        child = written(at.groupBy("host", "prefix", "own").agg(*sums, F.count("*").alias("rows")))
         parent = child.groupBy("host", "prefix").agg(*(F.sum(c).alias(f"all_{c}") for c in ("blocked", "labelled", "rows")))
         rest = F.col("all_labelled") - F.col("labelled")
         pooled = F.try_divide("all_blocked", "all_labelled")
@@ -85,6 +85,7 @@ def tree(counts: DataFrame, z: float = 2.0) -> DataFrame:
         before, rows = rows, written(out.unionByName(rows.filter(~deep).select(*out.columns)))
         forget(before)
         forget(tested)
+        forget(child)
     whole = rows.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "blocked", "labelled")))
     out = written(looked_up(rows.select("host", "first", "template"), whole, ["host", "template"]))
     forget(rows)
