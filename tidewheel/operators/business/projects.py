@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.functions import blank0, divide, month_diff
+from tidewheel.functions import blank0, divide, fiscal_year, month_diff
 from tidewheel.operators.reshape import classified, explode_months
 
 
@@ -95,6 +95,23 @@ def run_rate(rows: DataFrame, estimate: str, actual: str, elapsed: str, total: s
     return rows.withColumns({"remaining": blank0(estimate) - blank0(actual), "rate": rate, "projected": rate * left})
 
 
+def years_to_date(rows: DataFrame, axes: list[str], date: str, fiscal: int, last: dt.date, values: dict[str, Column]) -> DataFrame:
+    """Per axes, each of values (aggregated by sum) in the fiscal year, and with suffix _ly in the one before up to, but
+    not on, the day of last in it. last's day in a year without it (29 February) is 1 March."""
+    # the day falls in the calendar year before where last does so in its own fiscal year
+    year = fiscal - 1 - (last.year == fiscal - 1)
+    cut = dt.date(year, last.month, 1) + dt.timedelta(days=last.day - 1)
+    d = F.to_date(date)
+    now, before = fiscal_year(d) == fiscal, (fiscal_year(d) == fiscal - 1) & (d < F.lit(cut))
+    sums = [F.sum(F.when(on, v)).alias(n + end) for n, v in values.items() for on, end in ((now, ""), (before, "_ly"))]
+    return rows.filter(now | before).groupBy(*axes).agg(*sums)
+
+
+def billings_forward(kind: str, closed: str, billing: str, amount: str) -> Column:
+    """The amounts billed forward on open repairs."""
+    return F.sum(F.when(F.col(closed).isNull() & (F.upper(kind) == "REPAIR") & (F.upper(billing) == "BILLINGS FORWARD"), F.col(amount)))
+
+
 def service_calls(rows: DataFrame, axes: list[str], kind: str, opened: str, closed: str, billed: str, as_of: dt.date, late_pm: int = 60, late_open: int = 7) -> DataFrame:
     """Per axes: calls, open ones, late maintenance, late open, days open on average (negative ones blank), not billed."""
     now = F.lit(as_of)

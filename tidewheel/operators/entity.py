@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.sources.shared import shared_folder
 from tidewheel.functions.semantics import ColumnLike, col
 from tidewheel.operators.reshape import classified
 
@@ -134,9 +135,7 @@ def merged(names: DataFrame) -> DataFrame:
     all later ones alike it are merged into it. Rounds of joins; each cuts its lineage by a checkpoint."""
     spark = names.sparkSession
     if not spark._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())  # tests only: a cluster names spark.checkpoint.dir
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     pairs = alike_pairs(names).checkpoint()
     kept, gone = None, None
     left = pairs

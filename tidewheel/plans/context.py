@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 
 _NAME = re.compile(r"[A-Za-z_]\w*")
+_LITERAL = r"(?:'(?:[^']|'')*'|[+-]?\w[\w.]*)"
 
 
 @dataclass(frozen=True, eq=False)
@@ -67,9 +68,15 @@ class Context:
         return any(f.column in columns for f in self.filters)
 
     def selected(self, column: str, alternate: str | None = None) -> str | None:
-        """The one value that the column is filtered to by equality, else alternate."""
-        values = {m[1] for f in self.filters if f.column == column and (m := re.fullmatch(rf"\s*{column}\s*=\s*'?([^']*?)'?\s*", f.sql))}
-        return values.pop() if len(values) == 1 else alternate
+        """The one value that the column's filters leave (equality, or IN with literals; several filters meet), else
+        alternate. Other predicates only narrow down, so with them a value that is left counts too."""
+        left: set[str] | None = None
+        for f in self.filters:
+            m = re.fullmatch(rf"\s*{column}\s*(?:=\s*({_LITERAL})|IN\s*\(\s*({_LITERAL}(?:\s*,\s*{_LITERAL})*)\s*\))\s*", f.sql, re.I) if f.column == column else None
+            if m:
+                found = {x[1:-1].replace("''", "'") if x[0] == "'" else x for x in re.findall(_LITERAL, m[1] or m[2])}
+                left = found if left is None else left & found
+        return left.pop() if left is not None and len(left) == 1 else alternate
 
     def has_one_value(self, column: str) -> bool:
         return self.selected(column) is not None

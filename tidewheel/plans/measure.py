@@ -9,7 +9,7 @@ aggregation, and those results are joined by axis values.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -88,6 +88,23 @@ class Iterate(Measure):
     where: str | None = None
 
 
+@dataclass(frozen=True, eq=False)
+class InScope(Measure):
+    """The measure of the first of these axes that the result has in its rows' own axes, else otherwise."""
+
+    by_axis: dict[str, Measure]
+    otherwise: Measure
+
+
+@dataclass(frozen=True, eq=False)
+class Selected(Measure):
+    """The measure of the one value that the context filters column to, else otherwise."""
+
+    column: str
+    by_value: dict[str, Measure]
+    otherwise: Measure
+
+
 @dataclass(frozen=True)
 class _Scan:
     fact: str
@@ -97,9 +114,15 @@ class _Scan:
     members: tuple[tuple[str, str, int], ...]
 
 
+#: Aggregates that are those of their parts' aggregates.
+_ADDS = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
 class _Compiler:
-    def __init__(self, model: Model):
-        self.model = model
+    """finer: the compiler of more axes, whose scans may be added up instead of scanning anew."""
+
+    def __init__(self, model: Model, finer: "_Compiler | None" = None):
+        self.model, self.finer = model, finer
         self.scans: dict[_Scan, dict[tuple, str]] = {}
         self.frames: list[tuple[tuple[str, ...], DataFrame]] = []
         self.rows: dict[tuple[str, str, int], Filter] = {}
@@ -137,6 +160,11 @@ class _Compiler:
             name = self._name()
             self.frames.append((axes, inner.groupBy(*axes).agg(F.expr(m.agg).alias(name))))
             return F.col(name)
+        if isinstance(m, InScope):
+            part = next((p for a, p in m.by_axis.items() if a in axes), m.otherwise)
+            return self.column(part, ctx, axes, use, shift)
+        if isinstance(m, Selected):
+            return self.column(m.by_value.get(ctx.selected(m.column), m.otherwise), ctx, axes, use, shift)
         if isinstance(m, Leaf):
             return self._leaf(m, ctx, axes, use, shift)
         raise TypeError(f"{m!r} is no measure")
@@ -196,8 +224,16 @@ class _Compiler:
                 aggs.append(getattr(F, agg)(value).alias(name))
         return base.groupBy(*scan.axes).agg(*aggs)
 
+    def _frame(self, scan: _Scan, slots: dict[tuple, str]) -> DataFrame:
+        """The scan's aggregates: from a finer scan's, where all of them add up."""
+        for s, theirs in self.finer.scans.items() if self.finer else ():
+            if replace(s, axes=()) == replace(scan, axes=()) and set(scan.axes) <= set(s.axes) and all(k in theirs and k[0] in _ADDS for k in slots):
+                parts = self.finer._frame(s, theirs)
+                return parts.groupBy(*scan.axes).agg(*(_ADDS[k[0]](theirs[k]).alias(name) for k, name in slots.items()))
+        return self._scan(scan, slots)
+
     def joined(self, axes: tuple[str, ...]) -> DataFrame:
-        frames = [(s.axes, self._scan(s, slots)) for s, slots in self.scans.items()] + self.frames
+        frames = [(s.axes, self._frame(s, slots)) for s, slots in self.scans.items()] + self.frames
         whole = [f for a, f in frames if a == axes]
         if not whole:
             tables = {self.model.home[a] for a in axes}
@@ -227,8 +263,8 @@ def _join(left: DataFrame, right: DataFrame, axes: tuple[str, ...], how: str) ->
     return left.join(right, on, "left").drop(*names.values())
 
 
-def _evaluate(model: Model, axes: tuple[str, ...], measures: dict[str, Measure], ctx: Context, use: frozenset[str] = frozenset(), shift: int = 0) -> DataFrame:
-    c = _Compiler(model)
+def _evaluate(model: Model, axes: tuple[str, ...], measures: dict[str, Measure], ctx: Context, use: frozenset[str] = frozenset(), shift: int = 0, compiler: _Compiler | None = None) -> DataFrame:
+    c = compiler or _Compiler(model)
     columns = {name: c.column(m, ctx, axes, use, shift) for name, m in measures.items()}
     rows = c.joined(axes)
     return rows.select(*axes, *(col.alias(name) for name, col in columns.items())).dropna("all", subset=list(measures))
@@ -238,19 +274,37 @@ def query(model: Model, axes: list[str], measures: dict[str, Measure], ctx: Cont
     """One row per combination of axis values for which a measure isn't blank: axes, then measures.
 
     totals: adds subtotals of every leading part of the axes and the grand total, each evaluated at its
-    own level (never summed from the rows below), and a column level, the number of axes that a row has.
+    own level, and a column level, the number of axes that a row has. The aggregates within measures that
+    add up (sums, counts, extremes) are taken from those of the level below, so they share one scan of the
+    fact; others (distinct counts, averages, iterations) are evaluated anew.
     """
     if not totals:
         return _evaluate(model, tuple(axes), measures, ctx)
-    out = None
+    out = compiler = None
     for k in range(len(axes), -1, -1):
-        part = _evaluate(model, tuple(axes[:k]), measures, ctx)
+        compiler = _Compiler(model, compiler)
+        part = _evaluate(model, tuple(axes[:k]), measures, ctx, compiler=compiler)
         missing = {a: F.lit(None).cast(model.tables[model.home[a]].schema[a].dataType) for a in axes[k:]}
         part = part.withColumns(missing).select(*axes, *measures, F.lit(k).alias("level"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def ordered(model: Model, rows: DataFrame, *axes: str) -> DataFrame:
+    """rows in the order of these axes, each by the column that the model sorts it by (the value itself where it names
+    none; an axis value's smallest, if it has several)."""
+    keys = []
+    for a in axes:
+        by = model.sort_by.get(a)
+        if by is None:
+            keys.append(F.col(a))
+            continue
+        places = model.tables[model.home[a]].groupBy(a).agg(F.min(by).alias(f"_by_{a}"))
+        rows = _join(rows, places, (a,), "left")
+        keys.append(F.col(f"_by_{a}"))
+    return rows.orderBy(*keys).drop(*(f"_by_{a}" for a in axes))
+
+
 def share(measure: Measure, *axes: str) -> Measure:
     """The measure over its value with the axes' filters lifted."""
     return measure / With(measure, remove=axes)

@@ -112,4 +112,4 @@ def previous(rows: DataFrame, keys: list[str], order: str, value: str, name: str
 def average_of_before(rows: DataFrame, keys: list[str], order: str, value: str, n: int, name: str) -> DataFrame:
     """The sum of the n rows before, over n; blank if there is none."""
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-n, -1)
-    return rows.withColumn(name, F.sum(value).over(w) / n)
+    return rows.withColumn(name, F.sum(value).over(w).cast("double") / n)

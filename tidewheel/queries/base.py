@@ -55,10 +55,16 @@ REVENUE = f"{money('l_extendedprice')} * (1 - CAST(l_discount AS DECIMAL(4,2)))"
 COST = f"{money('p_retailprice')} * CAST(l_quantity AS DECIMAL(6,0)) * 1.5"
 
 
-def sales(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str, *more: str, shipped: tuple[dt.date | None, dt.date] | None = None) -> DataFrame:
     """Lines with order and customer: l_orderkey, customer, segment, nation, stream, d (shipped), created, revenue, cost and
-    any more columns of lineitem."""
-    line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.to_date("l_shipdate").alias("d"), F.col("l_returnflag").alias("stream"), F.expr(REVENUE).alias("revenue"), "l_quantity", *more)
+    any more columns of lineitem. shipped: first (None: any) and last day that are needed; compared with the timestamp itself, so
+    that the scan can leave out row groups."""
+    line = table(spark, sf_dir, "lineitem")
+    if shipped:
+        line = line.filter(F.col("l_shipdate") < F.lit(shipped[1] + dt.timedelta(days=1)).cast("timestamp"))
+        if shipped[0]:
+            line = line.filter(F.col("l_shipdate") >= F.lit(shipped[0]).cast("timestamp"))
+    line = line.select("l_orderkey", "l_partkey", F.to_date("l_shipdate").alias("d"), F.col("l_returnflag").alias("stream"), F.expr(REVENUE).alias("revenue"), "l_quantity", *more)
     order = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("created"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_brand")

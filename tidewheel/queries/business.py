@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.functions import fiscal_year, fmt
+from tidewheel.functions import divide, fiscal_year, fmt
 from tidewheel.functions.text import trend
 from tidewheel.operators import charts
 from tidewheel.operators.business import ledger as L
@@ -15,6 +17,8 @@ from tidewheel.operators.business import retention as R
 from tidewheel.operators.joins import blended
 from tidewheel.queries.base import ANCHOR, AS_OF, REVENUE, SALES, Registry, double, fy, money, ratio, rounded, sales, table
 
+#: The days of the current and the prior twelve months.
+WINDOWS = (dt.date(1999, 8, 1), ANCHOR)
 WINDOW = "SELECT {keys}, sum(revenue) FILTER (WHERE d > DATE '2000-07-31' AND d <= DATE '2001-07-31') AS cy, sum(revenue) FILTER (WHERE d > DATE '1999-07-31' AND d <= DATE '2000-07-31') AS py FROM s WHERE d > DATE '1999-07-31' AND d <= DATE '2001-07-31' GROUP BY ALL"
 MOVES = "CASE WHEN p > 0 THEN p ELSE 0 END AS base, CASE WHEN p > 0 AND c = 0 THEN p ELSE 0 END AS churn, CASE WHEN p > 0 AND c > 0 AND c < p THEN p - c ELSE 0 END AS contraction, CASE WHEN p > 0 AND c > p THEN c - p ELSE 0 END AS upsell"
 EACH = "each AS (SELECT *, coalesce(cy, 0) AS c, coalesce(py, 0) AS p FROM w)"
@@ -42,30 +46,30 @@ def register(reg: Registry) -> None:
     @reg.add(f"WITH {SALES} SELECT segment, {', '.join(double(f'sum(revenue) FILTER (WHERE stream = {chr(39)}{k}{chr(39)})', v) for k, v in streams.items())}, {double('sum(revenue)', 'revenue')}, {double('sum(cost)', 'cost')}, {double('sum(revenue) - sum(cost)', 'gp')}, {ratio('sum(revenue) - sum(cost)', 'sum(revenue)', 'gp_pct')} FROM s WHERE d < DATE '2001-08-01' GROUP BY 1")
     def b1_margin_by_stream(spark: SparkSession, d: str) -> DataFrame:
         """Revenue by stream, cost and margin of completed months."""
-        return rounded(M.by_stream(sales(spark, d).filter("d < DATE '2001-08-01'"), ["segment"], "stream", streams), "gp_pct")
+        return rounded(M.by_stream(sales(spark, d, shipped=(None, ANCHOR)), ["segment"], "stream", streams), "gp_pct")
 
     @reg.add(f"""WITH {SALES}, w AS ({WINDOW.format(keys='customer, segment')}), {EACH}, m AS (SELECT segment, c, p, {MOVES} FROM each), t AS (SELECT segment, {SUMS}, count(*) FILTER (WHERE p > 0) AS logos, count(*) FILTER (WHERE p > 0 AND c = 0) AS logos_lost FROM m GROUP BY 1)
       SELECT segment, {', '.join(double(c, c) for c in ('base', 'churn', 'contraction', 'upsell'))}, logos, logos_lost, {ratio('base - churn - contraction + upsell', 'base', 'nrr')}, {ratio('base - churn - contraction', 'base', 'grr')}, {ratio('logos - logos_lost', 'logos', 'logo_retention')} FROM t""")
     def b2_retention(spark: SparkSession, d: str) -> DataFrame:
         """Rolling-twelve-month retention, both windows in one pass."""
-        return rounded(R.retention(sales(spark, d), "customer", ["segment"], "revenue", ANCHOR), "nrr", "grr", "logo_retention")
+        return rounded(R.retention(sales(spark, d, shipped=WINDOWS), "customer", ["segment"], "revenue", ANCHOR), "nrr", "grr", "logo_retention")
 
     @reg.add(f"WITH {SALES}, w AS ({WINDOW.format(keys='segment')}), {EACH} SELECT segment, {double('cy', 'cy')}, {double('py', 'py')}, {', '.join(x.replace(' AS ', ' AS DOUBLE) AS ').replace('CASE', 'CAST(CASE', 1) for x in MOVES.split(', '))} FROM each")
     def b2_retention_single_grain(spark: SparkSession, d: str) -> DataFrame:
         """The same movements of totals, where gains and losses offset each other."""
-        return rounded(R.retention_single_grain(sales(spark, d), ["segment"], "revenue", ANCHOR))
+        return rounded(R.retention_single_grain(sales(spark, d, shipped=WINDOWS), ["segment"], "revenue", ANCHOR))
 
     @reg.add(f"""WITH {SALES}, w AS ({WINDOW.format(keys='customer')}), {EACH} SELECT customer, {double('cy', 'cy')}, {double('py', 'py')},
       CASE WHEN p > 0 AND c = 0 THEN 'Churned' WHEN p = 0 AND c > 0 THEN 'New Business' WHEN p > 0 AND c < p THEN 'Contraction' WHEN p > 0 AND c > p THEN 'Upsell' WHEN p > 0 THEN 'Steady' END AS category FROM each""")
     def b4_retention_category(spark: SparkSession, d: str) -> DataFrame:
         """Each customer's category."""
-        return rounded(R.current_and_prior(sales(spark, d), ["customer"], "revenue", ANCHOR).withColumn("category", R.category()))
+        return rounded(R.current_and_prior(sales(spark, d, shipped=WINDOWS), ["customer"], "revenue", ANCHOR).withColumn("category", R.category()))
 
     @reg.add(f"""WITH {SALES}, w AS ({WINDOW.format(keys='customer')}), {EACH}, t AS (SELECT {SUMS} FROM (SELECT {MOVES} FROM each))
       SELECT CAST(step AS INTEGER) AS step, label, {double('amount', 'amount')} FROM t, LATERAL (VALUES (1, 'Base', base), (2, 'Churn', -churn), (3, 'Contraction', -contraction), (4, 'Upsell', upsell), (5, 'Retained', base - churn - contraction + upsell)) v(step, label, amount)""")
     def b5_waterfall(spark: SparkSession, d: str) -> DataFrame:
         """The movements as ordered, signed steps."""
-        return rounded(R.waterfall(R.retention(sales(spark, d), "customer", [], "revenue", ANCHOR)))
+        return rounded(R.waterfall(R.retention(sales(spark, d, shipped=WINDOWS), "customer", [], "revenue", ANCHOR)))
 
     @reg.add("""WITH l AS (SELECT c_custkey AS customer, max(CAST(o_orderdate AS DATE)) FILTER (WHERE o_totalprice <> 0) AS last_date FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1), m AS (SELECT *, (2001 - year(last_date)) * 12 + 8 - month(last_date) AS months FROM l)
       SELECT customer, last_date, CAST(months AS INTEGER) AS months, CASE WHEN last_date IS NULL THEN 'No Activity' WHEN months < 6 THEN 'Active' WHEN months < 12 THEN 'Dormant (6–11 mo)' ELSE 'Inactive (12+ mo)' END AS status FROM m""", dates=('last_date',))
@@ -80,10 +84,10 @@ def register(reg: Registry) -> None:
     def b7_year_to_date(spark: SparkSession, d: str) -> DataFrame:
         """Fiscal year to date against the same days of the year before, with the trend as text."""
         day = F.col("d")
-        s = sales(spark, d).groupBy("segment").agg(F.sum(F.when(day.between("2000-10-01", "2001-08-15"), F.col("revenue"))).alias("cy"), F.sum(F.when(day.between("1999-10-01", "2000-08-15"), F.col("revenue"))).alias("py"))
-        from tidewheel.functions import divide
-
-        s = s.withColumn("yoy", divide(F.col("cy") - F.col("py"), "py"))
+        s = sales(spark, d, shipped=(dt.date(1999, 10, 1), AS_OF))
+        every = table(spark, d, "customer").select(F.col("c_mktsegment").alias("segment")).distinct()  # segments without a line in either window are there too
+        s = s.groupBy("segment").agg(F.sum(F.when(day.between("2000-10-01", "2001-08-15"), F.col("revenue"))).alias("cy"), F.sum(F.when(day.between("1999-10-01", "2000-08-15"), F.col("revenue"))).alias("py"))
+        s = every.join(s, "segment", "left").withColumn("yoy", divide(F.col("cy") - F.col("py"), "py"))
         return rounded(s.withColumn("glyph", trend("yoy")), "yoy")
 
     @reg.add("""WITH e AS (SELECT event_type, CAST(floor(value) AS BIGINT) % 11 AS score, CASE CAST(floor(value * 100) AS BIGINT) % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'no' ELSE 'n/a' END AS answer FROM events), a AS (SELECT event_type, count(*) FILTER (WHERE score >= 9) AS promoters, count(*) FILTER (WHERE score <= 6) AS detractors, count(score) AS answers, count(*) FILTER (WHERE lower(answer) = 'yes') AS y, count(*) FILTER (WHERE lower(answer) = 'no') AS n FROM e GROUP BY 1)
@@ -208,6 +212,24 @@ def register(reg: Registry) -> None:
         c = c.select("l_suppkey", F.when(F.col("l_linenumber") % 3 == 0, "PM").otherwise("Repair").alias("kind"), F.to_date("o_orderdate").alias("opened"), F.when(F.col("l_linestatus") == "F", F.to_date("l_shipdate")).alias("closed"), F.when(F.col("l_returnflag") == "R", 0).otherwise(1).alias("billed"))
         return rounded(P.service_calls(c, ["l_suppkey"], "kind", "opened", "closed", "billed", AS_OF), "days_open")
 
+    TO_DATE = "SELECT l_suppkey, CASE WHEN l_linenumber % 3 = 0 THEN 'PM' ELSE 'Repair' END AS kind, CAST(o_orderdate AS DATE) AS opened, CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END AS closed, CASE WHEN l_linenumber % 4 = 2 THEN 'Billings Forward' ELSE 'Standard' END AS billing, CAST(l_extendedprice AS DECIMAL(12,2)) AS amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderdate < TIMESTAMP '2001-08-16'"
+
+    @reg.add(f"""WITH c AS ({TO_DATE}), e AS (SELECT *, {fy('opened')} AS y FROM c),
+      a AS (SELECT l_suppkey, count(*) FILTER (WHERE y = 2001) AS calls, count(*) FILTER (WHERE y = 2000 AND opened < DATE '2000-08-15') AS calls_ly, sum(amount) FILTER (WHERE y = 2001) AS amount, sum(amount) FILTER (WHERE y = 2000 AND opened < DATE '2000-08-15') AS amount_ly FROM e WHERE y = 2001 OR (y = 2000 AND opened < DATE '2000-08-15') GROUP BY 1),
+      f AS (SELECT l_suppkey, sum(amount) FILTER (WHERE closed IS NULL AND kind = 'Repair' AND billing = 'Billings Forward') AS forward FROM e GROUP BY 1)
+      SELECT l_suppkey, nullif(calls, 0) AS calls, nullif(calls_ly, 0) AS calls_ly, {double('amount', 'amount')}, {double('amount_ly', 'amount_ly')}, {ratio('amount', 'nullif(calls, 0)', 'average')}, {ratio('amount_ly', 'nullif(calls_ly, 0)', 'average_ly')}, {double('forward', 'forward')} FROM f LEFT JOIN a USING (l_suppkey)""")
+    def b20_calls_to_date(spark: SparkSession, d: str) -> DataFrame:
+        """Calls and amounts of the fiscal year, of the one before up to the same day, and what is billed forward."""
+        o = table(spark, d, "orders").filter("o_orderdate < TIMESTAMP '2001-08-16'")
+        c = table(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+            "l_suppkey", F.when(F.col("l_linenumber") % 3 == 0, "PM").otherwise("Repair").alias("kind"), F.to_date("o_orderdate").alias("opened"), F.when(F.col("l_linestatus") == "F", F.to_date("l_shipdate")).alias("closed"),
+            F.when(F.col("l_linenumber") % 4 == 2, "Billings Forward").otherwise("Standard").alias("billing"), F.expr(money("l_extendedprice")).alias("amount"),
+        )
+        a = P.years_to_date(c, ["l_suppkey"], "opened", 2001, AS_OF, {"calls": F.lit(1), "amount": F.col("amount")})
+        f = c.groupBy("l_suppkey").agg(P.billings_forward("kind", "closed", "billing", "amount").alias("forward"))
+        out = f.join(a, "l_suppkey", "left").withColumns({"average": divide("amount", "calls"), "average_ly": divide("amount_ly", "calls_ly")})
+        return rounded(out.select("l_suppkey", "calls", "calls_ly", "amount", "amount_ly", "average", "average_ly", "forward"), "average", "average_ly")
+
     @reg.add("""WITH h AS (SELECT l_suppkey, sum(CAST(l_quantity AS DECIMAL(12,2))) AS estimate, sum(CAST(l_quantity AS DECIMAL(12,2))) FILTER (WHERE l_linestatus = 'F') AS actual, count(DISTINCT date_trunc('month', l_shipdate)) FILTER (WHERE l_shipdate < TIMESTAMP '2001-08-01') AS elapsed, count(DISTINCT date_trunc('month', l_shipdate)) AS total FROM lineitem GROUP BY 1)
       SELECT l_suppkey, CAST(estimate AS DOUBLE) AS estimate, CAST(actual AS DOUBLE) AS actual, elapsed, total, CAST(estimate - actual AS DOUBLE) AS remaining, round(CAST(actual AS DOUBLE) / elapsed, 6) AS rate, round(CAST(actual AS DOUBLE) / elapsed * greatest(total - elapsed, 0), 6) AS projected FROM h""")
     def b21_run_rate(spark: SparkSession, d: str) -> DataFrame:
@@ -220,7 +242,7 @@ def register(reg: Registry) -> None:
       SELECT customer, CASE WHEN a + n + r <> 0 THEN CASE WHEN a >= n AND a >= r THEN 'a' WHEN n >= r THEN 'n' ELSE 'r' END END AS top_stream, {ratio('greatest(a, n, r)', 'a + n + r', 'concentration')}, round(CAST(cy AS DOUBLE) / nullif(CAST(py AS DOUBLE), 0) - 1, 6) AS momentum FROM j""")
     def b22_mix(spark: SparkSession, d: str) -> DataFrame:
         """Concentration on the largest stream, and momentum."""
-        s = sales(spark, d)
+        s = sales(spark, d, shipped=WINDOWS)
         now, _ = R.windows(ANCHOR)
         w = R.current_and_prior(s, ["customer"], "revenue", ANCHOR)
         t = s.filter(now).groupBy("customer").agg(*(F.sum(F.when(F.col("stream") == k, F.col("revenue"))).alias(k.lower()) for k in "ANR"))

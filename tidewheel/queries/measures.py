@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions import divide
 from tidewheel.plans.context import Context
-from tidewheel.plans.measure import Derived, Iterate, Leaf, With, query, ranked, share
+from tidewheel.plans.measure import Derived, InScope, Iterate, Leaf, Selected, With, ordered, query, ranked, share
 from tidewheel.plans.model import Model, Relationship
 from tidewheel.plans.timeint import Clock, anchor, last_date
 from tidewheel.queries.base import ANCHOR, AS_OF
@@ -156,3 +156,19 @@ def register(reg: Registry) -> None:
 
         rows = query(star(spark, d), ["fiscal_year", "fiscal_month"], {"revenue": With(REVENUE, keep=COMPLETED)})
         return rounded(running(rows, ["fiscal_year"], "fiscal_month", "revenue", "cumulative"))
+
+    @reg.add(f"WITH {SALES}, m AS (SELECT CAST(date_trunc('month', d) AS DATE) AS first, sum(revenue) AS revenue FROM s GROUP BY 1) SELECT strftime(first, '%b %Y') AS month_label, CAST(row_number() OVER (ORDER BY first) AS INTEGER) AS place, {double('revenue', 'revenue')} FROM m")
+    def sort_by_column(spark: SparkSession, d: str) -> DataFrame:
+        """Month labels in the order of their months; place is that in the ordered result."""
+        model = star(spark, d)
+        rows = ordered(model, query(model, ["month_label"], {"revenue": REVENUE}), "month_label")
+        place = rows.agg(F.posexplode(F.collect_list(F.struct("month_label", "revenue"))).alias("place", "row"))  # a row for each month of the calendar
+        return rounded(place.select("row.month_label", (F.col("place") + 1).cast("int").alias("place"), "row.revenue"))
+
+    @reg.add(f"{REGION} SELECT r_name, n_name, CAST(2 - grouping(r_name) - grouping(n_name) AS INTEGER) AS level, CASE WHEN grouping(n_name) = 0 THEN {ratio('sum(revenue)', 'count(*)')} WHEN grouping(r_name) = 0 THEN CAST(count(*) AS DOUBLE) ELSE round(CAST(sum(revenue) AS DOUBLE), 6) END AS value, CAST(sum(revenue) FILTER (WHERE stream = 'A') AS DOUBLE) AS chosen FROM g WHERE stream IN ('A') GROUP BY ROLLUP (r_name, n_name)")
+    def measures_by_scope(spark: SparkSession, d: str) -> DataFrame:
+        """A measure that differs by the level it stands at, and one chosen by the one value of a slicer."""
+        value = InScope({"n_name": REVENUE / LINES, "r_name": LINES}, REVENUE)
+        chosen = Selected("l_returnflag", {"A": REVENUE, "N": LINES}, COST)
+        out = query(star(spark, d), ["r_name", "n_name"], {"value": value, "chosen": chosen}, Context.slicers(l_returnflag="l_returnflag IN ('A')"), totals=True)
+        return rounded(out.withColumn("value", F.col("value").cast("double")), "value")

@@ -15,7 +15,7 @@ from tidewheel.operators import reshape as R
 from tidewheel.plans import timeint
 from tidewheel.plans.measure import ranked
 from tidewheel.queries.base import ANCHOR, AS_OF, REVENUE, SALES, Registry, fy, money, rounded, sales, table
-from tidewheel.sources import literal, number_range
+from tidewheel.sources import csv_table, literal, number_range, shared_folder, write_csv, write_parquet
 
 
 def register(reg: Registry) -> None:
@@ -193,9 +193,7 @@ def register(reg: Registry) -> None:
         m = table(spark, d, "lineitem").groupBy("l_partkey", F.last_day(F.to_date("l_shipdate")).alias("month_end")).agg(F.sum(F.expr(REVENUE)).alias("amount"))
         m = timeint.running(m, ["l_partkey"], "month_end", "amount", "total")
         m = timeint.previous(m, ["l_partkey"], "month_end", "amount", "change")
-        m = m.withColumn("_double", F.col("amount").cast("double"))
-        w = Window.partitionBy("l_partkey").orderBy("month_end").rowsBetween(-6, -1)
-        return rounded(m.withColumn("before", F.sum("amount").over(w).cast("double") / 6).drop("_double"), "before")
+        return rounded(timeint.average_of_before(m, ["l_partkey"], "month_end", "amount", 6, "before"), "before")
 
     @reg.add(f"SELECT o_custkey, CAST(amount AS DOUBLE) AS amount, CAST(dense_rank() OVER (ORDER BY amount DESC) AS INTEGER) AS rank FROM (SELECT o_custkey, sum({money('o_totalprice')}) AS amount FROM orders GROUP BY 1)")
     def rank_customers(spark: SparkSession, d: str) -> DataFrame:
@@ -267,3 +265,19 @@ def register(reg: Registry) -> None:
         one = lambda stream, number, value: F.sum(F.when((F.col("l_returnflag") == stream) & (F.col("l_linenumber") == number), value))
         part = table(spark, d, "lineitem").groupBy("l_partkey").agg(one("A", 6, F.col("l_tax").cast("decimal(4,2)")).alias("q"), one("R", 7, F.expr(REVENUE)).alias("x"))
         return rounded(R.without_zero_rows(part, "q", "x"))
+
+    @reg.add("SELECT c_custkey, trim(c_name) AS c_name, c_mktsegment, CAST(c_acctbal AS DOUBLE) AS c_acctbal FROM customer WHERE c_acctbal IS NOT NULL")
+    def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+        """The table written by the CSV sink and read back with a declared schema."""
+        path = shared_folder(spark)
+        write_csv(table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal").filter("c_acctbal is not null"), path)
+        return csv_table(spark, path, "c_custkey bigint, c_name string, c_mktsegment string, c_acctbal double").withColumn("c_name", F.trim("c_name"))
+
+    @reg.add("SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY ALL")
+    def parquet_sink(spark: SparkSession, d: str) -> DataFrame:
+        """Counts over a table that the partitioned Parquet sink wrote."""
+        path = shared_folder(spark)
+        write_parquet(table(spark, d, "customer").select("c_nationkey", "c_mktsegment"), path, ["c_mktsegment"])
+        kinds = dict(table(spark, d, "customer").dtypes)
+        rows = spark.read.schema(f"c_nationkey {kinds['c_nationkey']}, c_mktsegment string").parquet(path)
+        return rows.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"))

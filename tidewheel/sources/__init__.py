@@ -2,5 +2,6 @@
 
 from tidewheel.sources.files import csv_table, json_table, latest_file, parquet_table, warehouse_table, write_csv, write_parquet
 from tidewheel.sources.generated import choices, date_range, literal, number_range, refresh_time
+from tidewheel.sources.shared import shared_folder
 
-__all__ = ["choices", "csv_table", "date_range", "json_table", "latest_file", "literal", "number_range", "parquet_table", "refresh_time", "warehouse_table", "write_csv", "write_parquet"]
+__all__ = ["choices", "csv_table", "date_range", "json_table", "latest_file", "literal", "number_range", "parquet_table", "refresh_time", "shared_folder", "warehouse_table", "write_csv", "write_parquet"]

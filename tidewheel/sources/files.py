@@ -22,11 +22,12 @@ def warehouse_table(spark: SparkSession, url: str, table: str, key: str | None =
     return reader.load()
 
 
-def csv_table(spark: SparkSession, path: str, schema: StructType | str, encoding: str = "UTF-8", header: bool = True, sep: str = ",", errors: str | None = None) -> DataFrame:
-    """A CSV file or folder. errors: a column of the schema that takes lines that don't fit. Code page 1252 is read
+def csv_table(spark: SparkSession, path: str, schema: StructType | str, encoding: str = "UTF-8", header: bool = True, sep: str = ",", errors: str | None = None, multi_line: bool = False) -> DataFrame:
+    """A CSV file or folder. multi_line: line breaks may stand in quoted fields; then a file can't be split, and is
+    one task however large it is. errors: a column of the schema that takes lines that don't fit. Code page 1252 is read
     as ISO-8859-1, and the 27 characters in which they differ are put right."""
     windows = encoding.lower().replace("windows-", "cp") == "cp1252"
-    reader = spark.read.schema(schema).option("header", header).option("encoding", "ISO-8859-1" if windows else encoding).option("sep", sep).option("multiLine", True)
+    reader = spark.read.schema(schema).option("header", header).option("encoding", "ISO-8859-1" if windows else encoding).option("sep", sep).option("multiLine", multi_line)
     if errors:
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", errors)
     out = reader.csv(path)
