@@ -114,11 +114,15 @@ def alike_pairs(names: DataFrame) -> DataFrame:
     whole = keyed.filter(size > 0).withColumns({"n": k, "edits": edits, "pieces": pieces, "size": size})
     held = whole.select("name", "key", "n", "edits", "pieces", "size", piece).select("name", "key", "n", "edits", "size", (F.col("i") * F.col("size")).alias("at"), cut(F.col("i"), F.col("pieces"), F.col("size")).alias("part"))
     sizes = held.groupBy("size").agg(F.max("edits").alias("reach"))
+    # pieces meet within bands of places, so that a piece which stands in many names at other places is no common key
+    band = lambda place: F.floor(place / (2 * F.col("reach") + 1))
+    held = held.join(F.broadcast(sizes), "size").withColumn("band", band(F.col("at"))).drop("reach")
     windows = keyed.withColumn("m", k).crossJoin(F.broadcast(sizes)).filter(F.col("m") >= F.col("size"))  # a row per piece size: a few
     starts = F.explode(F.sequence(F.lit(0), F.col("m") - F.col("size"))).alias("start")
     windows = windows.select(F.col("name").alias("other"), F.col("key").alias("other_key"), "m", "size", "reach", starts)
-    windows = windows.select("other", "other_key", "m", "size", "start", F.substr(F.col("other_key"), F.col("start") + 1, F.col("size")).alias("part"))
-    near = held.join(windows, ["size", "part"]).filter((F.abs(F.col("start") - F.col("at")) <= F.col("edits")) & (F.abs(F.col("n") - F.col("m")) <= F.col("edits")) & (F.col("name") != F.col("other")))
+    bands = F.array_distinct(F.array(band(F.col("start") - F.col("reach")), band(F.col("start") + F.col("reach"))))
+    windows = windows.select("other", "other_key", "m", "size", "start", F.explode(bands).alias("band"), F.substr(F.col("other_key"), F.col("start") + 1, F.col("size")).alias("part"))
+    near = held.join(windows, ["size", "part", "band"]).filter((F.abs(F.col("start") - F.col("at")) <= F.col("edits")) & (F.abs(F.col("n") - F.col("m")) <= F.col("edits")) & (F.col("name") != F.col("other")))
     near = near.select(F.col("other").alias("a"), F.col("name").alias("b"), F.col("other_key").alias("ka"), F.col("key").alias("kb")).distinct()
     before = lambda x, y: (F.length(x) < F.length(y)) | ((F.length(x) == F.length(y)) & (F.col(x) < F.col(y)))
     near = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("kb").alias("ka"), F.col("ka").alias("kb"))).filter(before("a", "b")).distinct()
