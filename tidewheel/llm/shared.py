@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import re
 import string
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable
 from functools import reduce
@@ -18,22 +16,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewheel.sources import shared_folder
+
 _UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name below the folder that the cluster names in spark.checkpoint.dir.
-
-    Only where that setting is absent and the master is local (tests on one machine) a temporary folder is
-    made and entered in the session's settings, so that all later calls agree. On a cluster that is an error.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='tidewheel-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tidewheel/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    """A new folder name below the folder that the cluster names in spark.checkpoint.dir; without that setting, on
+    a local master only, below a temporary one."""
+    return shared_folder(spark)
 
 
 def ship(spark: SparkSession) -> None:
