@@ -5,7 +5,6 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidewheel.llm import components as C
 from tidewheel.llm import jaccard as J
 from tidewheel.llm.components import components
 
@@ -175,8 +174,7 @@ def test_frequent_shingles_are_at_most_so_many(spark, monkeypatch):
     assert 0 < len(J._frequent(docs, 5)) <= every // 2
 
 
-def test_hubs(spark, monkeypatch):
-    monkeypatch.setattr(C, "HUB", 5)
+def test_hubs(spark):
     edges = [(0, k) for k in range(1, 60)] + [(k, 100 + k) for k in range(1, 60)] + [(500, 400 + k) for k in range(50)] + [(700, 701)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{k: 0 for k in [*range(60), *range(101, 160)]}, **{k: 400 for k in [500, *range(400, 450)]}, 700: 700, 701: 700}
