@@ -114,3 +114,10 @@ def test_ranks_in_ranges(spark):
     want = {v: i + 1 for i, v in enumerate(sorted({v for _, v in rows}, reverse=True))}
     got = ranked(spark.createDataFrame(rows, "k int, v double"), "v", parts=7).collect()
     assert len(got) == 1500 and all(r["rank"] == want[r.v] for r in got)
+
+
+def test_selected_values():
+    c = Context.slicers(kind="kind IN ('x', 'y')")
+    assert c.selected("kind") is None and c.keep("kind", "kind = 'y'").selected("kind") == "y"
+    assert Context.slicers(kind="kind in ('it''s')").selected("kind") == "it's" and Context.slicers(year="year = 2025").selected("year") == "2025"
+    assert Context.slicers(kind="kind > 'a'").selected("kind", "none") == "none" and not c.has_one_value("kind")
