@@ -29,6 +29,10 @@ def test_charts(spark):
     r = out["a", 1]
     assert (r.axis, r.bar, r.base_bar, r.change, r.change_pct, r.favourable) == (50, 80, 100, -10, -0.2, False)
     assert (out["a", 2].bar_start, out["a", 2].bar_end, out["a", 2].change_pct) == (40, 30, None) and out["b", 1].bar == 0
+    many = {(r.g, r.i): r for r in charts.small_multiples(df.unionByName(df.limit(1).select(F.lit("c").alias("g"), "i", F.lit(None).cast("double").alias("v"), "w")), "g", "i", "v", "v", 1, 100).collect()}
+    assert [(many[k].category_rank, many[k].place, many[k].is_actual, many[k].bar_from, many[k].bar_size) for k in (("a", 1), ("a", 2), ("b", 1), ("c", 1))] == [(1, 1, True, 0, 80), (1, 2, False, 80, 20), (2, 1, True, 80, 0), (3, 1, True, None, None)]
+    w = df.filter("i = 1 and g = 'a'").select(*(v.alias(k) for k, v in charts.wide_variance(F.col("v"), F.col("w"), F.lit(100.0), 10).items())).first()
+    assert (w.bar, w.base_bar, w.variance_from, w.variance_to, w.change) == (4, 5, 4, 5, -10)
     p = df.limit(1).select(*(v.alias(k) for k, v in charts.pie(F.lit(0.25)).items())).first()
     assert math.isclose(p.x, 1) and abs(p.y) < 1e-12 and not p.long
 

@@ -46,6 +46,9 @@ def test_text(spark):
     day = F.lit(dt.date(2025, 3, 7))
     got = one(spark, *(T.fmt(lit(1234567.891), p) for p in ("#,0", "$#,0", "0.0", "0")), T.fmt(lit(0.12345), "0.0%"), T.fmt(lit(-5), "$#,0.00"), *(T.fmt(day, p) for p in ("MMM yyyy", "dd-MMM-yyyy", "MMM d, yyyy")), T.fmt(lit(None), "#,0"))
     assert got == ["1,234,568", "$1,234,568", "1234567.9", "1234568", "12.3%", "-$5.00", "Mar 2025", "07-Mar-2025", "Mar 7, 2025", None]
+    signs = [text.fmt_by_sign(lit(v), p) for p in ("$#,0;($#,0);0", "0.0") for v in (5, -5, 0, None)]
+    assert one(spark, *signs) == ["$5", "($5)", "0", None, "5.0", "-5.0", "0.0", None]
+    assert text.described(spark.range(1), {"id": "0"}).schema["id"].metadata == {"format": "0"}
     assert one(spark, text.trend(lit(0.05)), text.trend(lit(-0.5)), text.trend(lit(0)), text.percent_encoded(F.lit('<a b="#1%">'))) == ["▲\u20075.0%", "▼\u200750.0%", "▬\u20070.0%", "%3Ca b=%22%231%25%22%3E"]
     assert one(spark, T.try_value(F.lit("x"), "int"), T.try_value(F.lit("7"), "int"), T.strip_prefix_word(F.lit("the Big"), "THE")) == [None, 7, "Big"]
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.functions.semantics import ColumnLike, col
@@ -68,6 +68,28 @@ def fmt(c: ColumnLike, pattern: str) -> Column:
     return F.concat(grouped, F.lit("%")) if pattern.endswith("%") else grouped
 
 
+def fmt_by_sign(c: ColumnLike, sections: str) -> Column:
+    """A number as display text by up to three of FORMATS, for positive, negative and zero values, as in
+    "$#,0;($#,0);0". A section may stand in parentheses; the negative one shows the size alone. Values without a section
+    of their own use the first."""
+    x, texts = col(c), []
+    for k, section in enumerate(sections.split(";")):
+        plain = section[1:-1] if section[:1] + section[-1:] == "()" else section
+        shown = fmt(F.abs(x) if k == 1 else x, plain)
+        texts.append(F.concat(F.lit("("), shown, F.lit(")")) if plain != section else shown)
+    if len(texts) > 3:
+        raise ValueError(f"{sections!r} has more than three sections")
+    out = F.when(x < 0, texts[1] if len(texts) > 1 else texts[0])
+    return out.when(x == 0, texts[2] if len(texts) > 2 else texts[0]).otherwise(texts[0])
+
+
+def described(rows: DataFrame, formats: dict[str, str]) -> DataFrame:
+    """rows whose columns carry their display format as metadata, under the name format; values stay as they are."""
+    for name, sections in formats.items():
+        rows = rows.withMetadata(name, {**rows.schema[name].metadata, "format": sections})
+    return rows
+
+
 def trend(change: ColumnLike, rising: str = "▲", falling: str = "▼", level: str = "▬") -> Column:
     """A glyph for the sign of a change, a figure space and its percentage; blank if it is blank."""
     x = col(change)

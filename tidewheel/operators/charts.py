@@ -35,6 +35,27 @@ def waterfall_positions(rows: DataFrame, group: list[str], order: str, amount: s
     return out.withColumn("bar_start", F.col("bar_end") - blank0(amount))
 
 
+def small_multiples(rows: DataFrame, category: str, period: str, value: str, sort: str, last_actual: Column | int, height: float) -> DataFrame:
+    """Columns of every category on one scale, which holds all values and zero.
+
+    Adds category_rank (by the category's sum of sort, the largest first; ties share a rank), place (of the period in its
+    category), is_actual, bar_from (from the top of the plot) and bar_size. A blank value has no bar.
+    """
+    order = rows.groupBy(category).agg(F.sum(sort).alias("_sort"))
+    order = order.select(F.col(category).alias("_category"), F.rank().over(Window.orderBy(F.desc_nulls_last("_sort"))).alias("category_rank"))  # a row per category
+    scale = rows.agg(F.greatest(F.max(value), F.lit(0)).alias("_top"), F.least(F.min(value), F.lit(0)).alias("_bottom"))
+    out = rows.join(order, F.col(category).eqNullSafe(F.col("_category"))).crossJoin(scale)  # one row
+    part = lambda c: F.when(F.col(value).isNotNull(), blank0(divide(c, F.col("_top") - F.col("_bottom"))) * height)
+    out = out.withColumns({"place": F.row_number().over(Window.partitionBy(category).orderBy(period)), "is_actual": F.col(period) <= last_actual, "bar_from": part(F.col("_top") - F.greatest(F.col(value), F.lit(0))), "bar_size": part(F.abs(value))})
+    return out.drop("_category", "_top", "_bottom")
+
+
+def wide_variance(main: Column, base: Column, largest: Column, height: float) -> dict[str, Column]:
+    """Columns of a value and its base on the scale of a given maximum, and the variance's column between their ends."""
+    ends = {"bar": bar(main, largest, height), "base_bar": bar(base, largest, height)}
+    return {**ends, "variance_from": F.least(*ends.values()), "variance_to": F.greatest(*ends.values()), **variance(main, base)}
+
+
 def pie(share: Column, radius: float = 1.0) -> dict[str, Column]:
     """End of the arc that starts at the top and covers a share, and whether it is the long way round."""
     angle = 2 * F.pi() * F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions import divide, fiscal_year, fmt
@@ -283,6 +283,26 @@ def register(reg: Registry) -> None:
         out = charts.waterfall_positions(charts.scaled_variance(y, ["segment"], "v", "w", 120), ["segment"], "year", "v").drop("v", "w")
         return rounded(out.withColumns({c: F.round(c, 2) for c in ("change", "bar_end", "bar_start")}), "change_pct", "bar", "base_bar")
 
+    YEARS = f"y AS (SELECT segment, CAST({fy()} AS INTEGER) AS year, CAST(sum(revenue) AS DOUBLE) AS v, CAST(sum(cost) AS DOUBLE) AS w FROM s GROUP BY ALL)"
+
+    @reg.add(f"""WITH {SALES}, {YEARS}, g AS (SELECT segment, year, v - w AS change FROM y), c AS (SELECT segment, CAST(rank() OVER (ORDER BY sum(change) DESC) AS INTEGER) AS category_rank FROM g GROUP BY 1), m AS (SELECT greatest(max(change), 0) AS top, least(min(change), 0) AS bottom FROM g)
+      SELECT segment, year, round(change, 2) AS change, category_rank, CAST(row_number() OVER (PARTITION BY segment ORDER BY year) AS INTEGER) AS place, year <= 2001 AS is_actual, round((top - greatest(change, 0)) / (top - bottom) * 130, 6) AS bar_from, round(abs(change) / (top - bottom) * 130, 6) AS bar_size FROM g JOIN c USING (segment), m""")
+    def chart_small_multiples(spark: SparkSession, d: str) -> DataFrame:
+        """The variance of each year as columns, a chart per segment, all on one scale."""
+        y = sales(spark, d).groupBy("segment", fiscal_year("d").alias("year")).agg(F.sum("revenue").cast("double").alias("v"), F.sum("cost").cast("double").alias("w"))
+        out = charts.small_multiples(y.select("segment", "year", (F.col("v") - F.col("w")).alias("change")), "segment", "year", "change", "change", 2001, 130)
+        return rounded(out.withColumn("change", F.round("change", 2)), "bar_from", "bar_size")
+
+    @reg.add(f"""WITH {SALES}, {YEARS}, x AS (SELECT *, max(greatest(v, w)) OVER (PARTITION BY segment) AS top FROM y), b AS (SELECT *, v / top * 90 AS bar, w / top * 90 AS base_bar FROM x)
+      SELECT segment, year, round(bar, 6) AS bar, round(base_bar, 6) AS base_bar, round(least(bar, base_bar), 6) AS variance_from, round(greatest(bar, base_bar), 6) AS variance_to, round(v - w, 2) AS change, round((v - w) / w, 6) AS change_pct, v - w >= 0 AS favourable FROM b""")
+    def chart_wide_variance(spark: SparkSession, d: str) -> DataFrame:
+        """Value, base and the variance between their ends, by year on the scale of the segment's largest."""
+        y = sales(spark, d).groupBy("segment", fiscal_year("d").alias("year")).agg(F.sum("revenue").cast("double").alias("v"), F.sum("cost").cast("double").alias("w"))
+        top = F.max(F.greatest("v", "w")).over(Window.partitionBy("segment"))
+        out = y.withColumn("top", top)
+        out = out.select("segment", "year", *(c.alias(n) for n, c in charts.wide_variance(F.col("v"), F.col("w"), F.col("top"), 90).items()))
+        return rounded(out.withColumn("change", F.round("change", 2)), "bar", "base_bar", "variance_from", "variance_to", "change_pct")
+
     @reg.add(f"WITH {SALES}, t AS (SELECT segment, CAST(sum(revenue) AS DOUBLE) AS v FROM s GROUP BY 1), p AS (SELECT segment, v / sum(v) OVER () AS share FROM t) SELECT segment, round(share, 6) AS share, round(sin(2 * pi() * share), 6) AS x, round(-cos(2 * pi() * share), 6) AS y, share > 0.5 AS long FROM p")
     def chart_pie(spark: SparkSession, d: str) -> DataFrame:
         """Arcs of a pie by share of the total."""

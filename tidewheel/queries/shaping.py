@@ -57,6 +57,23 @@ def register(reg: Registry) -> None:
         balance = F.expr(money("c_acctbal"))
         return c.select("c_custkey", T.fmt(balance, "#,0").alias("whole"), T.fmt(balance, "$#,0").alias("price"), T.fmt(F.col("c_nationkey") / 8, "0.0%").alias("pct"))
 
+    BALANCE, DAY = "CAST(c_acctbal AS DECIMAL(12,2))", "strftime(o_orderdate, '{}')"
+
+    @reg.add(f"""SELECT c_custkey, CASE WHEN {BALANCE} < 0 THEN '($' || format('{{:,}}', CAST(round(abs({BALANCE})) AS BIGINT)) || ')' WHEN {BALANCE} = 0 THEN '0' ELSE '$' || format('{{:,}}', CAST(round({BALANCE}) AS BIGINT)) END AS balance,
+      CASE WHEN c_nationkey < 12 THEN '(' ELSE '' END || CAST(CAST(round(abs(c_nationkey - 12) * CAST(12.5 AS DECIMAL(18,8)), 2) AS DECIMAL(18,2)) AS VARCHAR) || '%' || CASE WHEN c_nationkey < 12 THEN ')' ELSE '' END AS change FROM customer""")
+    def formats_by_sign(spark: SparkSession, d: str) -> DataFrame:
+        """Formats with a section for each sign, kept as metadata of the columns and applied."""
+        formats = {"balance": "$#,0;($#,0);0", "change": "0.00%;(0.00%)"}
+        c = table(spark, d, "customer").select("c_custkey", F.expr(money("c_acctbal")).alias("balance"), ((F.col("c_nationkey") - 12) / 8).alias("change"))
+        c = T.described(c, formats)
+        return c.select("c_custkey", *(T.fmt_by_sign(n, c.schema[n].metadata["format"]).alias(n) for n in formats))
+
+    @reg.add("SELECT o_orderkey, " + ", ".join(f"{DAY.format(p)} AS {n}" for n, p in {"month": "%b %Y", "day": "%d-%b-%Y", "long_day": "%b %-d, %Y", "iso": "%Y-%m-%d"}.items()) + ", CAST(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DECIMAL(18,2)) AS VARCHAR) AS cents FROM orders")
+    def date_formats(spark: SparkSession, d: str) -> DataFrame:
+        """Dates and plain numbers as display text."""
+        o, day = table(spark, d, "orders"), F.col("o_orderdate")
+        return o.select("o_orderkey", T.fmt(day, "MMM yyyy").alias("month"), T.fmt(day, "dd-MMM-yyyy").alias("day"), T.fmt(day, "MMM d, yyyy").alias("long_day"), T.fmt(day, "yyyy-MM-dd").alias("iso"), T.fmt(F.expr(money("o_totalprice")), "0.00").alias("cents"))
+
     @reg.add("""SELECT CAST(d AS DATE) AS date, year(d) + CASE WHEN month(d) > 9 THEN 1 ELSE 0 END AS fiscal_year, (month(d) + 2) % 12 + 1 AS fiscal_month, CAST(ceil(((month(d) + 2) % 12 + 1) / 3.0) AS INTEGER) AS fiscal_quarter,
         last_day(CAST(d AS DATE)) AS month_end, make_date(year(d) + CASE WHEN month(d) > 9 THEN 0 ELSE -1 END, 10, 1) AS fiscal_start, strftime(d, '%b %Y') AS month_label,
         last_day(CAST(d AS DATE)) < DATE '2001-08-01' AS completed_month, (year(d) - 2001) * 12 + month(d) - 8 AS month_offset, (year(d) - 1995) * 12 + month(d) AS month_index,
