@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidewheel.llm import jaccard as J
+from tidewheel.llm import shared as S
 from tidewheel.llm.components import components
 
 
@@ -109,6 +110,19 @@ def test_odd_rows(spark):
     assert J.groups(df.limit(0)).count() == 0
 
 
+def test_copies_of_one_text(spark, monkeypatch):
+    """Half of the rows are copies of one text: they meet their group by a broadcast, the others by a shuffle."""
+    monkeypatch.setattr(S, "COMMON", 5)
+    docs = corpus(3, n_groups=2, dense=6)
+    text = docs[-1][1]
+    docs += [(1000 + k, text) for k in range(len(docs))]
+    rows = [*docs, (None, text), (None, "of no group at all")]
+    got = [tuple(r) for r in J.groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
+    want = brute(docs)
+    assert {g[0]: g[1:] for g in got if g[0] is not None} == want and len(got) == len(rows)
+    assert sorted((g[1:] for g in got if g[0] is None), key=str) == sorted([want[1000], (1, None)], key=str)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 9), (4, 4), (None, 1)] + [(k, k + 1) for k in range(100, 180)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

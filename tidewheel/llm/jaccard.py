@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.components import components
-from tidewheel.llm.shared import broadcast, forget, ship, sieve, written
+from tidewheel.llm.shared import broadcast, forget, looked_up, ship, sieve, written
 
 WORDS = 5
 #: Rows that a shingle may have for its pairs to be listed one by one.
@@ -377,7 +377,7 @@ def groups(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sketches = _sketches(docs, _frequent(docs, SPARSE))
     filled = sketches.filter("n > 0")
-    classes = filled.groupBy("set_hash").agg(F.min("doc_id").cast("bigint").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("n_late").alias("n_late"))
+    classes = filled.groupBy("set_hash").agg(F.min("doc_id").cast("bigint").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("n_late").alias("n_late"), F.count("*").alias("copies"))
     rows = written(classes.filter("rep is not null"))
     edges, shared = _candidates(rows)
     candidates = components(edges)
@@ -385,10 +385,12 @@ def groups(docs: DataFrame) -> DataFrame:
     links = _links(docs, rows, candidates)
     roots = components(links)
     forget(links)
-    named = rows.select("set_hash", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("set_hash", F.coalesce("root", "rep").alias("component_id"))
+    named = written(rows.select("set_hash", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("set_hash", F.coalesce("root", "rep").alias("component_id")))
     kept = sketches.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "set_hash")
     own = F.col("doc_id").cast("bigint")
-    out = kept.filter("n_shingles > 0").join(named, "set_hash", "left").select("doc_id", "n_shingles", F.coalesce("component_id", own).alias("component_id"))
+    # a text with very many copies meets its group by a broadcast
+    grouped = looked_up(kept.filter("n_shingles > 0"), named, ["set_hash"], rows.select("set_hash", F.col("copies").alias("n")))
+    out = grouped.select("doc_id", "n_shingles", F.coalesce("component_id", own).alias("component_id"))
     return out.unionByName(kept.filter("n_shingles = 0").select("doc_id", "n_shingles", own.alias("component_id")))
 
 
