@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ann, bpe, chat, decontam, html_main, jaccard, langid, quality, urls, warc
+from tidewheel.llm import ann, bpe, chat, decontam, fim, html_main, jaccard, langid, quality, urls, warc
 from tidewheel.llm.shared import read, shared_dir
 
 
@@ -63,6 +63,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat": op2_chat,
@@ -74,5 +78,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_warc": op9_warc,
     "op10_nearest": op10_nearest,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
-ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE, "op3_decontaminate": decontam.ORACLE, "op6_jaccard": jaccard.ORACLE, "op9_warc": warc.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE, "op3_decontaminate": decontam.ORACLE, "op6_jaccard": jaccard.ORACLE, "op9_warc": warc.ORACLE, "op11_fill_in_middle": fim.ORACLE}
