@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ann, bpe, chat, decontam, fim, html_main, jaccard, langid, quality, urls, warc
+from tidewheel.llm import ann, bpe, chat, decontam, fim, html_main, jaccard, langid, quality, secrets, urls, warc
 from tidewheel.llm.shared import read, shared_dir
 
 
@@ -67,6 +67,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(fim.transform(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat": op2_chat,
@@ -79,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_nearest": op10_nearest,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_secrets": op12_secrets,
 }
-ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE, "op3_decontaminate": decontam.ORACLE, "op6_jaccard": jaccard.ORACLE, "op9_warc": warc.ORACLE, "op11_fill_in_middle": fim.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE, "op3_decontaminate": decontam.ORACLE, "op6_jaccard": jaccard.ORACLE, "op9_warc": warc.ORACLE, "op11_fill_in_middle": fim.ORACLE, "op12_secrets": secrets.ORACLE}
