@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm import ann, bpe, chat, decontam, fim, html_main, jaccard, langid, quality, secrets, urls, warc
+from tidewheel.llm import ann, bpe, chat, decontam, fim, html_main, jaccard, langid, quality, secrets, urls, warc, whiten
 from tidewheel.llm.shared import read, shared_dir
 
 
@@ -71,6 +71,12 @@ def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whiten.fit(vectors)
+    return whiten.components(whiten.transform(vectors, model), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat": op2_chat,
@@ -84,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_nearest": op10_nearest,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_secrets": op12_secrets,
+    "op13_whitening": op13_whitening,
 }
 ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE, "op3_decontaminate": decontam.ORACLE, "op6_jaccard": jaccard.ORACLE, "op9_warc": warc.ORACLE, "op11_fill_in_middle": fim.ORACLE, "op12_secrets": secrets.ORACLE}
