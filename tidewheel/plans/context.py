@@ -15,13 +15,16 @@ _LITERAL = r"(?:'(?:[^']|'')*'|[+-]?\w[\w.]*)"
 class Filter:
     """A predicate (SQL over columns of one table), or membership of column in the first column of rows.
 
-    outer: set by the report around the query, not by a measure in it.
+    outer: set by the report around the query, not by a measure in it. cells: the axes that rows have
+    besides keys, if every cell of these has keys of its own; column is the first of the keys.
     """
 
     column: str
     sql: str = ""
     rows: DataFrame | None = None
     outer: bool = False
+    cells: tuple[str, ...] = ()
+    keys: tuple[str, ...] = ()
 
     def columns(self, known: dict[str, str]) -> set[str]:
         return {self.column} | {n for n in _NAME.findall(re.sub(r"'[^']*'", "", self.sql)) if n in known}
@@ -53,6 +56,14 @@ class Context:
         base = self.remove(column) if overwrite else self
         return replace(base, filters=(*base.filters, Filter(column, rows=rows)))
 
+    def within(self, keys: tuple[str, ...], cells: tuple[str, ...], rows: DataFrame) -> "Context":
+        """Only combinations of the cells' axes and the keys that rows have."""
+        return replace(self, filters=(*self.filters, Filter(keys[0], rows=rows, cells=cells, keys=keys)))
+
+    @property
+    def key(self) -> tuple:
+        return tuple((f.key, f.outer) for f in self.filters)
+
     def remove(self, *columns: str) -> "Context":
         return replace(self, filters=tuple(f for f in self.filters if f.column not in columns))
 

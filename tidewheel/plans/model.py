@@ -87,9 +87,38 @@ class Model:
             out = out.join(dim, key == dim[r.one_column], "left")
         return out
 
-    def back(self, fact: str, column: str, use: frozenset[str] = frozenset()) -> Relationship | None:
-        """The both-ways edge by which a filter on column, which the fact doesn't reach, comes to it."""
-        for r in self.relationships:
-            if r.both and r.many == self.home.get(column) and self.path(fact, r.one, use) is not None:
-                return r
-        return None
+    def route(self, fact: str, table: str, use: frozenset[str] = frozenset()) -> list[tuple[Relationship, bool]] | None:
+        """How a filter on a table that the fact doesn't reach comes to it over both-ways edges: the edges from that table
+        up to one that the fact reaches, or is, each with whether it is crossed from its many side. None if there is no way;
+        two ways are an error, as a filter would depend on which is taken."""
+        found, ways = [], deque([(table, ())])
+        while ways:
+            at, came = ways.popleft()
+            if came and self.path(fact, at, use) is not None:
+                found.append(list(came))
+                continue
+            been = {table, *(r.one if up else r.many for r, up in came)}
+            for r in self.relationships:
+                if not (r.active or r.many_column in use):
+                    continue
+                if r.many == at and r.both and r.one not in been:
+                    ways.append((r.one, (*came, (r, True))))
+                if r.one == at and r.many not in been:
+                    ways.append((r.many, (*came, (r, False))))
+        if len(found) > 1:
+            names = " or ".join("-".join(r.one if up else r.many for r, up in w) for w in found)
+            raise ValueError(f"a filter on {table} comes to {fact} by {names}")
+        return found[0] if found else None
+
+    def carried(self, way: list[tuple[Relationship, bool]], rows: DataFrame, keep: tuple[str, ...] = ()) -> tuple[str, DataFrame]:
+        """Rows of the way's first table as a set of keys at its end: the column that they restrict there, and a frame of it and
+        of the columns kept. Every table on the way is reduced to what the one before leaves."""
+        for k, (r, up) in enumerate(way):
+            here, there = (r.many_column, r.one_column) if up else (r.one_column, r.many_column)
+            keys = rows.select(*(c for c in keep if c != "_key"), F.col(here).alias("_key")).distinct()
+            if k == len(way) - 1:
+                return there, keys
+            table = self.tables[r.one if up else r.many]
+            on = table[there] == keys["_key"]
+            rows = table.join(keys, on).drop("_key") if keep else table.join(keys, on, "left_semi")
+        raise ValueError("no way")

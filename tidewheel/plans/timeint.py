@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions.dates import FISCAL_END
@@ -97,6 +97,41 @@ def leaf_sum(fact: str, expr: str, where: dict[str, str] | None = None) -> Measu
     return With(Leaf(fact, "sum", expr), keep=where or {}) if where else Leaf(fact, "sum", expr)
 
 
+def sliding(rows: DataFrame, axes: list[str], key: str, period: str, value: str, of: dict[str, Column], length: int = 12, first: int | None = None, last: int | None = None) -> DataFrame:
+    """For every period, sums over all keys of functions of a key's two windows: cy, the `length` periods that end at it, and
+    py, as many before. A row for each combination of axes and each period (whole numbers) from the first with data (or
+    first) to the last (or last).
+
+    of: columns over cy and py, whose sum over keys is taken; they are 0 where both are. An amount enters cy in its own
+    period, goes over to py after `length` periods and leaves after as many more, so a key has three events for each
+    of its periods, whatever the number of windows. A key's functions change only at its events; the changes are added up
+    by period, and running sums over periods give all windows at once. Amounts are exact decimals or whole numbers (others are
+    taken to six places), so that a window that is empty again is 0. Blank amounts count as 0, rows without a period
+    nowhere; a blank key is a key.
+    """
+    kind = dict(rows.dtypes)[value]
+    exact = kind if kind.startswith("decimal") or kind in ("bigint", "int") else "decimal(28,6)"
+    amount = F.coalesce(F.sum(F.col(value).cast(exact)), F.lit(0))
+    monthly = rows.filter(F.col(period).isNotNull()).groupBy(*axes, key, F.col(period).cast("int").alias("_at")).agg(amount.alias("_v"))
+    event = lambda n, cy, py: F.struct((F.col("_at") + n).alias("_at"), cy.alias("_cy"), py.alias("_py"))
+    v, none = F.col("_v"), F.col("_v") - F.col("_v")
+    events = monthly.select(*axes, key, F.inline(F.array(event(0, v, none), event(length, -v, v), event(2 * length, none, -v))))
+    events = events.groupBy(*axes, key, "_at").agg(F.sum("_cy").alias("_cy"), F.sum("_py").alias("_py"))
+    w = Window.partitionBy(*axes, key).orderBy("_at")  # a row for each period of a key with an event
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = events.select(*axes, key, "_at", F.sum("_cy").over(upto).alias("cy"), F.sum("_py").over(upto).alias("py"))
+    state = state.select(*axes, key, "_at", *(c.alias(n) for n, c in of.items()))
+    changes = state.select(*axes, "_at", *((F.col(n) - F.coalesce(F.lag(n).over(w), F.lit(0))).alias(n) for n in of))
+    changes = changes.groupBy(*axes, "_at").agg(*(F.sum(n).alias(n) for n in of))
+    per = Window.partitionBy(*axes).orderBy("_at")  # a row for each period
+    sums = changes.select(*axes, "_at", F.lead("_at").over(per).alias("_next"), *(F.sum(n).over(per.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(n) for n in of))
+    ends = monthly.agg(F.min("_at").alias("a"), F.max("_at").alias("b")).select(F.lit(first).cast("int").alias("f"), F.lit(last).cast("int").alias("l"), "a", "b")
+    lo, hi = F.coalesce("f", "a"), F.coalesce("l", "b")
+    sums = sums.crossJoin(ends)  # one row
+    low, high = F.greatest("_at", lo), F.least(F.coalesce(F.col("_next") - 1, hi), hi)
+    return sums.filter(low <= high).select(*axes, F.explode(F.sequence(low, high)).alias(period), *of)
+
+
 # Running windows over rows that have been aggregated per key and period.
 def running(rows: DataFrame, keys: list[str], order: str, value: str, name: str) -> DataFrame:
     """Running total within keys."""

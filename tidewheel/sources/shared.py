@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,3 +19,10 @@ def shared_folder(spark: SparkSession) -> str:
         base = f"file://{tempfile.mkdtemp(prefix='tidewheel-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tidewheel/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: evaluated once, however often it is read."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
