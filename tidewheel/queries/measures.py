@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tidewheel.functions import divide
 from tidewheel.plans.context import Context
-from tidewheel.plans.measure import Derived, InScope, Iterate, Leaf, Selected, With, ordered, query, ranked, share
+from tidewheel.operators.business.retention import movements
+from tidewheel.plans.calcgroup import CalculationGroup, by_items
+from tidewheel.plans.measure import Cumulative, Derived, Having, InScope, Iterate, Leaf, Rank, Selected, With, calculated, ordered, query, ranked, share
 from tidewheel.plans.model import Model, Relationship
-from tidewheel.plans.timeint import Clock, anchor, last_date
+from tidewheel.plans.timeint import Clock, anchor, last_date, sliding
 from tidewheel.queries.base import ANCHOR, AS_OF
 from tidewheel.queries.base import COST as COST_OF_LINE
 from tidewheel.queries.base import SALES, Registry, double, fy, ratio, rounded, star
@@ -172,3 +174,115 @@ def register(reg: Registry) -> None:
         chosen = Selected("l_returnflag", {"A": REVENUE, "N": LINES}, COST)
         out = query(star(spark, d), ["r_name", "n_name"], {"value": value, "chosen": chosen}, Context.slicers(l_returnflag="l_returnflag IN ('A')"), totals=True)
         return rounded(out.withColumn("value", F.col("value").cast("double")), "value")
+
+    floor = "round(round(CAST({} AS DECIMAL(28,10)), 3), 2) < 0.25"
+
+    @reg.add(f"""WITH {SALES}, o AS (SELECT l_orderkey, sum(revenue) AS r, sum(revenue - cost) AS g FROM s GROUP BY 1), low AS (SELECT l_orderkey FROM o WHERE {floor.format('CAST(g AS DOUBLE) / nullif(CAST(r AS DOUBLE), 0)')}),
+      t AS (SELECT segment, revenue, cost, l_orderkey IN (SELECT l_orderkey FROM low) AS b FROM s)
+      SELECT segment AS c_mktsegment, {double('sum(revenue) FILTER (WHERE b)', 'price')}, {double('sum(revenue - cost) FILTER (WHERE b)', 'gp')}, {ratio('sum(revenue) FILTER (WHERE b)', 'sum(revenue)', 'price_share')} FROM t GROUP BY 1""")
+    def filter_by_measure(spark: SparkSession, d: str) -> DataFrame:
+        """Price and gross profit of the bookings (orders) whose own margin, rounded twice, is below the floor."""
+        parts = {"r": REVENUE, "g": REVENUE - COST}
+        below = lambda m: Having(m, ("l_orderkey",), parts, floor.format("try_divide(CAST(g AS DOUBLE), CAST(r AS DOUBLE))"))
+        return rounded(query(star(spark, d), ["c_mktsegment"], {"price": below(REVENUE), "gp": below(REVENUE - COST), "price_share": below(REVENUE) / REVENUE}), "price_share")
+
+    @reg.add(f"""{REGION}, c AS (SELECT r_name, {fy()} AS fiscal_year, customer, sum(revenue) AS r, count(*) AS n FROM g GROUP BY ALL)
+      SELECT r_name, CAST(fiscal_year AS INTEGER) AS fiscal_year, {double('sum(r) FILTER (WHERE r > 150000)', 'of_large')}, count(*) FILTER (WHERE r > 150000) AS large, {double('sum(r)', 'revenue')} FROM c GROUP BY ALL""")
+    def filter_by_measure_cells(spark: SparkSession, d: str) -> DataFrame:
+        """Customers that are large in a region's fiscal year: every cell has members of its own."""
+        parts = {"v": REVENUE}
+        large = lambda m: Having(m, ("o_custkey",), parts, "v > 150000")
+        out = query(star(spark, d), ["r_name", "fiscal_year"], {"of_large": large(REVENUE), "large": large(Leaf("line", "countd", "o_custkey")), "revenue": REVENUE})
+        return rounded(out.fillna({"large": 0}))
+
+    @reg.add(f"""{REGION}, o AS (SELECT r_name, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1), b AS (SELECT p_brand, r_name, sum(revenue) AS revenue FROM g GROUP BY ALL)
+      SELECT p_brand, r_name, orders, {double('revenue', 'revenue')}, {ratio('revenue', 'orders', 'per_order')} FROM b LEFT JOIN o USING (r_name)""")
+    def axis_not_reached(spark: SparkSession, d: str) -> DataFrame:
+        """Orders beside lines by brand and region: brands don't filter orders, whose region's number stands at each of them."""
+        orders = Leaf("orders", "count")
+        return rounded(query(star(spark, d), ["p_brand", "r_name"], {"orders": orders, "revenue": REVENUE, "per_order": REVENUE / orders}), "per_order")
+
+    @reg.add("SELECT p_brand, (SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT') AS orders FROM part WHERE p_size > 20 GROUP BY 1")
+    def axis_alone(spark: SparkSession, d: str) -> DataFrame:
+        """A measure that none of the axes filters, in a sliced report: its total at each value that the slicer leaves."""
+        return query(star(spark, d), ["p_brand"], {"orders": Leaf("orders", "count")}, Context.slicers(o_orderpriority="o_orderpriority = '1-URGENT'", p_size="p_size > 20"))
+
+    @reg.add(f"WITH {SALES}, t AS (SELECT segment, sum(revenue) AS r FROM s GROUP BY 1) SELECT DISTINCT p_brand, s.segment AS c_mktsegment, {double('r', 'of_segment')} FROM s JOIN t ON s.segment = t.segment")
+    def axes_of_two_tables(spark: SparkSession, d: str) -> DataFrame:
+        """A measure that lifts one of two tables' axes: its rows are the combinations that the shared fact has."""
+        return rounded(query(star(spark, d), ["p_brand", "c_mktsegment"], {"of_segment": With(REVENUE, remove=("p_brand",))}))
+
+    moves = "sum(CASE WHEN py > 0 THEN py ELSE 0 END) AS base, sum(CASE WHEN py > 0 AND cy = 0 THEN py ELSE 0 END) AS churn, sum(CASE WHEN py > 0 AND cy > 0 AND cy < py THEN py - cy ELSE 0 END) AS contraction, sum(CASE WHEN py > 0 AND cy > py THEN cy - py ELSE 0 END) AS upsell, sum(CASE WHEN py > 0 THEN 1 ELSE 0 END) AS logos, sum(CASE WHEN py > 0 AND cy = 0 THEN 1 ELSE 0 END) AS lost"
+
+    @reg.add(f"""WITH {SALES}, m AS (SELECT segment, customer, (year(d) - 1995) * 12 + month(d) AS i, sum(revenue) AS v FROM s GROUP BY ALL), p AS (SELECT DISTINCT i AS n FROM m),
+      w AS (SELECT segment, customer, n, coalesce(sum(v) FILTER (WHERE i > n - 12), 0) AS cy, coalesce(sum(v) FILTER (WHERE i <= n - 12), 0) AS py FROM m JOIN p ON i <= n AND i > n - 24 GROUP BY ALL),
+      a AS (SELECT segment, n, {moves} FROM w GROUP BY ALL)
+      SELECT segment AS c_mktsegment, CAST(n AS INTEGER) AS month_index, {double('base', 'base')}, {double('churn', 'churn')}, {double('contraction', 'contraction')}, {double('upsell', 'upsell')}, CAST(logos AS BIGINT) AS logos, CAST(lost AS BIGINT) AS lost, {ratio('base - churn - contraction + upsell', 'base', 'nrr')} FROM a""")
+    def retention_trend(spark: SparkSession, d: str) -> DataFrame:
+        """Retention as of every month, each with its own rolling year and the one before, in one pass over monthly amounts."""
+        rows = query(star(spark, d), ["c_mktsegment", "o_custkey", "month_index"], {"v": REVENUE})
+        had = F.col("py") > 0
+        of = {**{n: F.coalesce(c, F.lit(0)).cast("decimal(30,4)") for n, c in movements().items()}, "logos": had.cast("bigint"), "lost": (had & (F.col("cy") == 0)).cast("bigint")}
+        out = sliding(rows, ["c_mktsegment"], "o_custkey", "month_index", "v", of)
+        kept = F.col("base") - F.col("churn") - F.col("contraction") + F.col("upsell")
+        return rounded(out.withColumn("nrr", divide(kept, "base")), "nrr")
+
+    @reg.add(f"""WITH {SALES}, y AS (SELECT segment, CAST({fy()} AS INTEGER) AS f, revenue, customer FROM s), k AS (SELECT DISTINCT segment, unnest(range(1995, 2004)) AS fiscal_year FROM y),
+      first AS (SELECT segment, customer, min(f) AS f FROM y GROUP BY ALL), o AS (SELECT c_mktsegment AS segment, {fy('o_orderdate')} AS f FROM orders JOIN customer ON o_custkey = c_custkey),
+      r AS (SELECT k.segment, k.fiscal_year, sum(revenue) AS revenue, min(revenue) AS least, count(*) AS n FROM k JOIN y ON y.segment = k.segment AND y.f <= k.fiscal_year GROUP BY ALL)
+      SELECT r.segment AS c_mktsegment, CAST(r.fiscal_year AS INTEGER) AS fiscal_year, {double('revenue', 'revenue')}, {double('least', 'least')}, {ratio('revenue', 'n', 'per_line')},
+        (SELECT count(*) FROM first WHERE first.segment = r.segment AND first.f <= r.fiscal_year) AS customers, (SELECT count(*) FROM o WHERE o.segment = r.segment AND o.f <= r.fiscal_year AND o.f >= 1995) AS orders FROM r""")
+    def cumulative_measures(spark: SparkSession, d: str) -> DataFrame:
+        """Everything up to each fiscal year: sums, an extreme, a ratio, distinct customers; orders by their own date."""
+        total = {"revenue": REVENUE, "least": Leaf("line", "min", "revenue"), "per_line": REVENUE / LINES, "customers": Leaf("line", "countd", "o_custkey")}
+        m = {k: Cumulative(v) for k, v in total.items()}
+        m["orders"] = With(Cumulative(Leaf("orders", "count")), use=("o_orderdate",))
+        return rounded(query(star(spark, d), ["c_mktsegment", "fiscal_year"], m), "per_line")
+
+    @reg.add(f"""WITH {SALES}, p AS (SELECT CAST(unnest(range(DATE '2000-01-01', DATE '2001-01-01', INTERVAL 1 MONTH)) AS DATE) AS first)
+      SELECT CAST((year(first) - 1995) * 12 + month(first) AS INTEGER) AS month_index, {double('sum(revenue)', 'upto')}, {double('sum(revenue) FILTER (WHERE d >= first)', 'own')} FROM p JOIN s ON d < first + INTERVAL 1 MONTH AND d >= DATE '1995-01-01' GROUP BY ALL""")
+    def cumulative_in_slice(spark: SparkSession, d: str) -> DataFrame:
+        """A slicer on the calendar says which months are shown, not which days a cumulative value adds up."""
+        return rounded(query(star(spark, d), ["month_index"], {"upto": Cumulative(REVENUE), "own": REVENUE}, Context.slicers(year="year = 2000")))
+
+    @reg.add(f"""WITH {SALES}, a AS (SELECT segment, customer, sum(revenue) AS revenue FROM s GROUP BY ALL)
+      SELECT segment AS c_mktsegment, customer AS o_custkey, {double('revenue', 'revenue')}, CAST(dense_rank() OVER (ORDER BY revenue DESC) AS INTEGER) AS rank, CAST(dense_rank() OVER (PARTITION BY segment ORDER BY revenue DESC) AS INTEGER) AS in_segment FROM a""")
+    def rank_measure(spark: SparkSession, d: str) -> DataFrame:
+        """The rank of a customer's revenue among all customers and among those of its segment, as measures."""
+        m = {"revenue": REVENUE, "rank": Rank(REVENUE, "o_custkey", lift=("c_mktsegment",)), "in_segment": Rank(REVENUE, "o_custkey")}
+        return rounded(query(star(spark, d), ["c_mktsegment", "o_custkey"], m))
+
+    @reg.add(f"""{REGION}, f AS (SELECT {fy()} AS fiscal_year, * FROM g), n AS (SELECT fiscal_year, n_name, sum(revenue) AS v FROM f WHERE n_name <> 'NATION_7' GROUP BY ALL), r AS (SELECT r_name, fiscal_year, sum(revenue) AS v FROM f GROUP BY ALL)
+      SELECT r_name, CAST(fiscal_year AS INTEGER) AS fiscal_year, CAST(1 + (SELECT count(DISTINCT v) FROM n WHERE n.fiscal_year = r.fiscal_year AND n.v > r.v / 5) AS INTEGER) AS place FROM r""")
+    def rank_of_other_cells(spark: SparkSession, d: str) -> DataFrame:
+        """A region's fifth placed among the nations' values of the fiscal year: cells that are no members of what ranks them."""
+        fifth = InScope({"r_name": Derived({"v": REVENUE}, lambda v: v.cast("decimal(30,4)") / 5)}, Derived({"v": REVENUE}, lambda v: v.cast("decimal(30,4)") * 1))
+        return query(star(spark, d), ["r_name", "fiscal_year"], {"place": Rank(fifth, "n_name", lift=("r_name",), where="n_name <> 'NATION_7'")})
+
+    @reg.add(f"""WITH {SALES}, y AS (SELECT {fy()} AS fiscal_year, sum(revenue) AS v, count(*) AS n FROM s GROUP BY 1), k AS (SELECT fiscal_year FROM y UNION SELECT fiscal_year + 1 FROM y), j AS (SELECT k.fiscal_year, a.v, a.n, b.v AS pv, b.n AS pn FROM k LEFT JOIN y a ON a.fiscal_year = k.fiscal_year LEFT JOIN y b ON b.fiscal_year + 1 = k.fiscal_year),
+      u AS (SELECT fiscal_year, 'Current' AS period, 0 AS period_ordinal, NULL AS period_format, v, n FROM j UNION ALL SELECT fiscal_year, 'PY', 1, NULL, pv, pn FROM j UNION ALL SELECT fiscal_year, 'YoY', 2, NULL, coalesce(v, 0) - coalesce(pv, 0), coalesce(n, 0) - coalesce(pn, 0) FROM j
+        UNION ALL SELECT fiscal_year, 'YoY %', 3, '0.0%', (CAST(coalesce(v, 0) AS DOUBLE) - coalesce(pv, 0)) / CAST(pv AS DOUBLE), (CAST(coalesce(n, 0) AS DOUBLE) - coalesce(pn, 0)) / pn FROM j)
+      SELECT CAST(fiscal_year AS INTEGER) AS fiscal_year, period, period_ordinal, period_format, round(CAST(v AS DOUBLE), 4) AS revenue, round(CAST(n AS DOUBLE), 4) AS lines FROM u WHERE v IS NOT NULL OR n IS NOT NULL""")
+    def calculation_group_axis(spark: SparkSession, d: str) -> DataFrame:
+        """The items of a calculation group as rows beside the fiscal year, for two measures in one query, with formats."""
+        group = CalculationGroup("period", {"Current": lambda m: m, "PY": CLOCK.py, "YoY": CLOCK.yoy, "YoY %": CLOCK.yoy_pct}, {"YoY %": "0.0%"})
+        out = by_items(star(spark, d), ["fiscal_year"], {"revenue": REVENUE, "lines": LINES}, [group])
+        return out.withColumns({c: F.round(F.col(c).cast("double"), 4) for c in ("revenue", "lines")})
+
+    @reg.add(f"WITH {SALES}, v AS (SELECT customer, sum(revenue) AS r, count(DISTINCT l_orderkey) AS o FROM s GROUP BY 1) SELECT c_custkey, c_mktsegment, {double('r', 'revenue')}, o AS orders, {ratio('r', '(SELECT sum(revenue) FROM s)', 'share')} FROM customer LEFT JOIN v ON c_custkey = customer")
+    def calculated_column(spark: SparkSession, d: str) -> DataFrame:
+        """Columns of the customer table that are measures, each in the context of its row."""
+        m = {"revenue": REVENUE, "orders": Leaf("line", "countd", "l_orderkey"), "share": REVENUE / With(REVENUE, clear=True)}
+        return rounded(calculated(star(spark, d), "customer", m, keys=["c_custkey"]).select("c_custkey", "c_mktsegment", *m), "share")
+
+    @reg.add(f"WITH {SALES}, k AS (SELECT DISTINCT CASE WHEN p_size > 25 THEN 'large' ELSE 'small' END AS lane, p_partkey FROM part WHERE p_type <> 'PROMO') SELECT lane, {double('sum(revenue)', 'revenue')}, count(DISTINCT customer) AS customers FROM k JOIN s ON l_partkey = p_partkey WHERE segment = 'BUILDING' GROUP BY 1")
+    def filters_over_several_edges(spark: SparkSession, d: str) -> DataFrame:
+        """A table two edges beyond a dimension filters the fact, and is an axis: down to the bridge, and back over a both-ways edge."""
+        base = star(spark, d)
+        bridge = base.tables["part"].select(F.col("p_partkey").alias("b_part"), F.col("p_size").alias("b_size"), F.col("p_type").alias("b_type"))
+        sizes = base.tables["part"].select(F.col("p_size").alias("size_key"), F.when(F.col("p_size") > 25, "large").otherwise("small").alias("lane")).distinct()
+        edges = [Relationship("bridge", "b_part", "part", "p_partkey", both=True), Relationship("bridge", "b_size", "sizes", "size_key")]
+        model = Model({**base.tables, "bridge": bridge, "sizes": sizes}, [*base.relationships, *edges], calendar="calendar")
+        m = {"revenue": REVENUE, "customers": Leaf("line", "countd", "o_custkey")}
+        kept = {k: With(v, keep={"b_type": "b_type <> 'PROMO'"}) for k, v in m.items()}
+        return rounded(query(model, ["lane"], kept, Context.slicers(c_mktsegment="c_mktsegment = 'BUILDING'")))
