@@ -1,25 +1,30 @@
 """Embedding whitening by upper-triangle column aggregates.
 
 Vectors are put on a lattice (whole numbers), of which each distinct one counts once. One
-aggregation over these sums the centred product of every pair of dimensions, an SQL expression for
-each entry of the covariance's upper triangle; LAPACK decomposes the covariance on the driver, whose
-size depends on the dimensions alone; and every row is projected by SQL expressions.
-
-All is JVM-side. Distinct vectors are found by a partial aggregation in each task, so a vector that
-very many rows share is one row of the shuffle for each task. Sums and counts are exact; a centre is
-taken off as a whole number and a fraction below one, so nothing is lost to large means.
+aggregation over these sums the centred product of every pair of dimensions of the covariance's upper
+triangle. Its SQL expressions are generated for the pairs of a block of dimensions with another and the
+pair of blocks is its key, so that the code stays small enough to be compiled, however many dimensions
+there are. LAPACK decomposes the covariance on the driver, whose size depends on the dimensions alone,
+and every row is projected on the components.
+
+Distinct vectors, sums and products are found by partial aggregations in each task, so a vector that
+very many rows share is one row of the shuffle for each task, and no key has more than a row for each.
+Sums and counts are exact; a centre is taken off as a whole number and a fraction below one, so nothing
+is lost to large means.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.shared import forget, written
+from tidewheel.llm.shared import broadcast, forget, ship, written
 
 #: Lattice points to a unit, and where zero lies.
 SCALE, ORIGIN = 64, 1_000_000
@@ -27,8 +32,8 @@ SCALE, ORIGIN = 64, 1_000_000
 MOST = float(1 << 40)
 #: Components that are returned at most.
 COMPONENTS = 16
-#: Dimensions whose pairs are summed for a row at once; wider vectors are taken in pairs of such blocks.
-BLOCK = 64
+#: Dimensions of a block: the square of it sums are a row of the aggregation.
+BLOCK = 8
 
 
 def lattice(vector: Column) -> Column:
@@ -38,32 +43,21 @@ def lattice(vector: Column) -> Column:
     return F.when(~odd, F.transform(vector, point))
 
 
-def _entries(x: Column, base: list[int], rest: list[float]) -> list[Column]:
-    """The centred entries: base + rest is the mean, base whole."""
-    return [(F.get(x, F.lit(i)) - F.lit(b).cast("bigint")).cast("double") - F.lit(r) for i, (b, r) in enumerate(zip(base, rest))]
-
-
-def _products(points: DataFrame, base: list[int], rest: list[float], block: int) -> np.ndarray:
-    """The sum of the centred products of each pair of dimensions, in one aggregation."""
-    d = len(base)
-    centred = points.select(*(c.alias(f"c{i}") for i, c in enumerate(_entries(F.col("x"), base, rest))))
-    out = np.zeros((d, d))
-    if d <= block:
-        pairs = list(combinations_with_replacement(range(d), 2))
-        row = centred.agg(*(F.expr(f"sum(c{i} * c{j}) AS s{i}_{j}") for i, j in pairs)).first()
-        for (i, j), v in zip(pairs, row):
-            out[i, j] = out[j, i] = v
-        return out
-    cells = [F.array(*(F.col(f"c{i}") if i < d else F.lit(0.0) for i in range(p, p + block))) for p in range(0, d, block)]
-    meets = [F.struct(F.lit(p).alias("p"), F.lit(q).alias("q"), cells[p].alias("a"), cells[q].alias("b")) for p, q in combinations_with_replacement(range(len(cells)), 2)]
-    rows = centred.select(F.inline(F.array(*meets)))
-    rows = rows.select("p", "q", *(F.get("a", F.lit(i)).alias(f"a{i}") for i in range(block)), *(F.get("b", F.lit(i)).alias(f"b{i}") for i in range(block)))
-    for r in rows.groupBy("p", "q").agg(*(F.expr(f"sum(a{i} * b{j}) AS s{i}_{j}") for i in range(block) for j in range(block))).collect():
-        at, to = r.p * block, r.q * block
-        part = np.array(r[2:]).reshape(block, block)[: d - at, : d - to]
-        out[at : at + block, to : to + block] = part
-        out[to : to + block, at : at + block] = part.T
-    return out
+def _products(rows: DataFrame, entries: list[Column], block: int) -> np.ndarray:
+    """The sum over rows of the products of each pair of entries (doubles), in one aggregation."""
+    d = len(entries)
+    starts = range(0, d, block)
+    filled = [*entries, *[F.lit(0.0)] * (len(starts) * block - d)]
+    meets = F.array(*(F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in combinations_with_replacement(starts, 2)))
+    paired = rows.select(F.array(*filled).alias("c")).select("c", F.inline(meets))
+    sides = [F.get("c", F.col(side) + F.lit(i)).alias(f"{side}{i}") for side in "pq" for i in range(block)]
+    sums = [F.expr(f"sum(p{i} * q{j}) AS s{i}_{j}") for i in range(block) for j in range(block)]
+    out = np.zeros((len(filled), len(filled)))
+    for r in paired.select("p", "q", *sides).groupBy("p", "q").agg(*sums).collect():
+        part = np.array(r[2:]).reshape(block, block)
+        out[r.p : r.p + block, r.q : r.q + block] = part
+        out[r.q : r.q + block, r.p : r.p + block] = part.T
+    return out[:d, :d]
 
 
 @dataclass
@@ -89,38 +83,31 @@ class Whitening:
     def rest(self) -> list[float]:
         return [s % self.n / self.n for s in self.sums]
 
-    def whitened(self, x: Column) -> list[Column]:
-        """Null for components along which the fit vectors don't differ."""
-        least = np.finfo(float).eps * self.size * max(self.trace, 0.0)
-        entries = _entries(x, self.base, self.rest)
-        out = []
-        for u, e in zip(self.components, self.variances):
-            if e <= least:
-                out.append(F.lit(None).cast("double"))
-                continue
-            total = entries[0] * F.lit(float(u[0]))
-            for c, w in zip(entries[1:], u[1:]):
-                total = total + c * F.lit(float(w))
-            out.append(total / F.lit(float(np.sqrt(e))))
+    @property
+    def varying(self) -> np.ndarray:
+        """The components along which the fit vectors differ."""
+        return self.variances > np.finfo(float).eps * self.size * max(self.trace, 0.0)
+
+    def project(self, points: np.ndarray) -> np.ndarray:
+        """Whitened rows of lattice points (bigint); nan where the fit vectors don't differ."""
+        centred = (points - np.array(self.base)).astype(float) - np.array(self.rest)
+        out = np.full((len(points), len(self.variances)), np.nan)
+        for k in np.flatnonzero(self.varying):
+            out[:, k] = (centred * self.components[k]).sum(axis=1) / np.sqrt(self.variances[k])  # row by row alike, whatever the batch
         return out
 
-    def deviation(self, x: Column) -> Column:
-        """The sum over dimensions of (n x - S)^2, exact; in decimals where a bigint might not hold it, and null beyond
-        38 digits."""
-        kind = "bigint" if self.long else "decimal(38,0)"
-        whole = lambda v: F.lit(v).cast(kind) if self.long else F.lit(str(v)).cast(kind)
-        total = None
-        for i, s in enumerate(self.sums):
-            at = F.get(x, F.lit(i))
-            away = F.try_subtract(F.try_multiply(at if self.long else at.cast("decimal(19,0)"), whole(self.n)), whole(s))
-            square = F.try_multiply(away, away)
-            total = square if total is None else F.try_add(total, square)
-        return total
+    def deviations(self, points: np.ndarray) -> pa.Array:
+        """The sum over dimensions of (n x - S)^2, exact: bigints, or decimal texts where a bigint might not hold it."""
+        if self.long:
+            away = points * self.n - np.array(self.sums)
+            return pa.array((away * away).sum(axis=1), pa.int64())
+        return pa.array([str(sum((self.n * x - s) ** 2 for x, s in zip(p, self.sums))) for p in points.tolist()], pa.string())
 
 
 def fit(vectors: DataFrame, vector: str = "embedding", components: int = COMPONENTS, block: int = BLOCK) -> Whitening | None:
     """Fits on the distinct lattice vectors of the length that most rows have (of equals, the larger); None if no row
     has a vector with an entry, all of them finite."""
+    ship(vectors.sparkSession)
     points = vectors.select(lattice(F.col(vector)).alias("x")).filter(F.size("x") > 0)
     table = written(points.groupBy("x").agg(F.count("*").alias("copies")))
     most = table.groupBy(F.size("x").alias("size")).agg(F.sum("copies").alias("rows")).orderBy(F.desc("rows"), F.desc("size")).first()
@@ -129,36 +116,42 @@ def fit(vectors: DataFrame, vector: str = "embedding", components: int = COMPONE
         return None
     d = most["size"]
     mine = table.filter(F.size("x") == d).select("x")
-    entry = lambda i: F.get("x", F.lit(i))
     # sums in two parts, which no number of rows makes overflow
-    firsts = mine.agg(F.count("*"), *(f(entry(i)) for i in range(d) for f in (lambda c: F.sum(F.shiftright(c, 20)), lambda c: F.sum(c.bitwiseAND(F.lit((1 << 20) - 1).cast("bigint"))), F.min, F.max))).first()
-    n, by = firsts[0], [firsts[1 + 4 * i : 5 + 4 * i] for i in range(d)]
-    sums = [(high << 20) + low for high, low, _, _ in by]
-    widest = [max(abs(n * least - s), abs(n * largest - s)) for s, (_, _, least, largest) in zip(sums, by)]
-    fits = sum(w * w for w in widest) < 1 << 63 and all(n * max(abs(a), abs(b)) < 1 << 63 for _, _, a, b in by)
+    high, low = F.sum(F.shiftright("c", 20)), F.sum(F.col("c").bitwiseAND(F.lit((1 << 20) - 1).cast("bigint")))
+    by = mine.select(F.posexplode("x").alias("at", "c")).groupBy("at").agg(F.count("*").alias("n"), high.alias("high"), low.alias("low"), F.min("c").alias("least"), F.max("c").alias("most")).orderBy("at").collect()
+    n, sums = by[0].n, [(r.high << 20) + r.low for r in by]
+    widest = [max(abs(n * r.least - s), abs(n * r.most - s)) for s, r in zip(sums, by)]
+    fits = sum(w * w for w in widest) < 1 << 63 and all(n * max(abs(r.least), abs(r.most)) < 1 << 63 for r in by)
     model = Whitening(n, d, sums, np.empty((0, d)), np.empty(0), 0.0, fits)
-    covariance = _products(mine, model.base, model.rest, block) / n
+    entries = [(F.get("x", F.lit(i)) - F.lit(b).cast("bigint")).cast("double") - F.lit(r) for i, (b, r) in enumerate(zip(model.base, model.rest))]
+    covariance = _products(mine, entries, block) / n
     values, columns = np.linalg.eigh(covariance)
     order = np.argsort(values)[::-1][:components]
     model.variances, model.components, model.trace = values[order], columns[:, order].T, float(np.trace(covariance))
-    if model.trace > 0:
-        model.error = _error(mine, model)
+    if model.varying.any():
+        there = np.flatnonzero(model.varying)
+        white = mine.select(F.arrow_udf(_projected(model), _FOUND[model.long])("x").alias("w"))
+        found = _products(white, [F.get("w.whitened", F.lit(int(k))) for k in there], block) / n  # their mean is 0
+        model.error = float(np.abs(found - np.eye(len(there))).max())
     forget(table)
     return model
 
 
-def _error(points: DataFrame, model: Whitening) -> float:
-    """The largest difference of the whitened fit vectors' covariance to the identity, from the vectors themselves."""
-    columns = model.whitened(F.col("x"))
-    there = [k for k, e in enumerate(model.variances) if e > np.finfo(float).eps * model.size * model.trace]
-    rows = points.select(*(columns[k].alias(f"w{k}") for k in there))
-    pairs = list(combinations_with_replacement(there, 2))
-    found = rows.agg(*(F.expr(f"covar_pop(w{i}, w{j}) AS s{i}_{j}") for i, j in pairs)).first()
-    return max(abs(v - (i == j)) for (i, j), v in zip(pairs, found))
+_FOUND = {True: "struct<whitened:array<double>,deviation:bigint>", False: "struct<whitened:array<double>,deviation:string>"}
+
+
+def _projected(model: Whitening) -> Callable[[pa.Array], pa.Array]:
+    def found(points: pa.Array) -> pa.Array:
+        x = np.asarray(points.flatten().to_numpy(zero_copy_only=False), np.int64).reshape(len(points), model.size)
+        white = model.project(x)
+        whitened = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * white.shape[1], pa.array(white.ravel(), pa.float64(), mask=np.isnan(white.ravel())))
+        return pa.StructArray.from_arrays([whitened, model.deviations(x)], ["whitened", "deviation"])
+
+    return found
 
 
 def transform(vectors: DataFrame, model: Whitening | None, vector: str = "embedding") -> DataFrame:
-    """Adds whitened (array of double, one entry for each component) and deviation.
+    """Adds whitened (array of double, one entry for each component) and deviation (null beyond 38 digits).
 
     Rows whose vector is null, has a null or non-finite entry or another length than the model are dropped; so are
     all rows if there is no model. An entry of whitened is null where the fit vectors don't differ along the component.
@@ -167,8 +160,11 @@ def transform(vectors: DataFrame, model: Whitening | None, vector: str = "embedd
     """
     if model is None:
         return vectors.filter(F.lit(False)).withColumns({"whitened": F.lit(None).cast("array<double>"), "deviation": F.lit(None).cast("bigint")})
-    rows = vectors.withColumn("_x", lattice(F.col(vector))).filter(F.size("_x") == model.size)
-    return rows.withColumns({"whitened": F.array(*model.whitened(F.col("_x"))), "deviation": model.deviation(F.col("_x"))}).drop("_x")
+    shared = broadcast(vectors.sparkSession, model)
+    project = F.arrow_udf(lambda points: _projected(shared.value)(points), _FOUND[model.long])
+    rows = vectors.withColumn("_x", lattice(F.col(vector))).filter(F.size("_x") == model.size).withColumn("_w", project("_x"))
+    deviation = F.col("_w.deviation") if model.long else F.col("_w.deviation").try_cast("decimal(38,0)")
+    return rows.withColumns({"whitened": F.col("_w.whitened"), "deviation": deviation}).drop("_x", "_w")
 
 
 def components(rows: DataFrame, model: Whitening | None) -> DataFrame:
