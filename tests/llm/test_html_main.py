@@ -127,3 +127,24 @@ def test_odd_markup():
 
 def test_training_is_done_once():
     assert H.train() is H.train()
+
+
+def test_no_text_is_lost_beside_elements_without_an_end():
+    text = lambda page: [b.text for b in H.blocks(page)]
+    rest = "<p>Two.</p><p>Three.</p></article>"
+    for odd in ("<object data=x>", "<object data=x />", "<svg>", "<svg><path d='M0'/>", "<noscript>", "<template>", "<iframe src=x>", "<iframe src=x />", "<math><mi>", "<svg><title>t"):
+        assert text(f"<article><p>One.</p>{odd}{rest}")[-2:] == ["Two.", "Three."], odd
+    for hidden in ("<svg><g><svg><text>no</text></svg><text>no</text></g></svg>", "<template><p>no</p><template><p>no</p></template><p>no</p></template>", "<noscript><div>no<p>no</noscript>", "<svg><foreignObject><p>no</p></foreignObject><text>no</text></svg>", "<svg><title>no</title><desc>no</desc></svg>", "<noframes>no</noframes>"):
+        assert text(f"<article><p>One.</p>{hidden}{rest}") == ["One.", "Two.", "Three."], hidden
+    assert text("<p>As <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation encoding=x>a=2</annotation></math> is so.<svg><text>no</text></svg> Yes.</p>") == ["As a=2 is so. Yes."]
+    assert text("<p>See <object data=x><p>the fallback</object> here.") == ["See", "the fallback here."]
+    assert text("<div><svg><g>no</div><p>Yes.</p><svg>no</svg>") == ["Yes."]  # the block's end tag ends what is open in it
+    assert text("<svg><path/><circle r=1/></svg>Shown<p>more") == ["Shown", "more"]
+    assert text("<head><noscript><div>no</div></noscript><title>no</title></head><body>yes") == ["yes"]
+
+
+@pytest.mark.parametrize("page", ["<svg>" * 100_000 + "x", "<svg><title>" * 50_000 + "x", "<template>" * 100_000 + "x</template>", "<noscript><p>" * 50_000 + "</noscript>", "<iframe>" * 100_000, "<math><p>" * 50_000])
+def test_time_of_elements_without_an_end(field, page):
+    start = time.process_time()
+    H.main_text(page, field)
+    assert time.process_time() - start < 30

@@ -39,12 +39,19 @@ _HINT = re.compile(r"""\b(?:class|id|role|aria-label)\s*+=\s*+(?:"([^"]*+)"|'([^
 _VAST = re.compile(r"&#(?:0*+[0-9]{8,}+|[xX]0*+[0-9a-fA-F]{7,}+);?")
 _ZEROS = re.compile(r"&#([xX]?)0++(?=[0-9a-fA-F])")
 _PART = re.compile(r"[a-z]+")
-_RAW = frozenset("script style noscript template title iframe textarea svg math object".split())
+#: Elements whose content is text up to their end tag, whatever it looks like.
+_RAW = frozenset("script style title iframe textarea".split())
+#: Elements whose text isn't shown; those of them and of _APART end with their end tag, whatever is open in them.
+_SILENT = frozenset("svg template noscript noframes noembed annotation annotation-xml".split())
+_APART = _SILENT | {"math", "object"}
+#: Start tags that end an svg or math element, unless they stand in one of its elements for text.
+_BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var article aside main section nav header footer figure".split())
+_FOREIGN, _FOREIGN_TEXT = ("svg", "math"), ("foreignobject", "desc", "title", "annotation-xml", "mtext", "mi", "mo", "mn", "ms")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td textarea tfoot th thead tr ul".split())
 #: Block-level tags that end an open p; those of a kind also end an open one of the kind.
 _SELF_CLOSING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-_SCOPE = frozenset("ul ol dl table body article section div nav aside main header footer form blockquote".split())
+_SCOPE = frozenset("ul ol dl table body article section div nav aside main header footer form blockquote svg template noscript object".split())
 
 _TAGS = "article main section div nav header footer aside form ul ol li table td th p h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption a button label select textarea dialog details summary dl dt dd address fieldset menu".split()
 _HINTS = {
@@ -65,10 +72,11 @@ class Element:
     """An open element, linked with the one around it. What blocks inherit from all elements around them is made
     once per element, and shared with the element above where nothing is added."""
 
-    __slots__ = ("tag", "hints", "above", "block", "main", "common", "articles")
+    __slots__ = ("tag", "hints", "above", "block", "main", "common", "articles", "silent")
 
-    def __init__(self, tag: str, hints: frozenset[str], label: bool | None, above: "Element | None"):
+    def __init__(self, tag: str, hints: frozenset[str], label: bool | None, above: "Element | None", silent: bool = False):
         self.tag, self.hints, self.above = tag, hints, above
+        self.silent = silent or above is not None and above.silent
         if tag in ("body", "html"):  # a hint of these speaks of the page, not of the block
             self.hints = hints = frozenset()
         self.block = tag if tag in _BLOCK else above.block if above else "body"
@@ -165,9 +173,9 @@ class _Open:
         self.blocks: list[int] = []
         self.scopes: list[int] = []
 
-    def push(self, tag: str, hints: frozenset[str], label: bool | None) -> None:
+    def push(self, tag: str, hints: frozenset[str], label: bool | None, silent: bool = False) -> None:
         k = len(self.stack)
-        self.stack.append(Element(tag, hints, label, self.stack[-1] if k else None))
+        self.stack.append(Element(tag, hints, label, self.stack[-1] if k else None, silent))
         self.places.setdefault(tag, []).append(k)
         if tag in _BLOCK:
             self.blocks.append(k)
@@ -185,7 +193,7 @@ class _Open:
     def end(self, tag: str) -> None:
         """An end tag: up to the innermost such element, which inline ones look for in their block only."""
         places = self.places.get(tag)
-        if places and (tag in _BLOCK or not self.blocks or places[-1] > self.blocks[-1]):
+        if places and (tag in _BLOCK or tag in _APART or not self.blocks or places[-1] > self.blocks[-1]):
             self.close(places[-1])
 
     def implied(self, tag: str) -> None:
@@ -199,13 +207,36 @@ class _Open:
     def is_open(self, tag: str) -> bool:
         return bool(self.places.get(tag))
 
+    @property
+    def silent(self) -> bool:
+        return bool(self.stack) and self.stack[-1].silent
+
+    def break_out(self, tag: str) -> None:
+        """A start tag of HTML within svg or math, but not in one of their elements for text, ends these."""
+        within = [p[0] for t in _FOREIGN if (p := self.places.get(t))]
+        if within and tag in _BREAKS_OUT and not any(p and p[-1] > min(within) for p in map(self.places.get, _FOREIGN_TEXT)):
+            self.close(min(within))
+
+    def foreign(self) -> bool:
+        return any(map(self.is_open, _FOREIGN))
+
 
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page, in order, empty ones left out. Time and memory grow with the page's length only."""
+    """The leaf blocks of a page, in order, empty ones left out. Time and memory grow with the page's length only.
+
+    Elements whose text isn't shown (svg, template, noscript and the like) leave it out up to their own end tag, or up to the
+    end of a block around them. One without any end tag after it hides nothing. What math and object hold is text."""
     out: list[Block] = []
     open_ = _Open()
     parts: list[str] = []
     linked, at = 0, 0
+    last_ends: dict[str, int] = {}
+
+    def ends_later(tag: str) -> bool:
+        """Whether an end tag follows; looked up once for each tag."""
+        if tag not in last_ends:
+            last_ends[tag] = max((m.start() for m in re.finditer(rf"</{tag}\s*+>", page, re.I)), default=-1)
+        return last_ends[tag] >= at
 
     def flush() -> None:
         nonlocal linked
@@ -218,7 +249,7 @@ def blocks(page: str) -> list[Block]:
 
     def say(raw: str) -> None:
         nonlocal linked
-        if raw and not open_.is_open("head"):
+        if raw and not open_.is_open("head") and not open_.silent:
             text = unescaped(raw)
             parts.append(text)
             if open_.is_open("a"):
@@ -235,19 +266,22 @@ def blocks(page: str) -> list[Block]:
                 flush()
             open_.end(tag)
             continue
+        open_.break_out(tag)
         if tag == "br":
             parts.append(" ")
             continue
-        if open_.is_open("head") and (tag in _BLOCK or tag == "body"):  # a head that was never closed
+        if open_.is_open("head") and not open_.silent and (tag in _BLOCK or tag == "body"):  # a head that was never closed
             open_.close(open_.places["head"][0])
         if tag in _BLOCK:
             flush()
             open_.implied(tag)
-        if tag in _VOID or attributes.endswith("/") and tag in ("svg", "path", "iframe"):
+        if tag in _VOID or attributes.endswith("/") and (tag in ("iframe", *_FOREIGN) or open_.foreign()):
             continue
         hints = frozenset(h for x in _HINT.findall(attributes) for w in _PART.findall("".join(x).lower()) if (h := _HINT_OF.get(w))) if attributes else frozenset()
         label = None if "data-main" not in attributes else 'data-main="1"' in attributes
-        if tag in _RAW:
+        if tag in _RAW and not (tag == "title" and open_.foreign()):
+            if tag in ("title", "iframe") and not ends_later(tag):
+                continue  # nothing that follows is meant to be in it
             end = re.compile(rf"</{tag}\s*+>", re.I).search(page, at)
             if tag == "textarea":
                 open_.push(tag, hints, label)
@@ -257,7 +291,7 @@ def blocks(page: str) -> list[Block]:
             at = end.end() if end else len(page)
             tags.send(at)
             continue
-        open_.push(tag, hints, label)
+        open_.push(tag, hints, label, tag in _SILENT and ends_later(tag))
     say(page[at:])
     flush()
     return out
