@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import os
 
 from pyspark.sql import functions as F
 
@@ -70,3 +71,35 @@ def test_base32(spark):
     df = spark.createDataFrame([("a",), ("",), ("é" * 99,)], "t string")
     for r in df.select("t", W.base32(F.sha1(F.col("t").cast("binary"))).alias("d")).collect():
         assert r.d == digest(r.t)
+
+
+def test_records_that_others_have_written(spark):
+    record = lambda block, more=b"": b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\n" + more + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+    latin = record(b"HTTP/1.1 200 OK\r\nX-Name: caf\xe9\r\n\r\nbody", b"WARC-Target-URI: http://a/\xe9\r\n")
+    (r,) = W.parse(latin)
+    assert dict(r["fields"])["x-name"] == "café" and r["target_uri"] == "http://a/é" and r["payload"] == b"body"
+    chunks = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n"
+    for coded, want in ((b"4\r\nWiki\r\n6;x=y\r\npedia \r\n0\r\n\r\n", b"Wikipedia "), (b"0\r\n\r\n", b""), (b"no chunks", b"no chunks"), (b"9\r\nshort\r\n", b"9\r\nshort\r\n"), (b"-1\r\n\r\n", b"-1\r\n\r\n")):
+        (r,) = W.parse(record(chunks + coded))
+        assert r["payload"] == want
+    whole = record(b"HTTP/1.1 200 OK\r\n\r\n" + bytes(range(256)) * 40)
+    for broken in (whole + whole[:-20], gzip.compress(whole) + gzip.compress(whole)[:-30], whole + b"garbage\r\n", whole + b"WARC/1.0\r\nWARC-Type: response\r\n\r\n", gzip.compress(whole) + b"\x1f\x8b\x08nothing"):
+        first, last = W.parse(broken)
+        assert first["type"] == "response" and last["type"] == "rejected" and dict(last["fields"])["error"]
+    path = shared_dir(spark)
+    folder = path.removeprefix("file://")
+    os.makedirs(folder)
+    for name, data in (("a.warc", latin + whole[:-99]), ("b.warc.gz", gzip.compress(whole)[:-40]), ("c.warc", b"")):
+        with open(f"{folder}/{name}", "wb") as f:
+            f.write(data)
+    rows = W.read(spark, path)
+    assert {(r.type, r.n) for r in rows.groupBy("type").agg(F.count("*").alias("n")).collect()} == {("response", 1), ("rejected", 2)}
+    assert [(r.record_type, r.payload_bytes) for r in W.captures(rows).collect()] == [("response", 4)]
+
+
+def test_the_request_says_what_was_asked_for(spark):
+    record = lambda kind, key, more, block: f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{key}>\r\n{more}Content-Length: {len(block)}\r\n\r\n{block}\r\n\r\n"
+    http = "HTTP/1.1 200 OK\r\n\r\n"
+    data = record("request", "q1", "WARC-Concurrent-To: <r1>\r\nWARC-Target-URI: http://asked/\r\n", "GET / HTTP/1.1\r\n\r\n") + record("response", "r1", "WARC-Target-URI: http://came/\r\n", http) + record("response", "r2", "WARC-Target-URI: http://alone/\r\n", http)
+    rows = spark.createDataFrame([r | {"fields": dict(r["fields"])} for r in W.parse(data.encode())], W._RECORD_DDL)
+    assert {r.target_uri for r in W.captures(rows).collect()} == {"http://asked/", "http://alone/"}

@@ -6,14 +6,19 @@ revisit records that refer to it. Archives are written by Spark's own text write
 is the CRLF CRLF after each record), so they reach any store that Spark can write and a lost
 executor's files are written again; a new archive begins every ARCHIVE_BYTES, so that readers,
 which take an archive at a time, need bounded memory. Equal payloads are found by shuffling keys and
-digests, and only payloads of which there are several move. Assembly joins by record ids, which no two
-captures share, so no key is hot.
+digests, and only payloads of which there are several move. Assembly joins by record ids, which only
+repeated rows (of one key and payload, that others refer to) share, so no other key is hot.
+
+Readers take any archive: headers of any bytes, chunked bodies; what can't be read is a row of type
+rejected instead of an error, as one broken record of a crawl mustn't stop a job. An archive is one row
+(Spark's reader of binary files gives it whole, so an executor must hold the largest one).
 """
 
 from __future__ import annotations
 
-import gzip
 import io
+import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -115,29 +120,113 @@ _RECORD = pa.schema([("record_id", pa.string()), ("type", pa.string()), ("concur
 _RECORD_DDL = "record_id string, type string, concurrent_to string, refers_to string, target_uri string, digest string, fields map<string,string>, payload binary"
 
 
+def _text(raw: bytes) -> str:
+    """UTF-8, or else Latin-1, which any bytes are."""
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return raw.decode("latin-1")
+
+
 def _headers(lines: list[bytes]) -> dict[str, str]:
-    return {k.strip().lower(): v.strip() for k, _, v in (x.decode().partition(":") for x in lines) if k}
+    return {k.strip().lower(): v.strip() for k, _, v in (_text(x).partition(":") for x in lines) if k}
+
+
+def unchunked(body: bytes) -> bytes:
+    """A body without its chunked transfer coding; as it is if it doesn't follow that coding."""
+    parts, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        try:
+            n = int(body[at:end].partition(b";")[0], 16)
+        except ValueError:
+            return body
+        if n == 0:
+            return b"".join(parts)
+        if n < 0 or body[end + 2 + n : end + 4 + n] != b"\r\n":
+            return body
+        parts.append(body[end + 2 : end + 2 + n])
+        at = end + 4 + n
+    return body
+
+
+def _rejected(key: str | None, why: str) -> dict:
+    return {"record_id": key, "type": "rejected", "concurrent_to": None, "refers_to": None, "target_uri": None, "digest": None, "fields": [("error", why)], "payload": None}
+
+
+class _Unzipped(io.RawIOBase):
+    """What the gzip members of an archive hold, up to where they can't be read; error then says why."""
+
+    def __init__(self, data: bytes):
+        self.data, self.at, self.member, self.rest, self.error = data, 0, None, b"", ""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into: bytearray) -> int:
+        while not self.error:
+            if self.member is None:
+                if self.at >= len(self.data):
+                    return 0
+                self.member = zlib.decompressobj(31)
+            piece = self.rest
+            if not piece:
+                piece = self.data[self.at : self.at + (1 << 16)]
+                self.at += len(piece)
+            if not piece:
+                self.error = "it ends within a gzip member"
+                break
+            try:
+                out = self.member.decompress(piece, len(into))
+            except zlib.error as e:
+                self.error = str(e)
+                break
+            self.rest = self.member.unconsumed_tail
+            if self.member.eof:
+                self.at -= len(self.member.unused_data)
+                self.member, self.rest = None, b""
+            if out:
+                into[: len(out)] = out
+                return len(out)
+        return 0
 
 
 def parse(archive: bytes) -> Iterator[dict]:
-    """The records of one archive (gzipped, as a whole or by record, or plain), by their Content-Length alone."""
-    stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(archive))) if archive[:2] == b"\x1f\x8b" else io.BytesIO(archive)
+    """The records of one archive (gzipped, as a whole or by record, or plain), by their Content-Length alone.
+
+    A record that is cut off, has no length or doesn't begin as one is of type rejected, with the reason as field
+    error, and the last of its archive: nothing tells where the next would begin.
+    """
+    raw = _Unzipped(archive) if archive[:2] == b"\x1f\x8b" else None
+    stream = io.BufferedReader(raw) if raw else io.BytesIO(archive)
     while line := stream.readline():
         if not line.strip():
             continue
         if not line.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record begins with {line[:40]!r}")
+            yield _rejected(None, f"no WARC record begins with {line[:40]!r}")
+            return
         lines = []
         while (line := stream.readline()).strip():
             lines.append(line)
         head = _headers(lines)
-        block = stream.read(int(head["content-length"]))
-        kind = head["warc-type"]
+        key, length = head.get("warc-record-id"), head.get("content-length", "")
+        if not re.fullmatch("[0-9]{1,18}", length):
+            yield _rejected(key, f"its Content-Length is {length!r}")
+            return
+        block = stream.read(int(length))
+        if len(block) < int(length):
+            yield _rejected(key, f"{len(block)} of {length} bytes are there")
+            return
+        kind = head.get("warc-type", "")
         top, _, body = block.partition(b"\r\n\r\n") if kind in ("request", "response", "revisit") else (block, b"", b"")
+        fields = _headers(top.split(b"\r\n"))
+        if "chunked" in fields.get("transfer-encoding", "").lower():
+            body = unchunked(body)
         yield {
-            "record_id": head.get("warc-record-id"), "type": kind, "concurrent_to": head.get("warc-concurrent-to"), "refers_to": head.get("warc-refers-to"),
-            "target_uri": head.get("warc-target-uri"), "digest": head.get("warc-payload-digest"), "fields": list(_headers(top.split(b"\r\n")).items()), "payload": body if kind == "response" else None,
+            "record_id": key, "type": kind, "concurrent_to": head.get("warc-concurrent-to"), "refers_to": head.get("warc-refers-to"),
+            "target_uri": head.get("warc-target-uri"), "digest": head.get("warc-payload-digest"), "fields": list(fields.items()), "payload": body if kind == "response" else None,
         }
+    if raw and raw.error:
+        yield _rejected(None, f"its archive can't be decompressed: {raw.error}")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -179,14 +268,14 @@ def assemble(rows: DataFrame, payload: list[str] | None = None) -> DataFrame:
 
 
 def captures(rows: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of what read() returned.
+    """page_id, payload_bytes, payload_digest, record_type, refers_to, target_uri of what read() returned.
 
-    A response's size and digest are those of the payload read back; a revisit's digest is its
+    The target is the one that was asked for: the request's, or the capture's own if there is no request. A response's size and digest are those of the payload read back; a revisit's digest is its
     header's, its size the one in its metadata record, and refers_to the page of the response that
     its WARC-Refers-To names (null if that record isn't there). The archives are parsed once.
     """
     slim = written(rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("own", base32(F.sha1("payload"))).drop("payload"))
-    r = assemble(slim, ["type", "digest", "bytes", "own", "refers_to"])
+    r = assemble(slim, ["type", "digest", "bytes", "own", "refers_to", "target_uri"])
     f = F.col("metadata.fields")
     r = r.select(
         "record_id",
@@ -195,24 +284,25 @@ def captures(rows: DataFrame) -> DataFrame:
         F.coalesce(F.col("capture.own"), F.substring_index("capture.digest", ":", -1)).alias("payload_digest"),
         F.col("capture.type").alias("record_type"),
         F.col("capture.refers_to").alias("to"),
+        F.coalesce("request.target_uri", "capture.target_uri").alias("target_uri"),
     )
     # the captures that others refer to, by the ids of their records
     r = written(r)
     named = r.filter("record_type = 'response'").groupBy(F.col("record_id").alias("to")).agg(F.max("page_id").alias("refers_to"))
-    return looked_up(r.drop("record_id"), named, ["to"]).drop("to")
+    return looked_up(r.drop("record_id"), named, ["to"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri")
 
 
 #: The same result in DuckDB's SQL.
 ORACLE = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
-b AS (SELECT page_id, body, h, CAST('0x' || substr(h, 5 * k + 1, 5) AS BIGINT) AS v, k FROM p, range(8) r(k)),
+WITH p AS (SELECT page_id, coalesce(replace(replace(url, chr(13), '%0D'), chr(10), '%0A'), 'urn:x-no-url') AS target_uri, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT page_id, target_uri, body, h, CAST('0x' || substr(h, 5 * k + 1, 5) AS BIGINT) AS v, k FROM p, range(8) r(k)),
 d AS (
-  SELECT page_id, body, h, string_agg(
+  SELECT page_id, target_uri, body, h, string_agg(
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> 15) + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 10) & 31) + 1, 1)
     || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 5) & 31) + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v & 31) + 1, 1), '' ORDER BY k) AS digest
-  FROM b GROUP BY page_id, body, h)
+  FROM b GROUP BY page_id, target_uri, body, h)
 SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id = max(page_id) OVER (PARTITION BY h) THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id = max(page_id) OVER (PARTITION BY h) THEN NULL ELSE max(page_id) OVER (PARTITION BY h) END AS refers_to
+  CASE WHEN page_id = max(page_id) OVER (PARTITION BY h) THEN NULL ELSE max(page_id) OVER (PARTITION BY h) END AS refers_to, target_uri
 FROM d
 """
