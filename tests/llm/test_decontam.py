@@ -104,3 +104,23 @@ def test_one_automaton_is_held_at_a_time(spark, monkeypatch):
     for automaton in made:
         del automaton
     assert len(most) > 3 and max(most) <= 2
+
+
+def test_equal_short_items_are_taken_once():
+    n = 100_000
+    a = D.ItemAutomaton([(k, [b"a"]) for k in range(n)] + [(n, [b"a", b"b"]), (n + 1, [b"b"])], 13)
+    began = time.time()
+    spans, found = a.match([b"a"] * n + [b"x", b"a", b"b"])
+    assert spans == [(0, n), (n + 1, n + 3)] and found == set(range(n + 2)) and time.time() - began < 5
+
+
+def test_common_texts_over_several_blocks(spark, monkeypatch):
+    from tidewheel.llm import shared
+
+    monkeypatch.setattr(shared, "COMMON", 5)
+    items = [(k, f"word{k} other{k} third{k}") for k in range(20)]
+    texts = [items[3][1]] * 200 + [None] * 50 + [""] * 20 + [t for _, t in items] + [f"{items[1][1]} {items[7][1]}"]
+    df = spark.createDataFrame([(k, t, "x", "y") for k, t in enumerate(texts)], DOCS)
+    want = brute(texts, items, 13)
+    got = {r.doc_id: r for r in D.decontaminate(df, spark.createDataFrame(items, "item_id bigint, text string"), 13, (1, 20), 60).collect()}
+    assert len(got) == len(texts) and all((got[k].n_words, got[k].n_hit, got[k].item_ids) == w for k, w in enumerate(want))

@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewheel.llm.shared import broadcast, delete, shared_dir, written
+from tidewheel.llm.shared import broadcast, delete, looked_up, shared_dir, written
 
 #: Characters of item texts in one automaton; bounds what the driver holds and broadcasts at a time.
 BLOCK_CHARS = 4_000_000
@@ -64,8 +64,8 @@ class ItemAutomaton:
                 up = self.link[v]
                 self.window_state[v] = v if self.length[up] < window else self.window_state[up]
         self.items: dict[int, list[int]] = {}
-        #: Of a state: items shorter than a window that it holds, with their lengths.
-        self.short: dict[int, list[tuple[int, int]]] = {}
+        #: Of a state: items shorter than a window that it holds, by their length.
+        self.short: dict[int, dict[int, list[int]]] = {}
         for key, ws in coded:
             v = 0
             for i, w in enumerate(ws):
@@ -73,7 +73,7 @@ class ItemAutomaton:
                 if i + 1 >= window and ((found := self.items.setdefault(self.window_state[v], [])) == [] or found[-1] != key):
                     found.append(key)  # in the order of items, an item may be there again
             if len(ws) < window:
-                self.short.setdefault(v, []).append((len(ws), key))
+                self.short.setdefault(v, {}).setdefault(len(ws), []).append(key)
         #: The nearest state on the way of suffix links, itself included, with such items.
         self.short_state = [-1] * len(self.next)
         for v in by_length:
@@ -119,18 +119,18 @@ class ItemAutomaton:
         found: set[int] = set()
         if len(ws) < self.shortest:
             return spans, found
-        windows: set[int] = set()  # states, so that a window's items are taken once however often it occurs
+        windows: set[tuple[int, int]] = set()  # states and lengths, so that a window's items are taken once however often it occurs
         known = self.word_ids.get
         ids = np.fromiter((known(w, -1) for w in ws), np.int64, len(ws))
         edges = np.flatnonzero(np.diff(np.concatenate(([False], ids >= 0, [False])).astype(np.int8)))
         for start, stop in zip(edges[::2].tolist(), edges[1::2].tolist()):
             if stop - start >= self.shortest:
-                self._stream(ids[start:stop].tolist(), start, spans, found, windows)
-        for v in windows:
-            found.update(self.items.get(v, ()))
+                self._stream(ids[start:stop].tolist(), start, spans, windows)
+        for v, n in windows:
+            found.update(self.items.get(v, ()) if n == self.window else self.short[v][n])
         return merged(spans), found
 
-    def _stream(self, run: list[int], at: int, spans: list[tuple[int, int]], found: set[int], windows: set[int]) -> None:
+    def _stream(self, run: list[int], at: int, spans: list[tuple[int, int]], windows: set[tuple[int, int]]) -> None:
         nxt, link, length, window = self.next, self.link, self.length, self.window
         v = matched = 0
         for i, w in enumerate(run, at):
@@ -142,16 +142,19 @@ class ItemAutomaton:
                 continue
             v = t
             matched += 1
+            longest = 0
             if matched >= window:
-                spans.append((i + 1 - window, i + 1))
-                windows.add(self.window_state[v])
+                longest = window
+                windows.add((self.window_state[v], window))
             u = self.short_state[v]
             while u > 0:
-                for n, key in self.short[u]:
+                for n in self.short[u]:
                     if n <= matched:
-                        spans.append((i + 1 - n, i + 1))
-                        found.add(key)
+                        longest = max(longest, n)
+                        windows.add((u, n))
                 u = self.short_state[link[u]]
+            if longest:
+                spans.append((i + 1 - longest, i + 1))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -257,7 +260,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, coverage:
             shared.destroy()
         every = reduce(DataFrame.unionByName, parts).groupBy("_key").agg(*(f("_found." + c).alias(c) for f, c in ((F.max, "n_words"), (F.collect_list, "starts"), (F.collect_list, "ends"), (F.collect_list, "item_ids"))))
         every = every.select("_key", F.arrow_udf(_united, _FOUND)("n_words", "starts", "ends", "item_ids").alias("_hits"))
-        out = docs.withColumn("_key", key).join(every, "_key", "left").withColumn("_found", F.coalesce("_hits", none)).drop("_key", "_hits")
+        out = looked_up(docs.withColumn("_key", key), written(every), ["_key"]).withColumn("_found", F.coalesce("_hits", none)).drop("_key", "_hits")
     f = F.col("_found")
     hit = F.aggregate(F.zip_with(f.ends, f.starts, lambda b, a: b - a), F.lit(0).cast("bigint"), lambda s, x: s + x)
     out = out.withColumns({"n_words": f.n_words, "n_hit": hit, "spans": F.arrays_zip(f.starts.alias("start"), f.ends.alias("end")), "item_ids": f.item_ids})
