@@ -58,3 +58,22 @@ def test_rolling(spark, tmp_path):
     q = stream.writeStream.outputMode("complete").format("memory").queryName("rolling").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r.amount for r in spark.table("rolling").collect()) == [1.0, 2.0, 4.0] or sorted(r.amount for r in spark.table("rolling").collect()) == [3.0, 4.0]
+
+
+def test_statement_waterfall(spark):
+    lines = [(1, "+", 100, "R", "a"), (2, "+", 40, "R", "b"), (3, "-", 30, "C", "c"), (4, "-", 50, "C", "d"), (5, "=", 60, "Margin", None), (6, "-", 20, "O", "e"), (7, "+", None, "O2", "f"), (8, "=", 40, "Net", None)]
+    df = spark.createDataFrame([("g", *x) for x in lines] + [("h", 1, "-", 5, "X", "y")], "k string, n int, s string, v int, p string, i string")
+    got = {(r.k, r.level, r.p, r.i): (r.n, r.change, r.bar_from, r.bar_to, r.marker) for r in charts.waterfall_levels(df, ["k"], "n", "s", "v", "p", "i").collect()}
+    assert got[("g", 2, "R", "a")] == (1, 100, 0, 100, 140) and got[("g", 2, "R", "b")] == (2, 40, 100, 140, 140) and got[("g", 2, "C", "d")] == (4, -50, 110, 60, 110) and got[("g", 2, "C", "c")] == (3, -30, 140, 110, 110)
+    assert got[("g", 1, "Margin", None)] == (5, 60, 0, 60, None) and got[("g", 1, "R", None)] == (1, 140, 0, 140, None) and got[("g", 1, "C", None)] == (3, -80, 140, 60, None)
+    assert got[("g", 2, "O", "e")] == (6, -20, 60, 40, 60) and got[("g", 2, "O2", "f")] == (7, 0, 40, 40, 0) and got[("g", 1, "Net", None)] == (8, 40, 0, 40, None) and got[("h", 1, "X", None)] == (1, -5, 0, -5, None)
+    assert len(got) == 8 + 4 + 2
+
+
+def test_scenarios_side_by_side(spark):
+    frame = lambda name, rows: spark.createDataFrame(rows, f"m int, {name} double")
+    out = charts.scenario_columns({"AC": frame("AC", [(1, 50.0), (2, 20.0)]), "PY": frame("PY", [(2, 100.0), (4, 10.0)]), "PL": frame("PL", [(1, 40.0), (3, 30.0)]), "FC": frame("FC", [(2, 99.0), (3, 25.0)])}, "m", [], 200)
+    got = {r.m: r for r in out.collect()}
+    assert [(got[m].scenario, got[m].main) for m in (1, 2, 3, 4)] == [("AC", 50), ("AC", 20), ("FC", 25), (None, None)]
+    assert (got[1].main_height, got[1].main_at, got[1].plan_height, got[1].variance_at, got[1].variance_height, got[1].favourable) == (100, 100, 80, 100, 20, True)
+    assert got[2].prior_at == 0 and got[2].variance_at is None and got[3].favourable is False and got[4].prior_at == 180

@@ -50,8 +50,9 @@ class Measure:
 
 @dataclass(frozen=True, eq=False)
 class Leaf(Measure):
-    """An aggregate (sum, count, countd, min, max, avg) of an SQL expression over a fact's star. count and
-    countd of nothing are blank; countd counts a blank value as one."""
+    """An aggregate (sum, count, countd, min, max, avg, texts) of an SQL expression over a fact's star. count and
+    countd of nothing are blank; countd counts a blank value as one; texts are the distinct values in order, with commas
+    between them, for attributes of few values."""
 
     fact: str
     agg: str
@@ -471,6 +472,9 @@ def _aggregate(agg: str, expr: str, where: frozenset[str], name: str) -> Column:
     if agg == "count":
         n = F.count(value)
         return F.when(n > 0, n).alias(name)
+    if agg == "texts":
+        found = F.array_sort(F.collect_set(value))
+        return F.when(F.size(found) > 0, F.array_join(found.cast("array<string>"), ", ")).alias(name)
     return getattr(F, agg)(value).alias(name)
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions.dates import FISCAL_END
+from tidewheel.plans.context import Context
 from tidewheel.plans.measure import Derived, Leaf, Measure, With
+from tidewheel.plans.model import Model
 from tidewheel.functions import divide, minus
 
 
@@ -92,6 +94,16 @@ def last_date(rows: DataFrame, date: str, where: str | None = None) -> dt.date |
     return found
 
 
+def latest_of_slicers(model: Model, column: str, ctx: Context) -> object:
+    """The largest value of a calendar column that the report's own filters on the calendar leave, whatever measures and axes
+    filter; a constant of the plan. None if they leave nothing."""
+    rows = model.tables[model.calendar]
+    for f in ctx.outer().filters:
+        if model.home.get(f.column) == model.calendar:
+            rows = rows.filter(f.sql) if f.rows is None else rows.join(f.rows.select(F.col(f.rows.columns[0]).alias("_member")), F.col(f.column) == F.col("_member"), "left_semi")
+    return rows.agg(F.max(column)).first()[0]
+
+
 def leaf_sum(fact: str, expr: str, where: dict[str, str] | None = None) -> Measure:
     """A sum, gated by filters on columns."""
     return With(Leaf(fact, "sum", expr), keep=where or {}) if where else Leaf(fact, "sum", expr)

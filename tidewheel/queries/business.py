@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewheel.functions import divide, fiscal_year, fmt
+from tidewheel.functions import divide, fiscal_month, fiscal_year, fmt
 from tidewheel.functions.text import trend
 from tidewheel.operators import charts
 from tidewheel.operators.business import ledger as L
@@ -316,3 +316,36 @@ def register(reg: Registry) -> None:
         """Round axis maxima for charts."""
         s = sales(spark, d).groupBy("segment").agg(F.sum("revenue").cast("double").alias("v"))
         return s.select("segment", F.round("v", 4).alias("v"), M.axis_maximum(F.col("v")).alias("axis"))
+
+    STATEMENT = """r AS (SELECT segment, stream, sum(revenue) AS r, sum(cost) AS c FROM s GROUP BY ALL), l AS (
+        SELECT segment, CASE stream WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS line, '+' AS sign, r AS amount, 'Revenue' AS part, stream AS item FROM r UNION ALL SELECT segment, 3 + CASE stream WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END, '-', c, 'Cost', stream FROM r
+        UNION ALL SELECT segment, 7, '=', sum(r - c), 'Gross profit', NULL FROM r GROUP BY 1)"""
+
+    @reg.add(f"""WITH {SALES}, {STATEMENT},
+      b AS (SELECT *, CASE sign WHEN '-' THEN -amount ELSE amount END AS change, coalesce(sum(CASE sign WHEN '+' THEN amount WHEN '-' THEN -amount ELSE 0 END) OVER (PARTITION BY segment ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM l),
+      e AS (SELECT segment, part, item, line, sign, amount, CASE WHEN item IS NULL THEN 1 ELSE 2 END AS level, change, CASE sign WHEN '=' THEN 0 ELSE before END AS bar_from, CASE WHEN item IS NULL THEN NULL WHEN sign = '-' THEN arg_max(before, line) OVER (PARTITION BY segment, part) ELSE sum(amount) OVER (PARTITION BY segment, part) END AS marker FROM b),
+      u AS (SELECT * FROM e UNION ALL SELECT segment, part, NULL, min(line), min(sign), sum(amount), 1, sum(change), arg_min(before, line), NULL FROM b WHERE item IS NOT NULL GROUP BY segment, part)
+      SELECT segment, part, item, CAST(line AS INTEGER) AS line, sign, {double('amount', 'amount')}, level, {double('change', 'change')}, {double('bar_from', 'bar_from')}, {double('marker', 'marker')}, {double('bar_from + change', 'bar_to')} FROM u""")
+    def chart_statement_waterfall(spark: SparkSession, d: str) -> DataFrame:
+        """A profit statement per segment as a waterfall: streams that add and take away, their subtotals, the sum from zero."""
+        r = sales(spark, d).groupBy("segment", "stream").agg(F.sum("revenue").alias("r"), F.sum("cost").alias("c"))
+        number = F.when(F.col("stream") == "A", 1).when(F.col("stream") == "N", 2).otherwise(3)
+        line = lambda at, sign, amount, part: F.struct(at.alias("line"), F.lit(sign).alias("sign"), F.col(amount).cast("decimal(30,4)").alias("amount"), F.lit(part).alias("part"), F.col("stream").alias("item"))
+        items = r.select("segment", F.inline(F.array(line(number, "+", "r", "Revenue"), line(number + 3, "-", "c", "Cost"))))
+        total = r.groupBy("segment").agg(F.sum(F.col("r") - F.col("c")).cast("decimal(30,4)").alias("amount")).select("segment", F.lit(7).alias("line"), F.lit("=").alias("sign"), "amount", F.lit("Gross profit").alias("part"), F.lit(None).cast("string").alias("item"))
+        return rounded(charts.waterfall_levels(items.unionByName(total), ["segment"], "line", "sign", "amount", "part", "item"))
+
+    @reg.add(f"""WITH {SALES}, y AS (SELECT segment, CAST({fy()} AS INTEGER) AS f, (month(d) + 2) % 12 + 1 AS month, d, revenue FROM s),
+      a AS (SELECT segment, month, sum(revenue) FILTER (WHERE f = 2001 AND d < DATE '2001-08-01') AS ac, sum(revenue) FILTER (WHERE f = 2000) AS py, sum(revenue) FILTER (WHERE f = 2001 AND d >= DATE '2001-08-01') AS fc FROM y WHERE f IN (2000, 2001) GROUP BY ALL),
+      b AS (SELECT segment, month, CAST(ac AS DOUBLE) AS ac, CAST(py AS DOUBLE) AS py, CAST(py AS DOUBLE) * 1.05 AS pl, CAST(fc AS DOUBLE) AS fc FROM a), c AS (SELECT *, coalesce(ac, fc) AS main, max(greatest(ac, py, pl, fc)) OVER (PARTITION BY segment) AS top FROM b),
+      h AS (SELECT *, main / top * 180 AS mh, pl / top * 180 AS ph FROM c)
+      SELECT segment, month, CASE WHEN ac IS NOT NULL THEN 'AC' WHEN fc IS NOT NULL THEN 'FC' END AS scenario, round(main, 4) AS main, round(mh, 6) AS main_height, round(180 - mh, 6) AS main_at, round(ph, 6) AS plan_height, round(180 - ph, 6) AS plan_at, round(180 - py / top * 180, 6) AS prior_at, round(least(180 - mh, 180 - ph), 6) AS variance_at, round(abs(ph - mh), 6) AS variance_height, main >= pl AS favourable FROM h""")
+    def chart_scenario_columns(spark: SparkSession, d: str) -> DataFrame:
+        """Actual, prior year, plan and forecast of each month of the fiscal year, aligned by month, with the variance to plan."""
+        months = lambda name, rows, factor=1.0: rows.groupBy("segment", fiscal_month("d").alias("month")).agg((F.sum("revenue").cast("double") * factor).alias(name))
+        rows = sales(spark, d, shipped=(dt.date(1999, 10, 1), dt.date(2001, 9, 30)))
+        now, before = rows.filter(fiscal_year("d") == 2001), rows.filter(fiscal_year("d") == 2000)
+        first_open = AS_OF.replace(day=1)
+        scenarios = {"AC": months("AC", now.filter(F.col("d") < F.lit(first_open))), "PY": months("PY", before), "PL": months("PL", before, 1.05), "FC": months("FC", now.filter(F.col("d") >= F.lit(first_open)))}
+        out = charts.scenario_columns(scenarios, "month", ["segment"], 180).drop("AC", "PY", "PL", "FC")
+        return rounded(out.withColumn("main", F.round("main", 4)), "main_height", "main_at", "plan_height", "plan_at", "prior_at", "variance_at", "variance_height")

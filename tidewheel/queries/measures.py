@@ -13,7 +13,7 @@ from tidewheel.operators.business.retention import movements
 from tidewheel.plans.calcgroup import CalculationGroup, by_items
 from tidewheel.plans.measure import Cumulative, Derived, Having, InScope, Iterate, Leaf, Rank, Selected, With, calculated, ordered, query, ranked, share
 from tidewheel.plans.model import Model, Relationship
-from tidewheel.plans.timeint import Clock, anchor, last_date, sliding
+from tidewheel.plans.timeint import Clock, anchor, last_date, latest_of_slicers, sliding
 from tidewheel.queries.base import ANCHOR, AS_OF
 from tidewheel.queries.base import COST as COST_OF_LINE
 from tidewheel.queries.base import SALES, Registry, double, fy, ratio, rounded, star
@@ -286,3 +286,11 @@ def register(reg: Registry) -> None:
         m = {"revenue": REVENUE, "customers": Leaf("line", "countd", "o_custkey")}
         kept = {k: With(v, keep={"b_type": "b_type <> 'PROMO'"}) for k, v in m.items()}
         return rounded(query(model, ["lane"], kept, Context.slicers(c_mktsegment="c_mktsegment = 'BUILDING'")))
+
+    @reg.add(f"WITH {SALES} SELECT segment AS c_mktsegment, {double('sum(revenue) FILTER (WHERE year(d) BETWEEN 1998 AND 2000)', 'sliced')}, {double(f'sum(revenue) FILTER (WHERE {fy()} = 2001 AND year(d) BETWEEN 1998 AND 2000)', 'latest')}, {double(f'sum(revenue) FILTER (WHERE {fy()} = 2000 AND year(d) BETWEEN 1998 AND 2000)', 'before')}, string_agg(DISTINCT p_type, ', ' ORDER BY p_type) FILTER (WHERE year(d) BETWEEN 1998 AND 2000 AND p_brand = 'Brand#1') AS kinds FROM s JOIN part p USING (p_brand) WHERE p.p_partkey = l_partkey GROUP BY 1")
+    def year_of_slicer(spark: SparkSession, d: str) -> DataFrame:
+        """The largest fiscal year that the slicer on the calendar leaves, and the one before it; a text that lists values."""
+        model, ctx = star(spark, d), Context.slicers(year="year BETWEEN 1998 AND 2000")
+        latest = latest_of_slicers(model, "fiscal_year", ctx)
+        m = {"sliced": REVENUE, "latest": With(REVENUE, set={"fiscal_year": f"fiscal_year = {latest}"}), "before": With(REVENUE, set={"fiscal_year": f"fiscal_year = {latest - 1}"}), "kinds": With(Leaf("line", "texts", "p_type"), keep={"p_brand": "p_brand = 'Brand#1'"})}
+        return rounded(query(model, ["c_mktsegment"], m, ctx))

@@ -15,7 +15,7 @@ from tidewheel.operators import reshape as R
 from tidewheel.plans import timeint
 from tidewheel.plans.measure import ranked
 from tidewheel.queries.base import ANCHOR, AS_OF, REVENUE, SALES, Registry, fy, money, rounded, sales, table
-from tidewheel.sources import csv_table, literal, number_range, shared_folder, write_csv, write_parquet
+from tidewheel.sources import csv_table, literal, number_range, shared_folder, warehouse_table, workbook_table, write_csv, write_parquet, write_warehouse, write_workbooks
 
 
 def register(reg: Registry) -> None:
@@ -78,23 +78,37 @@ def register(reg: Registry) -> None:
         last_day(CAST(d AS DATE)) AS month_end, make_date(year(d) + CASE WHEN month(d) > 9 THEN 0 ELSE -1 END, 10, 1) AS fiscal_start, strftime(d, '%b %Y') AS month_label,
         last_day(CAST(d AS DATE)) < DATE '2001-08-01' AS completed_month, (year(d) - 2001) * 12 + month(d) - 8 AS month_offset, (year(d) - 1995) * 12 + month(d) AS month_index,
         CAST(floor((dayofyear(d) - 1 + dayofweek(date_trunc('year', d))) / 7) AS INTEGER) + 1 AS week, CAST(date_trunc('week', d) AS DATE) AS week_start
-      FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2003-01-01', INTERVAL 1 DAY) r(d)""", dates=('date', 'month_end', 'fiscal_start', 'week_start'))
+        , lines
+      FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2003-01-01', INTERVAL 1 DAY) r(d) LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS k, count(*) AS lines FROM lineitem GROUP BY 1) ON k = CAST(d AS DATE)""", dates=('date', 'month_end', 'fiscal_start', 'week_start'))
     def fiscal_days(spark: SparkSession, d: str) -> DataFrame:
-        """The fiscal calendar."""
+        """The fiscal calendar, with the lines shipped on each day."""
         c = fiscal_calendar(spark, dt.date(1995, 1, 1), dt.date(2002, 12, 31), AS_OF)
-        return c.select("date", "fiscal_year", "fiscal_month", "fiscal_quarter", "month_end", "fiscal_start", "month_label", "completed_month", "month_offset", "month_index", "week", "week_start")
+        shipped = table(spark, d, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(F.count("*").alias("lines"))
+        return c.join(shipped, "date", "left").select("lines", "date", "fiscal_year", "fiscal_month", "fiscal_quarter", "month_end", "fiscal_start", "month_label", "completed_month", "month_offset", "month_index", "week", "week_start")
 
-    @reg.add("SELECT y AS fiscal_year, p AS period, last_day(CAST(make_date(CAST(y AS INTEGER) - 1, 10, 1) + to_months(CAST(p AS INTEGER) - 1) AS DATE)) AS period_end FROM range(1996, 2002) a(y), range(1, 13) b(p)", dates=('period_end',))
+    @reg.add(f"""WITH {SALES} SELECT year(d) AS year, CAST(floor((dayofyear(d) - 1 + dayofweek(date_trunc('year', d))) / 7) AS INTEGER) + 1 AS week, CAST(sum(revenue) AS DOUBLE) AS revenue, count(*) AS lines FROM s GROUP BY ALL""")
+    def weekly_revenue(spark: SparkSession, d: str) -> DataFrame:
+        """Revenue by calendar year and number of the week, weeks beginning on Sunday."""
+        day = F.col("d")
+        return rounded(sales(spark, d).groupBy(F.year(day).alias("year"), D.week_number(day).alias("week")).agg(F.sum("revenue").alias("revenue"), F.count("*").alias("lines")))
+
+    @reg.add(f"""WITH {SALES} SELECT CAST({fy()} AS INTEGER) AS fiscal_year, (month(d) + 2) % 12 + 1 AS period, last_day(CAST(make_date(CAST({fy()} AS INTEGER) - 1, 10, 1) + to_months(CAST((month(d) + 2) % 12 AS INTEGER)) AS DATE)) AS period_end, CAST(sum(revenue) AS DOUBLE) AS amount FROM s GROUP BY ALL""", dates=('period_end',))
     def ledger_periods(spark: SparkSession, d: str) -> DataFrame:
-        """Month-end of a ledger's fiscal year and period."""
-        rows = spark.range(1996, 2002).select(F.col("id").alias("fiscal_year"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(12).cast("bigint"))).alias("period"))
-        return rows.withColumn("period_end", D.ledger_month_end("fiscal_year", "period"))
+        """Amounts by a ledger's fiscal year and period, with the period's month-end."""
+        day = F.col("d")
+        rows = sales(spark, d).groupBy(D.fiscal_year(day).alias("fiscal_year"), D.fiscal_month(day).alias("period")).agg(F.sum("revenue").alias("amount"))
+        return rounded(rows.withColumn("period_end", D.ledger_month_end("fiscal_year", "period")))
 
-    @reg.add("SELECT CAST(v AS DOUBLE) / 100 AS floor, v AS n FROM range(0, 101) r(v)")
+    @reg.add(f"""WITH {SALES}, b AS (SELECT CAST(floor(CAST(revenue - cost AS DOUBLE) * 100 / CAST(revenue AS DOUBLE)) AS BIGINT) + 1 AS k, count(*) AS lines, sum(revenue) AS revenue FROM s WHERE revenue <> 0 GROUP BY 1)
+      SELECT CAST(v AS DOUBLE) / 100 AS floor, v AS n, CAST(coalesce(sum(lines), 0) AS BIGINT) AS lines_below, CAST(sum(revenue) AS DOUBLE) AS revenue_below FROM range(0, 101) r(v) LEFT JOIN b ON k <= v GROUP BY v""")
     def what_if_series(spark: SparkSession, d: str) -> DataFrame:
-        """A what-if parameter's values."""
-        s = number_range(spark, 0, 1, 0.01, "floor")
-        return s.select(F.col("floor").cast("double").alias("floor"), (F.col("floor") * 100).cast("bigint").alias("n"))
+        """A what-if parameter's values, and what lies below the margin floor that each would set: lines by the first value that
+        is above their margin, then added up over values."""
+        below = (F.floor((F.col("revenue") - F.col("cost")).cast("double") * 100 / F.col("revenue").cast("double")) + 1).alias("k")
+        buckets = sales(spark, d).filter("revenue <> 0").groupBy(below).agg(F.count("*").alias("lines"), F.sum("revenue").alias("revenue"))  # a row for each percent of margin
+        series = number_range(spark, 0, 1, 0.01, "floor").select(F.col("floor").cast("double").alias("floor"), (F.col("floor") * 100).cast("bigint").alias("n"))
+        out = F.broadcast(series).join(buckets, F.col("k") <= F.col("n"), "left").groupBy("floor", "n")
+        return rounded(out.agg(F.coalesce(F.sum("lines"), F.lit(0)).alias("lines_below"), F.sum("revenue").alias("revenue_below")))
 
     # Joins.
     @reg.add("SELECT n_name, r_name, count(*) AS customers FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
@@ -298,3 +312,20 @@ def register(reg: Registry) -> None:
         kinds = dict(table(spark, d, "customer").dtypes)
         rows = spark.read.schema(f"c_nationkey {kinds['c_nationkey']}, c_mktsegment string").parquet(path)
         return rows.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"))
+
+    @reg.add("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS o_totalprice, o_orderpriority, o_orderstatus = 'F' AS finished FROM orders", dates=("o_orderdate",))
+    def workbook_round_trip(spark: SparkSession, d: str) -> DataFrame:
+        """The orders as spreadsheet workbooks, and read back with a declared schema."""
+        path = shared_folder(spark)
+        write_workbooks(table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"), F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"), "o_orderpriority", (F.col("o_orderstatus") == "F").alias("finished")), path, sheet="Orders")
+        return rounded(workbook_table(spark, path, "o_orderkey bigint, o_orderdate date, o_totalprice decimal(12,2), o_orderpriority string, finished boolean", table="Orders"))
+
+    @reg.add("SELECT c_nationkey, c_mktsegment, count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) AS balance FROM customer WHERE c_custkey > 10 AND c_mktsegment <> 'BUILDING' GROUP BY ALL")
+    def warehouse_scan(spark: SparkSession, d: str) -> DataFrame:
+        """Customers in a SQL warehouse (tidewheel.warehouse.url, else one in this process's memory), scanned in ranges of their
+        key; filters and columns are the warehouse's work."""
+        url = spark.conf.get("tidewheel.warehouse.url", "jdbc:derby:memory:tidewheel;create=true")
+        rows = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"))
+        write_warehouse(rows, url, "tidewheel_customer", types="c_mktsegment VARCHAR(40)")
+        scan = warehouse_table(spark, url, "tidewheel_customer", key="c_custkey", parts=8).filter("c_custkey > 10 AND c_mktsegment <> 'BUILDING'")
+        return rounded(scan.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"), F.sum("c_acctbal").alias("balance")))

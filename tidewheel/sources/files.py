@@ -14,14 +14,33 @@ def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def warehouse_table(spark: SparkSession, url: str, table: str, key: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 16, **options: str) -> DataFrame:
-    """A table or view of a SQL warehouse over JDBC, read in `parts` ranges of an integer key if given.
-    Needs the driver's jar on the class path."""
+    """A table or view of a SQL warehouse over JDBC, read in `parts` ranges of an integer key if given, whose bounds the
+    warehouse tells if they aren't. Filters and columns are left to the warehouse. Needs the driver's jar on the class path."""
     reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
+    if key and bounds is None:
+        name = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(key)
+        ends = spark.read.format("jdbc").options(url=url, dbtable=f"(SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {table}) bounds", **options).load().first()
+        bounds = None if ends[0] is None else (int(ends[0]), int(ends[1]) + 1)
     if key and bounds:
         reader = reader.options(partitionColumn=key, lowerBound=str(bounds[0]), upperBound=str(bounds[1]), numPartitions=str(parts))
     return reader.load()
 
 
+def warehouse_catalog(spark: SparkSession, name: str, url: str, **options: str) -> None:
+    """Makes a warehouse's tables known as name.schema.table, for SQL too. Besides filters and columns, Spark leaves
+    aggregates, limits and sorting for these to the warehouse where its dialect has them."""
+    for key, value in {"": "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog", ".url": url, ".pushDownAggregate": "true", ".pushDownLimit": "true", **{f".{k}": v for k, v in options.items()}}.items():
+        spark.conf.set(f"spark.sql.catalog.{name}{key}", value)
+
+
+def write_warehouse(df: DataFrame, url: str, table: str, mode: str = "overwrite", types: str | None = None, **options: str) -> None:
+    """df as a table of a SQL warehouse; each partition is a connection of its own, in batches. types: the warehouse's
+    types of columns, as DDL, where they should be others than Spark's choice (some can't compare their unbounded texts)."""
+    if types:
+        options["createTableColumnTypes"] = types
+    df.write.format("jdbc").options(url=url, dbtable=table, batchsize="5000", **options).mode(mode).save()
+
+
 def csv_table(spark: SparkSession, path: str, schema: StructType | str, encoding: str = "UTF-8", header: bool = True, sep: str = ",", errors: str | None = None, multi_line: bool = False) -> DataFrame:
     """A CSV file or folder. multi_line: line breaks may stand in quoted fields; then a file can't be split, and is
     one task however large it is. errors: a column of the schema that takes lines that don't fit. Code page 1252 is read
