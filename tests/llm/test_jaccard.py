@@ -4,6 +4,7 @@ import re
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidewheel.llm import jaccard as J
 from tidewheel.llm import shared as S
@@ -192,3 +193,21 @@ def test_hubs(spark):
     edges = [(0, k) for k in range(1, 60)] + [(k, 100 + k) for k in range(1, 60)] + [(500, 400 + k) for k in range(50)] + [(700, 701)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{k: 0 for k in [*range(60), *range(101, 160)]}, **{k: 400 for k in [500, *range(400, 450)]}, 700: 700, 701: 700}
+
+
+def test_long_texts_of_few_shingles_go_as_sets(spark, monkeypatch):
+    """Texts that repeat a line have few shingles and many bytes; what is shipped is bounded by their sets."""
+    rnd = random.Random(8)
+    line = lambda k: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(k))
+    texts = []
+    for _ in range(12):
+        base = line(20)
+        texts += [f"{base} " * rnd.randint(300, 500) for _ in range(2)] + [f"{base} {line(1)} " * 400, base.upper(), line(900), None]
+    texts += [line(60)] * 3 + [f"{texts[0]}{line(2)}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    want = {(k, n, c) for k, (n, c) in brute(list(enumerate(texts))).items()}
+    shipped = J._texts(df, df.select(F.col("doc_id").alias("rep"))).agg(F.sum(F.octet_length("text")).alias("t"), F.sum(F.size("set")).alias("s"), F.count("set").alias("n")).first()
+    assert shipped.n >= 36 and shipped.t < 300_000 and shipped.s < 36 * 100
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in J.groups(df).collect()} == want
+    monkeypatch.setattr(J, "ROWS", 4)  # blocks by rows
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in J.groups(df).collect()} == want

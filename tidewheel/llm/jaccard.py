@@ -15,7 +15,8 @@ The candidate edges' components are the blocks of the second product, over whole
 on a spanning forest of the links. A component of more than BLOCK shingles or ROWS rows is cut into
 bands of sizes, of which only neighbours meet, and these into parts, so a task compares at most ROWS
 with ROWS rows. Within a task pairs come from prefixes again, those of rows already united are
-skipped, and the overlaps of the others are counted exactly.
+skipped, and the overlaps of the others are counted exactly. A long text of few shingles goes there as
+its set, so a task's bytes are bounded by its rows and shingles whatever the texts repeat.
 
 Shingles are 64-bit hashes. Links are transitive in the result: every linked document is in its
 group, though copies and pairs within a group are not listed.
@@ -41,6 +42,9 @@ SPARSE = 16
 FREQUENT = 1 << 19
 #: Shingles, and rows, in a block of the second product.
 BLOCK, ROWS = 1_000_000, 1 << 14
+#: Bytes of a text that goes to the second product as it is, whatever its set is; a longer one must be this many times its
+#: set's number of shingles at most, else the set goes.
+LONG, PER_SHINGLE = 4096, 16
 #: Sizes in a band differ by this factor: more than 1.25, so that alike rows are in one band or in neighbours.
 BAND = 1.26
 #: Parts that a frequent shingle's rows are dealt out to.
@@ -234,10 +238,22 @@ def _candidates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rep, text of the documents whose id is a rep of wanted, and of a few others: a bitmap of hashes picks them, so
-    that not all texts are shuffled. The join with wanted is up to the caller."""
+    """rep, text, set of the documents whose id is a rep of wanted, and of a few others: a bitmap of hashes picks them, so
+    that not all texts are shuffled. Either text or set is null. The join with wanted is up to the caller."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            sets: list[np.ndarray | None] = [None] * len(texts)
+            for k, t in enumerate(texts):
+                if t is not None and len(t) * 4 > LONG and (size := len(t.encode())) > LONG:
+                    (s,) = shingle_sets([t])
+                    if size > PER_SHINGLE * len(s):
+                        texts[k], sets[k] = None, s.view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(sets, pa.list_(pa.int64()))], ["rep", "text", "set"])
+
     own = F.col("doc_id").cast("bigint")
-    return docs.filter("doc_id is not null").filter(sieve(wanted, "rep")(own)).select(own.alias("rep"), "text")
+    return docs.filter("doc_id is not null").filter(sieve(wanted, "rep")(own)).select(own.alias("rep"), "text").mapInArrow(packed, "rep bigint, text string, set array<bigint>")
 
 
 class _Union:
@@ -326,8 +342,8 @@ def _placed(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """rep, block, band, next, i, j, side: the tasks of the second product that each row takes part in."""
     members = groups.join(rows.select(F.col("rep").alias("node"), "n"), "node").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / np.log(BAND)).cast("int"))
     bands = written(members.groupBy("root", "band").agg(F.sum("n").alias("total"), F.count("*").alias("rows")))
-    whole = bands.agg(F.sum("total")).first()[0] or 0
-    small = F.pmod(F.xxhash64("root"), F.lit(max(1, 2 * whole // BLOCK)))
+    whole, count = bands.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    small = F.pmod(F.xxhash64("root"), F.lit(max(1, 2 * whole // BLOCK, 2 * count // ROWS)))
     parts = F.ceil(F.greatest(F.col("total") / BLOCK, F.col("rows") / ROWS)).cast("int")
     large = bands.groupBy("root").agg(F.sum("total").alias("total"), F.sum("rows").alias("rows"), F.map_from_entries(F.collect_list(F.struct("band", parts))).alias("parts"))
     large = large.filter((F.col("total") > BLOCK) | (F.col("rows") > ROWS)).select("root", "parts")  # some 60 bands at most each
@@ -355,7 +371,9 @@ def _links(docs: DataFrame, rows: DataFrame, groups: DataFrame) -> DataFrame:
     placed = written(_placed(rows, groups))
 
     def product(t: pa.Table) -> pa.Table:
-        sets = list(shingle_sets(t.column("text").to_pylist()))
+        texts, sets = t.column("text").to_pylist(), [None if x is None else np.array(x, np.int64).view(np.uint64) for x in t.column("set").to_pylist()]
+        hashed = shingle_sets([x for x, s in zip(texts, sets) if s is None])
+        sets = [next(hashed) if s is None else s for s in sets]
         sizes = np.fromiter(map(len, sets), np.int64, len(sets))  # none is empty
         found = overlaps(t.column("rep").to_numpy(), t.column("side").to_numpy(), np.concatenate(sets), sizes)
         return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
