@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.quality import remainder
-from tidewheel.llm.shared import broadcast
+from tidewheel.llm.shared import broadcast, looked_up
 
 #: Rows of each language that a fit learns from, and of these the landmarks (about: the hash decides); where there
 #: are so many languages that these would be more than SAMPLE rows or MARKS landmarks in all, a like share of each.
@@ -162,11 +162,12 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
     languages = counts.count()
     if not languages:
         return nothing
-    if languages <= LANGUAGES:  # then no row of a common language has to move
-        counts = F.broadcast(counts)
+    known = usable.select("doc_id", "lang")
+    # no row of a common language has to move
+    known = known.join(F.broadcast(counts), "lang") if languages <= LANGUAGES else looked_up(known, counts, ["lang"], counts.withColumnRenamed("count", "n"))
     per_language, landmarks = min(per_language, sample / languages), min(landmarks, marks / languages)
     draw = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) * F.col("count") / (1 << 30)
-    drawn = usable.select("doc_id", "lang").join(counts, "lang").withColumn("draw", draw).filter(F.col("draw") < per_language).drop("count")
+    drawn = known.withColumn("draw", draw).filter(F.col("draw") < per_language).drop("count")
     drawn = [tuple(r) for r in drawn.select("doc_id", "lang", "draw").distinct().collect()]  # about per_language rows of each language
     if not drawn:
         return nothing
