@@ -318,7 +318,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, at_least: int = 8
     # of equal vectors, the k nearest of any query hold none but those with the k + 1 smallest ids, its own among them
     copy = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     there = written(vectors.distinct().withColumn("copy", copy).filter(F.col("copy") <= k + 1).drop("copy"))
-    asked = written(queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector")).withColumn("first", F.min("query_id").over(Window.partitionBy("vector"))))
+    single = written(queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector")))
+    firsts = written(single.groupBy("vector").agg(F.min("query_id").alias("first"), F.count("*").alias("n")))  # a vector that many ask for is answered once
+    asked = written(looked_up(single, firsts.select("vector", "first"), ["vector"], firsts.select("vector", "n")))
     open_ = asked.filter("query_id = first").select("query_id", "vector")
     deep = vectors.count() // LIST_SIZE > MAX_LISTS
     entries = postings(there, index)
