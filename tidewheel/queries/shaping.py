@@ -15,7 +15,7 @@ from tidewheel.operators import reshape as R
 from tidewheel.plans import timeint
 from tidewheel.plans.measure import ranked
 from tidewheel.queries.base import ANCHOR, AS_OF, REVENUE, SALES, Registry, fy, money, rounded, sales, table
-from tidewheel.sources import csv_table, literal, number_range, shared_folder, warehouse_table, workbook_table, write_csv, write_parquet, write_warehouse, write_workbooks
+from tidewheel.sources import csv_table, json_table, literal, number_range, shared_folder, warehouse_table, workbook_table, write_csv, write_parquet, write_warehouse, write_workbooks
 
 
 def register(reg: Registry) -> None:
@@ -329,3 +329,18 @@ def register(reg: Registry) -> None:
         write_warehouse(rows, url, "tidewheel_customer", types="c_mktsegment VARCHAR(40)")
         scan = warehouse_table(spark, url, "tidewheel_customer", key="c_custkey", parts=8).filter("c_custkey > 10 AND c_mktsegment <> 'BUILDING'")
         return rounded(scan.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").alias("n"), F.sum("c_acctbal").alias("balance")))
+
+    @reg.add("SELECT p_partkey, replace(replace(replace(replace(replace(CASE p_partkey % 3 WHEN 0 THEN '<' || p_name || '>' WHEN 1 THEN p_type || ' #' || p_size || ' 100%' ELSE '\"' || p_brand || '\"' END, '%', '%25'), '#', '%23'), '<', '%3C'), '>', '%3E'), '\"', '%22') AS encoded FROM part")
+    def percent_encoding(spark: SparkSession, d: str) -> DataFrame:
+        """Labels made safe for a data URI."""
+        kind = F.col("p_partkey") % 3
+        label = F.when(kind == 0, F.concat(F.lit("<"), "p_name", F.lit(">"))).when(kind == 1, F.concat("p_type", F.lit(" #"), F.col("p_size").cast("string"), F.lit(" 100%"))).otherwise(F.concat(F.lit('"'), "p_brand", F.lit('"')))
+        return table(spark, d, "part").select("p_partkey", T.percent_encoded(label).alias("encoded"))
+
+    @reg.add("SELECT s_suppkey, s_nationkey, CAST(CAST(s_acctbal AS DECIMAL(12,2)) AS DOUBLE) AS s_acctbal FROM supplier")
+    def json_round_trip(spark: SparkSession, d: str) -> DataFrame:
+        """The suppliers as JSON lines, and read back with a declared schema."""
+        path = shared_folder(spark)
+        table(spark, d, "supplier").select("s_suppkey", "s_nationkey", F.col("s_acctbal").cast("decimal(12,2)").alias("s_acctbal")).write.json(path)
+        kinds = dict(table(spark, d, "supplier").dtypes)
+        return rounded(json_table(spark, path, f"s_suppkey {kinds['s_suppkey']}, s_nationkey {kinds['s_nationkey']}, s_acctbal decimal(12,2)"))
