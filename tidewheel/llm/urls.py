@@ -23,7 +23,8 @@ from tidewheel.llm.shared import ascii_lower, forget, looked_up, written
 Rules = list[tuple[str, str, str]]
 #: The host that stands for all hosts together; no host holds a slash.
 ALL_HOSTS = "/"
-LONG, DEPTH = 24, 8
+#: Characters of a segment beyond which it looks variable.
+LONG = 24
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -45,26 +46,48 @@ def matched(host: Column, path: Column, rules: Rules) -> Column:
     return F.get(F.filter(table, fits), F.lit(0))
 
 
-def template(path: Column, depth: int | None = DEPTH) -> Column:
-    """The path's segments with variable ones as `*`; what is deeper than depth, if given, as one `**`."""
+def template(path: Column) -> Column:
+    """The path's segments with variable ones as `*`."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    parts = F.transform(parts, lambda s: F.when(s.rlike(r"\d") | (F.length(s) > LONG), "*").otherwise(s))
-    return parts if depth is None else F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))).otherwise(parts)
+    return F.transform(parts, lambda s: F.when(s.rlike(r"\d") | (F.length(s) > LONG), "*").otherwise(s))
+
+
+def _branching(rows: DataFrame, level: int) -> tuple[int | None, int | None]:
+    """Of open rows from a level on: how many levels follow in which no parent has two children (None: there are none that have), and
+    the last level's distance (None: no row goes as far). A row for each parent and level is all that is shuffled."""
+    deep = rows.filter(F.col("open") & (F.size("template") >= level))
+    parts = deep.select("host", F.slice("template", 1, level - 1).alias("prefix"), F.posexplode(F.slice("template", level, F.size("template"))).alias("at", "own"))
+    ends = parts.groupBy("host", "prefix", "at").agg(F.min("own").alias("a"), F.max("own").alias("b"))
+    return tuple(ends.agg(F.min(F.when(F.col("a") != F.col("b"), F.col("at"))), F.max("at")).first())
 
 
 def tree(counts: DataFrame, z: float = 2.0) -> DataFrame:
     """host, first (the template as given), template (generalised) with its pages n and labels blocked, labelled.
 
     counts: host, first (array), n, blocked, labelled; one row per host and first.
-    The levels end where no branch of any parent can pass the test.
+    The levels end where no branch of any parent can pass the test. Levels in which every open parent has one child only,
+    as in the depths of a crawler's trap, are passed at once: an only child becomes the wildcard, and what lets its
+    parent go on or not does so below as well.
     """
     rows = written(counts.withColumn("template", F.col("first")).withColumn("open", F.lit(True)))
     level = 0
     while True:
         level += 1
-        deep = F.col("open") & (F.size("template") >= level)
-        if rows.filter(deep).isEmpty():
+        first, last = _branching(rows, level)
+        if last is None:
             break
+        passed = last + 1 if first is None else first
+        if passed:
+            stars = F.array_repeat(F.lit("*"), F.least(F.lit(passed), F.size("template") - (level - 1)))
+            rest = F.slice("template", level + passed, F.greatest(F.size("template") - (level + passed - 1), F.lit(0)))
+            only = F.concat(F.slice("template", 1, level - 1), stars, rest)
+            before = rows
+            rows = rows.withColumn("template", F.when(F.col("open") & (F.size("template") >= level), only).otherwise(F.col("template")))
+            rows._tidewheel_path = before._tidewheel_path
+            level += passed
+            if first is None:
+                break
+        deep = F.col("open") & (F.size("template") >= level)
         prefix = F.slice("template", 1, level - 1)
         at = rows.filter(deep).withColumn("prefix", prefix).withColumn("own", F.element_at("template", level))
         sums = [F.sum(c).alias(c) for c in ("n", "blocked", "labelled")]
@@ -101,7 +124,7 @@ def judge(pages: DataFrame, rules: Rules, key: str = "page_id", url: str = "url"
     """
     host, path = host_and_path(F.col(url))
     rows = pages.select(F.col(key), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("_hit", matched(F.col("host"), F.col("path"), rules)).withColumn("first", template(F.col("path"), None))
+    rows = rows.withColumn("_hit", matched(F.col("host"), F.col("path"), rules)).withColumn("first", template(F.col("path")))
     blocked, labelled = F.sum((F.col("_hit.verdict") == "block").cast("long")), F.count("_hit.verdict")
     counts = written(rows.groupBy("host", "first").agg(F.count("*").alias("n"), F.coalesce(blocked, F.lit(0)).alias("blocked"), labelled.alias("labelled")))
     pooled = counts.groupBy("first").agg(*(F.sum(c).alias(c) for c in ("n", "blocked", "labelled"))).select(F.lit(ALL_HOSTS).alias("host"), "first", "n", "blocked", "labelled")
