@@ -138,6 +138,7 @@ def test_having(model):
     items = Having(ROWS, ("s_item",), {"n": ROWS, "v": AMOUNT}, "v / n > 40")  # 10: 65, 11: 50, 12: 20
     assert rows(query(model, [], {"n": items}, Context.slicers(region="region = 'north'")))[()] == (2,)
     assert rows(query(model, [], {"n": With(items, keep={"kind": "kind = 'y'"})}))[()] == (1,)
+    assert rows(query(model, [], {"n": Cumulative(Leaf("sale", "countd", "concat('c', CAST(s_customer AS STRING))"))}))[()] == (3,)
     with pytest.raises(ValueError, match="lifts the axis region"):
         query(model, ["region"], {"v": Having(With(AMOUNT, remove=("region",)), ("s_customer",), {"v": AMOUNT}, "v > 25")})
 

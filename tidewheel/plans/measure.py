@@ -289,7 +289,7 @@ class _Compiler:
                 if f.rows is None and model.home.get(f.column) in links:
                     links[model.home[f.column]].append(f.sql)
                 way = model.route(m.fact, model.home[f.column], use) if f.column in model.home else None
-                if way is None or f.cells:
+                if way is None or f.keys:
                     continue
                 home = model.tables[model.home[f.column]]
                 start = home.filter(f.sql) if f.rows is None else home.join(f.rows.select(F.col(f.rows.columns[0]).alias("_member")).distinct(), F.col(f.column) == F.col("_member"), "left_semi")
@@ -383,9 +383,11 @@ class _Compiler:
         if added:
             parts.append(_evaluate(inner, (*others, "_upto"), added, free, use, shift))
         for (fact, _, expr), name in ((s, n) for s, n in slots.items() if s[1] == "countd"):
-            given = {c: t.withColumn("_value", F.expr(expr)) if c == fact else t for c, t in inner.tables.items()} if not expr.isidentifier() else inner.tables
-            value = "_value" if given is not inner.tables else expr
-            seen = _evaluate(Model(given, inner.relationships, model.calendar), (*others, value), {"_upto": Leaf(fact, "min", "_upto")}, free, use, shift)
+            of, value = inner, expr
+            if expr not in model.home:  # an expression over the fact's own columns becomes one of them
+                value = "_value"
+                of = Model({**inner.tables, fact: inner.tables[fact].withColumn(value, F.expr(expr))}, inner.relationships, model.calendar)
+            seen = _evaluate(of, (*others, value), {"_upto": Leaf(fact, "min", "_upto")}, free, use, shift)
             parts.append(seen.groupBy(*others, "_upto").agg(F.count("*").alias(name)))
         rows = parts[0]
         for p in parts[1:]:
@@ -394,8 +396,7 @@ class _Compiler:
         w = Window.partitionBy(*others).orderBy("_upto")
         sofar = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         running = {name: {"min": F.min, "max": F.max}.get(slot[1], F.sum)(name).over(sofar) for slot, name in slots.items()}
-        until = F.coalesce(F.lead("_upto").over(w) - 1, F.lit(None).cast("int"))
-        rows = rows.select(*others, "_upto", until.alias("_until"), *(v.alias(n) for n, v in running.items()))
+        rows = rows.select(*others, "_upto", (F.lead("_upto").over(w) - 1).alias("_until"), *(v.alias(n) for n, v in running.items()))
         every = cells.join(ends, "_end").select(*mine, F.col("_upto").alias("_cell"))
         out = rows.join(F.broadcast(every), (F.col("_cell") >= F.col("_upto")) & F.coalesce(F.col("_cell") <= F.col("_until"), F.lit(True)))
         return out.select(*axes, *running)
