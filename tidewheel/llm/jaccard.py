@@ -44,7 +44,7 @@ FREQUENT = 1 << 19
 BLOCK, ROWS = 1_000_000, 1 << 14
 #: Bytes of a text that goes to the second product as it is, whatever its set is; a longer one must be this many times its
 #: set's number of shingles at most, else the set goes.
-LONG, PER_SHINGLE = 4096, 16
+LONG, PER_SHINGLE = 1 << 14, 16
 #: Sizes in a band differ by this factor: more than 1.25, so that alike rows are in one band or in neighbours.
 BAND = 1.26
 #: Parts that a frequent shingle's rows are dealt out to.
@@ -241,19 +241,17 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """rep, text, set of the documents whose id is a rep of wanted, and of a few others: a bitmap of hashes picks them, so
     that not all texts are shuffled. Either text or set is null. The join with wanted is up to the caller."""
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            sets: list[np.ndarray | None] = [None] * len(texts)
-            for k, t in enumerate(texts):
-                if t is not None and len(t) * 4 > LONG and (size := len(t.encode())) > LONG:
-                    (s,) = shingle_sets([t])
-                    if size > PER_SHINGLE * len(s):
-                        texts[k], sets[k] = None, s.view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(sets, pa.list_(pa.int64()))], ["rep", "text", "set"])
-
-    own = F.col("doc_id").cast("bigint")
-    return docs.filter("doc_id is not null").filter(sieve(wanted, "rep")(own)).select(own.alias("rep"), "text").mapInArrow(packed, "rep bigint, text string, set array<bigint>")
+    @F.arrow_udf("array<bigint>")
+    def set_of(texts: pa.Array) -> pa.Array:
+        sets: list[np.ndarray | None] = []
+        for x in texts:
+            (s,) = shingle_sets([x.as_py()]) if x.is_valid else (None,)
+            sets.append(None if s is None or len(x.as_buffer()) <= PER_SHINGLE * len(s) else s.view(np.int64))
+        return pa.array(sets, pa.list_(pa.int64()))
+
+    own, long = F.col("doc_id").cast("bigint"), F.when(F.octet_length("text") > LONG, F.col("text"))  # no other text goes to Python
+    found = docs.filter("doc_id is not null").filter(sieve(wanted, "rep")(own)).select(own.alias("rep"), "text", set_of(long).alias("set"))
+    return found.select("rep", F.when(F.col("set").isNull(), F.col("text")).alias("text"), "set")
 
 
 class _Union:
