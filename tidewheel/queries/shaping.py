@@ -324,7 +324,10 @@ def register(reg: Registry) -> None:
     def warehouse_scan(spark: SparkSession, d: str) -> DataFrame:
         """Customers in a SQL warehouse (tidewheel.warehouse.url, else one in this process's memory), scanned in ranges of their
         key; filters and columns are the warehouse's work."""
-        url = spark.conf.get("tidewheel.warehouse.url", "jdbc:derby:memory:tidewheel;create=true")
+        url = spark.conf.get("tidewheel.warehouse.url", None)
+        if url is None:
+            spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")  # else it logs into the working folder
+            url = "jdbc:derby:memory:tidewheel;create=true"
         rows = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"))
         write_warehouse(rows, url, "tidewheel_customer", types="c_mktsegment VARCHAR(40)")
         scan = warehouse_table(spark, url, "tidewheel_customer", key="c_custkey", parts=8).filter("c_custkey > 10 AND c_mktsegment <> 'BUILDING'")
