@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.components import components
-from tidewheel.llm.shared import broadcast, forget, looked_up, ship, sieve, written
+from tidewheel.llm.shared import broadcast, forget, held, looked_up, ship, sieve_places, written
 
 WORDS = 5
 #: Rows that a shingle may have for its pairs to be listed one by one.
@@ -241,17 +241,21 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """rep, text, set of the documents whose id is a rep of wanted, and of a few others: a bitmap of hashes picks them, so
     that not all texts are shuffled. Either text or set is null. The join with wanted is up to the caller."""
 
-    @F.arrow_udf("array<bigint>")
-    def set_of(texts: pa.Array) -> pa.Array:
+    place, shared = sieve_places(wanted, "rep")
+
+    @F.arrow_udf("struct<wanted:boolean,set:array<bigint>>")
+    def looked_at(places: pa.Array, texts: pa.Array) -> pa.Array:
+        there = held(shared.value, places)
         sets: list[np.ndarray | None] = []
-        for x in texts:
-            (s,) = shingle_sets([x.as_py()]) if x.is_valid else (None,)
+        for x, ok in zip(texts, there.tolist()):
+            (s,) = shingle_sets([x.as_py()]) if ok and x.is_valid else (None,)
             sets.append(None if s is None or len(x.as_buffer()) <= PER_SHINGLE * len(s) else s.view(np.int64))
-        return pa.array(sets, pa.list_(pa.int64()))
+        return pa.StructArray.from_arrays([pa.array(there), pa.array(sets, pa.list_(pa.int64()))], ["wanted", "set"])
 
+    looked_at = looked_at.asNondeterministic()  # else it is evaluated for the filter and once more for its set
     own, long = F.col("doc_id").cast("bigint"), F.when(F.octet_length("text") > LONG, F.col("text"))  # no other text goes to Python
-    found = docs.filter("doc_id is not null").filter(sieve(wanted, "rep")(own)).select(own.alias("rep"), "text", set_of(long).alias("set"))
-    return found.select("rep", F.when(F.col("set").isNull(), F.col("text")).alias("text"), "set")
+    found = docs.filter("doc_id is not null").select(own.alias("rep"), "text", looked_at(place(own), long).alias("_at")).filter("_at.wanted")
+    return found.select("rep", F.when(F.col("_at.set").isNull(), F.col("text")).alias("text"), F.col("_at.set").alias("set"))
 
 
 class _Union:

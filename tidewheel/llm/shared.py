@@ -98,9 +98,8 @@ def looked_up(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFr
 SIEVE_BITS = 1 << 26
 
 
-def sieve(wanted: DataFrame, key: str) -> Callable[[Column], Column]:
-    """A function of a column (of key's type): false only where its value is no key of wanted. A bitmap of hashes,
-    so that few of the rows that a join with wanted would drop are shuffled for it."""
+def sieve_places(wanted: DataFrame, key: str) -> tuple[Callable[[Column], Column], Broadcast]:
+    """A bitmap of hashes of wanted's keys, and the places in it of a column of key's type; see held()."""
     bits = min(SIEVE_BITS, 1 << max(15, (16 * wanted.count()).bit_length()))
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
     # bitmap functions number positions from 1, in buckets of 32768
@@ -108,12 +107,23 @@ def sieve(wanted: DataFrame, key: str) -> Callable[[Column], Column]:
     table = np.zeros((bits >> 15, 4096), np.uint8)
     for r in rows:
         table[r.k - 1] = np.frombuffer(r.bits, np.uint8)
-    shared = broadcast(wanted.sparkSession, table.ravel())
+    return place, broadcast(wanted.sparkSession, table.ravel())
+
+
+def held(bitmap: np.ndarray, places: pa.Array) -> np.ndarray:
+    """Which places are set: false only where a value is no key."""
+    p = places.to_numpy() - 1
+    return (bitmap[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def sieve(wanted: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A function of a column (of key's type): false only where its value is no key of wanted. So few of the rows that a
+    join with wanted would drop are shuffled for it."""
+    place, shared = sieve_places(wanted, key)
 
     @F.arrow_udf("boolean")
     def maybe(places: pa.Array) -> pa.Array:
-        p = places.to_numpy() - 1
-        return pa.array((shared.value[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool))
+        return pa.array(held(shared.value, places))
 
     return lambda c: maybe(place(c))
 
