@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,3 +37,16 @@ class _Cluster:
 def test_a_cluster_must_name_its_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         S.shared_dir(_Cluster)
+
+
+def test_shuffles_go_with_the_table_that_they_made(spark):
+    def shuffles():
+        return {str(b) for b in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()) if str(b).startswith("shuffle_")}
+
+    before, set_ = shuffles(), spark.conf.get(S.CLEANUP)
+    out = S.written(spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 10).alias("k")).count())
+    for _ in range(50):
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(S.CLEANUP) == set_ and out.count() == 10
