@@ -211,3 +211,30 @@ def test_long_texts_of_few_shingles_go_as_sets(spark, monkeypatch):
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in J.groups(df).collect()} == want
     monkeypatch.setattr(J, "ROWS", 4)  # blocks by rows
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in J.groups(df).collect()} == want
+
+
+def test_parities_never_rule_out_what_is_alike():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 46, 92, 93, 400, 3000):
+        sets = [np.unique(rng.integers(0, 1 << 64, n, np.uint64)) for _ in range(20)]
+        for s in sets[:10]:  # the same with a ninth replaced, and with a fifth left out
+            sets += [np.union1d(s[n // 9 :], rng.integers(0, 1 << 64, n // 9, np.uint64)), s[n // 5 :]]
+        sizes = np.array([len(s) for s in sets])
+        alike = [(i, j) for j in range(len(sets)) for i in range(j) if 9 * len(np.intersect1d(sets[i], sets[j])) >= 4 * (sizes[i] + sizes[j])]
+        found = J._Union(len(sets))
+        edges = J.near(np.arange(len(sets)), sizes, [J.parity(s) for s in sets])
+        for i, j in edges:
+            found.join(i, j)
+        assert alike and all(found.group[i] == found.group[j] for i, j in alike)
+        origin = [*range(20), *(i for i in range(10) for _ in "ab")]
+        assert n < 46 or all(origin[i] == origin[j] for i, j in edges)
+
+
+def test_a_shingle_that_unrelated_rows_share_ties_no_component(spark):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(np.append(rng.integers(0, 1 << 64, 200, np.uint64), np.uint64(7))) for _ in range(60)]
+    sets[50] = np.append(sets[3][:-1], np.uint64(1 << 63))  # alike: one replaced
+    rows = spark.createDataFrame([(i, len(s), [7, *s[1:40].view(np.int64).tolist()], 0, bytearray(J.parity(s))) for i, s in enumerate(sets)], "rep bigint, n int, prefix array<bigint>, n_late int, parity binary")
+    edges, shared = J._candidates(rows, rows)
+    assert shared.filter("shingle = 7").first().m == 60
+    assert {tuple(sorted(e)) for e in edges.collect()} == {(3, 50)}

@@ -8,8 +8,10 @@ cost nothing. The first product uses only each row's prefix: in one global order
 of n shingles that are 80 % alike share one among the first n - ceil(0.8 n) + 1, and at the first that they
 share the smaller row has passed n / 9 at most. The order puts the frequent shingles last; as any common order is
 valid, it is enough to count what prefixes by hash hold. Overlaps accumulated over prefixes discard pairs that cannot
-reach the size-derived bound; a shingle with more than SPARSE rows gives a star of candidate edges
-in place of all pairs, and a frequent one that no row may begin a match with gives none.
+reach the size-derived bound. Of a shingle with more than SPARSE rows a spanning forest passes of the pairs that their whole
+sets' parities don't rule out: else shingles that unrelated rows share by chance, whose number grows faster than the
+input, would tie most rows into one component. One with more than DENSE rows gives a star of candidate edges, and a
+frequent one that no row may begin a match with gives none.
 
 The candidate edges' components are the blocks of the second product, over whole sets, which passes
 on a spanning forest of the links. A component of more than BLOCK shingles or ROWS rows is cut into
@@ -38,6 +40,8 @@ from tidewheel.llm.shared import broadcast, forget, held, looked_up, ship, sieve
 WORDS = 5
 #: Rows that a shingle may have for its pairs to be listed one by one.
 SPARSE = 16
+#: Rows that a shingle may have for their parities to be compared, and about how many bytes of parities a task takes.
+DENSE, PARITIES = 1 << 12, 1 << 23
 #: Frequent shingles that are put last, at most; the broadcast list has 8 bytes for each.
 FREQUENT = 1 << 19
 #: Shingles, and rows, in a block of the second product.
@@ -130,6 +134,39 @@ def prefix_length(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1 if n else 0
 
 
+def parity(s: np.ndarray) -> bytes:
+    """For each of 64 * 2**k places, whether an odd number of the set's hashes fall on it; 0.7 places for each hash at least.
+
+    Two sets differ in no fewer shingles than their parities do in places, and a parity's halves give, one xor the other,
+    that of half the places.
+    """
+    places = 64
+    while 10 * places < 7 * len(s):
+        places *= 2
+    return np.packbits(np.bincount((s & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1).tobytes()
+
+
+def near(ids: np.ndarray, n: np.ndarray, parities: list[bytes]) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that may be 80 % alike by their sizes n and parities."""
+    order = np.lexsort((ids, n))
+    ids, n, parities = ids[order], n[order], [parities[i] for i in order.tolist()]
+    width = np.fromiter(map(len, parities), np.int64, len(ids))  # grows with n
+    fitting = np.searchsorted(4 * n, 5 * n, side="right")  # behind the last row that isn't too large for each
+    united, out = _Union(len(ids)), []
+    for w in np.unique(width).tolist():
+        lo, mid, top = np.searchsorted(width, w), np.searchsorted(width, w, "right"), np.searchsorted(width, 2 * w, "right")
+        own = np.frombuffer(b"".join(parities[lo:mid]), np.uint64).reshape(mid - lo, w // 8)
+        wider = np.frombuffer(b"".join(parities[mid:top]), np.uint64).reshape(top - mid, 2, w // 8)
+        table = np.concatenate((own, wider[:, 0] ^ wider[:, 1]))
+        for a in range(lo, mid):
+            b = a + 1 + np.flatnonzero(united.group[a + 1 : fitting[a]] != united.group[a])
+            differing = np.bitwise_count(table[b - lo] ^ table[a - lo]).sum(1, dtype=np.int64)
+            for c in b[9 * differing <= n[a] + n[b]].tolist():
+                if united.join(a, c):
+                    out.append((int(ids[a]), int(ids[c])))
+    return out
+
+
 def _frequent(docs: DataFrame, least: int) -> np.ndarray:
     """Shingles that more than `least` documents have in the prefix they would have by hashes alone, sorted.
 
@@ -174,7 +211,7 @@ def _frequent(docs: DataFrame, least: int) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n, set_hash (of the whole set), prefix (shingles) and n_late, how many of these are frequent."""
+    """doc_id, n, set_hash and parity (of the whole set), prefix (shingles) and n_late, how many of these are frequent."""
     shared = broadcast(docs.sparkSession, frequent)
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,10 +219,11 @@ def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         for b in batches:
             for at in range(0, len(b), 256):
                 part = b.slice(at, 256)
-                sizes, keys, prefixes, lates = [], [], [], []
+                sizes, keys, parities, prefixes, lates = [], [], [], [], []
                 for s in shingle_sets(part.column(1).to_pylist()):
                     sizes.append(len(s))
                     keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+                    parities.append(parity(s) if len(s) else None)
                     p = prefix_length(len(s))
                     if len(late):
                         where = np.searchsorted(late, s)
@@ -198,17 +236,17 @@ def _sketches(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         s = s[:p]
                         lates.append(0)
                     prefixes.append(s.view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(lates, pa.int32())], ["doc_id", "n", "set_hash", "prefix", "n_late"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary()), pa.array(parities, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(lates, pa.int32())], ["doc_id", "n", "set_hash", "parity", "prefix", "n_late"])
             pa.default_memory_pool().release_unused()
 
-    return written(docs.select("doc_id", "text").mapInArrow(sketched, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n int, set_hash binary, prefix array<bigint>, n_late int"))
+    return written(docs.select("doc_id", "text").mapInArrow(sketched, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n int, set_hash binary, parity binary, prefix array<bigint>, n_late int"))
 
 
-def _candidates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges (a, b) such that rows 80 % alike are in one component, and the written table that they are made of;
-    rows: rep, n, prefix, n_late, a class each."""
+def _candidates(prefixed: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges (a, b) such that rows 80 % alike are in one component, and the written table that they are made of, besides
+    rows; prefixed: rep, n, prefix, n_late, a class each, rows: rep, parity."""
     at = F.posexplode("prefix").alias("pos", "shingle")
-    dealt = rows.select("rep", "n", "n_late", (F.size("prefix") - F.col("n_late")).alias("early"), at)
+    dealt = prefixed.select("rep", "n", "n_late", (F.size("prefix") - F.col("n_late")).alias("early"), at)
     late, begins = F.col("pos") >= F.col("early"), 9 * F.col("pos") <= F.col("n")
     # one number holds n, n_late and whether a match with a row of this size or more may begin here
     packed = F.col("n") + F.shiftleft(F.col("n_late").cast("long"), 31) + F.shiftleft(begins.cast("long"), 62)
@@ -229,11 +267,23 @@ def _candidates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     # what is shared but not in both prefixes lies behind the prefix of one of the two; frequent ones may be shared too
     behind = lambda n: F.floor((4 * F.col(n) + 4) / 5) - 1
     pairs = pairs.filter(9 * (F.col("overlap") + F.least("late", "late2") + F.greatest(behind("n"), behind("n2"))) >= 4 * (F.col("n") + F.col("n2")))
-    dense = shared.filter(f"salt > 0 or m > {SPARSE}")
+    middle = shared.filter(f"salt = 0 and m > {SPARSE} and m <= {DENSE}").select("shingle", "rep", n("packed").alias("n"))
+    size = middle.agg(F.coalesce(F.sum(F.col("n").cast("long") + 256), F.lit(0))).first()[0] // 4  # a parity has n / 4 bytes at most, or 8
+
+    def nears(t: pa.Table) -> pa.Table:
+        t = t.sort_by("shingle")
+        ids, sizes, parities = t.column("rep").to_numpy(), t.column("n").to_numpy(), t.column("parity").to_pylist()
+        cuts = np.flatnonzero(np.diff(t.column("shingle").to_numpy())) + 1
+        found = [e for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)]) for e in near(ids[i:j], sizes[i:j], parities[i:j])]
+        return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+    task = F.pmod(F.xxhash64("shingle"), F.lit(1 + size // PARITIES)).alias("task")
+    forests = middle.join(rows.select("rep", "parity"), "rep").select(task, "shingle", "rep", F.col("n").cast("long").alias("n"), "parity").groupBy("task").applyInArrow(nears, "a bigint, b bigint").distinct()
+    dense = shared.filter(f"salt > 0 or m > {DENSE}")
     stars = dense.groupBy(F.col("first").alias("a"), F.col("rep").alias("b")).agg(F.lit(1)).select("a", "b")
     firsts = dense.filter("salt > 0").groupBy("shingle", "first").agg(F.lit(1)).groupBy("shingle").agg(F.min("first").alias("least"))
     joined = dense.filter("salt > 0").groupBy("shingle", F.col("first").alias("b")).agg(F.lit(1)).join(firsts, "shingle").select(F.col("least").alias("a"), "b")
-    edges = pairs.select(F.col("rep").alias("a"), F.col("other").alias("b")).unionByName(stars).unionByName(joined.distinct())
+    edges = pairs.select(F.col("rep").alias("a"), F.col("other").alias("b")).unionByName(forests).unionByName(stars).unionByName(joined.distinct())
     return edges.filter("a <> b"), shared
 
 
@@ -397,16 +447,20 @@ def groups(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sketches = _sketches(docs, _frequent(docs, SPARSE))
     filled = sketches.filter("n > 0")
-    classes = filled.groupBy("set_hash").agg(F.min("doc_id").cast("bigint").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("n_late").alias("n_late"), F.count("*").alias("copies"))
-    rows = written(classes.filter("rep is not null"))
-    edges, shared = _candidates(rows)
+    classes = filled.groupBy("set_hash").agg(F.min("doc_id").cast("bigint").alias("rep"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"), F.first("n_late").alias("n_late"), F.count("*").alias("copies"))
+    prefixed = written(classes.filter("rep is not null"))
+    # the prefixes, most of what is written here, go as soon as they have been used
+    kept = written(sketches.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "set_hash"))
+    forget(sketches)
+    rows = written(prefixed.select("set_hash", "rep", "n", "copies", "parity"))
+    edges, shared = _candidates(prefixed, rows)
+    forget(prefixed)
     candidates = components(edges)
     forget(shared)
     links = _links(docs, rows, candidates)
     roots = components(links)
     forget(links)
     named = written(rows.select("set_hash", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("set_hash", F.coalesce("root", "rep").alias("component_id")))
-    kept = sketches.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "set_hash")
     own = F.col("doc_id").cast("bigint")
     # a text with very many copies meets its group by a broadcast
     grouped = looked_up(kept.filter("n_shingles > 0"), named, ["set_hash"], rows.select("set_hash", F.col("copies").alias("n")))
