@@ -84,3 +84,13 @@ def test_sparse_and_dense_parts_agree(monkeypatch):
 def test_one_id_with_many_texts_counts_once(spark):
     many = [(7, f"the and over {'x' * (k % 9)} {k}", "en", "") for k in range(500)]
     assert len(L.fit(spark.createDataFrame(rows() + many, SCHEMA)).languages) == 3
+
+
+def test_fit_needs_no_plain_python_workers(spark, monkeypatch):
+    df = spark.createDataFrame(rows(), SCHEMA).localCheckpoint()
+
+    def refused(*_, **__):
+        raise AssertionError("rows from the driver start a second set of Python workers on the executors")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refused)
+    assert len(L.fit(df).languages) == 3

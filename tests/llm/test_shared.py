@@ -1,5 +1,6 @@
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,3 +51,19 @@ def test_shuffles_go_with_the_table_that_they_made(spark):
             break
         time.sleep(0.2)
     assert not left and spark.conf.get(S.CLEANUP) == set_ and out.count() == 10
+
+
+def test_workers_get_small_batches(spark):
+    spark.conf.unset(S.BATCH_BYTES)
+    S.ship(spark)
+    rows = spark.range(0, 5000, 1, 1).select(F.repeat(F.lit("x"), F.lit(8000)).alias("text"))
+
+    @F.arrow_udf("bigint")
+    def size(texts: pa.Array) -> pa.Array:
+        return pa.array([texts.nbytes] * len(texts), pa.int64())
+
+    assert rows.select(size("text").alias("n")).agg(F.max("n")).first()[0] < 8_000_000
+    spark.conf.set(S.BATCH_BYTES, "16m")
+    S.ship(spark)
+    assert spark.conf.get(S.BATCH_BYTES) == "16m"  # a session's own value stays
+    spark.conf.set(S.BATCH_BYTES, S.AT_ONCE)

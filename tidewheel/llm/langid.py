@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.llm.quality import remainder
-from tidewheel.llm.shared import broadcast, looked_up
+from tidewheel.llm.shared import broadcast, looked_up, ship, written
 
 #: Rows of each language that a fit learns from, and of these the landmarks (about: the hash decides); where there
 #: are so many languages that these would be more than SAMPLE rows or MARKS landmarks in all, a like share of each.
@@ -156,6 +156,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
     A language of which no row is drawn is not learned. Without any row to learn from, every prediction is `und`.
     """
     spark = docs.sparkSession
+    ship(spark)
     nothing = KernelRidge([], Landmarks([]), np.zeros((0, 0)), np.zeros(0))
     usable = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder("doc_id", 4) != 2))
     counts = usable.groupBy("lang").count()
@@ -168,11 +169,10 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
     per_language, landmarks = min(per_language, sample / languages), min(landmarks, marks / languages)
     draw = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30)) * F.col("count") / (1 << 30)
     drawn = known.withColumn("draw", draw).filter(F.col("draw") < per_language).drop("count")
-    drawn = [tuple(r) for r in drawn.select("doc_id", "lang", "draw").distinct().collect()]  # about per_language rows of each language
-    if not drawn:
+    ids = written(drawn.select("doc_id", "lang", "draw").distinct())  # about per_language rows of each language; a list from the driver would need Python workers of its own
+    if ids.isEmpty():
         return nothing
-    ids = F.broadcast(spark.createDataFrame(drawn, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, draw double"))
-    rows = usable.filter(F.col("text").rlike(r"\p{L}")).join(ids, ["doc_id", "lang"]).groupBy("doc_id", "lang", "draw").agg(F.min("text").alias("text"))
+    rows = usable.filter(F.col("text").rlike(r"\p{L}")).join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang", "draw").agg(F.min("text").alias("text"))
     drawn_marks = [r for r in rows.filter(F.col("draw") < landmarks).collect() if has_letter(r.text)]
     if not drawn_marks:  # so few rows that none falls below the landmarks' share
         drawn_marks = [r for r in rows.orderBy("draw", "lang", "doc_id").limit(int(max(landmarks, 1))).collect() if has_letter(r.text)]
