@@ -2,6 +2,7 @@ import base64
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -67,3 +68,43 @@ def test_frame(spark, vocabulary):
     assert got[0] == b"" and got[1].endswith("�".encode())
     digests = {r.doc_id: r for r in bpe.digests(bpe.round_trip(df, vocabulary)).collect()}
     assert digests[3].n_tokens == 0 and digests[3].ids_sha256 == digests[3].decoded_sha256
+
+
+def _merged(monkeypatch, vocabulary):
+    """The pieces that vocabulary merges from now on, in order."""
+    seen, merge = [], vocabulary.merge
+    monkeypatch.setattr(vocabulary, "merge", lambda piece: seen.append(piece) or merge(piece))
+    return seen
+
+
+def test_a_word_in_use_is_merged_once_however_many_others_pass(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 200)
+    v = bpe.Vocabulary(RANKS, public_tokenizers.PATTERN)
+    seen = _merged(monkeypatch, v)
+    for i in range(12):
+        text = "qzxvqzxv " + " ".join(f"zq{chr(97 + i)}xj{chr(97 + k // 26)}{chr(97 + k % 26)}qk" for k in range(150))
+        ids, _ = v.encode([text])
+        assert ids.tolist() == REFERENCE.encode_ordinary(text)
+    assert seen.count(b"qzxvqzxv") == 1 and len(set(seen)) == 1 + 12 * 150
+
+
+def test_what_is_remembered_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO", 50_000)
+    v = bpe.Vocabulary(RANKS, public_tokenizers.PATTERN)
+    for i in range(20):
+        ids, _ = v.encode([t := " ".join(chr(97 + i) * (1000 + k) for k in range(10))])
+        assert ids.tolist() == REFERENCE.encode_ordinary(t)
+    remembered = {**v._memo, **getattr(v, "_older", {})}
+    assert sum(map(len, remembered)) < 2 * 50_000
+
+
+def test_decodes_a_column_as_bytes(vocabulary):
+    texts = ["", "hello  wörld", "", "日本 \x00", "x" * 1000, ""]
+    ids, offsets = vocabulary.encode_column(pa.array(texts + [None]))
+    got = vocabulary.decode_column(ids, offsets)
+    got.validate(full=True)
+    assert got.type == pa.binary() and got.to_pylist() == [t.encode() for t in texts] + [b""]
+    none = vocabulary.decode_column(np.empty(0, np.int32), np.zeros(1, np.int32))
+    none.validate(full=True)
+    assert len(none) == 0
+    assert vocabulary.decode(np.array([-1, 10**8]), np.array([0, 1, 2])) == ["�".encode()] * 2

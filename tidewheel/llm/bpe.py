@@ -29,8 +29,10 @@ from tidewheel.llm.shared import broadcast
 
 #: Characters of text that a worker splits at a time; bounds the memory for pre-tokens.
 SLICE_CHARS = 1 << 20
-#: Distinct pre-tokens that a worker remembers before it starts anew.
-MEMO = 1 << 18
+#: Bytes of memory, about, for the distinct pre-tokens that a worker remembers before it begins a new generation; it holds two.
+MEMO = 64 << 20
+#: Bytes that a pre-token and its ids take, about, besides two for each character.
+ENTRY = 180
 
 
 #: Links of pieces of up to so many bytes.
@@ -105,9 +107,11 @@ class Vocabulary:
         self.hash = PerfectHash(self.keys)
         self._ranks = self._pairs = self._find = self._bytes = None
         self._memo: dict[str, bytes] = {}  # pre-token to its ids, as 32-bit integers
+        self._older: dict[str, bytes] = {}  # the generation before; what is met again goes over to the new one
+        self._held = 0  # bytes in _memo
 
     def __getstate__(self):
-        return self.__dict__ | {"_ranks": None, "_pairs": None, "_find": None, "_bytes": None, "_memo": {}}
+        return self.__dict__ | {"_ranks": None, "_pairs": None, "_find": None, "_bytes": None, "_memo": {}, "_older": {}, "_held": 0}
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, pattern: str) -> "Vocabulary":
@@ -163,6 +167,18 @@ class Vocabulary:
             i = after[i]
         return out
 
+    def recall(self, pieces: set[str]) -> None:
+        """Sees to it that the memo has these pre-tokens. A full memo becomes the older generation, from which those met
+        again are taken over, so that pre-tokens in use are not merged anew."""
+        if self._held > MEMO:
+            self._older, self._memo, self._held = self._memo, {}, 0
+        if missing := pieces.difference(self._memo):
+            new = missing.difference(self._older)
+            old = missing - new
+            self._memo.update(zip(old, map(self._older.__getitem__, old)))
+            self.resolve(list(new))
+            self._held += ENTRY * len(missing) + 2 * sum(map(len, missing))
+
     def resolve(self, pieces: list[str]) -> None:
         """Enters the ids of new distinct pre-tokens in the memo: the first tier for all of them at once."""
         raw = [p.encode() for p in pieces]
@@ -185,10 +201,7 @@ class Vocabulary:
                 chars += len(texts[stop])
                 stop += 1
             found = [self._find(t) for t in texts[start:stop]]
-            if len(self._memo) > MEMO:
-                self._memo.clear()
-            if new := [p for p in set(chain.from_iterable(found)) if p not in self._memo]:
-                self.resolve(new)
+            self.recall(set(chain.from_iterable(found)))
             of = self._memo.__getitem__
             for pieces in found:
                 ids = np.frombuffer(b"".join(map(of, pieces)), np.int32)
@@ -203,16 +216,25 @@ class Vocabulary:
         ids = np.concatenate([p for p, _ in parts]) if parts else np.empty(0, np.int32)
         return ids, np.concatenate(([0], np.cumsum([n for _, c in parts for n in c]))).astype(np.int32)
 
-    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    def decode_column(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
         """The bytes of the ids from each offset to the next; an id that is no entry becomes the replacement character."""
         if self._bytes is None:
-            self._bytes = ["�".encode()] * (int(self.ids.max(initial=-1)) + 2)
+            table = ["�".encode()] * (int(self.ids.max(initial=-1)) + 2)
             for k, t in zip(self.ids.tolist(), self.keys):
-                self._bytes[k] = t
+                table[k] = t
+            self._bytes = pa.array(table, pa.large_binary())
         none = len(self._bytes) - 1
-        at = np.where((ids >= 0) & (ids < none), ids, none)
-        of = self._bytes.__getitem__
-        return [b"".join(map(of, at[a:b].tolist())) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        tokens = self._bytes.take(pa.array(np.where((ids >= 0) & (ids < none), ids, none)))
+        # the bytes of consecutive tokens lie side by side, so rows only need their own offsets
+        _, ends, data = tokens.buffers()
+        at = np.frombuffer(ends, np.int64)[tokens.offset :][offsets] if len(tokens) else np.zeros(len(offsets), np.int64)
+        if at[-1] > np.iinfo(np.int32).max:
+            raise ValueError("over 2 GB of decoded bytes at once")
+        return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(at.astype(np.int32)), data or pa.py_buffer(b"")])
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """decode_column() as Python objects."""
+        return self.decode_column(ids, offsets).to_pylist()
 
 
 def _lists(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -244,7 +266,7 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "
         rows = rows.fill_null([]) if rows.null_count else rows
         flat = rows.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
         offsets = np.asarray(rows.offsets)
-        return pa.array(shared.value.decode(flat, offsets - offsets[0]), pa.binary())
+        return shared.value.decode_column(flat, offsets - offsets[0])
 
     return df.withColumn(out, bytes_of(F.col(ids)))
 
@@ -259,7 +281,7 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             for at in range(0, len(b), 256):  # so that few results wait in memory
                 part = b.slice(at, 256)
                 ids, offsets = shared.value.encode_column(part.column(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids, offsets), pa.array(shared.value.decode(ids, offsets), pa.binary())], ["doc_id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(ids, offsets), shared.value.decode_column(ids, offsets)], ["doc_id", "ids", "decoded"])
             pa.default_memory_pool().release_unused()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
