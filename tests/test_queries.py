@@ -32,3 +32,14 @@ def test_query(spark, name):
 
     number = lambda v: float(v) if isinstance(v, decimal.Decimal) else v
     assert got == sorted(plain({k: number(v) for k, v in zip(names, r)}) for r in cur.fetchall())
+
+
+def test_display_formats_of_balances_around_zero(spark, tmp_path):
+    balances = [None, -0.0, 0.0, -1e-9, -0.004, -0.01, -0.49, -0.494, -0.495, -0.5, -1.5, -999.5, -1000.0, 0.004, 0.49, 0.495, 0.5, 1234567.5, 8.495, -8.495, 1024.495, 9999999999.99]
+    rows = [(k, None if k == 3 else k % 25, b) for k, b in enumerate(balances)]
+    spark.createDataFrame(rows, "c_custkey bigint, c_nationkey int, c_acctbal double").write.parquet(str(tmp_path / "customer.parquet"))
+    got = sorted(tuple(r) for r in REGISTRY.queries["display_formats"](spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    assert got == sorted(con.execute(REGISTRY.sql["display_formats"]).fetchall())
+    assert [p for _, _, p, _ in got[1:10]] == ["$0", "$0", "-$0", "-$0", "-$0", "-$0", "-$0", "-$1", "-$1"]

@@ -52,8 +52,9 @@ def try_value(c: ColumnLike, kind: str) -> Column:
 FORMATS = ("0", "0.0", "0.00", "#,0", "#,0.00", "$#,0", "$#,0.00", "0%", "0.0%", "0.00%", "MMM yyyy", "dd-MMM-yyyy", "MMM d, yyyy", "yyyy-MM-dd")
 
 
-def fmt(c: ColumnLike, pattern: str) -> Column:
-    """A number or date as display text, by one of FORMATS; a blank stays blank."""
+def fmt(c: ColumnLike, pattern: str, sign: ColumnLike | None = None) -> Column:
+    """A number or date as display text, by one of FORMATS; a blank stays blank. sign: the value whose sign a $ format
+    shows, in front of $0 too; without it the shown number's own, and zero has none."""
     if pattern not in FORMATS:
         raise ValueError(f"format {pattern!r} is none of {FORMATS}")
     x = col(c)
@@ -64,7 +65,7 @@ def fmt(c: ColumnLike, pattern: str) -> Column:
     grouped = F.format_number(value, places) if "," in pattern else value.cast(f"decimal(28,{places})").cast("string")
     if pattern.startswith("$"):
         size = F.format_number(F.abs(value), places)
-        grouped = F.concat(F.when(value < 0, "-").otherwise(""), F.lit("$"), size)
+        grouped = F.concat(F.when((value if sign is None else col(sign)) < 0, "-").otherwise(""), F.lit("$"), size)
     return F.concat(grouped, F.lit("%")) if pattern.endswith("%") else grouped
 
 
